@@ -64,3 +64,44 @@ roll AS (
     FROM events)
   WHERE rn < (n_key // 8) * 8
 )"""
+
+
+def eval_rows(spark: SparkSession, sf_dir: str, *, range_width: int = DEFAULT_RANGE_WIDTH) -> DataFrame:
+    """``eval``: graded outputs in long form.
+
+    dataset = lang; problem = source; each document is one output of its problem,
+    ``sample_idx`` = its rank by doc_id; the grade is the label's quality, missing when
+    the document has no label (J5: left join).
+    """
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("flag"))
+    graded = docs.join(labels, "doc_id", "left").select(
+        F.col("lang").alias("dataset"), F.col("source").alias("problem"), "doc_id", F.col("text").alias("output"), "flag"
+    )
+    return rank_within_key(graded, ["dataset", "problem"], "doc_id", out="sample_idx", range_width=range_width)
+
+
+EVAL_SQL = """
+ev AS (
+  SELECT d.lang AS dataset, d.source AS problem, d.doc_id, d.text AS output, CAST(l.quality AS DOUBLE) AS flag,
+         row_number() OVER (PARTITION BY d.lang, d.source ORDER BY d.doc_id) - 1 AS sample_idx
+  FROM documents d LEFT JOIN labels l USING (doc_id)
+)"""
+
+
+def sql_lit(s: str) -> str:
+    """A DuckDB expression for an arbitrary Python string (control characters via chr)."""
+    parts, buf = [], []
+    for ch in s:
+        if ch.isprintable() and ch != "'":
+            buf.append(ch)
+        elif ch == "'":
+            buf.append("''")
+        else:
+            if buf:
+                parts.append("'" + "".join(buf) + "'")
+                buf = []
+            parts.append(f"chr({ord(ch)})")
+    if buf or not parts:
+        parts.append("'" + "".join(buf) + "'")
+    return "(" + " || ".join(parts) + ")"
