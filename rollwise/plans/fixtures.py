@@ -105,3 +105,46 @@ def sql_lit(s: str) -> str:
     if buf or not parts:
         parts.append("'" + "".join(buf) + "'")
     return "(" + " || ".join(parts) + ")"
+
+
+def conv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``conv``: conversations as message arrays, cut at the last assistant turn."""
+    from rollwise.operators.prep import assemble_messages, split_at_last_assistant
+
+    turns = read_table(spark, sf_dir, "conversations")
+    return split_at_last_assistant(assemble_messages(turns))
+
+
+def raw_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw training rows from ``conv``: question = first message, solution = last assistant
+    turn, final answer = the solution's last whitespace-free run. Rows without a solution
+    are not training rows."""
+    c = conv(spark, sf_dir).filter(F.col("solution").isNotNull())
+    return c.select(
+        "conv_id",
+        F.element_at("messages", 1)["content"].alias("question"),
+        F.col("solution").alias("r1_solution_1"),
+        F.regexp_extract("solution", r"(\S+)\s*$", 1).alias("final_answer"),
+    )
+
+
+def bench_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Four raw benchmark sources from ``benchmark``, one per normalisation case."""
+    b = read_table(spark, sf_dir, "benchmark")
+    iid = F.col("item_id").cast("string")
+    return {
+        "gsm8k": b.select(
+            F.col("text").alias("question"),
+            F.when(F.col("item_id") % 4 == 3, F.col("text"))
+            .otherwise(F.concat(F.col("text"), F.lit("\n#### "), iid))
+            .alias("answer"),
+        ),
+        "olympiadbench": b.select(
+            F.array(F.col("text"), iid).alias("solution"),
+            F.when(F.col("item_id") % 5 == 0, F.array().cast("array<string>"))
+            .otherwise(F.array(F.concat(F.lit(" "), iid, F.lit(" "))))
+            .alias("final_answer"),
+        ),
+        "math500": b.select(F.col("text").alias("problem"), F.concat(F.lit("\n"), iid, F.lit(" ")).alias("answer")),
+        "aime24": b.select(F.col("text").alias("question"), iid.alias("answer")),
+    }
