@@ -148,3 +148,64 @@ def bench_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "math500": b.select(F.col("text").alias("problem"), F.concat(F.lit("\n"), iid, F.lit(" ")).alias("answer")),
         "aime24": b.select(F.col("text").alias("question"), iid.alias("answer")),
     }
+
+
+def _neg_abs(col: str = "embedding"):
+    return F.transform(col, lambda x: -F.abs(x.cast("double")))
+
+
+def tok(spark: SparkSession, sf_dir: str, *, batch_rows: int = 50) -> DataFrame:
+    """``tok``: stored log-probs per completion token.
+
+    logp_now = -|e|, logp_old = -|e| of the previous vec_id, ref = of the one before
+    (cyclic); mask length = 1 + vec_id mod 64; fresh when the label is odd;
+    advantage = (label - 4.5) / 4.5; batch = vec_id div ``batch_rows``.
+    """
+    emb = read_table(spark, sf_dir, "embeddings").select("vec_id", "label", _neg_abs().alias("nl"))
+    n = emb.select(F.max("vec_id") + F.lit(1)).scalar()  # a scalar subquery, evaluated once in the plan
+    old = emb.select(((F.col("vec_id") + 1) % n).alias("vec_id"), F.col("nl").alias("logp_old"))
+    ref = emb.select(((F.col("vec_id") + 2) % n).alias("vec_id"), F.col("nl").alias("ref_logp"))
+    return (
+        emb.join(old, "vec_id")
+        .join(ref, "vec_id")
+        .select(
+            "vec_id",
+            F.floor(F.col("vec_id") / batch_rows).cast("bigint").alias("batch"),
+            F.col("nl").alias("logp_now"),
+            "logp_old",
+            "ref_logp",
+            (F.lit(1) + F.col("vec_id") % 64).cast("int").alias("mask_len"),
+            (F.col("label") % 2).alias("is_online"),
+            ((F.col("label") - 4.5) / 4.5).alias("advantage"),
+        )
+    )
+
+
+TOK_SQL = """
+e AS (SELECT vec_id, label, list_transform(embedding, lambda x: -abs(CAST(x AS DOUBLE))) AS nl FROM embeddings),
+nn AS (SELECT max(vec_id) + 1 AS n FROM embeddings),
+tok AS (
+  SELECT c.vec_id, c.vec_id // 50 AS batch, c.nl AS now_, p1.nl AS old_, p2.nl AS ref_,
+         CAST(1 + c.vec_id % 64 AS INTEGER) AS n, c.label % 2 AS is_online, (c.label - 4.5) / 4.5 AS adv
+  FROM e c CROSS JOIN nn
+  JOIN e p1 ON p1.vec_id = (c.vec_id - 1 + nn.n) % nn.n
+  JOIN e p2 ON p2.vec_id = (c.vec_id - 2 + nn.n) % nn.n)"""
+
+
+def ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``ids``: token ids floor(|e| * 50) (EOS = 0); prompt = the first 1 + vec_id mod 16 ids,
+    completion = ids 17..64."""
+    emb = read_table(spark, sf_dir, "embeddings")
+    t = F.transform("embedding", lambda x: F.floor(F.abs(x.cast("double")) * 50).cast("int"))
+    return emb.select(
+        "vec_id",
+        F.slice(t, 1, F.lit(1) + F.col("vec_id") % 16).alias("prompt_ids"),
+        F.slice(t, 17, 48).alias("completion_ids"),
+    )
+
+
+IDS_SQL = """
+ids AS (
+  SELECT vec_id, list_slice(t, 1, 1 + vec_id % 16) AS prompt_ids, list_slice(t, 17, 64) AS completion_ids
+  FROM (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(abs(CAST(x AS DOUBLE)) * 50) AS INTEGER)) AS t
+        FROM embeddings))"""

@@ -1 +1,219 @@
-"""Registered queries."""
+"""Registered queries for token arrays (F3-F8) and policy-loss analytics."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from rollwise.operators import loss as L
+from rollwise.operators import tokens as TK
+from rollwise.plans.fixtures import IDS_SQL, TOK_SQL, ids, tok
+from rollwise.plans.registry import register
+
+EOS, PAD = 0, -1
+
+# ----------------------------------------------------------------------------- F: token arrays
+
+
+@register(
+    "f3_left_truncate",
+    f"""WITH {IDS_SQL}
+SELECT vec_id, array_to_string(list_slice(prompt_ids, greatest(len(prompt_ids) - 8, 0) + 1, len(prompt_ids)), ',') AS kept,
+       CAST(least(len(prompt_ids), 8) AS INTEGER) AS n_kept FROM ids""",
+)
+def f3_left_truncate(spark, sf):
+    t = TK.left_truncate("prompt_ids", 8)
+    return ids(spark, sf).select("vec_id", F.array_join(t, ",").alias("kept"), F.size(t).alias("n_kept"))
+
+
+_MASK_SQL = "CASE WHEN coalesce(list_position(completion_ids, 0), 0) = 0 THEN len(completion_ids) ELSE list_position(completion_ids, 0) END"
+_TERM_SQL = "list_contains(completion_ids, 0)"
+
+
+@register("f4_eos_mask", f"WITH {IDS_SQL}\nSELECT vec_id, CAST({_MASK_SQL} AS INTEGER) AS mask_len FROM ids")
+def f4_eos_mask(spark, sf):
+    return ids(spark, sf).select("vec_id", TK.eos_mask_length("completion_ids", EOS).alias("mask_len"))
+
+
+@register("f5_terminated", f"WITH {IDS_SQL}\nSELECT vec_id, {_TERM_SQL} AS terminated FROM ids")
+def f5_terminated(spark, sf):
+    return ids(spark, sf).select("vec_id", TK.terminated("completion_ids", EOS).alias("terminated"))
+
+
+@register(
+    "f6_mask_truncated",
+    f"WITH {IDS_SQL}\nSELECT vec_id, CAST(CASE WHEN {_TERM_SQL} THEN {_MASK_SQL} ELSE 0 END AS INTEGER) AS mask_len FROM ids",
+)
+def f6_mask_truncated(spark, sf):
+    return ids(spark, sf).select(
+        "vec_id", TK.masked_length("completion_ids", EOS, mask_truncated=True).alias("mask_len")
+    )
+
+
+@register(
+    "f7_concat_tokens",
+    f"""WITH {IDS_SQL}
+SELECT vec_id, CAST(len(prompt_ids) + len(completion_ids) AS INTEGER) AS n_tokens,
+       CAST(len(prompt_ids) + {_MASK_SQL} AS INTEGER) AS n_attended,
+       array_to_string(list_concat(prompt_ids, completion_ids), ',') AS joined FROM ids""",
+)
+def f7_concat_tokens(spark, sf):
+    d = ids(spark, sf)
+    both = TK.concat_tokens("prompt_ids", "completion_ids")
+    return d.select(
+        "vec_id",
+        F.size(both).alias("n_tokens"),
+        (F.size("prompt_ids") + TK.eos_mask_length("completion_ids", EOS)).alias("n_attended"),
+        F.array_join(both, ",").alias("joined"),
+    )
+
+
+@register(
+    "f8_pad_export",
+    f"""WITH {IDS_SQL},
+m AS (SELECT vec_id, vec_id // 16 AS batch, prompt_ids, list_slice(completion_ids, 1, {_MASK_SQL}) AS comp FROM ids),
+w AS (SELECT *, max(len(prompt_ids)) OVER (PARTITION BY batch) AS lp, max(len(comp)) OVER (PARTITION BY batch) AS lc FROM m)
+SELECT vec_id, batch,
+       array_to_string(list_reverse(list_resize(list_reverse(prompt_ids), lp, -1)), ',') AS prompt_padded,
+       array_to_string(list_resize(comp, lc, -1), ',') AS completion_padded
+FROM w""",
+)
+def f8_pad_export(spark, sf):
+    d = ids(spark, sf).select(
+        "vec_id",
+        F.floor(F.col("vec_id") / 16).cast("bigint").alias("batch"),
+        "prompt_ids",
+        F.slice("completion_ids", 1, TK.eos_mask_length("completion_ids", EOS)).alias("comp"),
+    )
+    out = TK.rectangular_export(d, "batch", prompt="prompt_ids", completion="comp", pad_id=PAD)
+    return out.select(
+        "vec_id",
+        "batch",
+        F.array_join("prompt_ids_padded", ",").alias("prompt_padded"),
+        F.array_join("comp_padded", ",").alias("completion_padded"),
+    )
+
+
+# ----------------------------------------------------------------------------- L: loss analytics
+
+CFG = L.LossConfig(epsilon=0.2, beta=0.04, loss_type="grpo", max_completion_length=64, off_policy_coef=1.0)
+
+
+def _sums(spark, sf, cfg=CFG):
+    return L.token_sums(tok(spark, sf), cfg)
+
+
+_ROWSUM_SQL = f"""WITH {TOK_SQL},
+toks AS (SELECT *, now_[i] AS a, old_[i] AS b, ref_[i] AS r FROM (SELECT *, unnest(generate_series(1, n)) AS i FROM tok)),
+tk AS (SELECT *, exp(a - b) AS ratio FROM toks),
+tk2 AS (SELECT *, least(greatest(ratio, 0.8), 1.2) AS clip,
+               -least(ratio * adv, least(greatest(ratio, 0.8), 1.2) * adv) AS tl,
+               (ratio < 0.8 AND adv < 0) AS lo, (ratio > 1.2 AND adv > 0) AS hi,
+               exp(r - a) - (r - a) - 1 AS kl FROM tk),
+rowsum AS (
+  SELECT vec_id, batch, is_online, adv, count(*) AS tok_n, sum(tl) AS loss_sum, sum(ratio) AS ratio_sum,
+         sum(clip) AS clip_sum, sum(kl) AS kl_sum, count(*) FILTER (WHERE lo) AS n_low,
+         count(*) FILTER (WHERE hi) AS n_high, count(*) FILTER (WHERE lo OR hi) AS n_region
+  FROM tk2 GROUP BY ALL)"""
+
+
+def _on(x: str, online: int) -> str:
+    return f"coalesce(sum({x}) FILTER (WHERE is_online = {online}), 0)"
+
+
+_BATCH_SQL = f"""{_ROWSUM_SQL},
+b AS (
+  SELECT batch, count(*) AS rows_, {_on('tok_n', 1)} AS on_tok, {_on('tok_n', 0)} AS off_tok, sum(tok_n) AS all_tok,
+         {_on('loss_sum / greatest(tok_n, 1)', 1)} AS on_seq, {_on('loss_sum / greatest(tok_n, 1)', 0)} AS off_seq,
+         {_on('loss_sum', 1)} AS on_ls, {_on('loss_sum', 0)} AS off_ls, {_on('kl_sum', 1)} AS on_kl,
+         sum(n_low) AS low, {_on('n_low', 1)} AS on_low, {_on('n_low', 0)} AS off_low,
+         sum(n_high) AS high, {_on('n_high', 1)} AS on_high, {_on('n_high', 0)} AS off_high,
+         sum(n_region) AS region, {_on('n_region', 1)} AS on_region, {_on('n_region', 0)} AS off_region
+  FROM rowsum GROUP BY batch)"""
+
+
+def _flavour_sql(loss_type: str, max_len: int = 64) -> tuple[str, str]:
+    if loss_type == "grpo":
+        return "on_seq / rows_", "CASE WHEN off_tok > 0 THEN off_seq / rows_ ELSE 0.0 END"
+    if loss_type == "bnpo":
+        return "on_ls / greatest(on_tok, 1)", "CASE WHEN off_tok > 0 THEN off_ls / greatest(off_tok, 1) ELSE 0.0 END"
+    return f"on_ls / (rows_ * {max_len})", f"CASE WHEN off_tok > 0 THEN off_ls / (rows_ * {max_len}) ELSE 0.0 END"
+
+
+@register(
+    "l1_ratio_clip",
+    f"{_ROWSUM_SQL}\nSELECT vec_id, tok_n, round(ratio_sum, 6) AS ratio_sum, round(clip_sum, 6) AS clip_sum FROM rowsum",
+)
+def l1_ratio_clip(spark, sf):
+    s = _sums(spark, sf)
+    return s.select("vec_id", "tok_n", F.round("ratio_sum", 6).alias("ratio_sum"), F.round("clip_sum", 6).alias("clip_sum"))
+
+
+@register("l2_token_loss", f"{_ROWSUM_SQL}\nSELECT vec_id, round(loss_sum, 6) AS loss_sum FROM rowsum")
+def l2_token_loss(spark, sf):
+    return _sums(spark, sf).select("vec_id", F.round("loss_sum", 6).alias("loss_sum"))
+
+
+def _flavour_query(loss_type: str):
+    cfg = L.LossConfig(epsilon=0.2, beta=0.04, loss_type=loss_type, max_completion_length=64)
+
+    def q(spark, sf):
+        out = L.batch_losses(_sums(spark, sf, cfg), cfg)
+        return out.select("batch", F.round("on_loss", 6).alias("on_loss"), F.round("off_loss", 6).alias("off_loss"))
+
+    on, off = _flavour_sql(loss_type)
+    return q, f"{_BATCH_SQL}\nSELECT batch, round({on}, 6) AS on_loss, round({off}, 6) AS off_loss FROM b"
+
+
+for _name, _lt in {"l3_grpo_loss": "grpo", "l3b_bnpo_loss": "bnpo", "l3c_dr_grpo_loss": "dr_grpo"}.items():
+    _q, _sql = _flavour_query(_lt)
+    register(_name, _sql)(_q)
+
+
+@register("l4_kl", f"{_BATCH_SQL}\nSELECT batch, round(on_kl / greatest(on_tok, 1), 6) AS kl FROM b")
+def l4_kl(spark, sf):
+    return L.batch_losses(_sums(spark, sf), CFG).select("batch", F.round("kl", 6).alias("kl"))
+
+
+_ON, _OFF = _flavour_sql("grpo")
+
+
+@register(
+    "l5_total_loss",
+    f"{_BATCH_SQL}\nSELECT batch, round({_ON} + 0.04 * (on_kl / greatest(on_tok, 1)) + 1.0 * ({_OFF}), 6) AS loss FROM b",
+)
+def l5_total_loss(spark, sf):
+    return L.batch_losses(_sums(spark, sf), CFG).select("batch", F.round("loss", 6).alias("loss"))
+
+
+def _frac_sql() -> list[tuple[str, str]]:
+    out = []
+    for k in ("low", "high", "region"):
+        out += [
+            (f"clip_overall_{k}", f"{k} / greatest(all_tok, 1)"),
+            (f"clip_on_{k}", f"on_{k} / greatest(on_tok, 1)"),
+            (f"clip_off_{k}", f"CASE WHEN off_tok > 0 THEN off_{k} / greatest(off_tok, 1) ELSE 0.0 END"),
+        ]
+    return out
+
+
+@register(
+    "l6_clip_fractions",
+    f"{_BATCH_SQL}\nSELECT batch, " + ", ".join(f"round({e}, 6) AS {n}" for n, e in _frac_sql()) + " FROM b",
+)
+def l6_clip_fractions(spark, sf):
+    out = L.batch_losses(_sums(spark, sf), CFG)
+    return out.select("batch", *[F.round(n, 6).alias(n) for n, _ in _frac_sql()])
+
+
+_L7_ITEMS = [("loss/on_policy", _ON), ("loss/off_policy", _OFF), ("kl", "on_kl / greatest(on_tok, 1)")] + [
+    (L.METRIC_NAMES[n], e) for n, e in _frac_sql()
+]
+
+
+@register(
+    "l7_loss_metrics",
+    f"{_BATCH_SQL}\n" + "\nUNION ALL\n".join(f"SELECT batch, '{m}' AS metric, round({e}, 6) AS value FROM b" for m, e in _L7_ITEMS),
+)
+def l7_loss_metrics(spark, sf):
+    m = L.loss_metrics(L.batch_losses(_sums(spark, sf), CFG), CFG)
+    return m.select("batch", "metric", F.round("value", 6).alias("value"))
