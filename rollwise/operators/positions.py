@@ -35,6 +35,7 @@ def rank_within_key(
     keys = list(keys)
     tagged = df.withColumn("_rw_range", F.floor(F.col(order_col) / F.lit(range_width)).cast("bigint"))
     counts = tagged.groupBy(*keys, "_rw_range").agg(F.count(F.lit(1)).alias("_rw_n"))
+    # With no key the offsets window spans the whole range table: one row per range.
     before = Window.partitionBy(*keys).orderBy("_rw_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_rw_off", F.coalesce(F.sum("_rw_n").over(before), F.lit(0)))
     if count_col:

@@ -209,3 +209,63 @@ ids AS (
   SELECT vec_id, list_slice(t, 1, 1 + vec_id % 16) AS prompt_ids, list_slice(t, 17, 64) AS completion_ids
   FROM (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(abs(CAST(x AS DOUBLE)) * 50) AS INTEGER)) AS t
         FROM embeddings))"""
+
+
+def grade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``grade``: gold ``\\boxed{p_size}`` (a fraction form when p_partkey mod 7 = 0, empty when
+    mod 11 = 0); the prediction by p_partkey mod 5: same boxed / boxed p_size+1 / boxed
+    ``p_size.0`` / ``final answer is $p_size$`` / no answer."""
+    p = read_table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_type", "p_brand")
+    size = F.col("p_size").cast("string")
+    key = F.col("p_partkey")
+    gold = (
+        F.when(key % 11 == 0, F.lit(""))
+        .when(key % 7 == 0, F.concat(F.lit("\\boxed{\\frac{"), size, F.lit("}{1}}")))
+        .otherwise(F.concat(F.lit("\\boxed{"), size, F.lit("}")))
+    )
+    m = key % 5
+    pred = (
+        F.when(m == 0, F.concat(F.lit("The result is \\boxed{"), size, F.lit("}.")))
+        .when(m == 1, F.concat(F.lit("\\boxed{"), (F.col("p_size") + 1).cast("string"), F.lit("}")))
+        .when(m == 2, F.concat(F.lit("so \\boxed{"), size, F.lit(".0}")))
+        .when(m == 3, F.concat(F.lit("Therefore the final answer is $"), size, F.lit("$.")))
+        .otherwise(F.lit("I could not solve it."))
+    )
+    return p.select("p_partkey", "p_type", "p_brand", gold.alias("gold"), pred.alias("prediction"))
+
+
+GRADE_SQL = r"""
+grade AS (
+  SELECT p_partkey, p_type, p_brand,
+         CASE WHEN p_partkey % 11 = 0 THEN ''
+              WHEN p_partkey % 7 = 0 THEN '\boxed{\frac{' || CAST(p_size AS VARCHAR) || '}{1}}'
+              ELSE '\boxed{' || CAST(p_size AS VARCHAR) || '}' END AS gold,
+         CASE p_partkey % 5
+              WHEN 0 THEN 'The result is \boxed{' || CAST(p_size AS VARCHAR) || '}.'
+              WHEN 1 THEN '\boxed{' || CAST(p_size + 1 AS VARCHAR) || '}'
+              WHEN 2 THEN 'so \boxed{' || CAST(p_size AS VARCHAR) || '.0}'
+              WHEN 3 THEN 'Therefore the final answer is $' || CAST(p_size AS VARCHAR) || '$.'
+              ELSE 'I could not solve it.' END AS prediction
+  FROM part)"""
+
+
+def fmt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``fmt``: assistant turns, by turn mod 3 think-wrapped / opened only / wrapped after a newline."""
+    c = read_table(spark, sf_dir, "conversations").filter(F.col("role") == "assistant")
+    m = F.col("turn") % 3
+    t = F.col("text")
+    text = (
+        F.when(m == 0, F.concat(F.lit("<think>"), t, F.lit("</think>"), t))
+        .when(m == 1, F.concat(F.lit("<think>"), t))
+        .otherwise(F.concat(F.lit("\n<think>"), t, F.lit("</think>")))
+    )
+    return c.select("conv_id", "turn", text.alias("completion"))
+
+
+FMT_SQL = """
+fmt AS (
+  SELECT conv_id, turn,
+         CASE turn % 3 WHEN 0 THEN '<think>' || text || '</think>' || text
+                       WHEN 1 THEN '<think>' || text
+                       ELSE chr(10) || '<think>' || text || '</think>' END AS completion
+  FROM conversations WHERE role = 'assistant')"""

@@ -28,6 +28,7 @@ def load_all() -> None:
     """Import every module that registers queries."""
     from rollwise.plans import (  # noqa: F401
         q_eval,
+        q_grading,
         q_loss,
         q_metrics,
         q_prep,
