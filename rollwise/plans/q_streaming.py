@@ -1 +1,75 @@
-"""Registered queries."""
+"""Registered streaming queries (ST1-ST4): the rollout log is staged as ordered appends under
+the checkpoint folder, streamed with ``availableNow``, and the sink is read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from rollwise.functions.rewards import plain_score, weighted_reward
+from rollwise.operators.replay import ReplayConfig
+from rollwise.plans.fixtures import REWARDS, ROLL_SQL, roll
+from rollwise.plans.q_replay import GRP, _replay_sql
+from rollwise.plans.registry import register
+from rollwise.streaming import replay_cache as RC
+from rollwise.streaming import runner
+
+CHUNKS = 5
+
+
+def _staged_roll(spark, sf, name, eval_every=None):
+    log = roll(spark, sf).withColumn("score", plain_score(REWARDS)).withColumn("reward", weighted_reward(REWARDS))
+    if eval_every:
+        log = log.withColumn("mode", F.when(F.col("prompt_key") % eval_every == 0, "eval").otherwise("train"))
+    base = runner.run_folder(spark, name)
+    glob = runner.stage_in_order(log, f"{base}/source", "seq", CHUNKS)
+    return base, runner.file_stream(spark, glob, log.schema)
+
+
+def _replay_stream_query(name: str, eval_every=None):
+    cfg = ReplayConfig(strategy="highest_k", num_replays=8, min_cache=16, max_cache=16)
+
+    def q(spark, sf):
+        base, stream = _staged_roll(spark, sf, name, eval_every)
+        out = RC.streaming_replays(stream, cfg, group_size=8)
+        runner.append_to_parquet(out, f"{base}/sink", f"{base}/checkpoint")
+        return spark.read.parquet(f"{base}/sink").select("prompt_key", "batch_step", "batch_block", "replay_slot", "rollout_id")
+
+    return q
+
+
+register(
+    "st1_stream_replay",
+    f"WITH {_replay_sql('highest_k', 8, 16, 16)}\nSELECT {GRP}, replay_slot, rollout_id FROM chosen",
+)(_replay_stream_query("st1"))
+
+register(
+    "st4_stream_routing",
+    f"WITH {_replay_sql('highest_k', 8, 16, 16)}\nSELECT {GRP}, replay_slot, rollout_id FROM chosen WHERE prompt_key % 5 <> 0",
+)(_replay_stream_query("st4", eval_every=5))
+
+
+@register(
+    "st2_stream_ingest",
+    f"WITH {ROLL_SQL}\nSELECT rollout_id, prompt_key, step, slot, seq FROM roll",
+)
+def st2_stream_ingest(spark, sf):
+    base, stream = _staged_roll(spark, sf, "st2")
+    runner.append_to_parquet(stream.select("rollout_id", "prompt_key", "step", "slot", "seq"), f"{base}/sink", f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/sink")
+
+
+@register(
+    "st3_stream_step_metrics",
+    f"""WITH {ROLL_SQL}
+SELECT mode, step, count(*) AS n_rows, round(sum(coalesce(r_accuracy, 0) + coalesce(r_format, 0)), 6) AS reward_sum,
+       round(avg(coalesce(r_accuracy, 0) + coalesce(r_format, 0)), 6) AS reward_mean, sum(completion_len) AS tokens
+FROM roll GROUP BY mode, step""",
+)
+def st3_stream_step_metrics(spark, sf):
+    base, stream = _staged_roll(spark, sf, "st3")
+    runner.complete_to_parquet(RC.step_metrics_stream(stream), f"{base}/sink", f"{base}/checkpoint")
+    out = spark.read.parquet(f"{base}/sink")
+    return out.select(
+        "mode", "step", "n_rows", F.round("reward_sum", 6).alias("reward_sum"),
+        F.round("reward_mean", 6).alias("reward_mean"), "tokens",
+    )
