@@ -182,33 +182,40 @@ def _max_variance(b: DataFrame, key: str, score: str) -> DataFrame:
     earliest-first, which is the first index set in enumeration order. When fewer than k
     rows are scored, every scored row is kept and the rest is filled with the earliest
     unscored rows.
+
+    The choice is made once per request: an aggregate collects its (at most C) scores,
+    picks the multiset, and is joined back on the request key.
     """
-    g = _group_window(key)
-    scored = F.col(score).isNotNull()
-    b = b.withColumn("_xs", F.array_sort(F.collect_list(F.col(score)).over(g)))
-    b = b.withColumn("_m", F.size("_xs"))
-    kk = F.least(F.col("_k"), F.col("_m"))
+    grp = [key, *GROUP]
+    per = b.groupBy(*grp).agg(
+        F.array_sort(F.collect_list(F.col(score))).alias("_xs"), F.max("_k").alias("_kq")
+    )
+    m = F.size("_xs")
+    kk = F.least(F.col("_kq"), m)
 
     def cand(i):
         hi_n = kk - i
-        pick = F.concat(F.slice("_xs", 1, i), F.slice("_xs", F.col("_m") - hi_n + 1, hi_n))
+        pick = F.concat(F.slice("_xs", 1, i), F.slice("_xs", m - hi_n + 1, hi_n))
         s1 = F.aggregate(pick, F.lit(0.0), lambda acc, x: acc + x)
         s2 = F.aggregate(pick, F.lit(0.0), lambda acc, x: acc + x * x)
-        return F.struct((kk * s2 - s1 * s1).alias("v"), s1.alias("s"), (-i).alias("ni"), pick.alias("pick"))
+        return F.struct((kk * s2 - s1 * s1).alias("v"), s1.alias("s"), (-i).alias("ni"))
 
     best = F.array_max(F.transform(F.sequence(F.lit(0), kk), cand))
-    b = b.withColumn("_pick", F.when(kk > 0, best.getField("pick")).otherwise(F.array().cast("array<double>")))
+    per = per.withColumn("_best", F.when(kk > 0, best))
+    i = -F.col("_best.ni")
+    pick = F.concat(F.slice("_xs", 1, i), F.slice("_xs", m - (kk - i) + 1, kk - i))
+    per = per.select(*grp, F.when(kk > 0, pick).otherwise(F.array().cast("array<double>")).alias("_pick"), m.alias("_m"))
+    b = b.join(per, on=grp, how="inner")
     # occurrence number of this row among rows with the same score, earliest first
-    occ = F.row_number().over(Window.partitionBy(key, *GROUP, score).orderBy("seq"))
-    b = b.withColumn("_occ", occ)
+    b = b.withColumn("_occ", F.row_number().over(Window.partitionBy(*grp, score).orderBy("seq")))
     want = F.size(F.filter("_pick", lambda x: x == F.col(score)))
+    scored = F.col(score).isNotNull()
     # unscored rows fill the remaining k - m places, earliest first
-    unscored_rank = F.row_number().over(Window.partitionBy(key, *GROUP, scored).orderBy("seq"))
-    b = b.withColumn("_ur", unscored_rank)
+    b = b.withColumn("_ur", F.row_number().over(Window.partitionBy(*grp, scored).orderBy("seq")))
     chosen = F.when(scored, F.col("_occ") <= want).otherwise(F.col("_ur") <= F.col("_k") - F.col("_m"))
     out = b.filter(chosen)
-    out = out.withColumn("replay_slot", (F.row_number().over(g.orderBy("seq")) - 1).cast("bigint"))
-    return out.drop("_xs", "_m", "_pick", "_occ", "_ur")
+    out = out.withColumn("replay_slot", (F.row_number().over(_group_window(key).orderBy("seq")) - 1).cast("bigint"))
+    return out.drop("_m", "_pick", "_occ", "_ur")
 
 
 def replay_rows(pos_log: DataFrame, cfg: ReplayConfig, *, key: str = "prompt_key", score: Column | None = None) -> DataFrame:
