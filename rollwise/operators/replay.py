@@ -51,9 +51,19 @@ def with_positions(
     seq: str = "seq",
     modes: tuple[str, ...] | None = ("train",),
     range_width: int = DEFAULT_RANGE_WIDTH,
+    group_size: int | None = None,
+    visit: str = "step",
+    slot: str = "slot",
 ) -> DataFrame:
-    """Rows that enter the cache (``mode`` in ``modes``; None keeps all) with their ``pos``."""
+    """Rows that enter the cache (``mode`` in ``modes``; None keeps all) with their ``pos``.
+
+    When every visit of a prompt holds exactly ``group_size`` rows (the trainer writes G
+    completions per visit, numbered by ``visit`` and ``slot``), the position is arithmetic:
+    ``visit * G + slot``. Otherwise it is ranked by ``seq`` (skew-safe, see positions.py).
+    """
     src = log.filter(F.col("mode").isin(*modes)) if modes else log
+    if group_size:
+        return src.withColumn("pos", (F.col(visit) * F.lit(group_size) + F.col(slot)).cast("bigint"))
     return rank_within_key(src, [key], seq, out="pos", range_width=range_width)
 
 

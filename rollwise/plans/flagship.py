@@ -11,15 +11,20 @@ from rollwise.operators.advantage import advantages
 from rollwise.plans.fixtures import REWARDS
 
 
-def replay_batch(log: DataFrame, cfg: R.ReplayConfig, *, rewards=REWARDS, payload=()) -> DataFrame:
-    """Merged training batch (R8): online rows of every step plus the rows replayed into it."""
+def replay_batch(
+    log: DataFrame, cfg: R.ReplayConfig, *, rewards=REWARDS, payload=(), group_size: int | None = None
+) -> DataFrame:
+    """Merged training batch (R8): online rows of every step plus the rows replayed into it.
+
+    ``group_size``: the log holds whole visits of this many rows, so positions are arithmetic.
+    """
     cfg.validate()
     cols = (*rewards, *payload)
     online = log.filter(F.col("mode").isin(*cfg.modes)) if cfg.modes else log
     if cfg.strategy == "none":
         replays = None
     else:
-        pos_log = R.with_positions(log, modes=cfg.modes).withColumn("score", plain_score(rewards))
+        pos_log = R.with_positions(log, modes=cfg.modes, group_size=group_size).withColumn("score", plain_score(rewards))
         replays = R.replay_rows(pos_log, cfg)
     if replays is None:
         empty = online.select("prompt_key", "rollout_id").limit(0)
@@ -41,8 +46,9 @@ def replay_advantages(
     rewards=REWARDS,
     weights=None,
     scale_rewards: bool = True,
+    group_size: int | None = None,
 ) -> DataFrame:
-    batch = replay_batch(log, cfg, rewards=rewards)
+    batch = replay_batch(log, cfg, rewards=rewards, group_size=group_size)
     batch = batch.withColumn("reward", weighted_reward(rewards, weights))
     return advantages(batch, mode, scale_rewards=scale_rewards)
 
@@ -50,8 +56,8 @@ def replay_advantages(
 FLAGSHIP = R.ReplayConfig(strategy="highest_k", num_replays=8, min_cache=16, max_cache=16)
 
 
-def flagship(log: DataFrame) -> DataFrame:
-    out = replay_advantages(log, FLAGSHIP, mode="split")
+def flagship(log: DataFrame, group_size: int | None = 8) -> DataFrame:
+    out = replay_advantages(log, FLAGSHIP, mode="split", group_size=group_size)
     return out.select(
         "prompt_key",
         "batch_step",

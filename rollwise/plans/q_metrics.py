@@ -6,14 +6,14 @@ from pyspark.sql import functions as F
 
 from rollwise.functions.rewards import weighted_reward
 from rollwise.operators import metrics as M
-from rollwise.plans.fixtures import REWARDS, roll
+from rollwise.plans.fixtures import G, REWARDS, roll
 from rollwise.plans.flagship import FLAGSHIP, replay_batch
 from rollwise.plans.q_replay import _batch_sql
 from rollwise.plans.registry import register
 
 
 def _batch(spark, sf, eval_every: int | None = None):
-    b = replay_batch(roll(spark, sf), FLAGSHIP, payload=("completion_len", "terminated"))
+    b = replay_batch(roll(spark, sf), FLAGSHIP, payload=("completion_len", "terminated"), group_size=G)
     b = b.withColumn("reward", weighted_reward(REWARDS))
     mode = F.lit("train")
     if eval_every:

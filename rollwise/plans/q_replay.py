@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from rollwise.functions.rewards import all_missing, plain_score, weighted_reward
 from rollwise.operators import replay as R
-from rollwise.plans.fixtures import REWARDS, ROLL_SQL, roll
+from rollwise.plans.fixtures import G, REWARDS, ROLL_SQL, roll
 from rollwise.plans.flagship import FLAGSHIP, flagship, replay_advantages, replay_batch
 from rollwise.plans.registry import register
 from rollwise.sources.tables import read_table
@@ -140,27 +140,27 @@ def v3_split_advantage(spark, sf):
 
 @register("v2_mixed_advantage", _adv_sql("highest_k", "mixed"))
 def v2_mixed_advantage(spark, sf):
-    return _adv_out(replay_advantages(roll(spark, sf), FLAGSHIP, mode="mixed"))
+    return _adv_out(replay_advantages(roll(spark, sf), FLAGSHIP, mode="mixed", group_size=G))
 
 
 @register("v1_group_advantage", _adv_sql("none", "none"))
 def v1_group_advantage(spark, sf):
     cfg = R.ReplayConfig(strategy="none")
-    return _adv_out(replay_advantages(roll(spark, sf), cfg, mode="none"))
+    return _adv_out(replay_advantages(roll(spark, sf), cfg, mode="none", group_size=G))
 
 
 @register("v5_group_of_one", _adv_sql("recent_k", "split", k=1, gate=8, cache=16))
 def v5_group_of_one(spark, sf):
     """One replayed row per block: its split group has no sample std, advantage 0."""
     cfg = R.ReplayConfig(strategy="recent_k", num_replays=1, min_cache=8, max_cache=16)
-    return _adv_out(replay_advantages(roll(spark, sf), cfg, mode="split"))
+    return _adv_out(replay_advantages(roll(spark, sf), cfg, mode="split", group_size=G))
 
 
 @register("v1_unscaled_advantage", _adv_sql("all", "mixed", k=0, gate=4, cache=8))
 def v1_unscaled_advantage(spark, sf):
     """``all`` strategy with a partial-buffer gate, mixed groups, ``scale_rewards`` on."""
     cfg = R.ReplayConfig(strategy="all", num_replays=0, min_cache=4, max_cache=8)
-    return _adv_out(replay_advantages(roll(spark, sf), cfg, mode="mixed"))
+    return _adv_out(replay_advantages(roll(spark, sf), cfg, mode="mixed", group_size=G))
 
 
 # ----------------------------------------------------------------------------- R strategies
@@ -171,7 +171,7 @@ def _strategy_query(strategy: str, k: int, gate: int, cache: int):
 
     def q(spark, sf):
         log = roll(spark, sf)
-        pos_log = R.with_positions(log).withColumn("score", plain_score(REWARDS))
+        pos_log = R.with_positions(log, group_size=G).withColumn("score", plain_score(REWARDS))
         out = R.replay_rows(pos_log, cfg)
         return out.select("prompt_key", "batch_step", "batch_block", "replay_slot", "rollout_id")
 
@@ -234,7 +234,7 @@ def f9_gate(spark, sf):
 SELECT {GRP}, is_online, batch_slot, rollout_id, r_accuracy, r_format FROM batch""",
 )
 def r8_merge(spark, sf):
-    return replay_batch(roll(spark, sf), FLAGSHIP).select(
+    return replay_batch(roll(spark, sf), FLAGSHIP, group_size=G).select(
         "prompt_key", "batch_step", "batch_block", "is_online", "batch_slot", "rollout_id", "r_accuracy", "r_format"
     )
 
@@ -245,7 +245,7 @@ def r8_merge(spark, sf):
 SELECT {GRP}, is_online, batch_slot, rollout_id, r_accuracy, r_format FROM batch""",
 )
 def r9_no_replay(spark, sf):
-    return replay_batch(roll(spark, sf), R.ReplayConfig(strategy="none")).select(
+    return replay_batch(roll(spark, sf), R.ReplayConfig(strategy="none"), group_size=G).select(
         "prompt_key", "batch_step", "batch_block", "is_online", "batch_slot", "rollout_id", "r_accuracy", "r_format"
     )
 
@@ -256,7 +256,7 @@ def r9_no_replay(spark, sf):
 SELECT is_online, count(*) AS n_rows, count(DISTINCT prompt_key) AS n_prompts FROM batch GROUP BY is_online""",
 )
 def f10_online_offline(spark, sf):
-    b = replay_batch(roll(spark, sf), FLAGSHIP)
+    b = replay_batch(roll(spark, sf), FLAGSHIP, group_size=G)
     return b.groupBy("is_online").agg(
         F.count(F.lit(1)).alias("n_rows"), F.countDistinct("prompt_key").alias("n_prompts")
     )
@@ -268,7 +268,7 @@ def f10_online_offline(spark, sf):
 SELECT batch_step, count(*) AS replay_rows, count(DISTINCT prompt_key) AS prompts_replayed FROM chosen GROUP BY batch_step""",
 )
 def r10_replay_ledger(spark, sf):
-    pos_log = R.with_positions(roll(spark, sf)).withColumn("score", plain_score(REWARDS))
+    pos_log = R.with_positions(roll(spark, sf), group_size=G).withColumn("score", plain_score(REWARDS))
     return R.replay_ledger(R.replay_rows(pos_log, FLAGSHIP))
 
 
@@ -296,7 +296,7 @@ SELECT c.prompt_key, c.batch_step, c.replay_slot, c.rollout_id, cu.c_name AS pro
 FROM chosen c JOIN customer cu ON cu.c_custkey = c.prompt_key""",
 )
 def j3_replay_inputs(spark, sf):
-    pos_log = R.with_positions(roll(spark, sf)).withColumn("score", plain_score(REWARDS))
+    pos_log = R.with_positions(roll(spark, sf), group_size=G).withColumn("score", plain_score(REWARDS))
     rep = R.replay_rows(pos_log, FLAGSHIP)
     prompts = read_table(spark, sf, "customer").selectExpr(*_CUST.split(", "))
     return rep.join(prompts, "prompt_key").select("prompt_key", "batch_step", "replay_slot", "rollout_id", "prompt", "segment")
@@ -311,7 +311,7 @@ FROM chosen c JOIN roll r USING (rollout_id)""",
 def j6_payload_fetch(spark, sf):
     log = roll(spark, sf)
     cfg = R.ReplayConfig(strategy="recent_k", num_replays=4, min_cache=8, max_cache=16)
-    rep = R.replay_rows(R.with_positions(log).withColumn("score", plain_score(REWARDS)), cfg)
+    rep = R.replay_rows(R.with_positions(log, group_size=G).withColumn("score", plain_score(REWARDS)), cfg)
     payload = log.select("rollout_id", "completion", "completion_len", "terminated")
     return rep.select("prompt_key", "batch_step", "replay_slot", "rollout_id").join(payload, "rollout_id")
 
@@ -324,7 +324,7 @@ WHERE NOT EXISTS (SELECT 1 FROM roll r WHERE r.prompt_key = c.prompt_key AND r.s
 )
 def j7_prompt_agreement(spark, sf):
     log = roll(spark, sf)
-    rep = R.replay_rows(R.with_positions(log).withColumn("score", plain_score(REWARDS)), FLAGSHIP)
+    rep = R.replay_rows(R.with_positions(log, group_size=G).withColumn("score", plain_score(REWARDS)), FLAGSHIP)
     return R.unmatched_replays(rep, log).agg(F.count(F.lit(1)).alias("unmatched"))
 
 
