@@ -1,8 +1,9 @@
 """Training metrics per step (A1-A8) as a long table ``(mode, step, metric, value)``.
 
-Everything is a grouped aggregate with conditional (FILTER-style) expressions, so one
-scan of the batch yields all row-level metrics; group-level metrics take a second,
-map-side-combined aggregation. The only windows run over the per-step table.
+Every metric is a conditional (FILTER-style) aggregate of one aggregation per step, with
+partial aggregation before the shuffle. Group statistics come from a window over bounded
+groups (one block's fresh or replayed rows); the running token count is the only window
+without a group key, and it runs over the per-step table (one row per step).
 """
 
 from __future__ import annotations
@@ -30,9 +31,19 @@ def step_metrics(
     """Wide per-step metrics. ``batch`` carries ``mode``, ``batch_step``, ``is_online`` and the columns named here.
 
     ``tokens`` is the per-row token count that feeds ``num_tokens`` (defaults to ``length``).
+    Group statistics (A3) come from a window over each block's fresh or replayed rows (the
+    same key as split advantages); every metric is then one aggregation per step, so the
+    batch is read once.
     """
     tokens = tokens or length
+    grp = Window.partitionBy("mode", "batch_step", "prompt_key", "batch_block", "is_online")
+    b = (
+        batch.withColumn("_gm", F.avg(reward).over(grp))
+        .withColumn("_gs", F.stddev_samp(reward).over(grp))
+        .withColumn("_head", F.row_number().over(grp.orderBy("batch_slot")) == 1)
+    )
     has_off = F.count(_on(F.lit(1), 0)) > 0
+    head = F.col("_head")
     aggs = []
     for r in rewards:
         aggs += [
@@ -54,21 +65,13 @@ def step_metrics(
         F.coalesce(F.min(F.when(term, F.col(length))), F.lit(0)).cast("double").alias("completions/min_terminated_length"),
         F.coalesce(F.max(F.when(term, F.col(length))), F.lit(0)).cast("double").alias("completions/max_terminated_length"),
         F.sum(F.when(F.col("mode") == "train", F.col(tokens)).otherwise(0)).cast("double").alias("_step_tokens"),
+        # A3: mean of group means / stds, one head row per group
+        F.avg(F.when(head, _on("_gm", 1))).alias("reward/online"),
+        F.avg(F.when(head, _on("_gs", 1))).alias("reward/online_std"),
+        F.when(has_off, F.avg(F.when(head, _on("_gm", 0)))).otherwise(F.lit(0.0)).alias("reward/offline"),
+        F.when(has_off, F.avg(F.when(head, _on("_gs", 0)))).otherwise(F.lit(0.0)).alias("reward/offline_std"),
     ]
-    rows = batch.groupBy("mode", "batch_step").agg(*aggs)
-
-    # A3: mean of group means / stds; a group is one block's fresh or replayed rows
-    grp = batch.groupBy("mode", "batch_step", "prompt_key", "batch_block", "is_online").agg(
-        F.avg(reward).alias("gm"), F.stddev_samp(reward).alias("gs")
-    )
-    g_off = F.count(_on(F.lit(1), 0)) > 0
-    groups = grp.groupBy("mode", "batch_step").agg(
-        F.avg(_on("gm", 1)).alias("reward/online"),
-        F.avg(_on("gs", 1)).alias("reward/online_std"),
-        F.when(g_off, F.avg(_on("gm", 0))).otherwise(F.lit(0.0)).alias("reward/offline"),
-        F.when(g_off, F.avg(_on("gs", 0))).otherwise(F.lit(0.0)).alias("reward/offline_std"),
-    )
-    wide = rows.join(groups, ["mode", "batch_step"])
+    wide = b.groupBy("mode", "batch_step").agg(*aggs)
     # Running token count, over the per-step table only (one row per step)
     run = Window.partitionBy("mode").orderBy("batch_step").rowsBetween(Window.unboundedPreceding, 0)
     wide = wide.withColumn("num_tokens", F.sum("_step_tokens").over(run)).drop("_step_tokens")

@@ -184,7 +184,7 @@ def choose(buffer: DataFrame, cfg: ReplayConfig, *, key: str = "prompt_key", sco
 
 
 def _max_variance(b: DataFrame, key: str, score: str) -> DataFrame:
-    """R7 in closed form.
+    """R7 in closed form, evaluated once per request.
 
     Among scored rows sorted ascending, an optimal size-k subset is the i lowest plus the
     k-i highest for some i in 0..k; compare ``k*sum(x^2) - sum(x)^2`` (exact for integer
@@ -193,39 +193,58 @@ def _max_variance(b: DataFrame, key: str, score: str) -> DataFrame:
     rows are scored, every scored row is kept and the rest is filled with the earliest
     unscored rows.
 
-    The choice is made once per request: an aggregate collects its (at most C) scores,
-    picks the multiset, and is joined back on the request key.
+    A request's buffer holds at most C rows, so it is gathered into one sorted array
+    (unscored first by age, then scored by (score, age)), the choice is made with array
+    functions, and the chosen rows are exploded back in age order.
     """
     grp = [key, *GROUP]
-    per = b.groupBy(*grp).agg(
-        F.array_sort(F.collect_list(F.col(score))).alias("_xs"), F.max("_k").alias("_kq")
+    carry = [c for c in ("rollout_id", "buf_idx", "pos", "p0", "buf_size") if c in b.columns]
+    entry = F.struct(
+        F.col(score).isNotNull().alias("has"),
+        F.coalesce(F.col(score).cast("double"), F.lit(0.0)).alias("x"),
+        F.col("seq").alias("seq"),
+        *[F.col(c).alias(c) for c in carry],
     )
+    per = b.groupBy(*grp).agg(F.array_sort(F.collect_list(entry)).alias("_it"), F.max("_k").alias("_kq"))
+    scored = F.filter("_it", lambda e: e["has"])
+    per = per.withColumn("_xs", F.transform(scored, lambda e: e["x"]))
     m = F.size("_xs")
-    kk = F.least(F.col("_kq"), m)
+    per = per.withColumn("_m", m).withColumn("_u", F.size("_it") - m)
+    kk = F.least(F.col("_kq"), F.col("_m"))
 
     def cand(i):
         hi_n = kk - i
-        pick = F.concat(F.slice("_xs", 1, i), F.slice("_xs", m - hi_n + 1, hi_n))
+        pick = F.concat(F.slice("_xs", 1, i), F.slice("_xs", F.col("_m") - hi_n + 1, hi_n))
         s1 = F.aggregate(pick, F.lit(0.0), lambda acc, x: acc + x)
         s2 = F.aggregate(pick, F.lit(0.0), lambda acc, x: acc + x * x)
         return F.struct((kk * s2 - s1 * s1).alias("v"), s1.alias("s"), (-i).alias("ni"))
 
-    best = F.array_max(F.transform(F.sequence(F.lit(0), kk), cand))
-    per = per.withColumn("_best", F.when(kk > 0, best))
-    i = -F.col("_best.ni")
-    pick = F.concat(F.slice("_xs", 1, i), F.slice("_xs", m - (kk - i) + 1, kk - i))
-    per = per.select(*grp, F.when(kk > 0, pick).otherwise(F.array().cast("array<double>")).alias("_pick"), m.alias("_m"))
-    b = b.join(per, on=grp, how="inner")
-    # occurrence number of this row among rows with the same score, earliest first
-    b = b.withColumn("_occ", F.row_number().over(Window.partitionBy(*grp, score).orderBy("seq")))
-    want = F.size(F.filter("_pick", lambda x: x == F.col(score)))
-    scored = F.col(score).isNotNull()
-    # unscored rows fill the remaining k - m places, earliest first
-    b = b.withColumn("_ur", F.row_number().over(Window.partitionBy(*grp, scored).orderBy("seq")))
-    chosen = F.when(scored, F.col("_occ") <= want).otherwise(F.col("_ur") <= F.col("_k") - F.col("_m"))
-    out = b.filter(chosen)
-    out = out.withColumn("replay_slot", (F.row_number().over(_group_window(key).orderBy("seq")) - 1).cast("bigint"))
-    return out.drop("_m", "_pick", "_occ", "_ur")
+    best_i = -F.array_max(F.transform(F.sequence(F.lit(0), kk), cand))["ni"]
+    per = per.withColumn("_bi", F.when(kk > 0, best_i).otherwise(F.lit(0)))
+    i, hi_n = F.col("_bi"), kk - F.col("_bi")
+    per = per.withColumn(
+        "_pick",
+        F.when(kk > 0, F.concat(F.slice("_xs", 1, i), F.slice("_xs", F.col("_m") - hi_n + 1, hi_n))).otherwise(
+            F.array().cast("array<double>")
+        ),
+    )
+
+    def keep(e, j):
+        # occurrence among equal scores: index minus the first index of that score
+        occ = j + 1 - (F.col("_u") + F.array_position("_xs", e["x"])) + 1
+        want = F.size(F.filter("_pick", lambda p: p == e["x"]))
+        return F.when(e["has"], occ <= want).otherwise(j + 1 <= F.col("_kq") - F.col("_m"))
+
+    kept = F.filter("_it", lambda e, j: keep(e, j))
+    by_age = F.array_sort(F.transform(kept, lambda e: F.struct(e["seq"].alias("seq"), e.alias("e"))))
+    out = per.select(*grp, F.posexplode(by_age).alias("replay_slot", "_r"))
+    return out.select(
+        *grp,
+        F.col("replay_slot").cast("bigint").alias("replay_slot"),
+        F.col("_r.seq").alias("seq"),
+        F.when(F.col("_r.e.has"), F.col("_r.e.x")).alias(score),
+        *[F.col(f"_r.e.{c}").alias(c) for c in carry],
+    )
 
 
 def replay_rows(pos_log: DataFrame, cfg: ReplayConfig, *, key: str = "prompt_key", score: Column | None = None) -> DataFrame:
