@@ -41,7 +41,10 @@ def rank_within_key(
     if count_col:
         offsets = offsets.withColumn(count_col, F.sum("_rw_n").over(Window.partitionBy(*keys)))
     offsets = offsets.drop("_rw_n")
-    joined = tagged.join(offsets, on=[*keys, "_rw_range"], how="inner")
+    # Rows are hashed on (key, range) — not on the key alone — so a hot key spreads over
+    # tasks whichever join strategy runs; a sort-merge join needs this partitioning anyway.
+    rows = tagged.repartition(*keys, "_rw_range") if keys else tagged.repartition("_rw_range")
+    joined = rows.join(offsets, on=[*keys, "_rw_range"], how="inner")
     local = Window.partitionBy(*keys, "_rw_range").orderBy(order_col)
     return joined.withColumn(
         out, (F.row_number().over(local) - F.lit(1) + F.col("_rw_off")).cast("bigint")

@@ -29,6 +29,7 @@ def load_all() -> None:
     from rollwise.plans import (  # noqa: F401
         q_eval,
         q_grading,
+        q_io,
         q_loss,
         q_metrics,
         q_prep,

@@ -87,3 +87,19 @@ def test_sinks_round_trip(spark):
     rolls = spark.createDataFrame([(1, 1), (2, 0)], "rollout_id long, is_online int")
     IO.append_rollouts(rolls, f"{base}/log")
     assert [r.rollout_id for r in spark.read.parquet(f"{base}/log").collect()] == [1]
+
+
+def test_hot_key_is_spread_over_tasks(spark):
+    """One prompt holding a third of the log: its positions are computed in many tasks."""
+    ev = spark.read.parquet(f"{SF_MID}/events.parquet").select("user_id", "event_id")
+    hot = ev.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id")))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        ranked = rank_within_key(hot, ["user_id"], "event_id", out="pos", range_width=256)
+        parts = ranked.filter("user_id = -1").select(F.spark_partition_id().alias("p")).distinct().count()
+        n_hot = hot.filter("user_id = -1").count()
+        ok = ranked.filter("user_id = -1").agg(F.min("pos"), F.max("pos"), F.countDistinct("pos")).first()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert parts > 1
+    assert tuple(ok) == (0, n_hot - 1, n_hot)
