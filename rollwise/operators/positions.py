@@ -57,13 +57,13 @@ def global_positions(
     tie_key: str,
     *,
     out: str = "gpos",
-    prefix_chars: int = 3,
+    prefix_chars: int = 4,
 ) -> DataFrame:
     """0-based position of each row in the order ``(sort_key, tie_key)`` over the whole table.
 
     ``sort_key`` must be a hex string (an md5), so its first ``prefix_chars`` characters
     split the rows into at most 16**prefix_chars evenly filled buckets. Counts per bucket
-    (at most 4,096 rows by default, a proven bound) are turned into offsets and broadcast;
+    (at most 65,536 rows by default, a proven bound) are turned into offsets and broadcast;
     rows are numbered only within their bucket.
     """
     n_buckets = 16**prefix_chars
@@ -73,7 +73,7 @@ def global_positions(
     # The window above has no partition key on purpose: its input is the bucket table,
     # at most n_buckets rows whatever the data size.
     offsets = counts.withColumn("_gp_off", F.coalesce(F.sum("_gp_n").over(before), F.lit(0))).drop("_gp_n")
-    assert n_buckets <= 1 << 16, "bucket table must stay small enough to broadcast"
+    assert n_buckets <= 1 << 20, "bucket table must stay small enough to broadcast"
     joined = bucketed.join(F.broadcast(offsets), on="_gp_b", how="inner")
     local = Window.partitionBy("_gp_b").orderBy(sort_key, tie_key)
     return joined.withColumn(

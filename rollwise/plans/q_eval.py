@@ -149,16 +149,19 @@ def p9_samples_rule(spark, sf):
 
 @register(
     "p10_explode_outputs",
-    """SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS sample_idx, text AS output
-FROM conversations WHERE role = 'assistant'""",
+    f"""SELECT doc_id, CAST(generate_subscripts(arr, 1) - 1 AS BIGINT) AS sample_idx,
+       CAST(length(trim(unnest(arr), {_WS_SQL})) AS BIGINT) AS output_len
+FROM (SELECT doc_id, string_split(text, chr(10)) AS arr FROM documents)""",
 )
 def p10_explode_outputs(spark, sf):
-    """Generated outputs arrive as one array per problem (here: a conversation's assistant turns)."""
-    conv = read_table(spark, sf, "conversations").filter(F.col("role") == "assistant")
-    per_conv = conv.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("items"))
-    outputs = per_conv.select("conv_id", F.transform("items", lambda x: x["text"]).alias("outputs"))
-    return outputs.select("conv_id", F.posexplode("outputs").alias("sample_idx", "output")).select(
-        "conv_id", F.col("sample_idx").cast("bigint").alias("sample_idx"), "output"
+    """P10 + P8: a row's output array (here: a document's lines) to one row per output, trimmed.
+
+    The array is the row's own column, so nothing is gathered across rows.
+    """
+    d = read_table(spark, sf, "documents").select("doc_id", F.split("text", "\n").alias("outputs"))
+    long = d.select("doc_id", F.posexplode("outputs").alias("sample_idx", "output"))
+    return long.select(
+        "doc_id", F.col("sample_idx").cast("bigint").alias("sample_idx"), F.length(trim_ws("output")).cast("bigint").alias("output_len")
     )
 
 
