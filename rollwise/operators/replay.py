@@ -88,16 +88,18 @@ def buffer_requests(
     """One row per (prompt, step, block) of the batch: ``p0`` and the size of the buffer it reads.
 
     All blocks of a step read the buffer as it was before the step (the as-of boundary
-    is the step, not the block), so ``p0`` is the minimum over the whole step.
+    is the step, not the block), so ``p0`` is the minimum over the whole step. One
+    aggregation per (prompt, step) also lists the step's blocks (a handful at most).
     """
-    per_block = pos_log.groupBy(key, step, block).agg(F.min("pos").alias("_p0b"))
-    p0 = F.min("_p0b").over(Window.partitionBy(key, step))
-    return (
-        per_block.withColumn("p0", p0)
-        .drop("_p0b")
-        .withColumnRenamed(step, "batch_step")
-        .withColumnRenamed(block, "batch_block")
-        .withColumn("buf_size", F.least(F.col("p0"), F.lit(cache_size)).cast("bigint"))
+    per_step = pos_log.groupBy(key, step).agg(
+        F.min("pos").alias("p0"), F.array_distinct(F.collect_list(F.col(block))).alias("_blocks")
+    )
+    return per_step.select(
+        key,
+        F.col(step).alias("batch_step"),
+        F.explode("_blocks").alias("batch_block"),
+        "p0",
+        F.least(F.col("p0"), F.lit(cache_size)).cast("bigint").alias("buf_size"),
     )
 
 
@@ -247,31 +249,43 @@ def _max_variance(b: DataFrame, key: str, score: str) -> DataFrame:
     )
 
 
-def replay_rows(pos_log: DataFrame, cfg: ReplayConfig, *, key: str = "prompt_key", score: Column | None = None) -> DataFrame:
+def replay_rows(
+    pos_log: DataFrame,
+    cfg: ReplayConfig,
+    *,
+    key: str = "prompt_key",
+    score: Column | None = None,
+    carry: tuple[str, ...] = (),
+) -> DataFrame:
     """Gate + buffer + strategy: ``(prompt, batch_step, batch_block, replay_slot, rollout_id, seq)``.
 
     ``score`` is the G8 column evaluated on the log rows (defaults to the ``score`` column).
+    ``carry`` names small per-row columns (rewards, lengths) to bring along with the chosen
+    rows; wide payloads are better fetched afterwards by id (:func:`merge`).
     """
     cfg.validate()
     scored = pos_log.withColumn("score", score) if score is not None else pos_log
     req = gate(buffer_requests(scored, cfg.max_cache, key=key), cfg.min_cache)
-    buf = buffer_asof(scored, req, cfg.max_cache, key=key, carry=("rollout_id", "seq", "score"))
-    return choose(buf, cfg, key=key).select(key, *GROUP, "replay_slot", "rollout_id", "seq", "score", "buf_size")
+    base = ("rollout_id", "seq", "score")
+    extra = tuple(c for c in carry if c not in base)
+    buf = buffer_asof(scored, req, cfg.max_cache, key=key, carry=base + extra)
+    return choose(buf, cfg, key=key).select(key, *GROUP, "replay_slot", *base, "buf_size", *extra)
 
 
 def merge(
     online: DataFrame,
     replays: DataFrame,
-    payload: DataFrame,
+    payload: DataFrame | None,
     *,
     key: str = "prompt_key",
     columns: tuple[str, ...] = (),
 ) -> DataFrame:
     """R8 (with J6): online rows tagged ``is_online=1``, replayed rows ``is_online=0``.
 
-    Replayed rows get their stored payload (rewards, completion, arrays) by joining the
-    chosen ids back to the log, so the wide columns never travel through the buffer join.
-    ``batch_slot`` orders rows inside a block: online first, then replays.
+    Replayed rows keep the payload recorded when they were generated. With ``payload``
+    given, it is fetched by joining the chosen ids back to the log, so wide columns never
+    travel through the buffer join; with ``payload=None`` the columns were carried along
+    by :func:`replay_rows`. ``batch_slot`` orders rows inside a block: online first, then replays.
     """
     on = online.select(
         key,
@@ -282,8 +296,12 @@ def merge(
         "rollout_id",
         *columns,
     )
-    pay = payload.select("rollout_id", *columns)
-    off = replays.select(key, *GROUP, "replay_slot", "rollout_id").join(pay, on="rollout_id", how="inner")
+    if payload is not None:
+        off = replays.select(key, *GROUP, "replay_slot", "rollout_id").join(
+            payload.select("rollout_id", *columns), on="rollout_id", how="inner"
+        )
+    else:
+        off = replays
     off = off.select(
         key,
         *GROUP,

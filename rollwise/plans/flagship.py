@@ -25,17 +25,17 @@ def replay_batch(
         replays = None
     else:
         pos_log = R.with_positions(log, modes=cfg.modes, group_size=group_size).withColumn("score", plain_score(rewards))
-        replays = R.replay_rows(pos_log, cfg)
-    if replays is None:
-        empty = online.select("prompt_key", "rollout_id").limit(0)
-        replays = empty.select(
+        replays = R.replay_rows(pos_log, cfg, carry=cols)
+    if replays is None:  # R9: no replay side; an empty relation the optimizer drops from the union
+        replays = online.select(
             "prompt_key",
             F.lit(0).cast("bigint").alias("batch_step"),
             F.lit(0).alias("batch_block"),
             F.lit(0).cast("bigint").alias("replay_slot"),
             "rollout_id",
-        )
-    return R.merge(online, replays, log, columns=cols)
+            *cols,
+        ).limit(0)
+    return R.merge(online, replays, None, columns=cols)
 
 
 def replay_advantages(
