@@ -109,6 +109,16 @@ def p1_training_projection(spark, sf):
     )
 
 
+@register(
+    "p2_keep_columns",
+    f"""WITH {_RAW_SQL}
+SELECT conv_id, solution, regexp_extract(solution, '(\\S+)\\s*$', 1) AS ground_truth FROM raw""",
+)
+def p2_keep_columns(spark, sf):
+    """P2 on its own: an allow-list that drops the message arrays (and the raw columns)."""
+    return P.training_projection(raw_training(spark, sf), keep=("conv_id", "solution", "ground_truth"))
+
+
 @register(
     "f1_length_filter",
     f"""WITH r AS (SELECT conv_id, coalesce(string_agg({RENDER_TURN}, '' ORDER BY turn), '') AS rendered
