@@ -128,7 +128,7 @@ _WS_SQL = " || ".join(f"chr({ord(c)})" for c in PY_WHITESPACE)
 @register(
     "p8_trim_outputs",
     f"""SELECT doc_id, CAST(length(trim(text, {_WS_SQL})) AS BIGINT) AS trimmed_len,
-       CAST(length(text) AS BIGINT) AS raw_len, left(trim(text, {_WS_SQL}), 12) AS head FROM documents""",
+       CAST(length(text) AS BIGINT) AS raw_len, md5(trim(text, {_WS_SQL})) AS trimmed_md5 FROM documents""",
 )
 def p8_trim_outputs(spark, sf):
     d = read_table(spark, sf, "documents").select("doc_id", "text")
@@ -137,7 +137,7 @@ def p8_trim_outputs(spark, sf):
         "doc_id",
         F.length(t).cast("bigint").alias("trimmed_len"),
         F.length("text").cast("bigint").alias("raw_len"),
-        F.substring(t, 1, 12).alias("head"),
+        F.md5(t).alias("trimmed_md5"),
     )
 
 
