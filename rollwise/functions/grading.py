@@ -137,4 +137,4 @@ def sql_value(n: str) -> str:
 
 
 def sql_format_reward(expr: str) -> str:
-    return f"CASE WHEN coalesce(regexp_matches({expr}, {_q(FORMAT_PATTERN)}), false) THEN 1.0 ELSE 0.0 END"
+    return f"CAST(CASE WHEN coalesce(regexp_matches({expr}, {_q(FORMAT_PATTERN)}), false) THEN 1.0 ELSE 0.0 END AS DOUBLE)"

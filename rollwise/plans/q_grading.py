@@ -22,10 +22,10 @@ _ACC_SQL = f"""WITH {GRADE_SQL},
 ex AS (SELECT *, {GR.sql_extract('prediction')} AS p, {GR.sql_extract('gold', gold=True)} AS g FROM grade),
 vx AS (SELECT *, {GR.sql_value('p')} AS pv, {GR.sql_value('g')} AS gv FROM ex),
 graded AS (
-  SELECT *, CASE WHEN g IS NULL THEN NULL WHEN p IS NULL THEN 0.0
+  SELECT *, CAST(CASE WHEN g IS NULL THEN NULL WHEN p IS NULL THEN 0.0
                  WHEN pv IS NOT NULL AND gv IS NOT NULL THEN
                       CASE WHEN abs(pv - gv) <= {GR.TOLERANCE} * greatest(1.0, abs(gv)) THEN 1.0 ELSE 0.0 END
-                 ELSE CASE WHEN p = g THEN 1.0 ELSE 0.0 END END AS reward
+                 ELSE CASE WHEN p = g THEN 1.0 ELSE 0.0 END END AS DOUBLE) AS reward
   FROM vx)"""
 
 
@@ -112,7 +112,7 @@ def _length_reward(completion: pd.Series, accuracy: pd.Series) -> pd.Series:
 @register(
     "d1_custom_reward",
     f"""WITH {ROLL_SQL}
-SELECT rollout_id, CASE WHEN r_accuracy IS NULL THEN NULL WHEN length(completion) > 5 THEN 1.0 ELSE 0.0 END AS r_length
+SELECT rollout_id, CAST(CASE WHEN r_accuracy IS NULL THEN NULL WHEN length(completion) > 5 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS r_length
 FROM roll""",
 )
 def d1_custom_reward(spark, sf):

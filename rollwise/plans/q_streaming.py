@@ -62,7 +62,7 @@ def st2_stream_ingest(spark, sf):
     "st3_stream_step_metrics",
     f"""WITH {ROLL_SQL}
 SELECT mode, step, count(*) AS n_rows, round(sum(coalesce(r_accuracy, 0) + coalesce(r_format, 0)), 6) AS reward_sum,
-       round(avg(coalesce(r_accuracy, 0) + coalesce(r_format, 0)), 6) AS reward_mean, sum(completion_len) AS tokens
+       round(avg(coalesce(r_accuracy, 0) + coalesce(r_format, 0)), 6) AS reward_mean, CAST(sum(completion_len) AS BIGINT) AS tokens
 FROM roll GROUP BY mode, step""",
 )
 def st3_stream_step_metrics(spark, sf):

@@ -57,18 +57,24 @@ def _key(row):
 
 def compare(spark, con, name, fn, sql, sf_dir):
     t0 = time.time()
-    sdf = fn(spark, sf_dir)
-    scols = sdf.columns
-    srows = [tuple(r) for r in sdf.collect()]
+    st = fn(spark, sf_dir).toArrow()
     t1 = time.time()
-    rel = con.sql(sql)
-    dcols = rel.columns
-    drows = rel.fetchall()
+    dtab = con.sql(sql).arrow()
+    if hasattr(dtab, "read_all"):
+        dtab = dtab.read_all()
     t2 = time.time()
+    scols, dcols = st.column_names, dtab.column_names
+    srows = list(zip(*[st.column(c).to_pylist() for c in scols])) if st.num_rows else []
+    drows = list(zip(*[dtab.column(c).to_pylist() for c in dcols])) if dtab.num_rows else []
     res = {"name": name, "spark_rows": len(srows), "duck_rows": len(drows), "spark_s": round(t1 - t0, 2), "duck_s": round(t2 - t1, 2)}
     if sorted(scols) != sorted(dcols):
         res["error"] = f"columns differ: spark={scols} duck={dcols}"
         return res
+    stypes = {f.name: str(f.type) for f in st.schema}
+    dtypes = {f.name: str(f.type) for f in dtab.schema}
+    if stypes != dtypes:
+        res["error"] = f"types differ: { {k: (stypes[k], dtypes[k]) for k in stypes if stypes[k] != dtypes[k]} }"
+        return res
     order = sorted(scols)
     si = [scols.index(c) for c in order]
     di = [dcols.index(c) for c in order]
