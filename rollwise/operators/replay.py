@@ -200,7 +200,7 @@ def _max_variance(b: DataFrame, key: str, score: str) -> DataFrame:
     functions, and the chosen rows are exploded back in age order.
     """
     grp = [key, *GROUP]
-    carry = [c for c in ("rollout_id", "buf_idx", "pos", "p0", "buf_size") if c in b.columns]
+    carry = [c for c in b.columns if c not in (*grp, "_k", "seq", score)]
     entry = F.struct(
         F.col(score).isNotNull().alias("has"),
         F.coalesce(F.col(score).cast("double"), F.lit(0.0)).alias("x"),

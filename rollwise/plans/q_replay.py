@@ -239,6 +239,18 @@ def r8_merge(spark, sf):
     )
 
 
+@register(
+    "r8_merge_max_variance",
+    f"""WITH {_batch_sql("max_variance_k", 8, 16, 16)}
+SELECT {GRP}, is_online, batch_slot, rollout_id, r_accuracy, r_format FROM batch""",
+)
+def r8_merge_max_variance(spark, sf):
+    cfg = R.ReplayConfig(strategy="max_variance_k", num_replays=8, min_cache=16, max_cache=16)
+    return replay_batch(roll(spark, sf), cfg, group_size=G).select(
+        "prompt_key", "batch_step", "batch_block", "is_online", "batch_slot", "rollout_id", "r_accuracy", "r_format"
+    )
+
+
 @register(
     "r9_no_replay",
     f"""WITH {_batch_sql("none", 0, 0, 16)}

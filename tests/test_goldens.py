@@ -88,3 +88,33 @@ def test_reward_names():
     assert parse_reward_names("format_accuracy") == ["format", "accuracy"]
     with pytest.raises(ValueError):
         parse_reward_names("format_correctness")
+
+
+def test_prep_edge_cases(spark):
+    from rollwise.operators import prep as P
+
+    df = spark.createDataFrame([(1, 5, "b"), (1, 2, "a"), (2, 9, "c")], "k long, seq long, v string")
+    got = sorted(tuple(r) for r in P.first_per_key(df, "k", "seq", ["v"]).collect())
+    assert got == [(1, 2, "a"), (2, 9, "c")]
+    n = spark.createDataFrame([(1, 3), (2, 4), (3, 5)], "id long, n long")
+    assert P.length_filter(n, F.col("n"), 4).count() == 1
+    assert P.length_filter(n, F.col("n"), 4, inclusive=True).count() == 2
+    assert P.length_filter(n, F.col("n"), None).count() == 3
+    s = spark.createDataFrame([(i, "train") for i in range(5)] + [(9, "test")], "id long, split string")
+    assert P.seeded_sample(s, "id", 3).count() == 4
+    assert P.seeded_sample(s, "id", 0).count() == 6
+    with pytest.raises(ValueError):
+        P.seeded_sample(s, "id", 10, on_short="raise")
+    big = P.seeded_sample(s, "id", 3, top_n_limit=1)
+    assert sorted(r.id for r in big.collect()) == sorted(r.id for r in P.seeded_sample(s, "id", 3).collect())
+
+
+def test_empty_log_flows_through(spark):
+    from rollwise.operators import replay as R
+    from rollwise.plans.flagship import replay_advantages
+
+    empty = spark.createDataFrame(
+        [], "prompt_key long, rollout_id long, seq long, step long, slot int, block int, mode string, r_accuracy double, r_format double"
+    )
+    for strategy in ("highest_k", "none", "max_variance_k"):
+        assert replay_advantages(empty, R.ReplayConfig(strategy=strategy)).count() == 0
