@@ -26,7 +26,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         b = b.config(k, v)
     b = (
         b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.driver.memory", os.environ.get("ROLLWISE_DRIVER_MEMORY", "8g"))
+        .config("spark.driver.memory", os.environ.get("ROLLWISE_DRIVER_MEMORY", "4g"))
         .config("spark.sql.files.maxPartitionBytes", str(128 * 1024 * 1024))
         # Small local inputs: keep post-shuffle stages spread over the cores; the array work
         # in them is CPU-bound, not I/O-bound.
