@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rollwise import schemas
 from rollwise.operators.benchmarks import normalize, union_benchmarks
 
 RAW_TRAINING = T.StructType(
@@ -28,6 +29,11 @@ def read_raw_training(spark: SparkSession, path: str, fmt: str = "parquet") -> D
     return spark.read.schema(RAW_TRAINING).format(fmt).load(path)
 
 
+def read_rollout_log(spark: SparkSession, path: str, reward_names=("accuracy", "format")) -> DataFrame:
+    """The append-only rollout log (S10's output) with its canonical schema, no inference."""
+    return spark.read.schema(schemas.rollouts(reward_names)).parquet(path)
+
+
 def read_prepared(spark: SparkSession, path: str) -> DataFrame:
     """S3: a prepared table without ``messages`` (the trainer never reads it)."""
     return spark.read.parquet(path).drop("messages")

@@ -118,3 +118,23 @@ def test_empty_log_flows_through(spark):
     )
     for strategy in ("highest_k", "none", "max_variance_k"):
         assert replay_advantages(empty, R.ReplayConfig(strategy=strategy)).count() == 0
+
+
+def test_schema_check_and_rollout_log_reader(spark, tmp_path_factory):
+    import uuid
+
+    from rollwise import schemas
+    from rollwise.session import checkpoint_path
+    from rollwise.sources import io as IO
+
+    row = (1, "k", "train", 0, 0, 0, 0, 5, "c", [1, 0], [-0.1, -0.2], None, 1.0, None)
+    df = spark.createDataFrame([row], schemas.rollouts())
+    path = checkpoint_path(spark, f"test-log-{uuid.uuid4().hex[:12]}")
+    IO.append_rollouts(df, path)
+    back = IO.read_rollout_log(spark, path)
+    assert schemas.check(back, schemas.rollouts()) is back
+    assert back.first().completion_ids == [1, 0]
+    with pytest.raises(ValueError):
+        schemas.check(back.drop("seq"), schemas.rollouts())
+    with pytest.raises(ValueError):
+        schemas.check(back.withColumn("seq", F.col("seq").cast("string")), schemas.rollouts(), required=["seq"])
