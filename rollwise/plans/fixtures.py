@@ -73,12 +73,13 @@ def eval_rows(spark: SparkSession, sf_dir: str, *, range_width: int = DEFAULT_RA
     ``sample_idx`` = its rank by doc_id; the grade is the label's quality, missing when
     the document has no label (J5: left join).
     """
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    labels = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("flag"))
-    graded = docs.join(labels, "doc_id", "left").select(
-        F.col("lang").alias("dataset"), F.col("source").alias("problem"), "doc_id", F.col("text").alias("output"), "flag"
+    docs = read_table(spark, sf_dir, "documents").select(
+        F.col("lang").alias("dataset"), F.col("source").alias("problem"), "doc_id", F.col("text").alias("output")
     )
-    return rank_within_key(graded, ["dataset", "problem"], "doc_id", out="sample_idx", range_width=range_width)
+    # rank before the join: the rank's count pass then reads only the documents' key columns
+    ranked = rank_within_key(docs, ["dataset", "problem"], "doc_id", out="sample_idx", range_width=range_width)
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("flag"))
+    return ranked.join(labels, "doc_id", "left")
 
 
 EVAL_SQL = """
