@@ -39,7 +39,12 @@ def read_prepared(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop("messages")
 
 
-def prepared_folder(sample_size: int | None, max_length: int | None, prefix: str = "DeepMath") -> str:
+# The prepared-table folder format, "{prefix}-{n or all}samples[-maxlen{m}]",
+# with the training dataset's name as the default prefix.
+PREPARED_PREFIX = "DeepMath"
+
+
+def prepared_folder(sample_size: int | None, max_length: int | None, prefix: str = PREPARED_PREFIX) -> str:
     """S5 folder name: ``{prefix}-{n or all}samples[-maxlen{m}]``."""
     size = f"{sample_size}" if sample_size else "all"
     length = f"-maxlen{max_length}" if max_length else ""
