@@ -2,8 +2,8 @@
 
 Accuracy grading extracts the answer from both sides, normalises it and compares it
 numerically, else textually. What is covered: integers, decimals, simple fractions
-(``a/b``, ``\\frac{a}{b}``), ``\\text{}``/``\\mathrm{}`` wrappers, ``$``, sizing
-commands, degree and percent marks, and answers that are plain text. What is not:
+(``a/b``, ``\\frac{a}{b}``), equations by their right-hand side, ``\\text{}``/``\\mathrm{}``
+wrappers, ``$``, sizing commands, degree and percent marks, and answers that are plain text. What is not:
 symbolic equality of expressions (no LaTeX solver). A gold answer that yields nothing
 grades as NULL (unknown), never 0.
 
@@ -33,6 +33,8 @@ NORMALISE = [
     (r"\s+", ""),
     (r"\.$", ""),
 ]
+# An equation is valued by its right-hand side (``x=5`` reads as 5).
+RHS = r"=([^=]*)$"
 NUMBER = r"^-?[0-9]+(\.[0-9]+)?$"
 FRACTION = r"^(-?[0-9]+(?:\.[0-9]+)?)/(-?[0-9]+(?:\.[0-9]+)?)$"
 TOLERANCE = 1e-9
@@ -72,7 +74,9 @@ def extract_answer(text: Column, *, gold: bool = False) -> Column:
 
 
 def answer_value(norm: Column) -> Column:
-    """Numeric value of a normalised answer: a number or a simple fraction, else NULL."""
+    """Numeric value of a normalised answer: a number or a simple fraction (of an equation, its
+    right-hand side), else NULL."""
+    norm = F.when(norm.rlike(RHS), F.regexp_extract(norm, RHS, 1)).otherwise(norm)
     frac = F.try_divide(
         F.regexp_extract(norm, FRACTION, 1).try_cast("double"), F.regexp_extract(norm, FRACTION, 2).try_cast("double")
     )
@@ -129,6 +133,7 @@ def sql_extract(expr: str, *, gold: bool = False) -> str:
 
 
 def sql_value(n: str) -> str:
+    n = f"(CASE WHEN regexp_matches({n}, {_q(RHS)}) THEN regexp_extract({n}, {_q(RHS)}, 1) ELSE {n} END)"
     return (
         f"(CASE WHEN regexp_matches({n}, {_q(NUMBER)}) THEN TRY_CAST({n} AS DOUBLE)"
         f" WHEN regexp_matches({n}, {_q(FRACTION)}) THEN TRY_CAST(regexp_extract({n}, {_q(FRACTION)}, 1) AS DOUBLE)"
