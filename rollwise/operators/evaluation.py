@@ -7,8 +7,6 @@ a problem with many samples does not gather in one task), then averaged per data
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -92,6 +90,3 @@ def length_filter_report(problems: DataFrame, n_tokens: Column, max_tokens: int)
         F.count(F.when(~skipped, 1)).alias("kept"), F.count(F.when(skipped, 1)).alias("skipped")
     )
 
-
-def with_ks(ks: Sequence[int]) -> list[int]:
-    return [k for k in PASS_K if k in ks]

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from rollwise.operators.positions import global_positions
 
-MESSAGE = "struct<role:string,content:string>"
 TRAINING_COLUMNS = ("prompt", "messages", "solution", "ground_truth")
 
 
