@@ -188,3 +188,35 @@ def test_weighted_reward_and_plain_score(spark):
     assert [(r.w, r.s) for r in out] == [(2.0, None), (0.0, None), (2.5, 2.0)]
     with pytest.raises(ValueError):
         weighted_reward(REWARDS, [1.0])
+
+
+def test_hot_prompt_replay_matches_sql(spark):
+    """A third of the log on one prompt, positions ranked over many small ranges: same replays as SQL."""
+    import duckdb
+
+    from rollwise.plans import fixtures as FX
+    from rollwise.plans.q_replay import GRP, _replay_sql
+    from tests.conftest import SF_MID
+
+    hot_key = F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id"))
+    events = spark.read.parquet(f"{SF_MID}/events.parquet").withColumn("user_id", hot_key)
+    view = f"hot_events_{abs(hash(SF_MID))}"
+    events.createOrReplaceTempView(view)
+    orig = FX.read_table
+    FX.read_table = lambda s, d, name: s.table(view) if name == "events" else orig(s, d, name)
+    try:
+        log = FX.roll(spark, SF_MID, range_width=97)
+    finally:
+        FX.read_table = orig
+    cfg = R.ReplayConfig(strategy="highest_k", num_replays=8, min_cache=16, max_cache=16)
+    pos = R.with_positions(log, range_width=97).withColumn("score", plain_score(REWARDS))
+    got = {tuple(r) for r in R.replay_rows(pos, cfg).select("prompt_key", "batch_step", "batch_block", "replay_slot", "rollout_id").collect()}
+
+    con = duckdb.connect()
+    con.execute(
+        f"CREATE VIEW events AS SELECT * REPLACE (CASE WHEN event_id % 3 = 0 THEN -1 ELSE user_id END AS user_id) "
+        f"FROM read_parquet('{SF_MID}/events.parquet')"
+    )
+    want = set(con.sql(f"WITH {_replay_sql('highest_k', 8, 16, 16)} SELECT {GRP}, replay_slot, rollout_id FROM chosen").fetchall())
+    assert got == want
+    assert len([r for r in got if r[0] == -1]) > 1000
