@@ -38,6 +38,27 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def cluster_conf(input_bytes: int, total_cores: int, *, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings to pass to a cluster session for a job reading ``input_bytes`` on ``total_cores``.
+
+    Shuffle partitions start at about one per ``target_partition_bytes`` of input (never
+    fewer than 2 per core), so every post-shuffle task fits in executor memory and spills
+    little; adaptive execution then coalesces small ones and splits skewed ones. Scans use
+    ``maxPartitionBytes`` splits of the same size. The values are a starting point.
+    """
+    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        **BASE_CONF,
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.streaming.stateStore.providerClass": (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        ),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 

@@ -139,3 +139,12 @@ def test_schema_check_and_rollout_log_reader(spark, tmp_path_factory):
         schemas.check(back.drop("seq"), schemas.rollouts())
     with pytest.raises(ValueError):
         schemas.check(back.withColumn("seq", F.col("seq").cast("string")), schemas.rollouts(), required=["seq"])
+
+
+def test_cluster_conf_sizes_partitions():
+    from rollwise.session import cluster_conf
+
+    conf = cluster_conf(100 * (1 << 40), 8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert cluster_conf(1 << 20, 8)["spark.sql.shuffle.partitions"] == "16"
+    assert conf["spark.sql.adaptive.enabled"] == "true"
