@@ -287,7 +287,11 @@ def r10_replay_ledger(spark, sf):
 # ----------------------------------------------------------------------------- joins
 
 
-_CUST = "c_custkey AS prompt_key, c_name AS prompt, c_mktsegment AS segment"
+def _prompts(spark, sf):
+    """Prompt table for J1/J3: one row per user of the log (customers stand in for prompts)."""
+    return read_table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("prompt_key"), F.col("c_name").alias("prompt"), F.col("c_mktsegment").alias("segment")
+    )
 
 
 @register(
@@ -297,8 +301,7 @@ SELECT r.rollout_id, r.prompt_key, c.c_name AS prompt, r.completion, c.c_mktsegm
 FROM roll r JOIN customer c ON c.c_custkey = r.prompt_key""",
 )
 def j1_rollout_prompt_join(spark, sf):
-    prompts = read_table(spark, sf, "customer").selectExpr(*_CUST.split(", "))
-    return roll(spark, sf).join(prompts, "prompt_key").select("rollout_id", "prompt_key", "prompt", "completion", "segment")
+    return roll(spark, sf).join(_prompts(spark, sf), "prompt_key").select("rollout_id", "prompt_key", "prompt", "completion", "segment")
 
 
 @register(
@@ -310,8 +313,7 @@ FROM chosen c JOIN customer cu ON cu.c_custkey = c.prompt_key""",
 def j3_replay_inputs(spark, sf):
     pos_log = R.with_positions(roll(spark, sf), group_size=G).withColumn("score", plain_score(REWARDS))
     rep = R.replay_rows(pos_log, FLAGSHIP)
-    prompts = read_table(spark, sf, "customer").selectExpr(*_CUST.split(", "))
-    return rep.join(prompts, "prompt_key").select("prompt_key", "batch_step", "replay_slot", "rollout_id", "prompt", "segment")
+    return rep.join(_prompts(spark, sf), "prompt_key").select("prompt_key", "batch_step", "replay_slot", "rollout_id", "prompt", "segment")
 
 
 @register(
