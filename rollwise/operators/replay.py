@@ -272,21 +272,15 @@ def replay_rows(
     return choose(buf, cfg, key=key).select(key, *GROUP, "replay_slot", *base, "buf_size", *extra)
 
 
-def merge(
+def merge_parts(
     online: DataFrame,
     replays: DataFrame,
     payload: DataFrame | None,
     *,
     key: str = "prompt_key",
     columns: tuple[str, ...] = (),
-) -> DataFrame:
-    """R8 (with J6): online rows tagged ``is_online=1``, replayed rows ``is_online=0``.
-
-    Replayed rows keep the payload recorded when they were generated. With ``payload``
-    given, it is fetched by joining the chosen ids back to the log, so wide columns never
-    travel through the buffer join; with ``payload=None`` the columns were carried along
-    by :func:`replay_rows`. ``batch_slot`` orders rows inside a block: online first, then replays.
-    """
+) -> tuple[DataFrame, DataFrame]:
+    """The two sides of :func:`merge`, in the batch schema, before their union."""
     on = online.select(
         key,
         F.col("step").alias("batch_step"),
@@ -310,6 +304,25 @@ def merge(
         "rollout_id",
         *columns,
     )
+    return on, off
+
+
+def merge(
+    online: DataFrame,
+    replays: DataFrame,
+    payload: DataFrame | None,
+    *,
+    key: str = "prompt_key",
+    columns: tuple[str, ...] = (),
+) -> DataFrame:
+    """R8 (with J6): online rows tagged ``is_online=1``, replayed rows ``is_online=0``.
+
+    Replayed rows keep the payload recorded when they were generated. With ``payload``
+    given, it is fetched by joining the chosen ids back to the log, so wide columns never
+    travel through the buffer join; with ``payload=None`` the columns were carried along
+    by :func:`replay_rows`. ``batch_slot`` orders rows inside a block: online first, then replays.
+    """
+    on, off = merge_parts(online, replays, payload, key=key, columns=columns)
     return on.unionByName(off)
 
 

@@ -11,22 +11,13 @@ from rollwise.operators.advantage import advantages
 from rollwise.plans.fixtures import REWARDS
 
 
-def replay_batch(
+def _batch_parts(
     log: DataFrame, cfg: R.ReplayConfig, *, rewards=REWARDS, payload=(), group_size: int | None = None
-) -> DataFrame:
-    """Merged training batch (R8): online rows of every step plus the rows replayed into it.
-
-    ``group_size``: the log holds whole visits of this many rows, so positions are arithmetic.
-    """
+) -> tuple[DataFrame, DataFrame]:
     cfg.validate()
     cols = (*rewards, *payload)
     online = log.filter(F.col("mode").isin(*cfg.modes)) if cfg.modes else log
-    if cfg.strategy == "none":
-        replays = None
-    else:
-        pos_log = R.with_positions(log, modes=cfg.modes, group_size=group_size).withColumn("score", plain_score(rewards))
-        replays = R.replay_rows(pos_log, cfg, carry=cols)
-    if replays is None:  # R9: no replay side; an empty relation the optimizer drops from the union
+    if cfg.strategy == "none":  # R9: no replay side; an empty relation the optimizer drops
         replays = online.select(
             "prompt_key",
             F.lit(0).cast("bigint").alias("batch_step"),
@@ -35,7 +26,21 @@ def replay_batch(
             "rollout_id",
             *cols,
         ).limit(0)
-    return R.merge(online, replays, None, columns=cols)
+    else:
+        pos_log = R.with_positions(log, modes=cfg.modes, group_size=group_size).withColumn("score", plain_score(rewards))
+        replays = R.replay_rows(pos_log, cfg, carry=cols)
+    return R.merge_parts(online, replays, None, columns=cols)
+
+
+def replay_batch(
+    log: DataFrame, cfg: R.ReplayConfig, *, rewards=REWARDS, payload=(), group_size: int | None = None
+) -> DataFrame:
+    """Merged training batch (R8): online rows of every step plus the rows replayed into it.
+
+    ``group_size``: the log holds whole visits of this many rows, so positions are arithmetic.
+    """
+    on, off = _batch_parts(log, cfg, rewards=rewards, payload=payload, group_size=group_size)
+    return on.unionByName(off)
 
 
 def replay_advantages(
@@ -47,10 +52,22 @@ def replay_advantages(
     weights=None,
     scale_rewards: bool = True,
     group_size: int | None = None,
+    payload=(),
 ) -> DataFrame:
-    batch = replay_batch(log, cfg, rewards=rewards, group_size=group_size)
-    batch = batch.withColumn("reward", weighted_reward(rewards, weights))
-    return advantages(batch, mode, scale_rewards=scale_rewards)
+    """Merged batch with ``reward`` and ``advantage``.
+
+    In ``split`` mode fresh and replayed rows never share a group, so each side is normalised
+    before the union: the replayed side is still hash-partitioned by (prompt, step, block)
+    from the strategy stage, and its advantage window needs no further shuffle.
+    """
+    reward = weighted_reward(rewards, weights)
+    if mode == "split":
+        on, off = _batch_parts(log, cfg, rewards=rewards, payload=payload, group_size=group_size)
+        on = advantages(on.withColumn("reward", reward), mode, scale_rewards=scale_rewards)
+        off = advantages(off.withColumn("reward", reward), mode, scale_rewards=scale_rewards)
+        return on.unionByName(off)
+    batch = replay_batch(log, cfg, rewards=rewards, payload=payload, group_size=group_size)
+    return advantages(batch.withColumn("reward", reward), mode, scale_rewards=scale_rewards)
 
 
 FLAGSHIP = R.ReplayConfig(strategy="highest_k", num_replays=8, min_cache=16, max_cache=16)
