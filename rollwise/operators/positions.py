@@ -33,7 +33,7 @@ def rank_within_key(
     ``range_width`` bounds how many values of ``order_col`` share one window partition.
     """
     keys = list(keys)
-    tagged = df.withColumn("_rw_range", F.floor(F.col(order_col) / F.lit(range_width)).cast("bigint"))
+    tagged = df.withColumn("_rw_range", F.expr(f"CAST(`{order_col}` AS BIGINT) div {int(range_width)}"))
     counts = tagged.groupBy(*keys, "_rw_range").agg(F.count(F.lit(1)).alias("_rw_n"))
     # With no key the offsets window spans the whole range table: one row per range.
     before = Window.partitionBy(*keys).orderBy("_rw_range").rowsBetween(Window.unboundedPreceding, -1)

@@ -128,10 +128,10 @@ def buffer_asof(
         .withColumn("buf_lo", lo)
         .withColumn(
             "_rng",
-            F.explode(F.array_distinct(F.array(F.floor(F.col("buf_lo") / c), F.floor((F.col("p0") - 1) / c)))),
+            F.explode(F.array_distinct(F.array(F.expr(f"buf_lo div {int(cache_size)}"), F.expr(f"(p0 - 1) div {int(cache_size)}")))),
         )
     )
-    rows = pos_log.select(key, "pos", *carry).withColumn("_rng", F.floor(F.col("pos") / c))
+    rows = pos_log.select(key, "pos", *carry).withColumn("_rng", F.expr(f"pos div {int(cache_size)}"))
     return (
         req.join(rows, on=[key, "_rng"], how="inner")
         .filter((F.col("pos") >= F.col("buf_lo")) & (F.col("pos") < F.col("p0")))

@@ -33,7 +33,7 @@ def roll(spark: SparkSession, sf_dir: str, *, group_size: int = G, range_width:
         .otherwise(F.lit(0.0))
         .alias("r_accuracy"),
         F.when(F.col("value") > 50, F.lit(1.0)).otherwise(F.lit(0.0)).alias("r_format"),
-        (F.get_json_object("props", "$.k").cast("int") + F.lit(1)).alias("completion_len"),
+        (F.get_json_object("props", "$.k").try_cast("int") + F.lit(1)).alias("completion_len"),
         (F.col("event_type") != "view").alias("terminated"),
     )
     ranked = rank_within_key(ev, ["prompt_key"], "seq", out="rn", count_col="n_key", range_width=range_width)
