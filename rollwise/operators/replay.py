@@ -166,18 +166,20 @@ def choose(buffer: DataFrame, cfg: ReplayConfig, *, key: str = "prompt_key", sco
     b = buffer.withColumn("_k", k)
     if cfg.strategy == "all":
         out = b.withColumn("replay_slot", F.col("buf_idx"))
-    elif cfg.strategy == "random_k":
-        h = F.md5(F.concat_ws(":", F.lit(str(cfg.seed)), F.col("batch_step"), F.col("batch_block"), F.col("rollout_id")))
-        out = b.withColumn("_r", F.row_number().over(g.orderBy(h, F.col("seq")))).filter(F.col("_r") <= F.col("_k"))
-        out = out.withColumn("replay_slot", (F.col("_r") - 1).cast("bigint"))
-    elif cfg.strategy == "highest_k":
-        out = b.withColumn(
-            "_r", F.row_number().over(g.orderBy(F.col(score).desc_nulls_last(), F.col("seq")))
-        ).filter(F.col("_r") <= F.col("_k"))
-        out = out.withColumn("replay_slot", (F.col("_r") - 1).cast("bigint"))
-    elif cfg.strategy == "recent_k":
-        out = b.withColumn("_r", F.row_number().over(g.orderBy(F.col("seq").desc()))).filter(F.col("_r") <= F.col("_k"))
-        out = out.withColumn("replay_slot", (F.col("_k") - F.col("_r")).cast("bigint"))
+    elif cfg.strategy in ("random_k", "highest_k", "recent_k"):
+        if cfg.strategy == "random_k":
+            h = F.md5(F.concat_ws(":", F.lit(str(cfg.seed)), F.col("batch_step"), F.col("batch_block"), F.col("rollout_id")))
+            order = [h, F.col("seq")]
+        elif cfg.strategy == "highest_k":
+            order = [F.col(score).desc_nulls_last(), F.col("seq")]
+        else:
+            order = [F.col("seq").desc()]
+        # The literal bound lets the planner insert a partial WindowGroupLimit: each map task
+        # ships at most k rows per request instead of the whole buffer.
+        out = b.withColumn("_r", F.row_number().over(g.orderBy(*order))).filter(F.col("_r") <= cfg.num_replays)
+        out = out.filter(F.col("_r") <= F.col("_k"))
+        slot = F.col("_k") - F.col("_r") if cfg.strategy == "recent_k" else F.col("_r") - 1
+        out = out.withColumn("replay_slot", slot.cast("bigint"))
     elif cfg.strategy == "max_variance_k":
         out = _max_variance(b, key, score)
     else:  # pragma: no cover - validate() guards this
