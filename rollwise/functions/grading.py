@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 THINK_OPEN, THINK_CLOSE = "<think>", "</think>"
 FORMAT_PATTERN = r"^<think>[\s\S]*?</think>"
 
-# First \boxed{...} with one level of nested braces, then the "final answer is" anchor.
-BOXED = r"\\boxed\{((?:[^{}]|\{[^{}]*\})*)\}"
+# First \boxed{...} with up to two levels of nested braces, then the "final answer is" anchor.
+BOXED = r"\\boxed\{((?:[^{}]|\{(?:[^{}]|\{[^{}]*\})*\})*)\}"
 ANCHOR = r"[Ff]inal [Aa]nswer is:?\s*([^\n]+)"
 
 # (pattern, replacement) steps; a replacement "#1#2" names capture groups, anything else is literal.

@@ -25,8 +25,8 @@ def _staged_roll(spark, sf, name, eval_every=None):
     return base, runner.file_stream(spark, glob, log.schema)
 
 
-def _replay_stream_query(name: str, eval_every=None):
-    cfg = ReplayConfig(strategy="highest_k", num_replays=8, min_cache=16, max_cache=16)
+def _replay_stream_query(name: str, eval_every=None, strategy: str = "highest_k"):
+    cfg = ReplayConfig(strategy=strategy, num_replays=8, min_cache=16, max_cache=16)
 
     def q(spark, sf):
         base, stream = _staged_roll(spark, sf, name, eval_every)
@@ -48,6 +48,17 @@ register(
 )(_replay_stream_query("st4", eval_every=5))
 
 
+register(
+    "st1_stream_replay_max_variance",
+    f"WITH {_replay_sql('max_variance_k', 8, 16, 16)}\nSELECT {GRP}, replay_slot, rollout_id FROM chosen",
+)(_replay_stream_query("st1mv", strategy="max_variance_k"))
+
+register(
+    "st1_stream_replay_random",
+    f"WITH {_replay_sql('random_k', 8, 16, 16)}\nSELECT {GRP}, replay_slot, rollout_id FROM chosen",
+)(_replay_stream_query("st1rk", strategy="random_k"))
+
+
 @register(
     "st2_stream_ingest",
     f"WITH {ROLL_SQL}\nSELECT rollout_id, prompt_key, step, slot, seq FROM roll",
