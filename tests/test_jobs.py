@@ -78,3 +78,16 @@ def test_replay_step_tables_match_flagship(spark):
     mine = {(r.rollout_id, r.batch_step, r.is_online): round(r.advantage, 6) for r in batch.collect()}
     flag = {(r.rollout_id, r.batch_step, r.is_online): r.advantage for r in v3_split_advantage(spark, SF_SMALL).collect()}
     assert mine == flag
+
+
+def test_evaluate_outputs_reports_skipped_datasets(spark):
+    results = spark.createDataFrame(
+        [("short", "p1", "\\boxed{1}", ["\\boxed{1}", "no"]),
+         ("long", " ".join(["w"] * 50), "\\boxed{2}", ["\\boxed{2}"])],
+        "dataset string, problem string, answer string, outputs array<string>",
+    )
+    summary, report = jobs.evaluate_outputs(spark, results, _folder(spark, "skip"), num_samples=2, max_tokens=20)
+    vals = {(r.dataset, r.metric): r.value for r in summary.collect()}
+    assert vals[("short", "total")] == 1.0 and vals[("short", "pass@1")] == 1.0 and vals[("short", "avg@2")] == 0.5
+    assert vals[("long", "total")] == 0.0 and vals[("long", "pass@1")] == 0.0
+    assert {r.dataset: (r.kept, r.skipped) for r in report.collect()} == {"short": (1, 0), "long": (0, 1)}

@@ -220,3 +220,12 @@ def test_hot_prompt_replay_matches_sql(spark):
     want = set(con.sql(f"WITH {_replay_sql('highest_k', 8, 16, 16)} SELECT {GRP}, replay_slot, rollout_id FROM chosen").fetchall())
     assert got == want
     assert len([r for r in got if r[0] == -1]) > 1000
+
+
+def test_eval_rows_enter_the_cache_when_asked(spark):
+    rows = [(4, v, s, 1.0, 0.0, 0, "eval" if v == 1 else "train") for v in range(3) for s in range(2)]
+    log = make_log(spark, rows)
+    cfg = R.ReplayConfig(strategy="all", num_replays=0, min_cache=1, max_cache=8, modes=("train", "eval"))
+    got = R.replay_rows(R.with_positions(log, modes=cfg.modes).withColumn("score", plain_score(REWARDS)), cfg)
+    ids = {r.rollout_id for r in got.filter("batch_step = 2").collect()}
+    assert ids == {1000, 1001, 1002, 1003}
