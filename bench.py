@@ -41,7 +41,8 @@ HEADLINE = {
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = local_session(cpus, int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")), app="rollwise-bench")
+    default_parts = 2 * int(cpus) if cpus.isdigit() else 16  # two shuffle partitions per core
+    spark = local_session(cpus, int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", default_parts)), app="rollwise-bench")
     registry.load_all()
     times = {}
     for label, name in HEADLINE.items():
