@@ -274,6 +274,34 @@ def replay_rows(
     return choose(buf, cfg, key=key).select(key, *GROUP, "replay_slot", *base, "buf_size", *extra)
 
 
+def replay_increment(
+    snapshot: DataFrame,
+    new_pos: DataFrame,
+    cfg: ReplayConfig,
+    *,
+    key: str = "prompt_key",
+    carry: tuple[str, ...] = (),
+) -> tuple[DataFrame, DataFrame]:
+    """Replays for the steps in ``new_pos``, reading only the previous FIFO snapshot.
+
+    ``snapshot`` holds each prompt's buffer after the earlier steps (at most C rows per
+    prompt, e.g. the previous call's second output) and ``new_pos`` the new steps' rows;
+    both carry absolute ``pos`` (arithmetic from visit and slot) and ``score``. Returns the
+    replays of the new steps and the next snapshot, so a growing log costs the new rows
+    plus bounded state per run instead of its whole history.
+    """
+    cfg.validate()
+    cols = [key, "pos", "rollout_id", "seq", "score", *[c for c in carry if c not in ("rollout_id", "seq", "score")]]
+    combined = snapshot.select(*cols).unionByName(new_pos.select(*cols))
+    req = gate(buffer_requests(new_pos, cfg.max_cache, key=key), cfg.min_cache)
+    base = ("rollout_id", "seq", "score")
+    extra = tuple(c for c in cols[5:])
+    buf = buffer_asof(combined, req, cfg.max_cache, key=key, carry=base + extra)
+    replays = choose(buf, cfg, key=key).select(key, *GROUP, "replay_slot", *base, "buf_size", *extra)
+    next_snapshot = fifo_state(combined, cfg.max_cache, key=key, seq="pos").drop("age")
+    return replays, next_snapshot
+
+
 def merge_parts(
     online: DataFrame,
     replays: DataFrame,

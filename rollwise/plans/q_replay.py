@@ -192,6 +192,18 @@ for _name, _args in {
     register(_name, _sql)(_q)
 
 
+@register(
+    "r1_incremental_replay",
+    f"WITH {_replay_sql('highest_k', 8, 16, 16)}\nSELECT {GRP}, replay_slot, rollout_id FROM chosen WHERE batch_step >= 5",
+)
+def r1_incremental_replay(spark, sf):
+    """Steps >= 5 from the FIFO snapshot after steps < 5 (not the whole history)."""
+    pos = R.with_positions(roll(spark, sf), group_size=G).withColumn("score", plain_score(REWARDS))
+    snapshot = R.fifo_state(pos.filter("step < 5"), FLAGSHIP.max_cache, seq="pos").drop("age")
+    replays, _ = R.replay_increment(snapshot, pos.filter("step >= 5"), FLAGSHIP)
+    return replays.select("prompt_key", "batch_step", "batch_block", "replay_slot", "rollout_id")
+
+
 @register(
     "r1_fifo_state",
     f"""WITH {ROLL_SQL}

@@ -229,3 +229,19 @@ def test_eval_rows_enter_the_cache_when_asked(spark):
     got = R.replay_rows(R.with_positions(log, modes=cfg.modes).withColumn("score", plain_score(REWARDS)), cfg)
     ids = {r.rollout_id for r in got.filter("batch_step = 2").collect()}
     assert ids == {1000, 1001, 1002, 1003}
+
+
+def test_incremental_replay_equals_full_history(spark):
+    """Snapshot after steps < 5, then the later steps: the same replays as over the whole log."""
+    log = roll(spark, SF_SMALL)
+    pos = R.with_positions(log, group_size=8).withColumn("score", plain_score(REWARDS))
+    for strategy in ("highest_k", "max_variance_k", "recent_k"):
+        cfg = R.ReplayConfig(strategy=strategy, num_replays=6, min_cache=8, max_cache=12)
+        full = R.replay_rows(pos, cfg).filter("batch_step >= 5")
+        snapshot = R.fifo_state(pos.filter("step < 5"), cfg.max_cache, seq="pos").drop("age")
+        inc, nxt = R.replay_increment(snapshot, pos.filter("step >= 5"), cfg)
+        cols = ["prompt_key", "batch_step", "batch_block", "replay_slot", "rollout_id"]
+        assert {tuple(r) for r in inc.select(*cols).collect()} == {tuple(r) for r in full.select(*cols).collect()}, strategy
+    final = {tuple(r) for r in R.fifo_state(pos, 12, seq="pos").select("prompt_key", "rollout_id").collect()}
+    assert {tuple(r) for r in nxt.select("prompt_key", "rollout_id").collect()} == final
+    assert nxt.groupBy("prompt_key").count().agg(F.max("count")).first()[0] <= 12
