@@ -19,6 +19,8 @@ from rollwise.operators import evaluation as E
 from rollwise.operators import metrics as M
 from rollwise.operators import prep as P
 from rollwise.operators.advantage import advantages
+from rollwise.functions.rewards import plain_score
+from rollwise.operators import replay as R
 from rollwise.operators.replay import ReplayConfig
 from rollwise.plans.flagship import replay_batch
 from rollwise.sources import io as IO
@@ -113,3 +115,38 @@ def replay_step_tables(
         batch = batch.withColumn("mode", F.lit("train"))
     metrics = M.to_long(M.step_metrics(batch, rewards))
     return batch, metrics
+
+
+def replay_increment_tables(
+    snapshot: DataFrame | None,
+    new_log: DataFrame,
+    cfg: ReplayConfig,
+    *,
+    group_size: int,
+    mode: str = "split",
+    rewards: Sequence[str] = ("r_accuracy", "r_format"),
+    weights: Sequence[float] | None = None,
+    payload: Sequence[str] = ("completion_len", "terminated"),
+    scale_rewards: bool = True,
+) -> tuple[DataFrame, DataFrame]:
+    """The new steps of a growing log -> (their training batch with advantages, next snapshot).
+
+    ``snapshot`` is the previous call's second output (None on the first call); write it to
+    the shared checkpoint folder between runs. Positions are arithmetic (``visit * G + slot``),
+    so the new rows need no ranking against the history.
+    """
+    cols = (*rewards, *payload)
+    online = new_log.filter(F.col("mode").isin(*cfg.modes)) if cfg.modes else new_log
+    new_pos = R.with_positions(new_log, modes=cfg.modes, group_size=group_size).withColumn("score", plain_score(rewards))
+    keep = ["prompt_key", "pos", "rollout_id", "seq", "score", *cols]
+    if snapshot is None:
+        snapshot = new_pos.select(*keep).limit(0)
+    replays, next_snapshot = R.replay_increment(snapshot.select(*keep), new_pos, cfg, carry=cols)
+    on, off = R.merge_parts(online, replays, None, columns=cols)
+    reward = weighted_reward(rewards, weights)
+    if mode == "split":
+        on = advantages(on.withColumn("reward", reward), mode, scale_rewards=scale_rewards)
+        off = advantages(off.withColumn("reward", reward), mode, scale_rewards=scale_rewards)
+        return on.unionByName(off), next_snapshot
+    batch = on.unionByName(off).withColumn("reward", reward)
+    return advantages(batch, mode, scale_rewards=scale_rewards), next_snapshot
