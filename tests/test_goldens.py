@@ -149,3 +149,10 @@ def test_cluster_conf_sizes_partitions():
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
     assert cluster_conf(1 << 20, 8)["spark.sql.shuffle.partitions"] == "16"
     assert conf["spark.sql.adaptive.enabled"] == "true"
+
+
+def test_unshuffled_schedule_needs_integral_key(spark):
+    df = spark.createDataFrame([("a",), ("b",)], "k string")
+    with pytest.raises(ValueError):
+        S.repeat_schedule(df, "k", batch_size=1, shuffle=False)
+    assert S.repeat_schedule(df, "k", batch_size=1, shuffle=True).count() == 2
