@@ -92,7 +92,7 @@ def buffer_requests(
     aggregation per (prompt, step) also lists the step's blocks (a handful at most).
     """
     per_step = pos_log.groupBy(key, step).agg(
-        F.min("pos").alias("p0"), F.array_distinct(F.collect_list(F.col(block))).alias("_blocks")
+        F.min("pos").alias("p0"), F.collect_set(F.col(block)).alias("_blocks")
     )
     return per_step.select(
         key,
