@@ -2,8 +2,8 @@
 
 Accuracy grading extracts the answer from both sides, normalises it and compares it
 numerically, else textually. What is covered: integers, decimals, simple fractions
-(``a/b``, ``\\frac{a}{b}``), equations by their right-hand side, ``\\text{}``/``\\mathrm{}``
-wrappers, ``$``, sizing commands, degree and percent marks, and answers that are plain text. What is not:
+(``a/b``, ``\\frac{a}{b}``), equations by their right-hand side, units written as ``\\text{}`` after a number,
+``\\text{}``/``\\mathrm{}`` wrappers, ``$``, sizing commands, degree and percent marks, and answers that are plain text. What is not:
 symbolic equality of expressions (no LaTeX solver). A gold answer that yields nothing
 grades as NULL (unknown), never 0.
 
@@ -26,6 +26,7 @@ ANCHOR = r"[Ff]inal [Aa]nswer is:?\s*([^\n]+)"
 
 # (pattern, replacement) steps; a replacement "#1#2" names capture groups, anything else is literal.
 NORMALISE = [
+    (r"([0-9])\s*\\(?:text|mathrm)\{\s*[A-Za-z][A-Za-z ]*\}", "#1"),  # a unit after a number
     (r"\\(?:text|mathrm|textbf)\{([^{}]*)\}", "#1"),
     (r"\\[dt]?frac\{(-?[0-9.]+)\}\{(-?[0-9.]+)\}", "#1/#2"),
     (r"\\left|\\right|\\!|\\,|\\;|\$", ""),

@@ -214,7 +214,8 @@ ids AS (
 
 def grade(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``grade``: gold ``\\boxed{p_size}`` (a fraction form when p_partkey mod 7 = 0, empty when
-    mod 11 = 0); the prediction is an equation ``x = p_size`` when p_partkey mod 13 = 0, else by
+    mod 11 = 0); the prediction is an equation ``x = p_size`` when p_partkey mod 13 = 0, a
+    number with a unit when mod 17 = 0, else by
     p_partkey mod 5: same boxed / boxed p_size+1 / boxed ``p_size.0`` / ``final answer is
     $p_size$`` / no answer."""
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_type", "p_brand")
@@ -228,6 +229,7 @@ def grade(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = key % 5
     pred = (
         F.when(key % 13 == 0, F.concat(F.lit("so \\boxed{x = "), size, F.lit("}")))
+        .when(key % 17 == 0, F.concat(F.lit("\\boxed{"), size, F.lit("\\text{ cm}}")))
         .when(m == 0, F.concat(F.lit("The result is \\boxed{"), size, F.lit("}.")))
         .when(m == 1, F.concat(F.lit("\\boxed{"), (F.col("p_size") + 1).cast("string"), F.lit("}")))
         .when(m == 2, F.concat(F.lit("so \\boxed{"), size, F.lit(".0}")))
@@ -243,7 +245,8 @@ grade AS (
          CASE WHEN p_partkey % 11 = 0 THEN ''
               WHEN p_partkey % 7 = 0 THEN '\boxed{\frac{' || CAST(p_size AS VARCHAR) || '}{1}}'
               ELSE '\boxed{' || CAST(p_size AS VARCHAR) || '}' END AS gold,
-         CASE WHEN p_partkey % 13 = 0 THEN 'so \boxed{x = ' || CAST(p_size AS VARCHAR) || '}' ELSE
+         CASE WHEN p_partkey % 13 = 0 THEN 'so \boxed{x = ' || CAST(p_size AS VARCHAR) || '}'
+              WHEN p_partkey % 17 = 0 THEN '\boxed{' || CAST(p_size AS VARCHAR) || '\text{ cm}}' ELSE
          CASE p_partkey % 5
               WHEN 0 THEN 'The result is \boxed{' || CAST(p_size AS VARCHAR) || '}.'
               WHEN 1 THEN '\boxed{' || CAST(p_size + 1 AS VARCHAR) || '}'

@@ -26,11 +26,12 @@ def test_accuracy_goldens(spark):
         [("\\boxed{1+1=2}", "\\boxed{1+1=2}"), ("\\boxed{2+2=5}", "\\boxed{2+2=4}"), ("\\boxed{\\frac{1}{2}}", "0.5"),
          ("The final answer is $3$.", "\\boxed{3}"), ("no answer", "\\boxed{3}"), ("\\boxed{3}", ""),
          ("\\boxed{x=5}", "\\boxed{5}"), ("\\boxed{50\\%}", "50"), ("\\boxed{\\text{yes}}", "\\boxed{yes}"),
-         ("so \\boxed{\\frac{\\sqrt{3}}{2}}", "\\boxed{\\frac{\\sqrt{3}}{2}}"), ("\\boxed{\\frac{\\sqrt{3}}{2}}", "\\boxed{1}")],
+         ("so \\boxed{\\frac{\\sqrt{3}}{2}}", "\\boxed{\\frac{\\sqrt{3}}{2}}"), ("\\boxed{\\frac{\\sqrt{3}}{2}}", "\\boxed{1}"),
+         ("\\boxed{5\\text{ cm}}", "\\boxed{5}"), ("\\boxed{x = 12 \\mathrm{m}}", "12")],
         "pred string, gold string",
     )
     got = [r.reward for r in with_accuracy(df, "pred", "gold").collect()]
-    assert got == [1.0, 0.0, 1.0, 1.0, 0.0, None, 1.0, 1.0, 1.0, 1.0, 0.0]
+    assert got == [1.0, 0.0, 1.0, 1.0, 0.0, None, 1.0, 1.0, 1.0, 1.0, 0.0, 1.0, 1.0]
 
 
 def test_repeat_schedule_golden(spark):
