@@ -75,6 +75,9 @@ def test_replay_step_tables_match_flagship(spark):
     cfg = ReplayConfig(strategy="highest_k", num_replays=8, min_cache=16, max_cache=16)
     batch, metrics = jobs.replay_step_tables(roll(spark, SF_SMALL), cfg, group_size=G)
     assert batch.count() == 1648 and metrics.count() > 0
+    from rollwise import schemas
+
+    schemas.check(metrics, schemas.METRICS)
     mine = {(r.rollout_id, r.batch_step, r.is_online): round(r.advantage, 6) for r in batch.collect()}
     flag = {(r.rollout_id, r.batch_step, r.is_online): r.advantage for r in v3_split_advantage(spark, SF_SMALL).collect()}
     assert mine == flag
