@@ -30,5 +30,5 @@ def test_entry_contract(spark):
 
     df = E.entry(spark)
     assert df.count() > 0
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(E.oracle_sql()) <= set(E.queries())
     assert df.columns == ["prompt_key", "batch_step", "batch_block", "is_online", "batch_slot", "rollout_id", "reward", "advantage"]
