@@ -47,6 +47,14 @@ def maybe_broadcast(staged: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(staged) if few else staged
 
 
+def row_key(doc_id: Column, th: Column) -> list[Column]:
+    """Non-null columns _id, _null, _th naming a row by doc_id and text hash.
+
+    Plain equality on them is null-safe, so a join, a grouping and a window share one shuffle.
+    """
+    return [F.coalesce(doc_id.cast("long"), F.lit(0)).alias("_id"), doc_id.isNull().alias("_null"), th.alias("_th")]
+
+
 def packed(df: DataFrame, *needed: Column) -> DataFrame:
     """Every input column inside one struct ``_row``, beside the columns an operator works on.
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollwise.llm import quality, simhash
+from rollwise.llm import quality, secrets, simhash
 from rollwise.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +39,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
+
+
+@query("op9_secret_scans")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(read(spark, sf_dir, "documents"))

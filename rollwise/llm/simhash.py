@@ -31,10 +31,10 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollwise.llm.common import maybe_broadcast, packed, stage, text_key, unpacked
+from rollwise.llm.common import maybe_broadcast, packed, row_key, stage, text_key, unpacked
 from rollwise.llm.components import components
 
 SHINGLE = 3
@@ -333,15 +333,10 @@ def deduplicate(docs: DataFrame, shingle: int = SHINGLE, max_distance: int = MAX
         near_duplicates(docs, shingle, max_distance)
         .groupBy("group_fp")
         .agg(F.min(order).alias("k"))
-        .select(*_row_key(F.col("k.doc_id"), F.col("k.th")))
+        .select(*row_key(F.col("k.doc_id"), F.col("k.th")))
     )
     keep = stage(keep, "simhash-keep")
     key = ["_id", "_null", "_th"]
-    kept = packed(docs, *_row_key(F.col("doc_id").cast("long"), text_key())).join(keep, key, "left_semi")
+    kept = packed(docs, *row_key(F.col("doc_id"), text_key())).join(keep, key, "left_semi")
     one = F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(1)))
     return unpacked(kept.withColumn("_n", one).filter("_n = 1"))
-
-
-def _row_key(doc_id: Column, th: Column) -> list[Column]:
-    """Non-null columns naming a row, so that the join and the window after it share one shuffle."""
-    return [F.coalesce(doc_id, F.lit(0)).alias("_id"), doc_id.isNull().alias("_null"), th.alias("_th")]
