@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollwise.llm import quality, secrets, simhash
+from rollwise.llm import quality, secrets, simhash, substrings
 from rollwise.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +44,21 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_secret_scans")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(read(spark, sf_dir, "documents"))
+
+
+OP1 = """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+win AS (SELECT rid, i, md5(array_to_string(w[i : i + 34], ' ')) AS k FROM (SELECT rid, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) > 34)),
+rep AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY k) AS c FROM win) WHERE c > 1),
+gone AS (SELECT DISTINCT rid, unnest(range(i, i + 35)) AS p FROM rep),
+kept AS (SELECT d.rid, string_agg(u.word, ' ' ORDER BY u.p) AS t, count(*) AS n
+  FROM d, LATERAL (SELECT unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p) u
+  LEFT JOIN gone g ON g.rid = d.rid AND g.p = u.p WHERE g.p IS NULL GROUP BY d.rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid)
+"""
+
+
+@query("op1_substring_dedup", OP1)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digests(read(spark, sf_dir, "documents"))
