@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollwise.llm import quality, secrets, simhash, substrings
+from rollwise.llm import html, quality, secrets, simhash, substrings, urls
 from rollwise.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,13 @@ FROM d LEFT JOIN kept USING (rid)
 @query("op1_substring_dedup", OP1)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digests(read(spark, sf_dir, "documents"))
+
+
+@query("op7_url_filters")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(read(spark, sf_dir, "pages"))
+
+
+@query("op8_html_extraction")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(read(spark, sf_dir, "pages"))
