@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollwise.llm import html, quality, secrets, simhash, substrings, urls
+from rollwise.llm import html, langid, quality, secrets, simhash, substrings, urls, vptree
 from rollwise.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,13 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_html_extraction")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(read(spark, sf_dir, "pages"))
+
+
+@query("op5_language_id")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict(read(spark, sf_dir, "documents"))
+
+
+@query("op6_nearest_neighbours")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vptree.nearest(read(spark, sf_dir, "embeddings"))
