@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollwise.llm import html, langid, mixing, quality, secrets, simhash, substrings, urls, vptree
+from rollwise.llm import html, langid, mixing, pieces, quality, secrets, simhash, substrings, urls, vptree
 from rollwise.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_mixing_sources")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.schedule(read(spark, sf_dir, "documents"))
+
+
+@query("op2_sentencepiece_sampling")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.sampled(read(spark, sf_dir, "documents"))
