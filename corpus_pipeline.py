@@ -12,6 +12,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rollwise.llm import mixing, pieces, quality, secrets, simhash
 from rollwise.llm.common import read
@@ -29,8 +30,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their secrets replaced."""
-    return secrets.redact(docs)
+    """Documents with their secrets replaced, and the length of the text as it is then."""
+    return secrets.redact(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

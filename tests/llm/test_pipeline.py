@@ -5,7 +5,7 @@ import sys
 import pytest
 
 from rollwise.llm import mixing, pieces, quality, secrets
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_MID
 from tests.llm.test_secrets import base, weak
 from tests.llm.test_simhash import brute_components, brute_fingerprint
 from tests.oracle_harness import duck
@@ -15,11 +15,11 @@ import corpus_pipeline
 
 @pytest.fixture(scope="module")
 def stages(spark, tmp_path_factory):
-    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
     out = [docs]
     for name, fn in corpus_pipeline.STAGES:
         path = str(tmp_path_factory.mktemp(name) / "t")
-        fn(spark, docs, SF_SMALL).write.parquet(path)
+        fn(spark, docs, SF_MID).write.parquet(path)
         docs = spark.read.parquet(path)
         out.append(docs)
     return out
@@ -31,7 +31,7 @@ def test_columns(stages):
 
 
 def test_quality_stage(stages):
-    rows = duck(SF_SMALL).sql(f"WITH {quality.oracle()} SELECT doc_id FROM judged WHERE kept").fetchall()
+    rows = duck(SF_MID).sql(f"WITH {quality.oracle()} SELECT doc_id FROM judged WHERE kept").fetchall()
     assert sorted(r["doc_id"] for r in stages[1].collect()) == sorted(r[0] for r in rows)
 
 
@@ -43,6 +43,7 @@ def test_dedup_stage(stages):
 def test_secret_stage(stages):
     before = {r["doc_id"]: r["text"] for r in stages[2].collect()}
     after = {r["doc_id"]: r["text"] for r in stages[3].collect()}
+    assert stages[3].filter("n_chars <> length(text)").count() == 0
     assert before.keys() == after.keys()
     changed = 0
     for i, text in before.items():
@@ -73,9 +74,9 @@ def test_encoding_stage(stages):
 
 
 def test_empty_documents(spark):
-    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(0)
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet").limit(0)
     for _, fn in corpus_pipeline.STAGES:
-        docs = fn(spark, docs, SF_SMALL)
+        docs = fn(spark, docs, SF_MID)
         assert docs.count() == 0
 
 
