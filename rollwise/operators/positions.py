@@ -2,19 +2,61 @@
 
 ``row_number() over (partition by key order by seq)`` sends every row of a key to one
 task, so a key holding a third of the log becomes a third of the job in one task. The
-helpers here cut each key into bounded ranges of the order column, count rows per range
-(a map-side combined aggregate), turn the counts into offsets on that small table, and
-number rows only inside a range. The largest window partition is then one range.
+helpers here cut the order into ranges of about equally many rows, count rows per key and
+range (a map-side combined aggregate), turn the counts into offsets on that small table, and
+number rows only inside a range. The largest window partition is then one key's share of one range.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_RANGE_WIDTH = 1 << 20
+ROWS_PER_RANGE = 100_000
+COARSE = 32  # ranges are found in two steps of at most COARSE edges each
+MAX_RANGES = COARSE * COARSE
+
+
+def range_edges(df: DataFrame, order_col: str, n_ranges: int | None = None) -> list:
+    """Ascending values that cut the rows into ``n_ranges`` ranges by count, wherever the values lie.
+
+    One narrow pass over the order column; at most MAX_RANGES - 1 values reach the driver.
+    They are literals in the plan, so the count pass and the row pass always agree on them.
+    ``n_ranges`` defaults to one per ROWS_PER_RANGE rows.
+    """
+    if n_ranges is None:
+        n_ranges = -(-df.select(F.count(order_col)).first()[0] // ROWS_PER_RANGE)
+    n_ranges = min(max(n_ranges, 1), MAX_RANGES)
+    if n_ranges == 1:
+        return []
+    cuts = [i / n_ranges for i in range(1, n_ranges)]
+    found = df.select(F.percentile_approx(order_col, cuts, 20 * MAX_RANGES)).first()[0] or []
+    return sorted(set(found))
+
+
+def range_number(order: Column, edges: list) -> Column:
+    """How many edges are at or below the value (0 for NULL): grows with the value."""
+
+    def below(some: list) -> Column:
+        return F.size(F.filter(F.lit(some), lambda e: e <= order)) if some else F.lit(0)
+
+    if len(edges) <= COARSE:
+        return below(edges)
+    coarse = below(edges[COARSE - 1 :: COARSE])
+    fine = F.slice(F.lit(edges), coarse * COARSE + 1, F.lit(COARSE - 1))
+    return coarse * COARSE + F.size(F.filter(fine, lambda e: e <= order))
+
+
+def _key_columns(df: DataFrame, keys: Sequence[str]) -> dict[str, Column]:
+    """Two columns without NULL per key (its value or a stand-in, and whether it is NULL): equality on them is null-safe."""
+    types = dict(df.dtypes)
+    out = {}
+    for i, k in enumerate(keys):
+        out[f"_rw_k{i}"] = F.coalesce(F.col(k), F.lit("" if types[k] == "string" else 0).cast(types[k]))
+        out[f"_rw_n{i}"] = F.col(k).isNull()
+    return out
 
 
 def rank_within_key(
@@ -24,31 +66,52 @@ def rank_within_key(
     *,
     out: str = "pos",
     count_col: str | None = None,
-    range_width: int = DEFAULT_RANGE_WIDTH,
+    n_ranges: int | None = None,
 ) -> DataFrame:
     """Add ``out``: 0-based position of the row within ``keys`` ordered by ``order_col``.
 
-    ``order_col`` must be an integral column, unique within a key (an append sequence).
-    ``count_col`` optionally adds the key's total row count.
-    ``range_width`` bounds how many values of ``order_col`` share one window partition.
+    ``order_col`` is unique within a key (an append sequence); NULL keys form a group of their
+    own and NULL orders come first. ``count_col`` optionally adds the key's total row count.
+    Tables of one range (ROWS_PER_RANGE rows at most) are numbered directly.
     """
     keys = list(keys)
-    tagged = df.withColumn("_rw_range", F.expr(f"CAST(`{order_col}` AS BIGINT) div {int(range_width)}"))
-    counts = tagged.groupBy(*keys, "_rw_range").agg(F.count(F.lit(1)).alias("_rw_n"))
-    # With no key the offsets window spans the whole range table: one row per range.
-    before = Window.partitionBy(*keys).orderBy("_rw_range").rowsBetween(Window.unboundedPreceding, -1)
+    edges = range_edges(df, order_col, n_ranges)
+    if not edges:
+        whole = Window.partitionBy(*keys)
+        ranked = df.withColumn(out, (F.row_number().over(whole.orderBy(order_col)) - 1).cast("bigint"))
+        return ranked.withColumn(count_col, F.count(F.lit(1)).over(whole)) if count_col else ranked
+    named = _key_columns(df, keys)
+    by = [*named, "_rw_range"]
+    tagged = df.withColumns({**named, "_rw_range": range_number(F.col(order_col), edges)})
+    counts = tagged.groupBy(*by).agg(F.count(F.lit(1)).alias("_rw_n"))
+    # At most MAX_RANGES rows per key, and in all when there is no key.
+    before = Window.partitionBy(*named).orderBy("_rw_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_rw_off", F.coalesce(F.sum("_rw_n").over(before), F.lit(0)))
     if count_col:
-        offsets = offsets.withColumn(count_col, F.sum("_rw_n").over(Window.partitionBy(*keys)))
-    offsets = offsets.drop("_rw_n")
+        offsets = offsets.withColumn(count_col, F.sum("_rw_n").over(Window.partitionBy(*named)))
     # Rows are hashed on (key, range) — not on the key alone — so a hot key spreads over
     # tasks whichever join strategy runs; a sort-merge join needs this partitioning anyway.
-    rows = tagged.repartition(*keys, "_rw_range") if keys else tagged.repartition("_rw_range")
-    joined = rows.join(offsets, on=[*keys, "_rw_range"], how="inner")
-    local = Window.partitionBy(*keys, "_rw_range").orderBy(order_col)
-    return joined.withColumn(
-        out, (F.row_number().over(local) - F.lit(1) + F.col("_rw_off")).cast("bigint")
-    ).drop("_rw_range", "_rw_off")
+    joined = tagged.repartition(*by).join(offsets.drop("_rw_n"), on=by, how="inner")
+    local = Window.partitionBy(*by).orderBy(order_col)
+    return joined.withColumn(out, (F.row_number().over(local) - F.lit(1) + F.col("_rw_off")).cast("bigint")).drop(*by, "_rw_off")
+
+
+def first_by(df: DataFrame, order_col: str, n: int, *, newest: bool = False, n_ranges: int | None = None) -> DataFrame:
+    """The first ``n`` rows by ``order_col`` (the last ``n`` when ``newest``).
+
+    Narrow counts per range tell which ranges can hold them; only rows of those ranges reach
+    the final top-N, so scan tasks do not each ship ``n`` whole rows.
+    """
+    order = F.col(order_col).desc() if newest else F.col(order_col).asc()
+    edges = range_edges(df, order_col, n_ranges)
+    if edges:
+        at = range_number(F.col(order_col), edges)
+        counts = df.groupBy(at.alias("_rw_range")).agg(F.count(F.lit(1)).alias("_rw_n"))
+        side = F.col("_rw_range").desc() if newest else F.col("_rw_range").asc()
+        before = Window.orderBy(side).rowsBetween(Window.unboundedPreceding, -1)  # at most MAX_RANGES rows
+        used = counts.withColumn("_rw_off", F.coalesce(F.sum("_rw_n").over(before), F.lit(0))).filter(F.col("_rw_off") < n)
+        df = df.withColumn("_rw_range", at).join(F.broadcast(used.select("_rw_range")), "_rw_range", "left_semi").drop("_rw_range")
+    return df.orderBy(order).limit(n)
 
 
 def global_positions(
@@ -58,24 +121,28 @@ def global_positions(
     *,
     out: str = "gpos",
     prefix_chars: int = 4,
+    first: int | None = None,
 ) -> DataFrame:
     """0-based position of each row in the order ``(sort_key, tie_key)`` over the whole table.
 
+    ``first`` keeps only the first so many rows: buckets beyond them are dropped before any row is shuffled.
+
     ``sort_key`` must be a hex string (an md5), so its first ``prefix_chars`` characters
     split the rows into at most 16**prefix_chars evenly filled buckets. Counts per bucket
     (at most 65,536 rows by default, a proven bound) are turned into offsets and broadcast;
     rows are numbered only within their bucket.
     """
     n_buckets = 16**prefix_chars
-    bucketed = df.withColumn("_gp_b", F.substring(F.col(sort_key), 1, prefix_chars))
+    bucketed = df.withColumn("_gp_b", F.coalesce(F.substring(F.col(sort_key), 1, prefix_chars), F.lit("")))
     counts = bucketed.groupBy("_gp_b").agg(F.count(F.lit(1)).alias("_gp_n"))
     before = Window.orderBy("_gp_b").rowsBetween(Window.unboundedPreceding, -1)
     # The window above has no partition key on purpose: its input is the bucket table,
     # at most n_buckets rows whatever the data size.
     offsets = counts.withColumn("_gp_off", F.coalesce(F.sum("_gp_n").over(before), F.lit(0))).drop("_gp_n")
     assert n_buckets <= 1 << 20, "bucket table must stay small enough to broadcast"
+    if first is not None:
+        offsets = offsets.filter(F.col("_gp_off") < first)
     joined = bucketed.join(F.broadcast(offsets), on="_gp_b", how="inner")
     local = Window.partitionBy("_gp_b").orderBy(sort_key, tie_key)
-    return joined.withColumn(
-        out, (F.row_number().over(local) - F.lit(1) + F.col("_gp_off")).cast("bigint")
-    ).drop("_gp_b", "_gp_off")
+    placed = joined.withColumn(out, (F.row_number().over(local) - F.lit(1) + F.col("_gp_off")).cast("bigint"))
+    return (placed if first is None else placed.filter(F.col(out) < first)).drop("_gp_b", "_gp_off")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollwise.operators.positions import global_positions
+from rollwise.operators.positions import first_by, global_positions
 
 TRAINING_COLUMNS = ("prompt", "messages", "solution", "ground_truth")
 
@@ -88,13 +88,9 @@ def length_filter(df: DataFrame, n_tokens: Column, max_length: int | None, *, in
     return df.filter(n_tokens <= max_length if inclusive else n_tokens < max_length)
 
 
-# Row counts up to this size are taken with a top-N (each task keeps at most n rows);
-# larger samples go through bucketed global positions instead of one task.
-TOP_N_LIMIT = 100_000
-
-
 def seeded_order_key(key: str, seed: int) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+    """md5 of ``seed:key``; a NULL key sorts by the seed alone."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
 
 
 def seeded_sample(
@@ -106,32 +102,30 @@ def seeded_sample(
     split: str | None = "split",
     sample_split: str = "train",
     on_short: str = "clamp",
-    top_n_limit: int | None = None,
 ) -> DataFrame:
     """Seeded shuffle and first ``n`` of the sampled split; other splits pass through.
 
     A falsy ``n`` keeps everything. The order is ``md5(seed:key)`` then ``key``, reproducible
-    across engines. ``on_short='raise'`` fails when the split has fewer than ``n`` rows.
+    across engines. Rows whose split is NULL are not of the sampled split and pass through.
+    Buckets of the order beyond ``n`` are dropped before any row is shuffled, whatever ``n`` is.
+    ``on_short='raise'`` fails when the split has fewer than ``n`` rows.
     """
     if not n:
         return df
-    part = df.filter(F.col(split) == sample_split) if split else df
-    rest = df.filter(F.col(split) != sample_split) if split else None
+    chosen = F.col(split).eqNullSafe(F.lit(sample_split)) if split else F.lit(True)
+    part = df.filter(chosen)
     if on_short == "raise":
         have = part.count()
         if have < n:
             raise ValueError(f"sample size {n} > {have} rows in split {sample_split!r}")
     ordered = part.withColumn("_order", seeded_order_key(key, seed))
-    if n <= (TOP_N_LIMIT if top_n_limit is None else top_n_limit):
-        picked = ordered.orderBy("_order", key).limit(n).drop("_order")
-    else:
-        picked = global_positions(ordered, "_order", key, out="_gpos").filter(F.col("_gpos") < n).drop("_order", "_gpos")
-    return picked if rest is None else picked.unionByName(rest)
+    picked = global_positions(ordered, "_order", key, out="_gpos", first=n).select(*df.columns)
+    return picked.unionByName(df.filter(~chosen)) if split else picked
 
 
 def first_n(df: DataFrame, key: str, n: int | None) -> DataFrame:
     """The first ``n`` rows by ``key`` (the ``num_examples`` option made real)."""
-    return df if not n else df.orderBy(key).limit(n)
+    return df if not n else first_by(df, key, n)
 
 
 def first_per_key(df: DataFrame, key: str, seq: str, cols: Sequence[str]) -> DataFrame:

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollwise.operators.positions import DEFAULT_RANGE_WIDTH, rank_within_key
+from rollwise.operators.positions import rank_within_key
 
 STRATEGIES = ("none", "all", "random_k", "highest_k", "recent_k", "max_variance_k")
 
@@ -50,21 +50,20 @@ def with_positions(
     key: str = "prompt_key",
     seq: str = "seq",
     modes: tuple[str, ...] | None = ("train",),
-    range_width: int = DEFAULT_RANGE_WIDTH,
-    group_size: int | None = None,
-    visit: str = "step",
-    slot: str = "slot",
+    position: str | None = None,
+    n_ranges: int | None = None,
 ) -> DataFrame:
     """Rows that enter the cache (``mode`` in ``modes``; None keeps all) with their ``pos``.
 
-    When every visit of a prompt holds exactly ``group_size`` rows (the trainer writes G
-    completions per visit, numbered by ``visit`` and ``slot``), the position is arithmetic:
-    ``visit * G + slot``. Otherwise it is ranked by ``seq`` (skew-safe, see positions.py).
+    ``pos`` is the row's append number within its prompt, ranked by ``seq`` (skew-safe, see
+    positions.py): steps, visits and blocks play no part, so global step numbers, several
+    blocks per step and short groups are all right. ``position`` names a column that already
+    holds that number among the cached rows, and saves the ranking.
     """
     src = log.filter(F.col("mode").isin(*modes)) if modes else log
-    if group_size:
-        return src.withColumn("pos", (F.col(visit) * F.lit(group_size) + F.col(slot)).cast("bigint"))
-    return rank_within_key(src, [key], seq, out="pos", range_width=range_width)
+    if position:
+        return src.withColumn("pos", F.col(position).cast("bigint"))
+    return rank_within_key(src, [key], seq, out="pos", n_ranges=n_ranges)
 
 
 def fifo_state(log: DataFrame, cache_size: int, *, key: str = "prompt_key", seq: str = "seq") -> DataFrame:
@@ -104,7 +103,7 @@ def buffer_requests(
 
 
 def gate(requests: DataFrame, min_cache: int) -> DataFrame:
-    """keep requests whose buffer holds at least ``min_cache`` rows."""
+    """keep requests whose buffer holds at least ``min_cache`` rows (positions without gaps: ``p0`` rows came before)."""
     return requests.filter(F.col("buf_size") >= F.lit(min_cache))
 
 
@@ -132,8 +131,12 @@ def buffer_asof(
         )
     )
     rows = pos_log.select(key, "pos", *carry).withColumn("_rng", F.expr(f"pos div {int(cache_size)}"))
+    # Equality on the value and on being NULL is null-safe and hashes like a plain join key.
+    named = {"_bk": F.coalesce(F.col(key), F.lit("" if dict(rows.dtypes)[key] == "string" else 0).cast(dict(rows.dtypes)[key])), "_bn": F.col(key).isNull()}
     return (
-        req.join(rows, on=[key, "_rng"], how="inner")
+        req.withColumns(named)
+        .join(rows.withColumns(named).drop(key), on=["_bk", "_bn", "_rng"], how="inner")
+        .drop("_bk", "_bn")
         .filter((F.col("pos") >= F.col("buf_lo")) & (F.col("pos") < F.col("p0")))
         .withColumn("buf_idx", (F.col("pos") - F.col("buf_lo")).cast("bigint"))
         .drop("_rng", "buf_lo")
@@ -143,6 +146,16 @@ def buffer_asof(
 GROUP = ("batch_step", "batch_block")
 
 
+def counted_gate(buffer: DataFrame, min_cache: int, *, key: str = "prompt_key") -> DataFrame:
+    """F9 on the rows that are there: ``buf_size`` becomes the counted size, smaller buffers go.
+
+    Same groups as the strategies' windows, so it adds no shuffle; it holds where positions
+    given by the caller have gaps.
+    """
+    counted = buffer.withColumn("buf_size", F.count(F.lit(1)).over(_group_window(key)))
+    return counted.filter(F.col("buf_size") >= F.lit(min_cache))
+
+
 def _group_window(key: str) -> Window:
     return Window.partitionBy(key, *GROUP)
 
@@ -270,33 +283,44 @@ def replay_rows(
     req = gate(buffer_requests(scored, cfg.max_cache, key=key), cfg.min_cache)
     base = ("rollout_id", "seq", "score")
     extra = tuple(c for c in carry if c not in base)
-    buf = buffer_asof(scored, req, cfg.max_cache, key=key, carry=base + extra)
+    buf = counted_gate(buffer_asof(scored, req, cfg.max_cache, key=key, carry=base + extra), cfg.min_cache, key=key)
     return choose(buf, cfg, key=key).select(key, *GROUP, "replay_slot", *base, "buf_size", *extra)
 
 
+def continue_positions(
+    snapshot: DataFrame, new_rows: DataFrame, *, key: str = "prompt_key", seq: str = "seq", n_ranges: int | None = None
+) -> DataFrame:
+    """``new_rows`` with ``pos`` counted on from the newest row of each prompt's snapshot."""
+    ranked = rank_within_key(new_rows, [key], seq, out="_new", n_ranges=n_ranges)
+    newest = snapshot.groupBy(F.col(key).alias("_key")).agg((F.max("pos") + 1).alias("_from"))
+    joined = ranked.join(newest, F.col(key).eqNullSafe(F.col("_key")), "left")
+    return joined.withColumn("pos", F.coalesce("_from", F.lit(0)) + F.col("_new")).drop("_key", "_from", "_new")
+
+
 def replay_increment(
     snapshot: DataFrame,
-    new_pos: DataFrame,
+    new_rows: DataFrame,
     cfg: ReplayConfig,
     *,
     key: str = "prompt_key",
     carry: tuple[str, ...] = (),
 ) -> tuple[DataFrame, DataFrame]:
-    """Replays for the steps in ``new_pos``, reading only the previous FIFO snapshot.
+    """Replays for the steps in ``new_rows``, reading only the previous FIFO snapshot.
 
     ``snapshot`` holds each prompt's buffer after the earlier steps (at most C rows per
-    prompt, e.g. the previous call's second output) and ``new_pos`` the new steps' rows;
-    both carry absolute ``pos`` (arithmetic from visit and slot) and ``score``. Returns the
+    prompt with their ``pos``, e.g. the previous call's second output); ``new_rows`` are the
+    cached rows of the new steps with ``score``, numbered on from the snapshot. Returns the
     replays of the new steps and the next snapshot, so a growing log costs the new rows
     plus bounded state per run instead of its whole history.
     """
     cfg.validate()
+    new_pos = continue_positions(snapshot, new_rows, key=key)
     cols = [key, "pos", "rollout_id", "seq", "score", *[c for c in carry if c not in ("rollout_id", "seq", "score")]]
     combined = snapshot.select(*cols).unionByName(new_pos.select(*cols))
     req = gate(buffer_requests(new_pos, cfg.max_cache, key=key), cfg.min_cache)
     base = ("rollout_id", "seq", "score")
     extra = tuple(c for c in cols[5:])
-    buf = buffer_asof(combined, req, cfg.max_cache, key=key, carry=base + extra)
+    buf = counted_gate(buffer_asof(combined, req, cfg.max_cache, key=key, carry=base + extra), cfg.min_cache, key=key)
     replays = choose(buf, cfg, key=key).select(key, *GROUP, "replay_slot", *base, "buf_size", *extra)
     next_snapshot = fifo_state(combined, cfg.max_cache, key=key, seq="pos").drop("age")
     return replays, next_snapshot
@@ -365,5 +389,24 @@ def replay_ledger(replays: DataFrame, *, key: str = "prompt_key") -> DataFrame:
 
 def unmatched_replays(replays: DataFrame, batch: DataFrame, *, key: str = "prompt_key") -> DataFrame:
     """Replayed rows whose (prompt, step) has no online block in the batch; must be empty."""
-    heads = batch.select(key, F.col("step").alias("batch_step")).distinct()
-    return replays.join(heads, on=[key, "batch_step"], how="left_anti")
+    heads = batch.select(F.col(key).alias("_key"), F.col("step").alias("_step")).distinct()
+    return replays.join(heads, F.col(key).eqNullSafe(F.col("_key")) & F.col("batch_step").eqNullSafe(F.col("_step")), "left_anti")
+
+
+def cache_contents(state: DataFrame, columns: tuple[str, ...], *, key: str = "prompt_key", seq: str = "seq") -> DataFrame:
+    """One row per prompt: ``contents``, its buffer's rows (at most C) in append order."""
+    items = F.array_sort(F.collect_list(F.struct(F.col(seq), *[F.col(c) for c in columns])))
+    return state.groupBy(key).agg(items.alias("contents"))
+
+
+def cache_divergence(a: DataFrame, b: DataFrame, columns: tuple[str, ...], *, key: str = "prompt_key", seq: str = "seq") -> DataFrame:
+    """Prompts whose buffers differ between two cache states, with both contents (NULL where a side has none).
+
+    Contents are compared as arrays of rows, so NULL values and any characters count.
+    """
+    left = cache_contents(a, columns, key=key, seq=seq).select(F.col(key).alias("_ka"), F.col("contents").alias("contents_a"))
+    right = cache_contents(b, columns, key=key, seq=seq).select(F.col(key).alias("_kb"), F.col("contents").alias("contents_b"))
+    both = left.join(right, F.col("_ka").eqNullSafe(F.col("_kb")), "full_outer")
+    return both.filter(~F.col("contents_a").eqNullSafe(F.col("contents_b"))).select(
+        F.coalesce("_ka", "_kb").alias(key), "contents_a", "contents_b"
+    )

@@ -12,14 +12,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollwise.operators.positions import global_positions, rank_within_key
+from rollwise.operators.positions import first_by, global_positions, rank_within_key
 from rollwise.operators.prep import seeded_order_key
 
 
 def positions(df: DataFrame, key: str, *, shuffle: bool = True, seed: int = 42) -> DataFrame:
     """0-based position of every row in the (seeded-shuffled or key) order.
 
-    The unshuffled order ranks by the key's value in bounded ranges, so the key must be an
+    The unshuffled order ranks by the key's value in ranges of equal counts, so the key must be an
     integral column there; the shuffled order works for any key type.
     """
     if not shuffle and not isinstance(df.schema[key].dataType, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
@@ -86,5 +86,5 @@ def block_heads(rollouts: DataFrame, slot: str = "slot") -> DataFrame:
 
 
 def last_n(log: DataFrame, n: int, seq: str = "seq") -> DataFrame:
-    """The newest ``n`` rows of a log (a top-N: each task keeps at most n rows)."""
-    return log.orderBy(F.col(seq).desc()).limit(n)
+    """The newest ``n`` rows of a log."""
+    return first_by(log, seq, n, newest=True)

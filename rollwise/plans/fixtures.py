@@ -9,18 +9,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollwise.operators.positions import DEFAULT_RANGE_WIDTH, rank_within_key
+from rollwise.operators.positions import rank_within_key
 from rollwise.sources.tables import read_table
 
 G = 8
 REWARDS = ("r_accuracy", "r_format")
 
 
-def roll(spark: SparkSession, sf_dir: str, *, group_size: int = G, range_width: int = DEFAULT_RANGE_WIDTH) -> DataFrame:
+def roll(spark: SparkSession, sf_dir: str, *, group_size: int = G, n_ranges: int | None = None) -> DataFrame:
     """``roll``: events as a rollout log.
 
     prompt = user; append order = event_id (it follows ts throughout); each run of
-    ``group_size`` consecutive events of a user is one visit (= step), short tails dropped.
+    ``group_size`` consecutive events of a user is one visit (= step); the last visit of a user
+    may be short. ``fifo`` is the row's append number within its prompt.
     accuracy is 1 for purchase/signup, missing for error, else 0; format is value > 50.
     """
     ev = read_table(spark, sf_dir, "events").select(
@@ -36,21 +37,20 @@ def roll(spark: SparkSession, sf_dir: str, *, group_size: int = G, range_width:
         (F.get_json_object("props", "$.k").try_cast("int") + F.lit(1)).alias("completion_len"),
         (F.col("event_type") != "view").alias("terminated"),
     )
-    ranked = rank_within_key(ev, ["prompt_key"], "seq", out="rn", count_col="n_key", range_width=range_width)
+    ranked = rank_within_key(ev, ["prompt_key"], "seq", out="fifo", n_ranges=n_ranges)
     g = F.lit(group_size)
     return (
-        ranked.filter(F.col("rn") < F.floor(F.col("n_key") / g) * g)
-        .withColumn("step", F.floor(F.col("rn") / g).cast("bigint"))
-        .withColumn("slot", (F.col("rn") % g).cast("int"))
+        ranked.withColumn("step", F.floor(F.col("fifo") / g).cast("bigint"))
+        .withColumn("visit", F.col("step"))
+        .withColumn("slot", (F.col("fifo") % g).cast("int"))
         .withColumn("block", F.lit(0))
         .withColumn("mode", F.lit("train"))
-        .drop("rn", "n_key")
     )
 
 
 ROLL_SQL = """
 roll AS (
-  SELECT * EXCLUDE (rn, n_key), CAST(rn // 8 AS BIGINT) AS step, CAST(rn % 8 AS INTEGER) AS slot,
+  SELECT *, CAST(fifo // 8 AS BIGINT) AS step, CAST(fifo // 8 AS BIGINT) AS visit, CAST(fifo % 8 AS INTEGER) AS slot,
          0 AS block, 'train' AS mode
   FROM (
     SELECT user_id AS prompt_key, event_id AS rollout_id, event_id AS seq, event_type AS completion,
@@ -59,14 +59,12 @@ roll AS (
            CASE WHEN value > 50 THEN 1.0 ELSE 0.0 END::DOUBLE AS r_format,
            CAST(props->>'$.k' AS INTEGER) + 1 AS completion_len,
            event_type <> 'view' AS terminated,
-           row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS rn,
-           count(*) OVER (PARTITION BY user_id) AS n_key
+           row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS fifo
     FROM events)
-  WHERE rn < (n_key // 8) * 8
 )"""
 
 
-def eval_rows(spark: SparkSession, sf_dir: str, *, range_width: int = DEFAULT_RANGE_WIDTH) -> DataFrame:
+def eval_rows(spark: SparkSession, sf_dir: str, *, n_ranges: int | None = None) -> DataFrame:
     """``eval``: graded outputs in long form.
 
     dataset = lang; problem = source; each document is one output of its problem,
@@ -77,7 +75,7 @@ def eval_rows(spark: SparkSession, sf_dir: str, *, range_width: int = DEFAULT_RA
         F.col("lang").alias("dataset"), F.col("source").alias("problem"), "doc_id", F.col("text").alias("output")
     )
     # rank before the join: the rank's count pass then reads only the documents' key columns
-    ranked = rank_within_key(docs, ["dataset", "problem"], "doc_id", out="sample_idx", range_width=range_width)
+    ranked = rank_within_key(docs, ["dataset", "problem"], "doc_id", out="sample_idx", n_ranges=n_ranges)
     labels = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("flag"))
     return ranked.join(labels, "doc_id", "left")
 
@@ -195,19 +193,19 @@ tok AS (
 
 def ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``ids``: token ids floor(|e| * 50) (EOS = 0); prompt = the first 1 + vec_id mod 16 ids,
-    completion = ids 17..64."""
+    completion = all the others."""
     emb = read_table(spark, sf_dir, "embeddings")
     t = F.transform("embedding", lambda x: F.floor(F.abs(x.cast("double")) * 50).cast("int"))
     return emb.select(
         "vec_id",
         F.slice(t, 1, F.lit(1) + F.col("vec_id") % 16).alias("prompt_ids"),
-        F.slice(t, 17, 48).alias("completion_ids"),
+        F.slice(t, F.lit(2) + F.col("vec_id") % 16, F.size("embedding")).alias("completion_ids"),
     )
 
 
 IDS_SQL = """
 ids AS (
-  SELECT vec_id, list_slice(t, 1, 1 + vec_id % 16) AS prompt_ids, list_slice(t, 17, 64) AS completion_ids
+  SELECT vec_id, list_slice(t, 1, 1 + vec_id % 16) AS prompt_ids, list_slice(t, 2 + vec_id % 16, len(t)) AS completion_ids
   FROM (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(abs(CAST(x AS DOUBLE)) * 50) AS INTEGER)) AS t
         FROM embeddings))"""
 

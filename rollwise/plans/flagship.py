@@ -12,7 +12,7 @@ from rollwise.plans.fixtures import REWARDS
 
 
 def _batch_parts(
-    log: DataFrame, cfg: R.ReplayConfig, *, rewards=REWARDS, payload=(), group_size: int | None = None
+    log: DataFrame, cfg: R.ReplayConfig, *, rewards=REWARDS, payload=(), position: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
     cfg.validate()
     cols = (*rewards, *payload)
@@ -27,19 +27,19 @@ def _batch_parts(
             *cols,
         ).limit(0)
     else:
-        pos_log = R.with_positions(log, modes=cfg.modes, group_size=group_size).withColumn("score", plain_score(rewards))
+        pos_log = R.with_positions(log, modes=cfg.modes, position=position).withColumn("score", plain_score(rewards))
         replays = R.replay_rows(pos_log, cfg, carry=cols)
     return R.merge_parts(online, replays, None, columns=cols)
 
 
 def replay_batch(
-    log: DataFrame, cfg: R.ReplayConfig, *, rewards=REWARDS, payload=(), group_size: int | None = None
+    log: DataFrame, cfg: R.ReplayConfig, *, rewards=REWARDS, payload=(), position: str | None = None
 ) -> DataFrame:
     """Merged training batch (R8): online rows of every step plus the rows replayed into it.
 
-    ``group_size``: the log holds whole visits of this many rows, so positions are arithmetic.
+    ``position`` names a column with each row's append number, where the log has one.
     """
-    on, off = _batch_parts(log, cfg, rewards=rewards, payload=payload, group_size=group_size)
+    on, off = _batch_parts(log, cfg, rewards=rewards, payload=payload, position=position)
     return on.unionByName(off)
 
 
@@ -51,7 +51,7 @@ def replay_advantages(
     rewards=REWARDS,
     weights=None,
     scale_rewards: bool = True,
-    group_size: int | None = None,
+    position: str | None = None,
     payload=(),
 ) -> DataFrame:
     """Merged batch with ``reward`` and ``advantage``.
@@ -62,19 +62,19 @@ def replay_advantages(
     """
     reward = weighted_reward(rewards, weights)
     if mode == "split":
-        on, off = _batch_parts(log, cfg, rewards=rewards, payload=payload, group_size=group_size)
+        on, off = _batch_parts(log, cfg, rewards=rewards, payload=payload, position=position)
         on = advantages(on.withColumn("reward", reward), mode, scale_rewards=scale_rewards)
         off = advantages(off.withColumn("reward", reward), mode, scale_rewards=scale_rewards)
         return on.unionByName(off)
-    batch = replay_batch(log, cfg, rewards=rewards, payload=payload, group_size=group_size)
+    batch = replay_batch(log, cfg, rewards=rewards, payload=payload, position=position)
     return advantages(batch.withColumn("reward", reward), mode, scale_rewards=scale_rewards)
 
 
 FLAGSHIP = R.ReplayConfig(strategy="highest_k", num_replays=8, min_cache=16, max_cache=16)
 
 
-def flagship(log: DataFrame, group_size: int | None = 8) -> DataFrame:
-    out = replay_advantages(log, FLAGSHIP, mode="split", group_size=group_size)
+def flagship(log: DataFrame, position: str | None = "fifo") -> DataFrame:
+    out = replay_advantages(log, FLAGSHIP, mode="split", position=position)
     return out.select(
         "prompt_key",
         "batch_step",

@@ -98,7 +98,7 @@ def replay_step_tables(
     mode: str = "split",
     rewards: Sequence[str] = ("r_accuracy", "r_format"),
     weights: Sequence[float] | None = None,
-    group_size: int | None = None,
+    position: str | None = None,
     payload: Sequence[str] = ("completion_len", "terminated"),
     scale_rewards: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
@@ -108,7 +108,7 @@ def replay_step_tables(
     advantages, A1-A7 metrics. The batch is what a trainer reads; write it with
     ``df.write.parquet`` (or ``sources.io.append_rollouts`` for the log itself).
     """
-    batch = replay_batch(log, cfg, rewards=tuple(rewards), payload=tuple(payload), group_size=group_size)
+    batch = replay_batch(log, cfg, rewards=tuple(rewards), payload=tuple(payload), position=position)
     batch = batch.withColumn("reward", weighted_reward(rewards, weights))
     batch = advantages(batch, mode, scale_rewards=scale_rewards)
     if "mode" not in batch.columns:
@@ -122,7 +122,6 @@ def replay_increment_tables(
     new_log: DataFrame,
     cfg: ReplayConfig,
     *,
-    group_size: int,
     mode: str = "split",
     rewards: Sequence[str] = ("r_accuracy", "r_format"),
     weights: Sequence[float] | None = None,
@@ -132,16 +131,16 @@ def replay_increment_tables(
     """The new steps of a growing log -> (their training batch with advantages, next snapshot).
 
     ``snapshot`` is the previous call's second output (None on the first call); write it to
-    the shared checkpoint folder between runs. Positions are arithmetic (``visit * G + slot``),
-    so the new rows need no ranking against the history.
+    the shared checkpoint folder between runs. New rows are numbered on from the snapshot, so
+    they need no ranking against the history.
     """
     cols = (*rewards, *payload)
     online = new_log.filter(F.col("mode").isin(*cfg.modes)) if cfg.modes else new_log
-    new_pos = R.with_positions(new_log, modes=cfg.modes, group_size=group_size).withColumn("score", plain_score(rewards))
+    new_rows = online.withColumn("score", plain_score(rewards))
     keep = ["prompt_key", "pos", "rollout_id", "seq", "score", *cols]
     if snapshot is None:
-        snapshot = new_pos.select(*keep).limit(0)
-    replays, next_snapshot = R.replay_increment(snapshot.select(*keep), new_pos, cfg, carry=cols)
+        snapshot = new_rows.withColumn("pos", F.lit(0).cast("bigint")).select(*keep).limit(0)
+    replays, next_snapshot = R.replay_increment(snapshot.select(*keep), new_rows, cfg, carry=cols)
     on, off = R.merge_parts(online, replays, None, columns=cols)
     reward = weighted_reward(rewards, weights)
     if mode == "split":

@@ -137,6 +137,6 @@ def s9_completions_table(spark, sf):
 def s10_rollout_append(spark, sf):
     """Append the merged batch: only its online rows reach the log (replays are never pushed back)."""
     base = _folder(spark, "s10")
-    batch = replay_batch(roll(spark, sf), FLAGSHIP, group_size=G)
+    batch = replay_batch(roll(spark, sf), FLAGSHIP, position="fifo")
     IO.append_rollouts(batch, f"{base}/log")
     return spark.read.parquet(f"{base}/log").select("rollout_id", "prompt_key", "batch_step", "batch_slot", "r_accuracy", "r_format")

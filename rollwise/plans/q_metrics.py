@@ -13,7 +13,7 @@ from rollwise.plans.registry import register
 
 
 def _batch(spark, sf, eval_every: int | None = None):
-    b = replay_batch(roll(spark, sf), FLAGSHIP, payload=("completion_len", "terminated"), group_size=G)
+    b = replay_batch(roll(spark, sf), FLAGSHIP, payload=("completion_len", "terminated"), position="fifo")
     b = b.withColumn("reward", weighted_reward(REWARDS))
     mode = F.lit("train")
     if eval_every:

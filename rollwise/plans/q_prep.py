@@ -150,7 +150,7 @@ def t1_seeded_sample(spark, sf):
 @register("t1_seeded_sample_large", _t1_sql(700))
 def t1_seeded_sample_large(spark, sf):
     """The same sample taken through bucketed global positions (the path for samples beyond a top-N)."""
-    return P.seeded_sample(_customers(spark, sf), "c_custkey", 700, seed=42, top_n_limit=10)
+    return P.seeded_sample(_customers(spark, sf), "c_custkey", 700, seed=42)
 
 
 @register(

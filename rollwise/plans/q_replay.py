@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from rollwise.functions.rewards import all_missing, plain_score, weighted_reward
 from rollwise.operators import replay as R
-from rollwise.plans.fixtures import G, REWARDS, ROLL_SQL, roll
+from rollwise.plans.fixtures import REWARDS, ROLL_SQL, roll
 from rollwise.plans.flagship import FLAGSHIP, flagship, replay_advantages, replay_batch
 from rollwise.plans.registry import register
 from rollwise.sources.tables import read_table
@@ -140,27 +140,40 @@ def v3_split_advantage(spark, sf):
 
 @register("v2_mixed_advantage", _adv_sql("highest_k", "mixed"))
 def v2_mixed_advantage(spark, sf):
-    return _adv_out(replay_advantages(roll(spark, sf), FLAGSHIP, mode="mixed", group_size=G))
+    return _adv_out(replay_advantages(roll(spark, sf), FLAGSHIP, mode="mixed", position="fifo"))
 
 
 @register("v1_group_advantage", _adv_sql("none", "none"))
 def v1_group_advantage(spark, sf):
     cfg = R.ReplayConfig(strategy="none")
-    return _adv_out(replay_advantages(roll(spark, sf), cfg, mode="none", group_size=G))
+    return _adv_out(replay_advantages(roll(spark, sf), cfg, mode="none", position="fifo"))
 
 
 @register("v5_group_of_one", _adv_sql("recent_k", "split", k=1, gate=8, cache=16))
 def v5_group_of_one(spark, sf):
     """One replayed row per block: its split group has no sample std, advantage 0."""
     cfg = R.ReplayConfig(strategy="recent_k", num_replays=1, min_cache=8, max_cache=16)
-    return _adv_out(replay_advantages(roll(spark, sf), cfg, mode="split", group_size=G))
+    return _adv_out(replay_advantages(roll(spark, sf), cfg, mode="split", position="fifo"))
 
 
-@register("v1_unscaled_advantage", _adv_sql("all", "mixed", k=0, gate=4, cache=8))
-def v1_unscaled_advantage(spark, sf):
-    """``all`` strategy with a partial-buffer gate, mixed groups, ``scale_rewards`` on."""
+@register("v2_mixed_advantage_all", _adv_sql("all", "mixed", k=0, gate=4, cache=8))
+def v2_mixed_advantage_all(spark, sf):
+    """``all`` strategy with a partial-buffer gate, mixed groups."""
     cfg = R.ReplayConfig(strategy="all", num_replays=0, min_cache=4, max_cache=8)
-    return _adv_out(replay_advantages(roll(spark, sf), cfg, mode="mixed", group_size=G))
+    return _adv_out(replay_advantages(roll(spark, sf), cfg, mode="mixed", position="fifo"))
+
+
+@register(
+    "v1_unscaled_advantage",
+    f"""WITH {_batch_sql("highest_k", 8, 16, 16)},
+rew AS (SELECT *, coalesce(r_accuracy, 0) + coalesce(r_format, 0) AS reward FROM batch)
+SELECT {GRP}, is_online, batch_slot, rollout_id, reward,
+       round(reward - avg(reward) OVER (PARTITION BY {GRP}, is_online), 6) AS advantage
+FROM rew""",
+)
+def v1_unscaled_advantage(spark, sf):
+    """Rewards minus the group mean, not divided by the deviation."""
+    return _adv_out(replay_advantages(roll(spark, sf), FLAGSHIP, mode="split", scale_rewards=False, position="fifo"))
 
 
 # ----------------------------------------------------------------------------- R strategies
@@ -171,7 +184,7 @@ def _strategy_query(strategy: str, k: int, gate: int, cache: int):
 
     def q(spark, sf):
         log = roll(spark, sf)
-        pos_log = R.with_positions(log, group_size=G).withColumn("score", plain_score(REWARDS))
+        pos_log = R.with_positions(log, position="fifo").withColumn("score", plain_score(REWARDS))
         out = R.replay_rows(pos_log, cfg)
         return out.select("prompt_key", "batch_step", "batch_block", "replay_slot", "rollout_id")
 
@@ -186,7 +199,6 @@ for _name, _args in {
     "r6_recent_k": ("recent_k", 8, 8, 16),
     "r7_max_variance_k": ("max_variance_k", 8, 16, 16),
     "r7_max_variance_k_partial": ("max_variance_k", 5, 8, 12),
-    "r5_highest_k_zero": ("highest_k", 0, 8, 16),
 }.items():
     _q, _sql = _strategy_query(*_args)
     register(_name, _sql)(_q)
@@ -198,12 +210,49 @@ for _name, _args in {
 )
 def r1_incremental_replay(spark, sf):
     """Steps >= 5 from the FIFO snapshot after steps < 5 (not the whole history)."""
-    pos = R.with_positions(roll(spark, sf), group_size=G).withColumn("score", plain_score(REWARDS))
+    pos = R.with_positions(roll(spark, sf), position="fifo").withColumn("score", plain_score(REWARDS))
     snapshot = R.fifo_state(pos.filter("step < 5"), FLAGSHIP.max_cache, seq="pos").drop("age")
-    replays, _ = R.replay_increment(snapshot, pos.filter("step >= 5"), FLAGSHIP)
+    replays, _ = R.replay_increment(snapshot, pos.filter("step >= 5").drop("pos"), FLAGSHIP)
     return replays.select("prompt_key", "batch_step", "batch_block", "replay_slot", "rollout_id")
 
 
+def _log_query(name: str, spark_log, step_sql: str, block_sql: str):
+    """highest_k over a log numbered as a trainer numbers it; the SQL ranks by ``seq`` alone."""
+    sql = ",\n".join(
+        [
+            ROLL_SQL,
+            f"renumbered AS (SELECT * REPLACE ({step_sql} AS step, {block_sql} AS block) FROM roll)",
+            _pos_sql().replace("FROM roll", "FROM renumbered"),
+            _req_sql(16),
+            _buf_sql(16, 16),
+            _choose_sql("highest_k", 8),
+        ]
+    )
+
+    def q(spark, sf):
+        log = spark_log(roll(spark, sf)).drop("fifo")
+        out = R.replay_rows(R.with_positions(log).withColumn("score", plain_score(REWARDS)), FLAGSHIP)
+        return out.select("prompt_key", "batch_step", "batch_block", "replay_slot", "rollout_id")
+
+    register(name, f"WITH {sql}\nSELECT {GRP}, replay_slot, rollout_id FROM chosen")(q)
+
+
+# Global steps: a prompt is seen at steps far apart (37, 293, 549, ...).
+_log_query(
+    "r5_global_step_log",
+    lambda log: log.withColumn("step", F.col("visit") * 256 + F.col("prompt_key") % 256),
+    "visit * 256 + prompt_key % 256",
+    "block",
+)
+# Two blocks per step: both read the buffer as it was before the step.
+_log_query(
+    "r5_two_blocks",
+    lambda log: log.withColumn("step", F.floor(F.col("visit") / 2).cast("bigint")).withColumn("block", (F.col("visit") % 2).cast("int")),
+    "CAST(visit // 2 AS BIGINT)",
+    "CAST(visit % 2 AS INTEGER)",
+)
+
+
 @register(
     "r1_fifo_state",
     f"""WITH {ROLL_SQL}
@@ -221,7 +270,7 @@ def r1_fifo_state(spark, sf):
 SELECT {GRP}, buf_size, rollout_id, buf_idx FROM buf""",
 )
 def j2_buffer_asof(spark, sf):
-    pos_log = R.with_positions(roll(spark, sf))
+    pos_log = R.with_positions(roll(spark, sf), position="fifo")
     req = R.buffer_requests(pos_log, 16)
     return R.buffer_asof(pos_log, req, 16).select(
         "prompt_key", "batch_step", "batch_block", "buf_size", "rollout_id", "buf_idx"
@@ -246,7 +295,7 @@ def f9_gate(spark, sf):
 SELECT {GRP}, is_online, batch_slot, rollout_id, r_accuracy, r_format FROM batch""",
 )
 def r8_merge(spark, sf):
-    return replay_batch(roll(spark, sf), FLAGSHIP, group_size=G).select(
+    return replay_batch(roll(spark, sf), FLAGSHIP, position="fifo").select(
         "prompt_key", "batch_step", "batch_block", "is_online", "batch_slot", "rollout_id", "r_accuracy", "r_format"
     )
 
@@ -258,7 +307,7 @@ SELECT {GRP}, is_online, batch_slot, rollout_id, r_accuracy, r_format FROM batch
 )
 def r8_merge_max_variance(spark, sf):
     cfg = R.ReplayConfig(strategy="max_variance_k", num_replays=8, min_cache=16, max_cache=16)
-    return replay_batch(roll(spark, sf), cfg, group_size=G).select(
+    return replay_batch(roll(spark, sf), cfg, position="fifo").select(
         "prompt_key", "batch_step", "batch_block", "is_online", "batch_slot", "rollout_id", "r_accuracy", "r_format"
     )
 
@@ -269,7 +318,7 @@ def r8_merge_max_variance(spark, sf):
 SELECT {GRP}, is_online, batch_slot, rollout_id, r_accuracy, r_format FROM batch""",
 )
 def r9_no_replay(spark, sf):
-    return replay_batch(roll(spark, sf), R.ReplayConfig(strategy="none"), group_size=G).select(
+    return replay_batch(roll(spark, sf), R.ReplayConfig(strategy="none"), position="fifo").select(
         "prompt_key", "batch_step", "batch_block", "is_online", "batch_slot", "rollout_id", "r_accuracy", "r_format"
     )
 
@@ -280,7 +329,7 @@ def r9_no_replay(spark, sf):
 SELECT is_online, count(*) AS n_rows, count(DISTINCT prompt_key) AS n_prompts FROM batch GROUP BY is_online""",
 )
 def f10_online_offline(spark, sf):
-    b = replay_batch(roll(spark, sf), FLAGSHIP, group_size=G)
+    b = replay_batch(roll(spark, sf), FLAGSHIP, position="fifo")
     return b.groupBy("is_online").agg(
         F.count(F.lit(1)).alias("n_rows"), F.countDistinct("prompt_key").alias("n_prompts")
     )
@@ -292,7 +341,7 @@ def f10_online_offline(spark, sf):
 SELECT batch_step, count(*) AS replay_rows, count(DISTINCT prompt_key) AS prompts_replayed FROM chosen GROUP BY batch_step""",
 )
 def r10_replay_ledger(spark, sf):
-    pos_log = R.with_positions(roll(spark, sf), group_size=G).withColumn("score", plain_score(REWARDS))
+    pos_log = R.with_positions(roll(spark, sf), position="fifo").withColumn("score", plain_score(REWARDS))
     return R.replay_ledger(R.replay_rows(pos_log, FLAGSHIP))
 
 
@@ -323,7 +372,7 @@ SELECT c.prompt_key, c.batch_step, c.replay_slot, c.rollout_id, cu.c_name AS pro
 FROM chosen c JOIN customer cu ON cu.c_custkey = c.prompt_key""",
 )
 def j3_replay_inputs(spark, sf):
-    pos_log = R.with_positions(roll(spark, sf), group_size=G).withColumn("score", plain_score(REWARDS))
+    pos_log = R.with_positions(roll(spark, sf), position="fifo").withColumn("score", plain_score(REWARDS))
     rep = R.replay_rows(pos_log, FLAGSHIP)
     return rep.join(_prompts(spark, sf), "prompt_key").select("prompt_key", "batch_step", "replay_slot", "rollout_id", "prompt", "segment")
 
@@ -337,7 +386,7 @@ FROM chosen c JOIN roll r USING (rollout_id)""",
 def j6_payload_fetch(spark, sf):
     log = roll(spark, sf)
     cfg = R.ReplayConfig(strategy="recent_k", num_replays=4, min_cache=8, max_cache=16)
-    rep = R.replay_rows(R.with_positions(log, group_size=G).withColumn("score", plain_score(REWARDS)), cfg)
+    rep = R.replay_rows(R.with_positions(log, position="fifo").withColumn("score", plain_score(REWARDS)), cfg)
     payload = log.select("rollout_id", "completion", "completion_len", "terminated")
     return rep.select("prompt_key", "batch_step", "replay_slot", "rollout_id").join(payload, "rollout_id")
 
@@ -345,43 +394,37 @@ def j6_payload_fetch(spark, sf):
 @register(
     "j7_prompt_agreement",
     f"""WITH {_replay_sql("highest_k", 8, 16, 16)}
-SELECT count(*) AS unmatched FROM chosen c
-WHERE NOT EXISTS (SELECT 1 FROM roll r WHERE r.prompt_key = c.prompt_key AND r.step = c.batch_step)""",
+SELECT c.prompt_key, c.batch_step, count(*) AS unmatched FROM chosen c
+WHERE NOT EXISTS (SELECT 1 FROM roll r WHERE r.prompt_key = c.prompt_key AND r.step = c.batch_step AND r.step % 7 <> 3)
+GROUP BY ALL""",
 )
 def j7_prompt_agreement(spark, sf):
     log = roll(spark, sf)
-    rep = R.replay_rows(R.with_positions(log, group_size=G).withColumn("score", plain_score(REWARDS)), FLAGSHIP)
-    return R.unmatched_replays(rep, log).agg(F.count(F.lit(1)).alias("unmatched"))
-
-
-def _signature(df):
-    """Buffer contents per prompt as one ordered string (buffers hold at most C rows)."""
-    items = F.array_sort(F.collect_list(F.struct("seq", "completion")))
-    return df.groupBy("prompt_key").agg(F.array_join(F.transform(items, lambda x: x["completion"]), "|").alias("sig"))
+    rep = R.replay_rows(R.with_positions(log, position="fifo").withColumn("score", plain_score(REWARDS)), FLAGSHIP)
+    batch = log.filter("step % 7 <> 3")  # a batch that lost the online blocks of some steps
+    return R.unmatched_replays(rep, batch).groupBy("prompt_key", "batch_step").agg(F.count(F.lit(1)).alias("unmatched"))
 
 
 @register(
     "j8_cache_divergence",
     f"""WITH {ROLL_SQL},
-a AS (SELECT prompt_key, string_agg(completion, '|' ORDER BY seq) AS sig FROM (
+a AS (SELECT prompt_key, list(completion ORDER BY seq) AS c, list(seq ORDER BY seq) AS q FROM (
         SELECT *, row_number() OVER (PARTITION BY prompt_key ORDER BY seq DESC) AS rn FROM roll) WHERE rn <= 16 GROUP BY prompt_key),
-b AS (SELECT prompt_key, string_agg(completion, '|' ORDER BY seq) AS sig FROM (
+b AS (SELECT prompt_key, list(completion ORDER BY seq) AS c, list(seq ORDER BY seq) AS q FROM (
         SELECT *, row_number() OVER (PARTITION BY prompt_key ORDER BY seq DESC) AS rn FROM roll WHERE completion <> 'error')
         WHERE rn <= 16 GROUP BY prompt_key)
-SELECT coalesce(a.prompt_key, b.prompt_key) AS prompt_key, a.sig AS sig_a, b.sig AS sig_b
+SELECT coalesce(a.prompt_key, b.prompt_key) AS prompt_key, CAST(to_json(a.c) AS VARCHAR) AS completions_a, CAST(to_json(b.c) AS VARCHAR) AS completions_b
 FROM a FULL OUTER JOIN b ON a.prompt_key = b.prompt_key
-WHERE a.sig IS DISTINCT FROM b.sig""",
+WHERE a.c IS DISTINCT FROM b.c OR a.q IS DISTINCT FROM b.q""",
 )
 def j8_cache_divergence(spark, sf):
     """Two cache replicas, one of which never saw the error rollouts; report prompts that differ."""
     log = roll(spark, sf)
-    a = _signature(R.fifo_state(log, 16)).select(F.col("prompt_key").alias("key_a"), F.col("sig").alias("sig_a"))
-    b = _signature(R.fifo_state(log.filter(F.col("completion") != "error"), 16)).select(
-        F.col("prompt_key").alias("key_b"), F.col("sig").alias("sig_b")
-    )
-    j = a.join(b, F.col("key_a").eqNullSafe(F.col("key_b")), "full_outer")
-    return j.filter(~F.col("sig_a").eqNullSafe(F.col("sig_b"))).select(
-        F.coalesce("key_a", "key_b").alias("prompt_key"), "sig_a", "sig_b"
+    out = R.cache_divergence(R.fifo_state(log, 16), R.fifo_state(log.filter(F.col("completion") != "error"), 16), ("completion",))
+    return out.select(
+        "prompt_key",
+        F.to_json("contents_a.completion").alias("completions_a"),
+        F.to_json("contents_b.completion").alias("completions_b"),
     )
 
 
