@@ -26,31 +26,36 @@ def _ks(num_samples: int) -> list[int]:
     return [k for k in PASS_K if k <= top]
 
 
-def per_problem(graded: DataFrame, num_samples: int) -> DataFrame:
-    """Per problem: ``hit_k`` = any correct among the first k outputs, ``sum_k`` = correct count there."""
+def per_problem(graded: DataFrame, num_samples: int, problem: str = "problem") -> DataFrame:
+    """Per problem row: ``hit_k`` = any correct among the first k outputs, ``sum_k`` = correct count there.
+
+    ``problem`` names the row id: problems that share a text are counted apart by an id, and a
+    row without outputs (NULL ``sample_idx``) counts with nothing correct.
+    """
     flag = F.coalesce(F.col("flag"), F.lit(0.0))  # E4: a missing grade counts as wrong
     aggs = []
     for k in _ks(num_samples):
         first_k = F.col("sample_idx") < k
         aggs.append(F.max(F.when(first_k, flag).otherwise(0.0)).alias(f"hit_{k}"))
         aggs.append(F.sum(F.when(first_k, flag).otherwise(0.0)).alias(f"sum_{k}"))
-    return graded.groupBy("dataset", "problem").agg(*aggs)
+    return graded.groupBy("dataset", problem).agg(*aggs)
 
 
-def dataset_metrics(graded: DataFrame, datasets: DataFrame, num_samples: int) -> DataFrame:
+def dataset_metrics(graded: DataFrame, datasets: DataFrame, num_samples: int, problem: str = "problem") -> DataFrame:
     """Long form ``(dataset, k, total, pass_at_k, avg_at_k)`` for k <= samples of the dataset.
 
     ``datasets`` lists every dataset to report (one column ``dataset``); a dataset with no
-    surviving problem reports total 0 and every ratio 0.
+    surviving problem reports total 0 and every ratio 0. ``problem`` names the column that
+    tells result rows apart.
     """
     ks = _ks(num_samples)
-    pp = per_problem(graded, num_samples)
+    pp = per_problem(graded, num_samples, problem)
     aggs = [F.count(F.lit(1)).alias("total")]
     for k in ks:
         aggs.append(F.sum(F.when(F.col(f"hit_{k}") > 0, 1.0).otherwise(0.0)).alias(f"pass_{k}"))
         aggs.append(F.sum(F.col(f"sum_{k}") / F.lit(float(k))).alias(f"avg_{k}"))
     per_ds = pp.groupBy("dataset").agg(*aggs)
-    full = datasets.select("dataset").distinct().join(per_ds, "dataset", "left")
+    full = datasets.select(F.col("dataset").alias("_ds")).distinct().join(per_ds, F.col("_ds").eqNullSafe(F.col("dataset")), "left").withColumn("dataset", F.col("_ds"))
     total = F.coalesce(F.col("total"), F.lit(0))
     rows = F.explode(
         F.array(

@@ -151,14 +151,24 @@ def batch_losses(sums: DataFrame, cfg: LossConfig, group: tuple[str, ...] = ("ba
         ]
     out = sums.groupBy(*group).agg(*aggs)
     on_total = F.col("on_loss") + (F.lit(cfg.beta) * F.col("kl") if cfg.beta != 0.0 else F.lit(0.0))
-    return out.withColumn("loss", on_total + F.lit(cfg.off_policy_coef) * F.col("off_loss"))
+    out = out.withColumn("on_total", on_total)  # reported as the on-policy loss: the KL term is part of it
+    return out.withColumn("loss", F.col("on_total") + F.lit(cfg.off_policy_coef) * F.col("off_loss"))
 
 
+# The names the loss metrics are reported under.
 METRIC_NAMES = {
-    "on_loss": "loss/on_policy",
+    "on_total": "loss/on_policy",
     "off_loss": "loss/off_policy",
     "kl": "kl",
-    **{f"clip_{w}_{k}": f"clip_ratio/{w}_{k}" for w in ("overall", "on", "off") for k in ("low", "high", "region")},
+    "clip_overall_low": "clip_ratio/overall_low",
+    "clip_overall_high": "clip_ratio/overall_high",
+    "clip_overall_region": "clip_ratio/overall_region",
+    "clip_on_low": "clip_ratio/on_low",
+    "clip_on_high": "clip_ratio/on_high",
+    "clip_on_region": "clip_ratio/on_region",
+    "clip_off_low": "clip_ratio/off_low",
+    "clip_off_high": "clip_ratio/off_high",
+    "clip_off_region": "clip_ratio/off_region",
 }
 
 

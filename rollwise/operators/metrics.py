@@ -1,9 +1,9 @@
 """Training metrics per step (A1-A8) as a long table ``(mode, step, metric, value)``.
 
-Every metric is a conditional (FILTER-style) aggregate of one aggregation per step, with
-partial aggregation before the shuffle. Group statistics come from a window over bounded
-groups (one block's fresh or replayed rows); the running token count is the only window
-without a group key, and it runs over the per-step table (one row per step).
+Rows are grouped twice: first by block side (one block's fresh or replayed rows), to counts,
+sums, extremes and the group's reward mean and deviation, then by step. Both aggregate
+map-side before their shuffle, and no window or sort touches the rows. The running token
+count is the only window, over the per-step table.
 """
 
 from __future__ import annotations
@@ -14,9 +14,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _on(c: str | Column, online: int) -> Column:
-    col = F.col(c) if isinstance(c, str) else c
-    return F.when(F.col("is_online") == online, col)
+def _std(n: Column, total: Column, squares: Column) -> Column:
+    """Sample standard deviation from a count, a sum and a sum of squares; NULL below two values."""
+    return F.when(n > 1, F.sqrt(F.greatest(squares - total * total / n, F.lit(0.0)) / (n - 1)))
 
 
 def step_metrics(
@@ -25,55 +25,72 @@ def step_metrics(
     *,
     reward: str = "reward",
     length: str = "completion_len",
+    prompt_length: str | None = None,
     terminated: str = "terminated",
-    tokens: str | None = None,
 ) -> DataFrame:
     """Wide per-step metrics. ``batch`` carries ``mode``, ``batch_step``, ``is_online`` and the columns named here.
 
-    ``tokens`` is the per-row token count that feeds ``num_tokens`` (defaults to ``length``).
-    Group statistics (A3) come from a window over each block's fresh or replayed rows (the
-    same key as split advantages); every metric is then one aggregation per step, so the
-    batch is read once.
+    ``num_tokens`` (A7) counts prompt and completion tokens of all training rows up to the
+    step, whatever the row's mode: an eval step shows the tokens trained on so far. A group of
+    one row has deviation 0, as for its advantage (V5).
     """
-    tokens = tokens or length
-    grp = Window.partitionBy("mode", "batch_step", "prompt_key", "batch_block", "is_online")
-    b = (
-        batch.withColumn("_gm", F.avg(reward).over(grp))
-        .withColumn("_gs", F.stddev_samp(reward).over(grp))
-        .withColumn("_head", F.row_number().over(grp.orderBy("batch_slot")) == 1)
-    )
-    has_off = F.count(_on(F.lit(1), 0)) > 0
-    head = F.col("_head")
+    groups = ["mode", "batch_step", "prompt_key", "batch_block", "is_online"]
+    term, size = F.col(terminated), F.col(length)
+    tokens = size + F.col(prompt_length) if prompt_length else size
+    first = [
+        F.count(F.lit(1)).alias("n"),
+        F.avg(reward).alias("gm"),
+        F.coalesce(F.stddev_samp(reward), F.lit(0.0)).alias("gs"),
+        F.sum(size).alias("len_sum"),
+        F.min(size).alias("len_min"),
+        F.max(size).alias("len_max"),
+        F.count(F.when(term, 1)).alias("t_n"),
+        F.sum(F.when(term, size)).alias("t_sum"),
+        F.min(F.when(term, size)).alias("t_min"),
+        F.max(F.when(term, size)).alias("t_max"),
+        F.sum(F.when(F.col("mode") == "train", tokens).otherwise(0)).alias("tokens"),
+    ]
+    for i, r in enumerate(rewards):
+        x = F.col(r).cast("double")
+        first += [F.count(x).alias(f"c{i}"), F.sum(x).alias(f"s{i}"), F.sum(x * x).alias(f"q{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+    g = batch.groupBy(*groups).agg(*first)
+
+    def on(name: str, online: int) -> Column:
+        return F.when(F.col("is_online") == online, F.col(name))
+
+    has_off = F.count(on("n", 0)) > 0
+    # A4: offline metrics are 0 when the step replayed nothing
+    off = lambda c: F.when(has_off, c).otherwise(F.lit(0.0))
     aggs = []
-    for r in rewards:
+    for i, r in enumerate(rewards):
+        n, s, q = ([F.sum(on(f"{x}{i}", o)) for o in (0, 1)] for x in ("c", "s", "q"))
         aggs += [
-            F.avg(_on(r, 1)).alias(f"rewards/{r}/online_mean"),
-            F.stddev_samp(_on(r, 1)).alias(f"rewards/{r}/online_std"),
-            # A4: offline metrics are 0 when the step replayed nothing
-            F.when(has_off, F.avg(_on(r, 0))).otherwise(F.lit(0.0)).alias(f"rewards/{r}/offline_mean"),
-            F.when(has_off, F.stddev_samp(_on(r, 0))).otherwise(F.lit(0.0)).alias(f"rewards/{r}/offline_std"),
-            F.min(r).alias(f"rewards/{r}/min"),
-            F.max(r).alias(f"rewards/{r}/max"),
+            F.try_divide(s[1], n[1]).alias(f"rewards/{r}/online_mean"),
+            _std(n[1], s[1], q[1]).alias(f"rewards/{r}/online_std"),
+            off(F.try_divide(s[0], n[0])).alias(f"rewards/{r}/offline_mean"),
+            off(_std(n[0], s[0], q[0])).alias(f"rewards/{r}/offline_std"),
+            F.min(f"lo{i}").alias(f"rewards/{r}/min"),
+            F.max(f"hi{i}").alias(f"rewards/{r}/max"),
         ]
-    term = F.col(terminated)
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("double")
     aggs += [
-        F.avg(length).cast("double").alias("completions/mean_length"),
-        F.min(length).cast("double").alias("completions/min_length"),
-        F.max(length).cast("double").alias("completions/max_length"),
-        (F.lit(1.0) - F.count(F.when(term, 1)) / F.count(F.lit(1))).alias("completions/clipped_ratio"),
-        F.coalesce(F.avg(F.when(term, F.col(length))), F.lit(0.0)).cast("double").alias("completions/mean_terminated_length"),
-        F.coalesce(F.min(F.when(term, F.col(length))), F.lit(0)).cast("double").alias("completions/min_terminated_length"),
-        F.coalesce(F.max(F.when(term, F.col(length))), F.lit(0)).cast("double").alias("completions/max_terminated_length"),
-        F.sum(F.when(F.col("mode") == "train", F.col(tokens)).otherwise(0)).cast("double").alias("_step_tokens"),
-        # A3: mean of group means / stds, one head row per group
-        F.avg(F.when(head, _on("_gm", 1))).alias("reward/online"),
-        F.avg(F.when(head, _on("_gs", 1))).alias("reward/online_std"),
-        F.when(has_off, F.avg(F.when(head, _on("_gm", 0)))).otherwise(F.lit(0.0)).alias("reward/offline"),
-        F.when(has_off, F.avg(F.when(head, _on("_gs", 0)))).otherwise(F.lit(0.0)).alias("reward/offline_std"),
+        (F.sum("len_sum") / F.sum("n")).alias("completions/mean_length"),
+        F.min("len_min").cast("double").alias("completions/min_length"),
+        F.max("len_max").cast("double").alias("completions/max_length"),
+        (F.lit(1.0) - F.sum("t_n") / F.sum("n")).alias("completions/clipped_ratio"),
+        zero(F.try_divide(F.sum("t_sum"), F.sum("t_n"))).alias("completions/mean_terminated_length"),
+        zero(F.min("t_min")).alias("completions/min_terminated_length"),
+        zero(F.max("t_max")).alias("completions/max_terminated_length"),
+        F.sum("tokens").cast("double").alias("_step_tokens"),
+        # A3: mean of group means / stds
+        F.avg(on("gm", 1)).alias("reward/online"),
+        F.avg(on("gs", 1)).alias("reward/online_std"),
+        off(F.avg(on("gm", 0))).alias("reward/offline"),
+        off(F.avg(on("gs", 0))).alias("reward/offline_std"),
     ]
-    wide = b.groupBy("mode", "batch_step").agg(*aggs)
-    # Running token count, over the per-step table only (one row per step)
-    run = Window.partitionBy("mode").orderBy("batch_step").rowsBetween(Window.unboundedPreceding, 0)
+    wide = g.groupBy("mode", "batch_step").agg(*aggs)
+    # Over the per-step table only (one row per mode and step); rows of one step share the value
+    run = Window.orderBy("batch_step").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     wide = wide.withColumn("num_tokens", F.sum("_step_tokens").over(run)).drop("_step_tokens")
     return wide.withColumnRenamed("batch_step", "step")
 

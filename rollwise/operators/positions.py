@@ -117,7 +117,7 @@ def first_by(df: DataFrame, order_col: str, n: int, *, newest: bool = False, n_r
 def global_positions(
     df: DataFrame,
     sort_key: str,
-    tie_key: str,
+    tie_key: str | Sequence[str],
     *,
     out: str = "gpos",
     prefix_chars: int = 4,
@@ -143,6 +143,7 @@ def global_positions(
     if first is not None:
         offsets = offsets.filter(F.col("_gp_off") < first)
     joined = bucketed.join(F.broadcast(offsets), on="_gp_b", how="inner")
-    local = Window.partitionBy("_gp_b").orderBy(sort_key, tie_key)
+    ties = [tie_key] if isinstance(tie_key, str) else list(tie_key)
+    local = Window.partitionBy("_gp_b").orderBy(sort_key, *ties)
     placed = joined.withColumn(out, (F.row_number().over(local) - F.lit(1) + F.col("_gp_off")).cast("bigint"))
     return (placed if first is None else placed.filter(F.col(out) < first)).drop("_gp_b", "_gp_off")

@@ -102,11 +102,12 @@ def seeded_sample(
     split: str | None = "split",
     sample_split: str = "train",
     on_short: str = "clamp",
+    tie: str | None = None,
 ) -> DataFrame:
     """Seeded shuffle and first ``n`` of the sampled split; other splits pass through.
 
     A falsy ``n`` keeps everything. The order is ``md5(seed:key)`` then ``key``, reproducible
-    across engines. Rows whose split is NULL are not of the sampled split and pass through.
+    across engines; ``tie`` orders rows that share a key. Rows whose split is NULL are not of the sampled split and pass through.
     Buckets of the order beyond ``n`` are dropped before any row is shuffled, whatever ``n`` is.
     ``on_short='raise'`` fails when the split has fewer than ``n`` rows.
     """
@@ -119,7 +120,7 @@ def seeded_sample(
         if have < n:
             raise ValueError(f"sample size {n} > {have} rows in split {sample_split!r}")
     ordered = part.withColumn("_order", seeded_order_key(key, seed))
-    picked = global_positions(ordered, "_order", key, out="_gpos", first=n).select(*df.columns)
+    picked = global_positions(ordered, "_order", [key, tie] if tie else key, out="_gpos", first=n).select(*df.columns)
     return picked.unionByName(df.filter(~chosen)) if split else picked
 
 

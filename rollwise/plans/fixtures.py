@@ -35,6 +35,7 @@ def roll(spark: SparkSession, sf_dir: str, *, group_size: int = G, n_ranges: int
         .alias("r_accuracy"),
         F.when(F.col("value") > 50, F.lit(1.0)).otherwise(F.lit(0.0)).alias("r_format"),
         (F.get_json_object("props", "$.k").try_cast("int") + F.lit(1)).alias("completion_len"),
+        (F.col("user_id") % 7 + F.lit(3)).cast("int").alias("prompt_len"),
         (F.col("event_type") != "view").alias("terminated"),
     )
     ranked = rank_within_key(ev, ["prompt_key"], "seq", out="fifo", n_ranges=n_ranges)
@@ -58,6 +59,7 @@ roll AS (
                 WHEN event_type = 'error' THEN NULL ELSE 0.0 END::DOUBLE AS r_accuracy,
            CASE WHEN value > 50 THEN 1.0 ELSE 0.0 END::DOUBLE AS r_format,
            CAST(props->>'$.k' AS INTEGER) + 1 AS completion_len,
+           CAST(user_id % 7 + 3 AS INTEGER) AS prompt_len,
            event_type <> 'view' AS terminated,
            row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS fifo
     FROM events)

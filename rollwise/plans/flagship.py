@@ -28,7 +28,10 @@ def _batch_parts(
         ).limit(0)
     else:
         pos_log = R.with_positions(log, modes=cfg.modes, position=position).withColumn("score", plain_score(rewards))
-        replays = R.replay_rows(pos_log, cfg, carry=cols)
+        # Buffers carry ids and scores (and the rewards, where nothing else is wanted); any
+        # payload is fetched by id for the chosen rows.
+        replays = R.replay_rows(pos_log, cfg, carry=() if payload else tuple(rewards))
+        return R.merge_parts(online, replays, log if payload else None, columns=cols)
     return R.merge_parts(online, replays, None, columns=cols)
 
 

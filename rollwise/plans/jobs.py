@@ -34,19 +34,21 @@ def prepare_training_table(
     sample_size: int | None = None,
     max_length: int | None = 4096,
     seed: int = 42,
+    n_tokens: str | None = None,
 ) -> tuple[str, DataFrame]:
     """Raw rows (``question, r1_solution_1, final_answer[, split]``) -> prepared table on disk.
 
     P1/P2 projection, F1 length filter on the rendered messages (``< max_length`` tokens,
-    skipped when None), T1 seeded sample of the train split, S5 write. Returns the folder
-    and the split sizes (A9).
+    skipped when None), T1 seeded sample of the train split, S5 write. Rows without a split
+    are training rows. ``n_tokens`` names a token count column of the raw rows; without it
+    the white-space words of the rendering are counted. Returns the folder and the split sizes (A9).
     """
     df = IO.read_raw_training(spark, raw) if isinstance(raw, str) else raw
-    if "split" not in df.columns:
-        df = df.withColumn("split", F.lit("train"))
-    prepared = P.training_projection(df, keep=(*P.TRAINING_COLUMNS, "split"))
+    given = F.col("split") if "split" in df.columns else F.lit(None).cast("string")
+    df = df.withColumn("split", F.coalesce(given, F.lit("train")))
+    prepared = P.training_projection(df, keep=(*P.TRAINING_COLUMNS, "split", *([n_tokens] if n_tokens else [])))
     if max_length is not None:
-        prepared = P.length_filter(prepared, word_count(render_chat("messages")), max_length)
+        prepared = P.length_filter(prepared, F.col(n_tokens) if n_tokens else word_count(render_chat("messages")), max_length)
     # the sample order needs a stable key per row: a hash of the whole row (equal rows are interchangeable)
     keyed = prepared.withColumn("_key", F.sha2(F.to_json(F.struct(*prepared.columns)), 256))
     prepared = P.seeded_sample(keyed, "_key", sample_size, seed=seed)
@@ -68,8 +70,13 @@ def evaluate_outputs(
     num_samples: int,
     prompt_type: str | None = None,
     max_tokens: int | None = None,
+    n_tokens: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Generated outputs (``dataset, problem, answer, outputs ARRAY<STRING>``) -> metrics.
+    """Generated outputs (``[problem_id, ]dataset, problem, answer, outputs ARRAY<STRING>``) -> metrics.
+
+    Every input row is a problem of its own, also when texts repeat or ``outputs`` is empty;
+    ``problem_id`` tells them apart (numbered where it is missing). ``n_tokens`` names a token
+    count column of the prompts; without it white-space words of the rendering are counted.
 
     F2 drops problems whose rendered prompt is longer than ``max_tokens`` (and reports them),
     P10/P8 explode and trim the outputs, G3 grades each against the answer, E1-E5 compute
@@ -77,18 +84,19 @@ def evaluate_outputs(
     summary and the length-filter report.
     """
     msgs = F.array(F.struct(F.lit("user").alias("role"), fill_template("problem", prompt_type).alias("content")))
-    with_len = results.withColumn("_n_tokens", word_count(render_chat(msgs, add_generation_prompt=True)))
+    if "problem_id" not in results.columns:
+        results = results.withColumn("problem_id", F.monotonically_increasing_id())
+    with_len = results.withColumn("_n_tokens", F.col(n_tokens) if n_tokens else word_count(render_chat(msgs, add_generation_prompt=True)))
     report = E.length_filter_report(with_len, F.col("_n_tokens"), max_tokens if max_tokens is not None else 1 << 62)
     kept = with_len.filter(F.col("_n_tokens") <= max_tokens) if max_tokens is not None else with_len
     kept = kept.drop("_n_tokens").withColumn("outputs", F.transform("outputs", trim_ws))
-    long = kept.select("dataset", "problem", "answer", F.posexplode("outputs").alias("sample_idx", "output"))
+    long = kept.select("problem_id", "dataset", "answer", F.posexplode_outer("outputs").alias("sample_idx", "output"))
     graded = with_accuracy(long, "output", "answer", "flag")
-    metrics = E.dataset_metrics(graded, results.select("dataset"), num_samples)
-    summary = E.summary(metrics)
-    IO.write_metric_summary(summary, f"{out_root.rstrip('/')}/metrics_summary")
+    metrics = E.dataset_metrics(graded, results.select("dataset"), num_samples, problem="problem_id")
+    IO.write_metric_summary(E.summary(metrics), f"{out_root.rstrip('/')}/metrics_summary")
     inferences = kept.withColumn("prompt_type", F.lit(prompt_type).cast("string"))
     IO.write_inferences(inferences.select("dataset", "problem", "answer", "prompt_type", "outputs"), f"{out_root.rstrip('/')}/inference_summary")
-    return summary, report
+    return IO.read_metric_summary(spark, f"{out_root.rstrip('/')}/metrics_summary"), report
 
 
 def replay_step_tables(
@@ -100,20 +108,27 @@ def replay_step_tables(
     weights: Sequence[float] | None = None,
     position: str | None = None,
     payload: Sequence[str] = ("completion_len", "terminated"),
+    prompt_length: str | None = None,
     scale_rewards: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """Rollout log -> (training batch with advantages, per-step metrics in long form).
 
     R1/J2 buffers as of each step, F9 gate, the configured strategy, R8 merge, V1-V3
-    advantages, A1-A7 metrics. The batch is what a trainer reads; write it with
+    advantages, A1-A7 metrics. Rows of modes that are not cached (eval) are part of the batch
+    and of the metrics under their own mode; they are neither replayed nor given replays. The batch is what a trainer reads; write it with
     ``df.write.parquet`` (or ``sources.io.append_rollouts`` for the log itself).
     """
-    batch = replay_batch(log, cfg, rewards=tuple(rewards), payload=tuple(payload), position=position)
-    batch = batch.withColumn("reward", weighted_reward(rewards, weights))
-    batch = advantages(batch, mode, scale_rewards=scale_rewards)
-    if "mode" not in batch.columns:
-        batch = batch.withColumn("mode", F.lit("train"))
-    metrics = M.to_long(M.step_metrics(batch, rewards))
+    cols = ["mode", *payload, *([prompt_length] if prompt_length and prompt_length not in payload else [])]
+
+    def scored(part: DataFrame) -> DataFrame:
+        return advantages(part.withColumn("reward", weighted_reward(rewards, weights)), mode, scale_rewards=scale_rewards)
+
+    batch = scored(replay_batch(log, cfg, rewards=tuple(rewards), payload=tuple(cols), position=position))
+    if cfg.modes:  # groups never mix cached and other modes
+        rest = log.filter(~F.coalesce(F.col("mode").isin(*cfg.modes), F.lit(False)))
+        only_online = R.ReplayConfig(strategy="none", modes=())
+        batch = batch.unionByName(scored(replay_batch(rest, only_online, rewards=tuple(rewards), payload=tuple(cols))))
+    metrics = M.to_long(M.step_metrics(batch, rewards, prompt_length=prompt_length))
     return batch, metrics
 
 

@@ -66,6 +66,34 @@ def e3_totals(spark, sf):
     return _metrics(spark, sf).select("dataset", "total").distinct()
 
 
+_RESULTS_SQL = """res AS (SELECT d.doc_id AS problem_id, d.lang AS dataset, d.doc_id % 3 AS n_out, CAST(l.quality AS DOUBLE) AS q
+  FROM documents d LEFT JOIN labels l USING (doc_id)),
+ks AS (SELECT unnest([1, 2, 4, 8]) AS k),
+pk AS (SELECT r.*, ks.k, least(ks.k, n_out) AS n FROM res r, ks),
+pr AS (SELECT dataset, k, problem_id, (CASE WHEN n >= 1 THEN coalesce(q, 0.0) ELSE 0.0 END) + (CASE WHEN n >= 2 THEN coalesce(1 - q, 0.0) ELSE 0.0 END) AS s,
+  greatest(CASE WHEN n >= 1 THEN coalesce(q, 0.0) ELSE 0.0 END, CASE WHEN n >= 2 THEN coalesce(1 - q, 0.0) ELSE 0.0 END) AS hit FROM pk)"""
+
+
+@register(
+    "e3_duplicate_problems",
+    f"""WITH {_RESULTS_SQL}
+SELECT dataset, k, CAST(count(*) AS BIGINT) AS total, round(sum(CASE WHEN hit > 0 THEN 1.0 ELSE 0.0 END) / count(*), 6) AS pass_at_k,
+       round(sum(s / k) / count(*), 6) AS avg_at_k FROM pr GROUP BY dataset, k""",
+)
+def e3_duplicate_problems(spark, sf):
+    """Result rows that share their problem text, some without outputs: each row is a problem of its own."""
+    docs = read_table(spark, sf, "documents").select(
+        F.col("doc_id").alias("problem_id"), F.col("lang").alias("dataset"), F.col("source").alias("problem")
+    )
+    labels = read_table(spark, sf, "labels").select(F.col("doc_id").alias("problem_id"), F.col("quality").cast("double").alias("q"))
+    rows = docs.join(labels, "problem_id", "left").withColumn(
+        "grades", F.slice(F.array("q", 1 - F.col("q")), F.lit(1), (F.col("problem_id") % 3).cast("int"))
+    )
+    graded = rows.select("dataset", "problem_id", F.posexplode_outer("grades").alias("sample_idx", "flag"))
+    out = E.dataset_metrics(graded, rows.select("dataset"), N_SAMPLES, problem="problem_id")
+    return out.select("dataset", "k", "total", F.round("pass_at_k", 6).alias("pass_at_k"), F.round("avg_at_k", 6).alias("avg_at_k"))
+
+
 @register(
     "e5_eval_summary",
     f"""{_METRICS_SQL}

@@ -9,13 +9,12 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rollwise.functions.text import render_chat
 from rollwise.operators import evaluation as E
 from rollwise.operators import prep as P
 from rollwise.operators.benchmarks import normalize, union_benchmarks
-from rollwise.plans.fixtures import EVAL_SQL, G, ROLL_SQL, bench_sources, eval_rows, raw_training, roll
+from rollwise.plans.fixtures import EVAL_SQL, ROLL_SQL, bench_sources, eval_rows, raw_training, roll
 from rollwise.plans.flagship import FLAGSHIP, replay_batch
 from rollwise.plans.q_eval import _METRICS_SQL, N_SAMPLES, _datasets
 from rollwise.plans.q_prep import _RAW_SQL, _UNION_SQL, EOS_NL
@@ -31,11 +30,14 @@ def _folder(spark, name: str) -> str:
 
 @register(
     "s1_read_raw_training",
-    f"WITH {_RAW_SQL}\nSELECT question, solution AS r1_solution_1, regexp_extract(solution, '(\\S+)\\s*$', 1) AS final_answer FROM raw",
+    f"""WITH {_RAW_SQL}
+SELECT question, solution AS r1_solution_1, regexp_extract(solution, '(\\S+)\\s*$', 1) AS final_answer,
+       CASE WHEN conv_id % 10 = 0 THEN 'test' WHEN conv_id % 10 = 1 THEN NULL ELSE 'train' END AS split FROM raw""",
 )
 def s1_read_raw_training(spark, sf):
     base = _folder(spark, "s1")
-    raw_training(spark, sf).drop("conv_id").write.json(f"{base}/raw")
+    split = F.when(F.col("conv_id") % 10 == 0, "test").when(F.col("conv_id") % 10 != 1, "train")
+    raw_training(spark, sf).withColumn("split", split).drop("conv_id").write.json(f"{base}/raw")
     return IO.read_raw_training(spark, f"{base}/raw", fmt="json")
 
 
@@ -95,11 +97,7 @@ def s7_metric_summary(spark, sf):
     base = _folder(spark, "s7")
     summary = E.summary(E.dataset_metrics(eval_rows(spark, sf), _datasets(spark, sf), N_SAMPLES))
     IO.write_metric_summary(summary.select("dataset", "metric", F.round("value", 6).alias("value")), f"{base}/summary")
-    schema = T.StructType(
-        [T.StructField("dataset", T.StringType()), T.StructField("metrics", T.MapType(T.StringType(), T.DoubleType()))]
-    )
-    doc = spark.read.schema(schema).json(f"{base}/summary")
-    return doc.select("dataset", F.explode("metrics").alias("metric", "value"))
+    return IO.read_metric_summary(spark, f"{base}/summary")
 
 
 @register(
@@ -132,11 +130,13 @@ def s9_completions_table(spark, sf):
 
 @register(
     "s10_rollout_append",
-    f"WITH {ROLL_SQL}\nSELECT rollout_id, prompt_key, step AS batch_step, CAST(slot AS BIGINT) AS batch_slot, r_accuracy, r_format FROM roll",
+    f"""WITH {ROLL_SQL}
+SELECT rollout_id, CAST(prompt_key AS VARCHAR) AS prompt_key, mode, step, block, visit, slot, seq, completion, r_accuracy, r_format FROM roll""",
 )
 def s10_rollout_append(spark, sf):
-    """Append the merged batch: only its online rows reach the log (replays are never pushed back)."""
+    """Append the merged batch: only its online rows reach the log, in the schema the library reads back."""
     base = _folder(spark, "s10")
-    batch = replay_batch(roll(spark, sf), FLAGSHIP, position="fifo")
+    batch = replay_batch(roll(spark, sf), FLAGSHIP, payload=("mode", "visit", "seq", "completion"), position="fifo")
     IO.append_rollouts(batch, f"{base}/log")
-    return spark.read.parquet(f"{base}/log").select("rollout_id", "prompt_key", "batch_step", "batch_slot", "r_accuracy", "r_format")
+    back = IO.read_rollout_log(spark, f"{base}/log")
+    return back.select("rollout_id", "prompt_key", "mode", "step", "block", "visit", "slot", "seq", "completion", "r_accuracy", "r_format")

@@ -205,7 +205,7 @@ def l6_clip_fractions(spark, sf):
     return out.select("batch", *[F.round(n, 6).alias(n) for n, _ in _frac_sql()])
 
 
-_L7_ITEMS = [("loss/on_policy", _ON), ("loss/off_policy", _OFF), ("kl", "on_kl / greatest(on_tok, 1)")] + [
+_L7_ITEMS = [("loss/on_policy", f"{_ON} + 0.04 * (on_kl / greatest(on_tok, 1))"), ("loss/off_policy", _OFF), ("kl", "on_kl / greatest(on_tok, 1)")] + [
     (L.METRIC_NAMES[n], e) for n, e in _frac_sql()
 ]
 

@@ -13,7 +13,7 @@ from rollwise.plans.registry import register
 
 
 def _batch(spark, sf, eval_every: int | None = None):
-    b = replay_batch(roll(spark, sf), FLAGSHIP, payload=("completion_len", "terminated"), position="fifo")
+    b = replay_batch(roll(spark, sf), FLAGSHIP, payload=("completion_len", "prompt_len", "terminated"), position="fifo")
     b = b.withColumn("reward", weighted_reward(REWARDS))
     mode = F.lit("train")
     if eval_every:
@@ -47,7 +47,7 @@ def _wide_sql(eval_every: int | None = None) -> str:
         f"CAST(coalesce(avg(completion_len) {t}, 0.0) AS DOUBLE) AS {_q('completions/mean_terminated_length')}",
         f"CAST(coalesce(min(completion_len) {t}, 0) AS DOUBLE) AS {_q('completions/min_terminated_length')}",
         f"CAST(coalesce(max(completion_len) {t}, 0) AS DOUBLE) AS {_q('completions/max_terminated_length')}",
-        "CAST(sum(CASE WHEN mode = 'train' THEN completion_len ELSE 0 END) AS DOUBLE) AS st",
+        "CAST(sum(CASE WHEN mode = 'train' THEN completion_len + prompt_len ELSE 0 END) AS DOUBLE) AS st",
     ]
     on, off = "FILTER (WHERE is_online = 1)", "FILTER (WHERE is_online = 0)"
     per_group = [
@@ -59,19 +59,19 @@ def _wide_sql(eval_every: int | None = None) -> str:
     return f"""WITH {_batch_sql("highest_k", 8, 16, 16)},
 b AS (SELECT *, coalesce(r_accuracy, 0) + coalesce(r_format, 0) AS reward, {mode} AS mode FROM batch),
 rows_ AS (SELECT mode, batch_step AS step, {", ".join(per_row)} FROM b GROUP BY ALL),
-grp AS (SELECT mode, batch_step, prompt_key, batch_block, is_online, avg(reward) AS gm, stddev_samp(reward) AS gs
+grp AS (SELECT mode, batch_step, prompt_key, batch_block, is_online, avg(reward) AS gm, coalesce(stddev_samp(reward), 0) AS gs
         FROM b GROUP BY ALL),
 groups_ AS (SELECT mode, batch_step AS step, {", ".join(per_group)} FROM grp GROUP BY ALL),
 wide AS (
   SELECT r.* EXCLUDE (st), g.* EXCLUDE (mode, step),
-         sum(r.st) OVER (PARTITION BY r.mode ORDER BY r.step ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS num_tokens
+         (SELECT sum(t.st) FROM rows_ t WHERE t.step <= r.step) AS num_tokens
   FROM rows_ r JOIN groups_ g USING (mode, step)),
 long AS (SELECT mode, step, metric, CAST(value AS DOUBLE) AS value
          FROM (FROM wide UNPIVOT INCLUDE NULLS (value FOR metric IN (COLUMNS(* EXCLUDE (mode, step))))))"""
 
 
 def _long(spark, sf, eval_every=None):
-    return M.to_long(M.step_metrics(_batch(spark, sf, eval_every), REWARDS))
+    return M.to_long(M.step_metrics(_batch(spark, sf, eval_every), REWARDS, prompt_length="prompt_len"))
 
 
 _GROUPS = {
@@ -115,3 +115,12 @@ FROM long GROUP BY mode, floor(step / 5), metric""",
 def a8_logging_window(spark, sf):
     w = M.logging_window(_long(spark, sf, eval_every=5), every=5)
     return w.select("mode", "window", "metric", F.round("value", 6).alias("value"))
+
+
+@register(
+    "a7_tokens_seen_eval",
+    f"{_wide_sql(eval_every=5)}\nSELECT mode, step, round(value, 6) AS value FROM long WHERE metric = 'num_tokens'",
+)
+def a7_tokens_seen_eval(spark, sf):
+    """Eval steps show the training tokens seen so far."""
+    return _long(spark, sf, eval_every=5).filter("metric = 'num_tokens'").select("mode", "step", F.round("value", 6).alias("value"))

@@ -149,10 +149,25 @@ def t1_seeded_sample(spark, sf):
 
 @register("t1_seeded_sample_large", _t1_sql(700))
 def t1_seeded_sample_large(spark, sf):
-    """The same sample taken through bucketed global positions (the path for samples beyond a top-N)."""
+    """A larger sample of the same order."""
     return P.seeded_sample(_customers(spark, sf), "c_custkey", 700, seed=42)
 
 
+@register(
+    "t1_null_split",
+    """WITH c AS (SELECT c_custkey, CASE c_mktsegment WHEN 'HOUSEHOLD' THEN 'test' WHEN 'MACHINERY' THEN NULL ELSE 'train' END AS split,
+                  CASE WHEN c_custkey % 50 <> 0 THEN CAST(c_custkey AS VARCHAR) END AS k FROM customer)
+SELECT * FROM (SELECT c_custkey, split FROM c WHERE split = 'train' ORDER BY md5('42:' || coalesce(k, '')), k NULLS FIRST, c_custkey LIMIT 60)
+UNION ALL SELECT c_custkey, split FROM c WHERE split IS DISTINCT FROM 'train'""",
+)
+def t1_null_split(spark, sf):
+    """Rows without a split pass through; rows without a key have their place in the order."""
+    split = F.when(F.col("c_mktsegment") == "HOUSEHOLD", "test").when(F.col("c_mktsegment") != "MACHINERY", "train")
+    key = F.when(F.col("c_custkey") % 50 != 0, F.col("c_custkey").cast("string"))
+    rows = read_table(spark, sf, "customer").select("c_custkey", split.alias("split"), key.alias("k"))
+    return P.seeded_sample(rows, "k", 60, seed=42, tie="c_custkey").drop("k")
+
+
 @register(
     "a9_split_sizes",
     f"SELECT split, CAST(count(*) AS BIGINT) AS n_rows FROM ({_t1_sql(100)}) GROUP BY split",

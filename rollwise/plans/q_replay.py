@@ -97,7 +97,7 @@ def _batch_sql(strategy: str, k: int, gate: int, cache: int) -> str:
     """CTE ``batch``: online rows of every step plus replayed rows with their stored rewards."""
     online = (
         f"SELECT prompt_key, step AS batch_step, block AS batch_block, 1 AS is_online, CAST(slot AS BIGINT) AS batch_slot, "
-        f"rollout_id, r_accuracy, r_format, completion_len, terminated FROM roll WHERE mode = 'train'"
+        f"rollout_id, r_accuracy, r_format, completion_len, prompt_len, terminated FROM roll WHERE mode = 'train'"
     )
     if strategy == "none":
         return f"{ROLL_SQL},\nbatch AS ({online})"
@@ -108,7 +108,7 @@ batch AS (
   {online}
   UNION ALL
   SELECT c.prompt_key, c.batch_step, c.batch_block, 0, CAST(c.replay_slot AS BIGINT), c.rollout_id, r.r_accuracy, r.r_format,
-         r.completion_len, r.terminated
+         r.completion_len, r.prompt_len, r.terminated
   FROM chosen c JOIN roll r USING (rollout_id))"""
     )
 

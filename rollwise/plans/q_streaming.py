@@ -9,15 +9,15 @@ from rollwise.functions.rewards import plain_score, weighted_reward
 from rollwise.operators.replay import ReplayConfig
 from rollwise.plans.fixtures import REWARDS, ROLL_SQL, roll
 from rollwise.plans.q_replay import GRP, _replay_sql
-from rollwise.plans.registry import register
+from rollwise.plans.registry import ORACLE_SQL, register
 from rollwise.streaming import replay_cache as RC
 from rollwise.streaming import runner
 
 CHUNKS = 5
 
 
-def _staged_roll(spark, sf, name, eval_every=None):
-    log = roll(spark, sf).withColumn("score", plain_score(REWARDS)).withColumn("reward", weighted_reward(REWARDS))
+def _staged_roll(spark, sf, name, eval_every=None, renumber=None):
+    log = (renumber or (lambda x: x))(roll(spark, sf)).withColumn("score", plain_score(REWARDS)).withColumn("reward", weighted_reward(REWARDS))
     if eval_every:
         log = log.withColumn("mode", F.when(F.col("prompt_key") % eval_every == 0, "eval").otherwise("train"))
     base = runner.run_folder(spark, name)
@@ -25,12 +25,12 @@ def _staged_roll(spark, sf, name, eval_every=None):
     return base, runner.file_stream(spark, glob, log.schema)
 
 
-def _replay_stream_query(name: str, eval_every=None, strategy: str = "highest_k"):
+def _replay_stream_query(name: str, eval_every=None, strategy: str = "highest_k", renumber=None):
     cfg = ReplayConfig(strategy=strategy, num_replays=8, min_cache=16, max_cache=16)
 
     def q(spark, sf):
-        base, stream = _staged_roll(spark, sf, name, eval_every)
-        out = RC.streaming_replays(stream, cfg, group_size=8)
+        base, stream = _staged_roll(spark, sf, name, eval_every, renumber)
+        out = RC.streaming_replays(stream, cfg)
         runner.append_to_parquet(out, f"{base}/sink", f"{base}/checkpoint")
         return spark.read.parquet(f"{base}/sink").select("prompt_key", "batch_step", "batch_block", "replay_slot", "rollout_id")
 
@@ -59,6 +59,27 @@ register(
 )(_replay_stream_query("st1rk", strategy="random_k"))
 
 
+# String keys, as the canonical log has them.
+register(
+    "st1_stream_string_key",
+    f"""WITH {_replay_sql('highest_k', 8, 16, 16)}
+SELECT 'p' || prompt_key AS prompt_key, batch_step, batch_block, replay_slot, rollout_id FROM chosen""",
+)(_replay_stream_query("st1sk", renumber=lambda log: log.withColumn("prompt_key", F.concat(F.lit("p"), F.col("prompt_key").cast("string")))))
+
+# Two blocks per step, whose rows may come in different triggers.
+register(
+    "st1_stream_two_blocks",
+    ORACLE_SQL["r5_two_blocks"],
+)(
+    _replay_stream_query(
+        "st1tb",
+        renumber=lambda log: log.withColumn("step", F.floor(F.col("visit") / 2).cast("bigint")).withColumn(
+            "block", (F.col("visit") % 2).cast("int")
+        ),
+    )
+)
+
+
 @register(
     "st2_stream_ingest",
     f"WITH {ROLL_SQL}\nSELECT rollout_id, prompt_key, step, slot, seq FROM roll",

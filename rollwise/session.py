@@ -62,7 +62,7 @@ def cluster_conf(input_bytes: int, total_cores: int, *, target_partition_bytes:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) is a scratch folder created.
+    Only a local session that has none (tests) gets a scratch folder; a cluster must name one.
     """
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None) or sc._jsc.sc().getCheckpointDir()
@@ -70,6 +70,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         current = current.get() if current.isDefined() else None
     if current:
         return str(current)
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     path = tempfile.mkdtemp(prefix="rollwise-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)

@@ -20,12 +20,13 @@ RAW_TRAINING = T.StructType(
         T.StructField("question", T.StringType()),
         T.StructField("r1_solution_1", T.StringType()),
         T.StructField("final_answer", T.StringType()),
+        T.StructField("split", T.StringType()),
     ]
 )
 
 
 def read_raw_training(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """The raw training table with an explicit schema (no inference)."""
+    """The raw training table with an explicit schema (no inference); ``split`` is NULL where the files have none."""
     return spark.read.schema(RAW_TRAINING).format(fmt).load(path)
 
 
@@ -87,6 +88,12 @@ def write_metric_summary(summary: DataFrame, path: str) -> None:
     per_ds.write.mode("overwrite").json(path)
 
 
+def read_metric_summary(spark: SparkSession, path: str) -> DataFrame:
+    """S7 read back: ``(dataset, metric, value)``."""
+    doc = spark.read.schema("dataset string, metrics map<string,double>").json(path)
+    return doc.select("dataset", F.explode("metrics").alias("metric", "value"))
+
+
 def write_inferences(rows: DataFrame, path: str) -> None:
     """Every graded output as JSON lines; UTF-8 text is written as is."""
     rows.write.mode("overwrite").option("encoding", "UTF-8").json(path)
@@ -97,8 +104,25 @@ def write_completions(table: DataFrame, path: str) -> None:
     table.write.mode("append").partitionBy("step").parquet(path)
 
 
-def append_rollouts(rollouts: DataFrame, path: str) -> None:
-    """Append online rollouts to the log (replayed rows are never pushed back)."""
+# The names a merged batch has for columns of the log.
+BATCH_NAMES = {"step": "batch_step", "block": "batch_block", "slot": "batch_slot"}
+
+
+def append_rollouts(rollouts: DataFrame, path: str, reward_names=("accuracy", "format")) -> None:
+    """Append online rollouts to the log in its canonical schema (replayed rows are never pushed back).
+
+    Takes log rows or rows of a merged batch. Columns the rows lack are written as NULL, but
+    a row cannot do without its id, prompt, step and append number.
+    """
     if "is_online" in rollouts.columns:
-        rollouts = rollouts.filter(F.col("is_online") == 1).drop("is_online")
-    rollouts.write.mode("append").parquet(path)
+        rollouts = rollouts.filter(F.col("is_online") == 1)
+    have = {f.name: F.col(f.name) for f in rollouts.schema.fields}
+    for name, batch_name in BATCH_NAMES.items():
+        if name not in have and batch_name in have:
+            have[name] = have[batch_name]
+    schema = schemas.rollouts(reward_names)
+    missing = [n for n in ("rollout_id", "prompt_key", "step", "seq") if n not in have]
+    if missing:
+        raise ValueError(f"rollouts lack {missing}")
+    columns = [have.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields]
+    rollouts.select(*columns).write.mode("append").parquet(path)

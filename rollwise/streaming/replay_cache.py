@@ -1,9 +1,11 @@
 """Structured Streaming forms of the rollout log (ST1-ST4).
 
-ST1 keeps the per-prompt FIFO as keyed state (``applyInPandasWithState``): for each
-completed step of a prompt it emits the replays chosen from the buffer as it was before
-the step, then pushes the step's rows. State per prompt is the buffer (at most C rows)
-plus the rows of a step still arriving (fewer than G), so it stays bounded.
+ST1 keeps the per-prompt FIFO as keyed state (``applyInPandasWithState``). A block reads the
+buffer as it was before its step, so its replays are emitted as soon as its first row
+arrives: no group size is needed, late blocks and short steps are answered too, and a step's
+rows are pushed when a later step begins. State per prompt is two buffers of at most C rows
+(before the open step, and the newest of the open step) and the open step's block numbers.
+A prompt's steps arrive one after the other, as its trainer writes them.
 """
 
 from __future__ import annotations
@@ -19,10 +21,9 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from rollwise.operators.replay import ReplayConfig
 
-OUTPUT_SCHEMA = "prompt_key long, batch_step long, batch_block int, replay_slot long, rollout_id long"
 STATE_SCHEMA = (
     "ids array<bigint>, seqs array<bigint>, scores array<double>, "
-    "p_ids array<bigint>, p_seqs array<bigint>, p_scores array<double>, p_steps array<bigint>, p_blocks array<int>"
+    "p_ids array<bigint>, p_seqs array<bigint>, p_scores array<double>, step bigint, blocks array<int>"
 )
 
 
@@ -78,55 +79,39 @@ def _max_variance(buf: pd.DataFrame, k: int) -> list[int]:
     return sorted(chosen, key=lambda j: buf.seq[j])
 
 
-def replay_state_fn(cfg: ReplayConfig, group_size: int):
+def replay_state_fn(cfg: ReplayConfig):
     """The keyed state function for ``applyInPandasWithState``."""
     cfg.validate()
+    narrow = ["seq", "rollout_id", "score", "step", "block"]
+
+    def frame(ids, seqs, scores) -> pd.DataFrame:
+        return pd.DataFrame({"rollout_id": list(ids), "seq": list(seqs), "score": np.array(scores, dtype="float64")})
 
     def fn(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        (prompt_key,) = key
         if state.exists:
-            ids, seqs, scores, p_ids, p_seqs, p_scores, p_steps, p_blocks = state.get
+            ids, seqs, scores, p_ids, p_seqs, p_scores, open_step, blocks = state.get
         else:
-            ids, seqs, scores, p_ids, p_seqs, p_scores, p_steps, p_blocks = [], [], [], [], [], [], [], []
-        buf = pd.DataFrame({"rollout_id": list(ids), "seq": list(seqs), "score": np.array(scores, dtype="float64")})
-        pending = pd.DataFrame(
-            {
-                "rollout_id": list(p_ids),
-                "seq": list(p_seqs),
-                "score": np.array(p_scores, dtype="float64"),
-                "step": list(p_steps),
-                "block": list(p_blocks),
-            }
-        )
-        new = [p[["rollout_id", "seq", "score", "step", "block"]] for p in pdfs]
-        rows = pd.concat([pending, *new], ignore_index=True).sort_values("seq", kind="stable")
+            ids, seqs, scores, p_ids, p_seqs, p_scores, open_step, blocks = [], [], [], [], [], [], None, []
+        buf, pending, answered = frame(ids, seqs, scores), frame(p_ids, p_seqs, p_scores), list(blocks)
+        rows = pd.concat([p[narrow] for p in pdfs], ignore_index=True).sort_values("seq", kind="stable", ignore_index=True)
         rows["score"] = rows["score"].astype("float64")
         out = []
-        steps = list(dict.fromkeys(rows["step"].tolist()))
-        for idx, step in enumerate(steps):
-            srows = rows[rows["step"] == step]
-            last = idx == len(steps) - 1
-            if last and len(srows) < group_size:
-                break  # step still arriving: keep it pending
-            if len(buf) >= cfg.min_cache and cfg.strategy != "none":
-                b = buf.reset_index(drop=True)
-                for block in sorted(set(srows["block"].tolist())):
-                    for slot, i in enumerate(_pick(b, cfg, int(step), int(block))):
-                        out.append((prompt_key, int(step), int(block), slot, int(b.rollout_id[i])))
-            buf = pd.concat([buf, srows[["rollout_id", "seq", "score"]]], ignore_index=True).tail(cfg.max_cache)
-            rows = rows[rows["step"] != step]
-        state.update(
-            (
-                [int(x) for x in buf.rollout_id],
-                [int(x) for x in buf.seq],
-                [float(x) for x in buf.score],
-                [int(x) for x in rows.rollout_id],
-                [int(x) for x in rows.seq],
-                [float(x) for x in rows.score],
-                [int(x) for x in rows.step],
-                [int(x) for x in rows.block],
-            )
-        )
+        starts = np.flatnonzero(np.append(True, rows["step"].to_numpy()[1:] != rows["step"].to_numpy()[:-1]))
+        for lo, hi in zip(starts, [*starts[1:], len(rows)], strict=True):
+            part = rows.iloc[lo:hi]
+            step = int(part["step"].iloc[0])
+            if step != open_step:
+                buf = pd.concat([buf, pending], ignore_index=True).tail(cfg.max_cache).reset_index(drop=True)
+                pending, answered, open_step = frame([], [], []), [], step
+            for block in dict.fromkeys(part["block"].tolist()):
+                if block in answered:
+                    continue
+                answered.append(int(block))
+                if len(buf) >= cfg.min_cache and cfg.strategy != "none":
+                    out += [(*key, step, int(block), slot, int(buf.rollout_id[i])) for slot, i in enumerate(_pick(buf, cfg, step, int(block)))]
+            pending = pd.concat([pending, part[["rollout_id", "seq", "score"]]], ignore_index=True).tail(cfg.max_cache)
+        listed = lambda f: ([int(x) for x in f.rollout_id], [int(x) for x in f.seq], [float(x) for x in f.score])
+        state.update((*listed(buf), *listed(pending), open_step, answered))
         yield pd.DataFrame(out, columns=["prompt_key", "batch_step", "batch_block", "replay_slot", "rollout_id"])
 
     return fn
@@ -137,12 +122,17 @@ def route(stream: DataFrame, modes: tuple[str, ...] = ("train",)) -> DataFrame:
     return stream.filter(F.col("mode").isin(*modes))
 
 
-def streaming_replays(stream: DataFrame, cfg: ReplayConfig, *, group_size: int, score: str = "score") -> DataFrame:
-    """ST1: replay emissions from a rollout stream with ``prompt_key, rollout_id, seq, step, block, score``."""
+def streaming_replays(stream: DataFrame, cfg: ReplayConfig, *, score: str = "score") -> DataFrame:
+    """ST1: replay emissions from a rollout stream with ``prompt_key, rollout_id, seq, step, block, score``.
+
+    The prompt key keeps the type it has in the stream.
+    """
     src = route(stream, cfg.modes) if cfg.modes else stream
     cols = src.select("prompt_key", "rollout_id", "seq", F.col(score).cast("double").alias("score"), "step", F.col("block").cast("int"))
+    key_type = cols.schema["prompt_key"].dataType.simpleString()
+    output = f"prompt_key {key_type}, batch_step long, batch_block int, replay_slot long, rollout_id long"
     return cols.groupBy("prompt_key").applyInPandasWithState(
-        replay_state_fn(cfg, group_size), OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
+        replay_state_fn(cfg), output, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
     )
 
 

@@ -19,13 +19,17 @@ def run_folder(spark: SparkSession, name: str) -> str:
 
 def stage_in_order(df: DataFrame, folder: str, order_col: str, n_chunks: int) -> str:
     """Write ``df`` as ``n_chunks`` appends in ``order_col`` order, one folder per chunk, so a
-    file stream sees them arrive the way a log grows. Returns the glob to stream from."""
-    bounds = df.agg(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).first()
-    lo, hi = int(bounds["lo"]), int(bounds["hi"])
-    width = max((hi - lo + 1 + n_chunks - 1) // n_chunks, 1)
+    file stream sees them arrive the way a log grows. Returns the glob to stream from.
+
+    The plan behind ``df`` runs once, into one folder; the chunks are copied from there."""
+    spark = df.sparkSession
+    df.write.parquet(f"{folder}-all")
+    staged = spark.read.schema(df.schema).parquet(f"{folder}-all")
+    lo, hi = staged.agg(F.min(order_col), F.max(order_col)).first()
+    width = max((int(hi) - int(lo) + n_chunks) // n_chunks, 1) if lo is not None else 1
     for k in range(n_chunks):
-        a, b = lo + k * width, lo + (k + 1) * width
-        part = df.filter((F.col(order_col) >= a) & (F.col(order_col) < b))
+        a, b = (lo or 0) + k * width, (lo or 0) + (k + 1) * width
+        part = staged.filter((F.col(order_col) >= a) & (F.col(order_col) < b))
         part.write.mode("overwrite").parquet(f"{folder}/{k:05d}")
     return f"{folder}/*/*.parquet"
 

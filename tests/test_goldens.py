@@ -108,7 +108,7 @@ def test_prep_edge_cases(spark):
     assert P.seeded_sample(s, "id", 0).count() == 6
     with pytest.raises(ValueError):
         P.seeded_sample(s, "id", 10, on_short="raise")
-    big = P.seeded_sample(s, "id", 3, top_n_limit=1)
+    big = P.seeded_sample(s, "id", 3)
     assert sorted(r.id for r in big.collect()) == sorted(r.id for r in P.seeded_sample(s, "id", 3).collect())
 
 

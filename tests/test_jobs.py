@@ -73,7 +73,7 @@ def test_evaluate_outputs_matches_operators(spark):
 
 def test_replay_step_tables_match_flagship(spark):
     cfg = ReplayConfig(strategy="highest_k", num_replays=8, min_cache=16, max_cache=16)
-    batch, metrics = jobs.replay_step_tables(roll(spark, SF_SMALL), cfg, group_size=G)
+    batch, metrics = jobs.replay_step_tables(roll(spark, SF_SMALL), cfg)
     assert batch.count() == 1648 and metrics.count() > 0
     from rollwise import schemas
 
@@ -99,9 +99,9 @@ def test_evaluate_outputs_reports_skipped_datasets(spark):
 def test_incremental_job_equals_full_job(spark):
     cfg = ReplayConfig(strategy="highest_k", num_replays=8, min_cache=16, max_cache=16)
     log = roll(spark, SF_SMALL)
-    full, _ = jobs.replay_step_tables(log, cfg, group_size=G)
-    b1, snap = jobs.replay_increment_tables(None, log.filter("step < 4"), cfg, group_size=G)
-    b2, _ = jobs.replay_increment_tables(snap, log.filter("step >= 4"), cfg, group_size=G)
+    full, _ = jobs.replay_step_tables(log, cfg)
+    b1, snap = jobs.replay_increment_tables(None, log.filter("step < 4"), cfg)
+    b2, _ = jobs.replay_increment_tables(snap, log.filter("step >= 4"), cfg)
     key = lambda r: (r.rollout_id, r.batch_step, r.is_online)
     got = {key(r): round(r.advantage, 9) for r in b1.unionByName(b2).collect()}
     want = {key(r): round(r.advantage, 9) for r in full.collect()}

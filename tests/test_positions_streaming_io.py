@@ -20,7 +20,7 @@ from tests.conftest import SF_MID, SF_SMALL
 
 def test_rank_within_key_matches_row_number(spark):
     ev = spark.read.parquet(f"{SF_MID}/events.parquet").select("user_id", "event_id")
-    ours = rank_within_key(ev, ["user_id"], "event_id", out="pos", range_width=64, count_col="n")
+    ours = rank_within_key(ev, ["user_id"], "event_id", out="pos", n_ranges=40, count_col="n")
     plain = ev.withColumn("pos2", F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")) - 1)
     plain = plain.withColumn("n2", F.count(F.lit(1)).over(Window.partitionBy("user_id")))
     diff = ours.join(plain, ["user_id", "event_id"]).filter("pos <> pos2 OR n <> n2").count()
@@ -47,7 +47,7 @@ def test_streaming_equals_batch_for_every_strategy(spark):
         base = runner.run_folder(spark, f"test-{strategy}")
         glob = runner.stage_in_order(log, f"{base}/source", "seq", 4)
         stream = runner.file_stream(spark, glob, log.schema, max_files=1)
-        runner.append_to_parquet(RC.streaming_replays(stream, cfg, group_size=8), f"{base}/sink", f"{base}/chk")
+        runner.append_to_parquet(RC.streaming_replays(stream, cfg), f"{base}/sink", f"{base}/chk")
         got = {tuple(r) for r in spark.read.parquet(f"{base}/sink").select("prompt_key", "batch_step", "batch_block", "replay_slot", "rollout_id").collect()}
         assert got == _batch_replays(spark, cfg), strategy
 
@@ -95,7 +95,7 @@ def test_hot_key_is_spread_over_tasks(spark):
     hot = ev.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id")))
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        ranked = rank_within_key(hot, ["user_id"], "event_id", out="pos", range_width=256)
+        ranked = rank_within_key(hot, ["user_id"], "event_id", out="pos", n_ranges=7)
         parts = ranked.filter("user_id = -1").select(F.spark_partition_id().alias("p")).distinct().count()
         n_hot = hot.filter("user_id = -1").count()
         ok = ranked.filter("user_id = -1").agg(F.min("pos"), F.max("pos"), F.countDistinct("pos")).first()

@@ -139,20 +139,17 @@ def test_bad_configuration_is_rejected():
 
 
 def _brute(scores, k):
-    """The reference's enumeration over scored rows (exact arithmetic), then our fill rule."""
-    scored = [i for i, s in enumerate(scores) if s is not None]
-    unscored = [i for i, s in enumerate(scores) if s is None]
-    kk = min(k, len(scored))
-    best, best_var, best_sum = (), None, None
-    if kk > 0:
-        for sub in itertools.combinations(scored, kk):
-            xs = [Fraction(scores[j]) for j in sub]
-            mean = sum(xs) / kk
-            var = sum((x - mean) ** 2 for x in xs) / kk
-            s = sum(xs)
-            if best_var is None or var > best_var or (var == best_var and s > best_sum):
-                best, best_var, best_sum = sub, var, s
-    return sorted(list(best) + unscored[: max(k - len(scored), 0)])
+    """The best subset by the rule (variance, then sum, then earliest members), over all subsets of scored rows."""
+
+    def spread(members):
+        values = [Fraction(scores[i]) for i in members]
+        return len(values) * sum(v * v for v in values) - sum(values) ** 2, sum(values), [-i for i in members]
+
+    have = [i for i in range(len(scores)) if scores[i] is not None]
+    size = min(k, len(have))
+    chosen = max(itertools.combinations(have, size), key=spread) if size else ()
+    fill = [i for i in range(len(scores)) if scores[i] is None][: max(0, k - len(have))]
+    return sorted([*chosen, *fill])
 
 
 def test_max_variance_matches_brute_force(spark):
@@ -205,11 +202,11 @@ def test_hot_prompt_replay_matches_sql(spark):
     orig = FX.read_table
     FX.read_table = lambda s, d, name: s.table(view) if name == "events" else orig(s, d, name)
     try:
-        log = FX.roll(spark, SF_MID, range_width=97)
+        log = FX.roll(spark, SF_MID, n_ranges=97)
     finally:
         FX.read_table = orig
     cfg = R.ReplayConfig(strategy="highest_k", num_replays=8, min_cache=16, max_cache=16)
-    pos = R.with_positions(log, range_width=97).withColumn("score", plain_score(REWARDS))
+    pos = R.with_positions(log, n_ranges=97).withColumn("score", plain_score(REWARDS))
     got = {tuple(r) for r in R.replay_rows(pos, cfg).select("prompt_key", "batch_step", "batch_block", "replay_slot", "rollout_id").collect()}
 
     con = duckdb.connect()
@@ -234,7 +231,7 @@ def test_eval_rows_enter_the_cache_when_asked(spark):
 def test_incremental_replay_equals_full_history(spark):
     """Snapshot after steps < 5, then the later steps: the same replays as over the whole log."""
     log = roll(spark, SF_SMALL)
-    pos = R.with_positions(log, group_size=8).withColumn("score", plain_score(REWARDS))
+    pos = R.with_positions(log, position="fifo").withColumn("score", plain_score(REWARDS))
     for strategy in ("highest_k", "max_variance_k", "recent_k"):
         cfg = R.ReplayConfig(strategy=strategy, num_replays=6, min_cache=8, max_cache=12)
         full = R.replay_rows(pos, cfg).filter("batch_step >= 5")
@@ -245,3 +242,35 @@ def test_incremental_replay_equals_full_history(spark):
     final = {tuple(r) for r in R.fifo_state(pos, 12, seq="pos").select("prompt_key", "rollout_id").collect()}
     assert {tuple(r) for r in nxt.select("prompt_key", "rollout_id").collect()} == final
     assert nxt.groupBy("prompt_key").count().agg(F.max("count")).first()[0] <= 12
+
+
+def test_positions_do_not_depend_on_numbering(spark):
+    """Global steps, several blocks, short groups, NULL keys: the buffer follows the append order alone."""
+    rows = [(pk, 100 * v + (pk or 0), s, 1.0 * (s % 3), 0.0, s // 2) for v in range(6) for pk in (None, 1, 2) for s in range(5 if v % 2 else 4)]
+    log = make_log(spark, rows)
+    cfg = R.ReplayConfig(strategy="recent_k", num_replays=3, min_cache=6, max_cache=7)
+    seen, want = {}, set()
+    by_step = {}
+    for seq, r in enumerate(rows):
+        by_step.setdefault((r[0], r[1]), []).append((1000 + seq, r[5]))
+    for (pk, step), members in by_step.items():
+        buf = seen.setdefault(pk, [])[-7:]
+        if len(buf) >= 6:
+            want |= {(pk, step, b, i, x) for b in {b for _, b in members} for i, x in enumerate(buf[-3:])}
+        seen[pk] += [x for x, _ in members]
+    for n_ranges in (1, 4):
+        pos = R.with_positions(log, n_ranges=n_ranges).withColumn("score", plain_score(REWARDS))
+        got = {tuple(r) for r in R.replay_rows(pos, cfg).select("prompt_key", "batch_step", "batch_block", "replay_slot", "rollout_id").collect()}
+        assert got == want
+
+
+def test_gate_counts_rows_where_positions_have_gaps(spark):
+    log = make_log(spark, visits(1, 4, 4)).withColumn("fifo", F.col("seq") * 3)
+    cfg = R.ReplayConfig(strategy="all", num_replays=0, min_cache=4, max_cache=4)
+    pos = R.with_positions(log, position="fifo").withColumn("score", plain_score(REWARDS))
+    assert R.replay_rows(pos, cfg).count() == 0  # four positions hold two rows
+
+
+def test_highest_k_zero_replays_nothing(spark):
+    cfg = R.ReplayConfig(strategy="highest_k", num_replays=0, min_cache=4, max_cache=8)
+    assert chosen(spark, make_log(spark, visits(1, 4, 4)), cfg) == []
