@@ -1,11 +1,14 @@
 """Reward and grading column functions (G1-G4) as native regex and string expressions.
 
 Accuracy grading extracts the answer from both sides, normalises it and compares it
-numerically, else textually. What is covered: integers, decimals, simple fractions
-(``a/b``, ``\\frac{a}{b}``), equations by their right-hand side, units written as ``\\text{}`` after a number,
-``\\text{}``/``\\mathrm{}`` wrappers, ``$``, sizing commands, degree and percent marks, and answers that are plain text. What is not:
-symbolic equality of expressions (no LaTeX solver). A gold answer that yields nothing
-grades as NULL (unknown), never 0.
+numerically, else textually. The answer of a text is its rightmost closed ``\\boxed{}`` (braces
+of any depth, escaped ones aside), else what follows its last "answer is"; a gold text may also
+give it as its last ``$...$``, as its last number in a sentence, or as the whole text. What is
+covered: integers, decimals, thousands separators, simple fractions (``a/b``,
+``\\frac{a}{b}``), equations by their right-hand side, units after a number (words or
+``\\text{}``), ``\\text{}``/``\\mathrm{}`` wrappers, ``$``, sizing commands, degree and percent
+marks, and answers that are plain text. What is not: symbolic equality of expressions (no
+LaTeX solver). A gold answer that yields nothing grades as NULL (unknown), never 0.
 
 Each rule is written once and rendered both for Spark (Java regex) and for DuckDB (RE2),
 so the SQL oracle applies the same steps.
@@ -20,22 +23,30 @@ from pyspark.sql import functions as F
 THINK_OPEN, THINK_CLOSE = "<think>", "</think>"
 FORMAT_PATTERN = r"^<think>[\s\S]*?</think>"
 
-# First \boxed{...} with up to two levels of nested braces, then the "final answer is" anchor.
-BOXED = r"\\boxed\{((?:[^{}]|\{(?:[^{}]|\{[^{}]*\})*\})*)\}"
-ANCHOR = r"[Ff]inal [Aa]nswer is:?\s*([^\n]+)"
+BOX = r"\boxed{"
+# What follows the last "answer is"; for gold texts also the last $...$ and the last number.
+ANCHOR = r"(?s)^.*[Aa]nswer is:?[ \t]*([^\n]+)"
+MATH = r"(?s)^.*\$([^$]+)\$"
+LAST_NUMBER = r"(?s)^(?:.*[^0-9.,-])?(-?[0-9][0-9,]*(?:\.[0-9]+)?)"
 
 # (pattern, replacement) steps; a replacement "#1#2" names capture groups, anything else is literal.
 NORMALISE = [
+    (r"\{,\}", ","),  # a thousands separator kept from spacing
     (r"([0-9])\s*\\(?:text|mathrm)\{\s*[A-Za-z][A-Za-z ]*\}", "#1"),  # a unit after a number
     (r"\\(?:text|mathrm|textbf)\{([^{}]*)\}", "#1"),
     (r"\\[dt]?frac\{(-?[0-9.]+)\}\{(-?[0-9.]+)\}", "#1/#2"),
-    (r"\\left|\\right|\\!|\\,|\\;|\$", ""),
+    (r"\\left|\\right|\\!|\\,|\;|\\\(|\\\)|\$", ""),
     (r"\^\{?\\circ\}?|\\?%", ""),
+    (r"\.(?:\s[\s\S]*)?$", ""),  # the end of the sentence and what comes after
+    (r"([0-9])\s+[A-Za-z][A-Za-z ]*$", "#1"),  # a unit in words
     (r"\s+", ""),
-    (r"\.$", ""),
+    (r"^(-?[0-9]{1,3}),([0-9]{3})$", "#1#2"),  # thousands separators, up to three of them
+    (r"^(-?[0-9]{1,3}),([0-9]{3})(\.[0-9]+)$", "#1#2#3"),
+    (r"^(-?[0-9]{1,3}),([0-9]{3}),([0-9]{3})(\.[0-9]+)?$", "#1#2#3#4"),
+    (r"^(-?[0-9]{1,3}),([0-9]{3}),([0-9]{3}),([0-9]{3})(\.[0-9]+)?$", "#1#2#3#4#5"),
 ]
-# An equation is valued by its right-hand side (``x=5`` reads as 5).
-RHS = r"=([^=]*)$"
+# An equation stands for its right-hand side (``x=5`` reads as 5).
+RHS = r"=([^=]+)$"
 NUMBER = r"^-?[0-9]+(\.[0-9]+)?$"
 FRACTION = r"^(-?[0-9]+(?:\.[0-9]+)?)/(-?[0-9]+(?:\.[0-9]+)?)$"
 TOLERANCE = 1e-9
@@ -61,23 +72,44 @@ def normalise(c: Column) -> Column:
     return c
 
 
-def extract_answer(text: Column, *, gold: bool = False) -> Column:
-    """Boxed first, then the anchor; a gold text may also be a bare single token."""
-    raw = (
-        F.when(text.rlike(BOXED), F.regexp_extract(text, BOXED, 1))
-        .when(text.rlike(ANCHOR), F.regexp_extract(text, ANCHOR, 1))
+def _box_content(piece: Column) -> Column:
+    """The text up to the brace that closes the box opened just before ``piece``; NULL when none does."""
+    seen = F.aggregate(
+        F.split(F.regexp_replace(piece, r"\\[{}]", "__"), ""),
+        F.struct(F.lit(1).alias("depth"), F.lit(0).alias("at")),
+        lambda acc, ch: F.when(acc["depth"] == 0, acc).otherwise(
+            F.struct(
+                (acc["depth"] + F.when(ch == "{", 1).when(ch == "}", -1).otherwise(0)).alias("depth"), (acc["at"] + 1).alias("at")
+            )
+        ),
+        lambda acc: F.when(acc["depth"] == 0, acc["at"]),
     )
+    return F.left(piece, seen - 1)
+
+
+def _boxed(text: Column) -> Column:
+    """Content of the rightmost closed box."""
+    pieces = F.split(text, r"\\boxed\{", -1)
+    closed = F.filter(F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), _box_content), lambda x: x.isNotNull())
+    return F.try_element_at(closed, F.lit(-1))
+
+
+def extract_answer(text: Column, *, gold: bool = False) -> Column:
+    """The rightmost box, else the last "answer is"; a gold text may also be in ``$``, a sentence or bare."""
+    other = F.when(text.rlike(ANCHOR), F.regexp_extract(text, ANCHOR, 1))
     if gold:
         bare = F.btrim(text)
-        raw = raw.when((bare != "") & ~bare.rlike(r"\s"), bare)
+        sentence = bare.rlike(r"\s") & bare.rlike(r"[0-9]") & ~bare.rlike(r"^[^=]+=[^=]+$")
+        other = other.when(text.rlike(MATH), F.regexp_extract(text, MATH, 1))
+        other = other.when(sentence, F.regexp_extract(bare, LAST_NUMBER, 1)).when(bare != "", bare)
+    raw = F.coalesce(F.when(F.contains(text, F.lit(BOX)), _boxed(text)), other)
     n = normalise(raw)
+    n = F.when(n.rlike(RHS), F.regexp_extract(n, RHS, 1)).otherwise(n)
     return F.when(n != "", n)
 
 
 def answer_value(norm: Column) -> Column:
-    """Numeric value of a normalised answer: a number or a simple fraction (of an equation, its
-    right-hand side), else NULL."""
-    norm = F.when(norm.rlike(RHS), F.regexp_extract(norm, RHS, 1)).otherwise(norm)
+    """Numeric value of a normalised answer: a number or a simple fraction, else NULL."""
     frac = F.try_divide(
         F.regexp_extract(norm, FRACTION, 1).try_cast("double"), F.regexp_extract(norm, FRACTION, 2).try_cast("double")
     )
@@ -125,16 +157,30 @@ def sql_normalise(expr: str) -> str:
 
 def sql_extract(expr: str, *, gold: bool = False) -> str:
     bare = f"trim({expr})"
-    gold_case = f" WHEN {bare} <> '' AND NOT regexp_matches({bare}, '\\s') THEN {bare}" if gold else ""
+    # The first position at which the braces opened so far are all closed ends a box.
+    flat = "regexp_replace(s, '\\\\[{}]', '__', 'g')"
+    depth = f"1 + length(replace(left({flat}, i), '}}', '')) - length(replace(left({flat}, i), '{{', ''))"
+    end = f"list_min(list_filter(range(1, length(s) + 1), lambda i: {depth} = 0))"
+    boxed = (
+        f"list_filter(list_transform(string_split({expr}, '{BOX}')[2:], lambda s: left(s, CAST({end} AS BIGINT) - 1)), lambda c: c IS NOT NULL)[-1]"
+    )
+    more = ""
+    if gold:
+        more = (
+            f" WHEN regexp_matches({expr}, {_q(MATH)}) THEN regexp_extract({expr}, {_q(MATH)}, 1)"
+            f" WHEN regexp_matches({bare}, '\\s') AND regexp_matches({bare}, '[0-9]') AND NOT regexp_matches({bare}, '^[^=]+=[^=]+$')"
+            f" THEN regexp_extract({bare}, {_q(LAST_NUMBER)}, 1) WHEN {bare} <> '' THEN {bare}"
+        )
     raw = (
-        f"(CASE WHEN regexp_matches({expr}, {_q(BOXED)}) THEN regexp_extract({expr}, {_q(BOXED)}, 1)"
-        f" WHEN regexp_matches({expr}, {_q(ANCHOR)}) THEN regexp_extract({expr}, {_q(ANCHOR)}, 1){gold_case} END)"
+        f"(CASE WHEN {boxed} IS NOT NULL THEN {boxed}"
+        f" WHEN regexp_matches({expr}, {_q(ANCHOR)}) THEN regexp_extract({expr}, {_q(ANCHOR)}, 1){more} END)"
     )
-    return f"nullif({sql_normalise(raw)}, '')"
+    # A list of one lets the normalised text be named and used twice.
+    rhs = f"(CASE WHEN regexp_matches(n, {_q(RHS)}) THEN regexp_extract(n, {_q(RHS)}, 1) ELSE n END)"
+    return f"nullif(list_transform([{sql_normalise(raw)}], lambda n: {rhs})[1], '')"
 
 
 def sql_value(n: str) -> str:
-    n = f"(CASE WHEN regexp_matches({n}, {_q(RHS)}) THEN regexp_extract({n}, {_q(RHS)}, 1) ELSE {n} END)"
     return (
         f"(CASE WHEN regexp_matches({n}, {_q(NUMBER)}) THEN TRY_CAST({n} AS DOUBLE)"
         f" WHEN regexp_matches({n}, {_q(FRACTION)}) THEN TRY_CAST(regexp_extract({n}, {_q(FRACTION)}, 1) AS DOUBLE)"

@@ -16,8 +16,10 @@ from rollwise.functions.grading import with_accuracy
 from rollwise.functions.rewards import weighted_reward
 from rollwise.functions.text import fill_template, render_chat, trim_ws, word_count
 from rollwise.operators import evaluation as E
+from rollwise.operators import loss as L
 from rollwise.operators import metrics as M
 from rollwise.operators import prep as P
+from rollwise.operators import tokens as TK
 from rollwise.operators.advantage import advantages
 from rollwise.functions.rewards import plain_score
 from rollwise.operators import replay as R
@@ -132,6 +134,37 @@ def replay_step_tables(
     return batch, metrics
 
 
+def replay_to_loss(
+    log: DataFrame,
+    tokens: DataFrame,
+    cfg: ReplayConfig,
+    loss_cfg: L.LossConfig,
+    *,
+    eos: int,
+    mask_truncated: bool = False,
+    mode: str = "split",
+    rewards: Sequence[str] = ("r_accuracy", "r_format"),
+    weights: Sequence[float] | None = None,
+    position: str | None = None,
+    payload: Sequence[str] = ("completion_len", "terminated"),
+    prompt_length: str | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """One training step's tables end to end: (batch rows with tokens and masks, all metrics in long form).
+
+    ``tokens`` holds ``rollout_id, completion_ids, logps, old_logps, ref_logps`` and is joined by
+    id once the batch is chosen (J6), so token arrays never pass through a buffer. Masks (F4-F6),
+    token sums (L1, L2), batch losses (L3-L6) and the loss metrics (L7) follow, per mode and step.
+    """
+    batch, metrics = replay_step_tables(
+        log, cfg, mode=mode, rewards=rewards, weights=weights, position=position, payload=payload, prompt_length=prompt_length
+    )
+    full = batch.join(tokens, "rollout_id").withColumn("mask_len", TK.masked_length("completion_ids", eos, mask_truncated=mask_truncated))
+    group = ("mode", "batch_step")
+    sums = L.token_sums(full, loss_cfg, now="logps", old="old_logps", ref="ref_logps")
+    losses = L.loss_metrics(L.batch_losses(sums, loss_cfg, group), loss_cfg, group).withColumnRenamed("batch_step", "step")
+    return full, metrics.unionByName(losses.withColumn("value", F.col("value").cast("double")))
+
+
 def replay_increment_tables(
     snapshot: DataFrame | None,
     new_log: DataFrame,

@@ -6,8 +6,12 @@ from pyspark.sql import functions as F
 
 from rollwise.operators import loss as L
 from rollwise.operators import tokens as TK
-from rollwise.plans.fixtures import IDS_SQL, TOK_SQL, ids, tok
+from rollwise.operators.replay import ReplayConfig
+from rollwise.plans import jobs
+from rollwise.plans.fixtures import IDS_SQL, ROLL_SQL, TOK_SQL, ids, roll, tok
+from rollwise.plans.q_replay import GRP, _buf_sql, _choose_sql, _pos_sql, _req_sql
 from rollwise.plans.registry import register
+from rollwise.sources.tables import read_table
 
 EOS, PAD = 0, -1
 
@@ -217,3 +221,59 @@ _L7_ITEMS = [("loss/on_policy", f"{_ON} + 0.04 * (on_kl / greatest(on_tok, 1))")
 def l7_loss_metrics(spark, sf):
     m = L.loss_metrics(L.batch_losses(_sums(spark, sf), CFG), CFG)
     return m.select("batch", "metric", F.round("value", 6).alias("value"))
+
+
+# ----------------------------------------------------------------------------- one step, end to end
+
+_JOB_SQL = ",\n".join(
+    [
+        f"WITH {ROLL_SQL}",
+        "moded AS (SELECT * REPLACE (CASE WHEN prompt_key % 5 = 0 THEN 'eval' ELSE 'train' END AS mode) FROM roll)",
+        _pos_sql().replace("FROM roll", "FROM moded"),
+        _req_sql(16),
+        _buf_sql(16, 16),
+        _choose_sql("highest_k", 8),
+        f"""rowz AS (
+  SELECT prompt_key, step AS batch_step, block AS batch_block, mode, 1 AS is_online, rollout_id, r_accuracy, r_format FROM moded
+  UNION ALL SELECT {', '.join('c.' + x for x in GRP.split(', '))}, 'train', 0, c.rollout_id, m.r_accuracy, m.r_format
+  FROM chosen c JOIN moded m USING (rollout_id)),
+rew AS (SELECT *, coalesce(r_accuracy, 0) + coalesce(r_format, 0) AS reward FROM rowz),
+advs AS (SELECT *, (reward - avg(reward) OVER w) / (coalesce(stddev_samp(reward) OVER w, 0) + 1e-4) AS adv
+  FROM rew WINDOW w AS (PARTITION BY mode, {GRP}, is_online)),
+em AS (SELECT vec_id, list_transform(embedding, lambda x: abs(CAST(x AS DOUBLE))) AS m,
+  list_transform(embedding, lambda x: CAST(floor(abs(CAST(x AS DOUBLE)) * 50) AS INTEGER)) AS t FROM embeddings),
+masked AS (SELECT *, CASE WHEN coalesce(list_position(t, 0), 0) = 0 THEN len(t) ELSE list_position(t, 0) END AS n FROM em),
+tk AS (SELECT mode, batch_step, prompt_key, batch_block, is_online, rollout_id, adv, n, unnest(m[1:n]) AS x
+  FROM advs JOIN masked ON vec_id = rollout_id % (SELECT count(*) FROM embeddings)),
+tk1 AS (SELECT *, exp(-1.1 * x + x) AS ratio, exp(0.2 * x) - 0.2 * x - 1 AS kl FROM tk),
+tk2 AS (SELECT *, -least(ratio * adv, least(greatest(ratio, 0.8), 1.2) * adv) AS tl, (ratio < 0.8 AND adv < 0) AS lo,
+  (ratio > 1.2 AND adv > 0) AS hi FROM tk1),
+rs AS (SELECT mode, batch_step, prompt_key, batch_block, is_online, rollout_id, count(*) AS tok_n, sum(tl) AS loss_sum, sum(kl) AS kl_sum,
+  count(*) FILTER (WHERE lo) AS n_low, count(*) FILTER (WHERE hi) AS n_high, count(*) FILTER (WHERE lo OR hi) AS n_region FROM tk2 GROUP BY ALL)""",
+        _BATCH_SQL[_BATCH_SQL.rindex("b AS (") :].replace("SELECT batch,", "SELECT mode, batch_step AS step,").replace("FROM rowsum GROUP BY batch", "FROM rs GROUP BY mode, batch_step"),
+    ]
+)
+
+
+@register(
+    "job_replay_to_loss",
+    f"{_JOB_SQL}\n" + "\nUNION ALL\n".join(f"SELECT mode, step, '{m}' AS metric, round({e}, 6) AS value FROM b" for m, e in _L7_ITEMS),
+)
+def job_replay_to_loss(spark, sf):
+    """Log -> replay -> token fetch -> masks -> advantages -> losses -> metrics, eval steps kept apart."""
+    log = roll(spark, sf).withColumn("mode", F.when(F.col("prompt_key") % 5 == 0, "eval").otherwise("train"))
+    emb = read_table(spark, sf, "embeddings")
+    size = F.transform("embedding", lambda x: F.abs(x.cast("double")))
+    by_vec = emb.select("vec_id", size.alias("m")).select(
+        "vec_id",
+        F.transform("m", lambda x: F.floor(x * 50).cast("int")).alias("completion_ids"),
+        F.transform("m", lambda x: -1.1 * x).alias("logps"),
+        F.transform("m", lambda x: -x).alias("old_logps"),
+        F.transform("m", lambda x: -0.9 * x).alias("ref_logps"),
+    )
+    n = emb.select(F.count(F.lit(1))).scalar()
+    tokens = log.select("rollout_id", (F.col("rollout_id") % n).alias("vec_id")).join(by_vec, "vec_id").drop("vec_id")
+    cfg = ReplayConfig(strategy="highest_k", num_replays=8, min_cache=16, max_cache=16)
+    _, metrics = jobs.replay_to_loss(log, tokens, cfg, CFG, eos=EOS, position="fifo", prompt_length="prompt_len")
+    names = [m for m, _ in _L7_ITEMS]
+    return metrics.filter(F.col("metric").isin(names)).select("mode", "step", "metric", F.round("value", 6).alias("value"))

@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from rollwise.functions.grading import format_reward, with_accuracy
 from rollwise.functions.text import render_chat, trim_ws
+from rollwise.operators import loss as L
+from rollwise.operators import metrics as M
 from rollwise.operators import schedule as S
 from rollwise.operators import tokens as TK
 from rollwise.operators.benchmarks import marker_answer
@@ -157,3 +159,22 @@ def test_unshuffled_schedule_needs_integral_key(spark):
     with pytest.raises(ValueError):
         S.repeat_schedule(df, "k", batch_size=1, shuffle=False)
     assert S.repeat_schedule(df, "k", batch_size=1, shuffle=True).count() == 2
+
+
+def test_on_policy_loss_holds_the_kl_term(spark):
+    """One row, two tokens, by hand: ratios e^0.1 and e^-0.1, A = 1, beta = 0.5."""
+    import math
+
+    df = spark.createDataFrame([(0, [0.1, 0.0], [0.0, 0.1], [0.2, 0.0], 2, 1, 1.0)], "batch int, logp_now array<double>, logp_old array<double>, ref_logp array<double>, mask_len int, is_online int, advantage double")
+    cfg = L.LossConfig(epsilon=0.2, beta=0.5, loss_type="grpo")
+    m = {r["metric"]: r["value"] for r in L.loss_metrics(L.batch_losses(L.token_sums(df, cfg), cfg), cfg).collect()}
+    pure = -(math.exp(0.1) + math.exp(-0.1)) / 2
+    kl = ((math.exp(0.1) - 0.1 - 1) + 0.0) / 2
+    assert abs(m["kl"] - kl) < 1e-12 and abs(m["loss/on_policy"] - (pure + 0.5 * kl)) < 1e-12
+
+
+def test_tokens_seen_count_prompts_and_training_rows_only(spark):
+    rows = [("train", 0, 1, 0, 1, 5, 3, True, 1.0), ("train", 1, 1, 0, 1, 7, 3, True, 0.0), ("eval", 1, 2, 0, 1, 100, 9, True, 1.0), ("train", 2, 1, 0, 1, 1, 3, False, 1.0)]
+    df = spark.createDataFrame(rows, "mode string, batch_step long, prompt_key long, batch_block int, is_online int, completion_len int, prompt_len int, terminated boolean, reward double")
+    out = {(r["mode"], r["step"]): r["num_tokens"] for r in M.step_metrics(df.withColumn("r_x", F.col("reward")), ["r_x"], prompt_length="prompt_len").collect()}
+    assert out == {("train", 0): 8.0, ("train", 1): 18.0, ("eval", 1): 18.0, ("train", 2): 22.0}

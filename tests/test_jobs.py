@@ -74,7 +74,7 @@ def test_evaluate_outputs_matches_operators(spark):
 def test_replay_step_tables_match_flagship(spark):
     cfg = ReplayConfig(strategy="highest_k", num_replays=8, min_cache=16, max_cache=16)
     batch, metrics = jobs.replay_step_tables(roll(spark, SF_SMALL), cfg)
-    assert batch.count() == 1648 and metrics.count() > 0
+    assert batch.count() == 1816 and metrics.count() > 0
     from rollwise import schemas
 
     schemas.check(metrics, schemas.METRICS)
@@ -96,6 +96,26 @@ def test_evaluate_outputs_reports_skipped_datasets(spark):
     assert {r.dataset: (r.kept, r.skipped) for r in report.collect()} == {"short": (1, 0), "long": (0, 1)}
 
 
+def test_evaluation_counts_rows_not_texts(spark):
+    """A repeated problem text and a row without outputs are problems of their own."""
+    results = spark.createDataFrame(
+        [("d", "p", "\\boxed{1}", ["\\boxed{1}"]), ("d", "p", "\\boxed{2}", ["\\boxed{1}"]), ("d", "q", "\\boxed{3}", [])],
+        "dataset string, problem string, answer string, outputs array<string>",
+    )
+    summary, _ = jobs.evaluate_outputs(spark, results, _folder(spark, "rows"), num_samples=1)
+    vals = {r.metric: r.value for r in summary.collect()}
+    assert vals["total"] == 3.0 and abs(vals["pass@1"] - 1 / 3) < 1e-12
+
+
+def test_eval_rows_keep_their_mode_in_batch_and_metrics(spark):
+    cfg = ReplayConfig(strategy="highest_k", num_replays=8, min_cache=16, max_cache=16)
+    log = roll(spark, SF_SMALL).withColumn("mode", F.when(F.col("prompt_key") % 5 == 0, "eval").otherwise("train"))
+    batch, metrics = jobs.replay_step_tables(log, cfg, payload=("completion_len", "prompt_len", "terminated"), prompt_length="prompt_len")
+    by_mode = {(r["mode"], r["is_online"]): r["count"] for r in batch.groupBy("mode", "is_online").count().collect()}
+    assert by_mode[("eval", 1)] == log.filter("mode = 'eval'").count() and ("eval", 0) not in by_mode and by_mode[("train", 0)] > 0
+    assert {r["mode"] for r in metrics.select("mode").distinct().collect()} == {"train", "eval"}
+
+
 def test_incremental_job_equals_full_job(spark):
     cfg = ReplayConfig(strategy="highest_k", num_replays=8, min_cache=16, max_cache=16)
     log = roll(spark, SF_SMALL)
@@ -105,4 +125,4 @@ def test_incremental_job_equals_full_job(spark):
     key = lambda r: (r.rollout_id, r.batch_step, r.is_online)
     got = {key(r): round(r.advantage, 9) for r in b1.unionByName(b2).collect()}
     want = {key(r): round(r.advantage, 9) for r in full.collect()}
-    assert got == want and len(got) == 1648
+    assert got == want and len(got) == 1816

@@ -4,6 +4,8 @@ import json
 import os
 import uuid
 
+import pytest
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -84,9 +86,15 @@ def test_sinks_round_trip(spark):
     IO.write_completions(comp, f"{base}/comp")
     assert spark.read.parquet(f"{base}/comp").count() == 4
 
-    rolls = spark.createDataFrame([(1, 1), (2, 0)], "rollout_id long, is_online int")
+    rolls = spark.createDataFrame(
+        [(1, 7, 3, 0, 0, 11, 1, 0.5), (2, 7, 3, 0, 1, 12, 0, 1.0)],
+        "rollout_id long, prompt_key long, batch_step long, batch_block int, batch_slot long, seq long, is_online int, r_format double",
+    )
     IO.append_rollouts(rolls, f"{base}/log")
-    assert [r.rollout_id for r in spark.read.parquet(f"{base}/log").collect()] == [1]
+    back = IO.read_rollout_log(spark, f"{base}/log").collect()
+    assert [(r.rollout_id, r.prompt_key, r.step, r.seq, r.r_format, r.r_accuracy) for r in back] == [(1, "7", 3, 11, 0.5, None)]
+    with pytest.raises(ValueError):
+        IO.append_rollouts(rolls.drop("seq"), f"{base}/log")
 
 
 def test_hot_key_is_spread_over_tasks(spark):
