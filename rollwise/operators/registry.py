@@ -1,6 +1,8 @@
-"""Name registries (D1-D5): reward functions, replay strategies, loss flavours, advantage modes.
+"""Reward functions by name.
 
-Names are validated up front, so a bad configuration fails before any job runs.
+Names are validated up front, so a bad configuration fails before any job runs. Replay
+strategies, loss flavours and advantage modes (D3-D5) are checked where they are configured:
+``ReplayConfig.validate``, ``LossConfig.validate`` and ``advantage.group_keys``.
 """
 
 from __future__ import annotations
@@ -13,9 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollwise.functions.grading import format_reward, with_accuracy
-from rollwise.operators.advantage import MODES as ADVANTAGE_MODES
-from rollwise.operators.loss import LOSS_TYPES
-from rollwise.operators.replay import STRATEGIES
 
 # A reward builder adds one column ``out`` from the completion and gold columns.
 RewardBuilder = Callable[[DataFrame, str, str, str], DataFrame]
@@ -64,24 +63,3 @@ def pandas_reward(fn: Callable[..., pd.Series]) -> Callable[..., Column]:
         return out.where(out.notna(), None)
 
     return _udf
-
-
-def check_strategy(name: str) -> str:
-    """D3."""
-    if name not in STRATEGIES:
-        raise ValueError(f"unknown replay strategy {name!r}; expected one of {STRATEGIES}")
-    return name
-
-
-def check_loss_type(name: str) -> str:
-    """D4."""
-    if name not in LOSS_TYPES:
-        raise ValueError(f"unknown loss type {name!r}; expected one of {LOSS_TYPES}")
-    return name
-
-
-def check_advantage_mode(name: str) -> str:
-    """D5."""
-    if name not in ADVANTAGE_MODES:
-        raise ValueError(f"unknown advantage mode {name!r}; expected one of {ADVANTAGE_MODES}")
-    return name

@@ -229,11 +229,20 @@ def _max_variance(b: DataFrame, key: str, score: str) -> DataFrame:
     per = per.withColumn("_m", m).withColumn("_u", F.size("_it") - m)
     kk = F.least(F.col("_kq"), F.col("_m"))
 
+    # Running sums of the sorted scores: a candidate's sums are two differences.
+    def running(value):
+        return F.aggregate(
+            "_xs",
+            F.array(F.lit(0.0)),
+            lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + value(x))),
+        )
+
+    per = per.withColumns({"_s1": running(lambda x: x), "_s2": running(lambda x: x * x)})
+
     def cand(i):
-        hi_n = kk - i
-        pick = F.concat(F.slice("_xs", 1, i), F.slice("_xs", F.col("_m") - hi_n + 1, hi_n))
-        s1 = F.aggregate(pick, F.lit(0.0), lambda acc, x: acc + x)
-        s2 = F.aggregate(pick, F.lit(0.0), lambda acc, x: acc + x * x)
+        high = F.col("_m") - (kk - i)  # the k - i highest start here
+        both = lambda s: F.get(s, i) + F.get(s, F.col("_m")) - F.get(s, high)
+        s1, s2 = both(F.col("_s1")), both(F.col("_s2"))
         return F.struct((kk * s2 - s1 * s1).alias("v"), s1.alias("s"), (-i).alias("ni"))
 
     best_i = -F.array_max(F.transform(F.sequence(F.lit(0), kk), cand))["ni"]

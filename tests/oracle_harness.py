@@ -8,6 +8,7 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 import math
+import os
 import sys
 import time
 
@@ -89,9 +90,9 @@ def compare(spark, con, name, fn, sql, sf_dir):
 
 
 def main(argv):
-    sf_dir = argv[0] if argv and argv[0].startswith("/") else "/root/testdata/sf0.01"
+    sf_dir = argv[0] if argv and argv[0].startswith("/") else os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
     names = [a for a in argv if not a.startswith("/")]
-    sys.path.insert(0, "/root/repo")
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     from rollwise.plans import registry
     from rollwise.session import local_session
 
