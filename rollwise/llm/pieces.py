@@ -456,27 +456,40 @@ def log_inclusion(log_p: float, kappa: float) -> float:
     return float(np.log(-np.expm1(-np.exp(min(x, 700.0)))))
 
 
-SAMPLE_TYPE = "array<struct<ids:array<int>,log_p:double,log_inclusion:double>>"
+SAMPLE_TYPE = "array<struct<ids:array<int>,log_p:double,log_inclusion:double,round_trip:boolean>>"
+
+
+def decoded(table: np.ndarray, ids: np.ndarray) -> str:
+    """The text of piece ids; ``table`` holds the bytes of each piece."""
+    return b"".join(table[ids].tolist()).decode("utf-8", "replace")[1:]
+
+
+def byte_table(vocabulary_bytes: list[bytes]) -> np.ndarray:
+    return np.array([*vocabulary_bytes, b""], dtype=object)[:-1]
 
 
 def encode(docs: DataFrame, k: int = SAMPLES, model: str = MODEL) -> DataFrame:
-    """doc_id, text and ``samples``: for each text up to k distinct segmentations, best perturbed score first."""
+    """doc_id and ``samples``: for each text up to k distinct segmentations, best perturbed score first.
+
+    A sample has its piece ids, log probability, log inclusion score, and whether its ids
+    decode to the text.
+    """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(load(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
+        encoder, table = Encoder(shared.value), byte_table(shared.value.bytes_of)
         for b in batches:
             texts, seeds = b.column(1).to_pylist(), b.column(2).to_pylist()
             lo, size = 0, 0
             for hi, text in enumerate(texts, 1):
                 size += len(text or "")
                 if size >= BATCH_CHARS or hi == len(texts):
-                    part = b.slice(lo, hi - lo)
-                    yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), encoded(encoder, texts[lo:hi], seeds[lo:hi])], names=["doc_id", "text", "samples"])
+                    samples = encoded(encoder, table, texts[lo:hi], seeds[lo:hi])
+                    yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), samples], names=["doc_id", "samples"])
                     lo, size = hi, 0
 
-    def encoded(encoder: Encoder, texts: list, seeds: list) -> pa.Array:
+    def encoded(encoder: Encoder, table: np.ndarray, texts: list, seeds: list) -> pa.Array:
         some = [i for i, t in enumerate(texts) if t is not None]
         drawn = encoder.sample([texts[i] for i in some], [seeds[i] for i in some], k)
         per_text = np.zeros(len(texts), np.int64)
@@ -485,14 +498,17 @@ def encode(docs: DataFrame, k: int = SAMPLES, model: str = MODEL) -> DataFrame:
         flat, upto = encoder.ids(np.concatenate([x.units for x, _ in every]) if every else np.zeros(0, np.int64))
         ends = np.cumsum([0, *(len(x.units) for x, _ in every)])
         log_p = [float(x.log_p.sum()) for x, _ in every]
-        ids = pa.ListArray.from_arrays(pa.array(upto[ends].astype(np.int32)), pa.array(flat.astype(np.int32)))
-        fields = [ids, pa.array(log_p, pa.float64()), pa.array([log_inclusion(p, kappa) for p, (_, kappa) in zip(log_p, every, strict=True)], pa.float64())]
-        structs = pa.StructArray.from_arrays(fields, names=["ids", "log_p", "log_inclusion"])
+        cuts = upto[ends]
+        whose = np.repeat(np.arange(len(texts)), per_text).tolist()
+        back = [decoded(table, flat[a:b]) == texts[i] for i, a, b in zip(whose, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+        ids = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(flat.astype(np.int32)))
+        fields = [ids, pa.array(log_p, pa.float64()), pa.array([log_inclusion(p, kappa) for p, (_, kappa) in zip(log_p, every, strict=True)], pa.float64()), pa.array(back, pa.bool_())]
+        structs = pa.StructArray.from_arrays(fields, names=["ids", "log_p", "log_inclusion", "round_trip"])
         return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(per_text))).astype(np.int32)), structs)
 
     seed = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), text_key())
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), seed.alias("seed"))
-    return rows.mapInArrow(run, f"doc_id long, text string, samples {SAMPLE_TYPE}")
+    return rows.mapInArrow(run, f"doc_id long, samples {SAMPLE_TYPE}")
 
 
 def decode(rows: DataFrame, ids: Column, keep: list[str], model: str = MODEL) -> DataFrame:
@@ -500,13 +516,13 @@ def decode(rows: DataFrame, ids: Column, keep: list[str], model: str = MODEL) ->
     shared = rows.sparkSession.sparkContext.broadcast(load(model).bytes_of)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.array([*shared.value, b""], dtype=object)[:-1]
+        table = byte_table(shared.value)
         for b in batches:
             for lo in range(0, b.num_rows, 256):
                 part = b.slice(lo, 256)
                 texts = []
                 for lists in part.column(len(keep)):
-                    texts.append([b"".join(table[x.values.to_numpy()].tolist()).decode("utf-8", "replace")[1:] for x in lists] if lists.is_valid else None)
+                    texts.append([decoded(table, x.values.to_numpy()) for x in lists] if lists.is_valid else None)
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(texts, pa.list_(pa.string()))], names=[*keep, "decoded"])
 
     asked = rows.select(*keep, ids.alias("ids"))
@@ -516,16 +532,13 @@ def decode(rows: DataFrame, ids: Column, keep: list[str], model: str = MODEL) ->
 
 def sampled(docs: DataFrame, k: int = SAMPLES, model: str = MODEL) -> DataFrame:
     """One row per document and sample: rank, n_pieces, log_p, log_inclusion, ids_hash and round_trip (decoded text equals the text)."""
-    rows = encode(docs, k, model)
-    back = decode(rows, F.transform("samples", lambda s: s["ids"]), ["doc_id", "text", "samples"], model)
-    pairs = F.arrays_zip("samples", "decoded")
-    each = back.select("doc_id", "text", F.posexplode(pairs).alias("pos", "x"))
+    each = encode(docs, k, model).select("doc_id", F.posexplode("samples").alias("pos", "x"))
     return each.select(
         "doc_id",
         (F.col("pos") + 1).alias("rank"),
-        F.size("x.samples.ids").cast("long").alias("n_pieces"),
-        F.col("x.samples.log_p").alias("log_p"),
-        F.col("x.samples.log_inclusion").alias("log_inclusion"),
-        F.hex(F.xxhash64("x.samples.ids")).alias("ids_hash"),
-        (F.col("x.decoded") == F.col("text")).alias("round_trip"),
+        F.size("x.ids").cast("long").alias("n_pieces"),
+        F.col("x.log_p").alias("log_p"),
+        F.col("x.log_inclusion").alias("log_inclusion"),
+        F.hex(F.xxhash64("x.ids")).alias("ids_hash"),
+        F.col("x.round_trip").alias("round_trip"),
     )

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from rollwise.llm import pieces
 
@@ -95,7 +96,11 @@ def test_round_trip_and_edges(spark, vocabulary):
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
-    for r in pieces.encode(df).collect():
-        if r["text"] and "▁" not in r["text"]:
-            assert all(model.decode(s["ids"]) == r["text"] for s in r["samples"])
+    coded = pieces.encode(df)
+    back = pieces.decode(coded, F.transform("samples", lambda s: s["ids"]), ["doc_id", "samples"])
+    for r in back.collect():
+        text = texts[r["doc_id"] or 0] if r["doc_id"] is not None else "null id"
+        assert text is None or set(r["decoded"]) == {text}
+        if text and "▁" not in text:
+            assert all(model.decode(s["ids"]) == text for s in r["samples"])
     assert pieces.sampled(df.limit(0)).count() == 0
