@@ -2,24 +2,39 @@
 
 import sys
 
+import duckdb
 import pytest
 
 from rollwise.llm import mixing, pieces, quality, secrets
-from tests.conftest import SF_MID
+from tests.conftest import SF_SMALL
 from tests.llm.test_secrets import base, weak
 from tests.llm.test_simhash import brute_components, brute_fingerprint
-from tests.oracle_harness import duck
 
 import corpus_pipeline
 
 
+SECRET = "password=abcdefgh12 user=svc_account https://db.example.com:5432/x"
+
+
+@pytest.fixture(scope="module")
+def documents(spark, tmp_path_factory):
+    """The documents of the smallest table, one with secrets and a near copy of it."""
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    long = docs.filter("length(text) BETWEEN 3000 AND 9000").orderBy("doc_id").first()
+    text = SECRET + " " + " ".join(reversed(long["text"].split(" ")))
+    more = [(10**6 + i, t, long["lang"], long["source"], len(t)) for i, t in enumerate((text, text + " end"))]
+    path = str(tmp_path_factory.mktemp("in") / "documents.parquet")
+    docs.union(spark.createDataFrame(more, docs.schema)).coalesce(1).write.parquet(path)
+    return path
+
+
 @pytest.fixture(scope="module")
-def stages(spark, tmp_path_factory):
-    docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
+def stages(spark, documents, tmp_path_factory):
+    docs = spark.read.parquet(documents)
     out = [docs]
     for name, fn in corpus_pipeline.STAGES:
         path = str(tmp_path_factory.mktemp(name) / "t")
-        fn(spark, docs, SF_MID).write.parquet(path)
+        fn(spark, docs, SF_SMALL).write.parquet(path)
         docs = spark.read.parquet(path)
         out.append(docs)
     return out
@@ -30,8 +45,10 @@ def test_columns(stages):
     assert all(d.dtypes == stages[0].dtypes for d in stages[1:5])
 
 
-def test_quality_stage(stages):
-    rows = duck(SF_MID).sql(f"WITH {quality.oracle()} SELECT doc_id FROM judged WHERE kept").fetchall()
+def test_quality_stage(stages, documents):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{documents}/*.parquet')")
+    rows = con.sql(f"WITH {quality.oracle()} SELECT doc_id FROM judged WHERE kept").fetchall()
     assert sorted(r["doc_id"] for r in stages[1].collect()) == sorted(r[0] for r in rows)
 
 
@@ -74,9 +91,9 @@ def test_encoding_stage(stages):
 
 
 def test_empty_documents(spark):
-    docs = spark.read.parquet(f"{SF_MID}/documents.parquet").limit(0)
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(0)
     for _, fn in corpus_pipeline.STAGES:
-        docs = fn(spark, docs, SF_MID)
+        docs = fn(spark, docs, SF_SMALL)
         assert docs.count() == 0
 
 
