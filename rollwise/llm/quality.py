@@ -46,11 +46,14 @@ def _equal_neighbours(pairs: str) -> str:
         j -> get(s, j - 1).p)))[0]"""
 
 
-def _repeat_words(words: str) -> Column:
+def _repeat_words(column: str) -> Column:
     """Words inside a WINDOW-word run that occurs twice or more in the text.
 
-    Hashes of the runs find the candidates; only their words are compared.
+    Hashes of the runs find the candidates; only their words are compared. Every array is
+    bound to a name once (``transform(array(x), name -> ...)[0]``), so a planner that puts the
+    column's definition here does not repeat it for each element.
     """
+    words = "w"
     hashed = f"transform(sequence(1, size({words}) - {WINDOW - 1}), i -> xxhash64(slice({words}, i, {WINDOW})))"
     candidates = _equal_neighbours("transform(h, (k, p) -> struct(k AS k, p + 1 AS p))")
     exact = _equal_neighbours(f"transform(c, p -> struct(array_join(slice({words}, p, {WINDOW}), ' ') AS k, p AS p))")
@@ -58,13 +61,13 @@ def _repeat_words(words: str) -> Column:
       aggregate(r, named_struct('n', 0L, 'last', CAST({1 - WINDOW} AS INT)),
         (a, p) -> named_struct('n', a.n + least({WINDOW}, p - a.last), 'last', CAST(p AS INT)), a -> a.n)"""
     return F.expr(f"""
-      CASE WHEN size({words}) <= {WINDOW} THEN 0L ELSE
+      transform(array({column}), {words} -> CASE WHEN size({words}) <= {WINDOW} THEN 0L ELSE
         transform(array({hashed}), h ->
           CASE WHEN size(array_distinct(h)) = size(h) THEN 0L ELSE
             transform(array({candidates}), c ->
               transform(array({exact}), r -> CASE WHEN size(r) = 0 THEN 0L ELSE {covered} END)[0])[0]
           END)[0]
-      END""")
+      END)[0]""")
 
 
 def measured(df: DataFrame) -> DataFrame:
@@ -180,7 +183,10 @@ def quality_filter(docs: DataFrame, min_group: int = MIN_GROUP, reach: int = REA
     rows = measured(packed(docs, F.col("lang"), F.col("source"), F.col("text").alias("_text")))
     cells = stage(sketches(rows.drop("_row")), "quality-sketches")
     fence = stage(fences(cells, min_group, reach), "quality-fences")
-    return unpacked(_verdict(rows, fence).filter("kept"))
+    # A filter is not pushed below a row number, so each count is computed once and not again
+    # inside the filter's own copy of its definition.
+    rows = rows.withColumn("_at", F.monotonically_increasing_id())
+    return unpacked(_verdict(rows, fence).filter(F.col("kept") & (F.col("_at") >= 0)))
 
 
 # DuckDB: the same counts, sketch bins and fences over the table ``{table}``.
