@@ -4,8 +4,11 @@ Vectors are dealt to shards of about ``shard_rows`` by their id; a task builds o
 and streams the queries past it. Largest inner product becomes nearest distance by one more
 coordinate sqrt(M^2 - |x|^2), M the longest vector, which a query has as zero; the tree splits
 at the median distance from a vantage point. A side is searched unless the triangle inequality,
-with the current k-th distance scaled by ``factor``, rules it out: factor one is exact, smaller
-factors search less. Equal vectors of a shard are one tree point with their ids, so large groups
+with the current k-th distance scaled by ``factor``, rules it out, or its largest possible inner
+product, q.v + |q| times the side's reach around the vantage point v and |q| times its longest
+vector, is below the current k-th. Both hold for vectors of any lengths: factor one, the
+default, is exact. Smaller factors search less, but lose most neighbours where lengths differ,
+as every query is then far from every point. Equal vectors of a shard are one tree point with their ids, so large groups
 of copies cost nothing and ties between them are exact. Scores of what is found are computed
 anew, in double precision on the original vectors; the shards' lists are merged in Spark.
 
@@ -33,7 +36,7 @@ from rollwise.llm.common import stage
 SHARD_ROWS = 4096
 QUERY_ROWS = 50_000
 LEAF_ROWS = 128
-FACTOR = 0.2
+FACTOR = 1.0
 K = 20
 
 
@@ -45,8 +48,10 @@ class VantageTree:
         square = np.einsum("ij,ij->i", points, points)
         self.reach2 = max(float(square.max(initial=0.0)), (longest or 0.0) ** 2)
         self.extra = np.sqrt(np.maximum(self.reach2 - square, 0.0))
+        self.length = np.sqrt(square)
         self.leaf_rows = leaf_rows
-        #: (vantage, radius, near child, far child), or (rows of a leaf,)
+        #: (vantage, radius, near child, far child, near bounds, far bounds), or (rows of a leaf,);
+        #: the bounds of a side are its longest gap to the vantage point and its longest vector
         self.nodes: list[tuple] = []
         self.visited = 0
         self.root = self._build(np.arange(len(points)), np.random.default_rng(len(points)))
@@ -59,16 +64,20 @@ class VantageTree:
             radius = float(np.median(d))
             near = d <= radius
             if 0 < near.sum() < len(rows):
-                self.nodes.append((v, radius, self._build(rows[near], rng), self._build(rows[~near], rng)))
+                away = np.sqrt(np.einsum("ij,ij->i", gap, gap))
+                bounds = [(float(away[side].max()), float(self.length[rows[side]].max())) for side in (near, ~near)]
+                self.nodes.append((v, radius, self._build(rows[near], rng), self._build(rows[~near], rng), *bounds))
                 return len(self.nodes) - 1
         self.nodes.append((rows,))
         return len(self.nodes) - 1
 
     def search(self, queries: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray]:
         """(row, score) arrays of shape (queries, k), best first; row -1 where there are fewer."""
-        q2 = np.einsum("ij,ij->i", queries, queries) + self.reach2
+        own = np.einsum("ij,ij->i", queries, queries)
+        q2, long = own + self.reach2, np.sqrt(own) * (1 + 1e-9)
         score = np.full((len(queries), k), -np.inf)
         row = np.full((len(queries), k), -1)
+        edge = 1e-6 * np.sqrt(self.reach2)  # distances are roots of differences, so their rounding errors are not small
 
         def kth(at: np.ndarray) -> np.ndarray:
             return np.sqrt(np.maximum(q2[at] - 2 * score[at, -1], 0.0))
@@ -88,14 +97,19 @@ class VantageTree:
                 top = np.take_along_axis(top, np.argsort(-np.take_along_axis(both, top, 1), axis=1, kind="stable"), 1)
                 score[at], row[at] = np.take_along_axis(both, top, 1), np.take_along_axis(who, top, 1)
                 return
-            v, radius, near, far = self.nodes[node]
-            d = np.sqrt(np.maximum(q2[at] - 2 * (queries[at] @ self.points[v]), 0.0))
+            v, radius, near, far, near_bounds, far_bounds = self.nodes[node]
+            dot = queries[at] @ self.points[v]
+            d = np.sqrt(np.maximum(q2[at] - 2 * dot, 0.0))
             inside = d <= radius
-            visit(near, at[inside])
-            visit(far, at[~inside])
-            slack = factor * kth(at)
-            visit(far, at[inside & (d + slack >= radius)])
-            visit(near, at[~inside & (d - slack <= radius)])
+
+            def may_hold(bounds: tuple[float, float]) -> np.ndarray:
+                return np.minimum(dot + long[at] * bounds[0], long[at] * bounds[1]) >= score[at, -1]
+
+            visit(near, at[inside & may_hold(near_bounds)])
+            visit(far, at[~inside & may_hold(far_bounds)])
+            slack = factor * kth(at) + edge
+            visit(far, at[inside & (d + slack >= radius) & may_hold(far_bounds)])
+            visit(near, at[~inside & (d - slack <= radius) & may_hold(near_bounds)])
 
         if len(self.points):
             visit(self.root, np.arange(len(queries)))

@@ -64,3 +64,15 @@ def test_pruning_skips_work_on_clustered_points():
     rows, _ = tree.search(points[::40], 10, 1.0)
     exact = np.argsort(-(points[::40] @ points.T), axis=1, kind="stable")[:, :10]
     assert (np.sort(rows) == np.sort(exact)).all() and tree.visited < 0.6 * 100 * len(points)
+
+
+def test_registered_factor_finds_all_with_unequal_norms_and_one_outlier():
+    rng = np.random.default_rng(2)
+    unit = rng.standard_normal((4000, 64))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    for stretch in (np.ones(4000), np.r_[2.0, np.ones(3999)], np.r_[50.0, np.ones(3999)], rng.lognormal(0, 0.3, 4000)):
+        points = unit * stretch[:, None]
+        tree = vptree.VantageTree(points, longest=float(stretch.max()))
+        rows, _ = tree.search(points[::40], 20, vptree.FACTOR)
+        exact = np.argsort(-(points[::40] @ points.T), axis=1, kind="stable")[:, :20]
+        assert (np.sort(rows) == np.sort(exact)).all()
