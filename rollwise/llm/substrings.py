@@ -3,6 +3,9 @@
 A window is ``window`` consecutive words of one document; every word covered by a window whose
 word sequence also starts anywhere else (same document included) is removed.
 
+* Copies first: texts with equal words (by their sha256) are counted map-side. Every window of a
+  text that occurs twice or more is a repeat, so all such rows lose all their words at once;
+  one representative goes on, as a place where other texts may find their windows.
 * Sampling of suffixes: each window names the position of its least 8-word gram (by hash,
   leftmost on ties) as its anchor. Equal windows name equal grams at equal offsets, so windows
   can only be equal inside the group of suffixes that share an anchor gram. About one position
@@ -10,7 +13,8 @@ word sequence also starts anywhere else (same document included) is removed.
 * Prefix partitions: the gram is the first prefix. The surviving suffixes are sent, with the
   words of the windows they stand for (62 words at most at the default window), to the task
   that owns the gram. A gram with more than ``group_rows`` suffixes is too large for a
-  task: it is dealt into parts, each part settles the windows it sees twice, and the rest go on
+  task: it is dealt by text and place into parts (copies are gone, so texts differ and parts are
+  even, about ``group_rows`` each), each part settles the windows it sees twice, and the rest go on
   under the longest prefix, the whole window, whose equal names are counted in Spark.
 * Subtrees: a task names all word runs of length 1, 2, 4, ... window in its suffixes by sorting
   pairs of shorter names (Karp-Miller-Rosenberg), which are the nodes of the suffix tree cut at
@@ -34,14 +38,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollwise.llm.common import packed, row_key, stage, text_key, unpacked
+from rollwise.llm.common import maybe_broadcast, packed, row_key, stage, text_key, unpacked
 
 WINDOW = 35
 GRAM = 8
 GROUP_ROWS = 2048
-#: words a task names at once (whole groups; a single group is bounded by group_rows)
+#: words a task names at once (whole groups; a part of a gram has about group_rows suffixes)
 BATCH_WORDS = 1 << 19
 WORD_CACHE = 1 << 19
+BROADCAST_ROWS = 100_000
+NO_WORDS = hashlib.sha256(b"").hexdigest()
 KEY = ["_id", "_null", "_th"]
 KEY_TYPE = "_id long, _null boolean, _th long"
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -128,10 +134,19 @@ def _anchored(docs: DataFrame, window: int) -> DataFrame:
     return _keyed(docs, F.col("doc_id").cast("long").alias("doc_id")).mapInArrow(run, schema)
 
 
-def _contexts(docs: DataFrame, picked: DataFrame, window: int) -> DataFrame:
+def _copies(base: DataFrame, window: int) -> DataFrame:
+    """(sha, key of a representative as r_*, rows with that key) of every word sequence that several rows hold."""
+    rows = base.filter(F.col("n_words") >= window).groupBy("sha", *KEY).agg(F.count("*").alias("rows"))
+    least = F.min(F.struct("rows", *KEY)).alias("r")
+    several = rows.groupBy("sha").agg(F.sum("rows").alias("n"), least).filter("n > 1")
+    return several.select("sha", "r.rows", *[F.col(f"r.{c}").alias(f"r{c}") for c in KEY])
+
+
+def _contexts(docs: DataFrame, picked: DataFrame, copies: DataFrame, window: int) -> DataFrame:
     """(h, part, key, start, words) per surviving anchor: the words of the windows it stands for.
 
-    ``picked``: key, and per document an array ``picks`` of (h, a, b, parts).
+    ``picked``: key, and per document an array ``picks`` of (h, a, b, parts). A representative
+    whose whole row is repeated gives its words once.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,7 +178,12 @@ def _contexts(docs: DataFrame, picked: DataFrame, window: int) -> DataFrame:
                     names=["h", "part", "split", *KEY, "start", "words"],
                 )
 
-    rows = _keyed(docs).join(picked, KEY)
+    rows = _keyed(docs)
+    again = copies.filter("rows > 1").select(*[F.col(f"r{c}").alias(c) for c in KEY])
+    if not again.isEmpty():
+        again = maybe_broadcast(again, BROADCAST_ROWS)
+        rows = rows.join(again, KEY, "left_anti").union(rows.join(again, KEY, "left_semi").dropDuplicates(KEY))
+    rows = rows.join(picked, KEY)
     return rows.mapInArrow(run, f"h long, part int, split boolean, {KEY_TYPE}, start int, words binary")
 
 
@@ -260,19 +280,31 @@ def _subtrees(contexts: DataFrame, window: int) -> DataFrame:
 
 
 def covered(docs: DataFrame, window: int = WINDOW, group_rows: int = GROUP_ROWS) -> tuple[DataFrame, DataFrame]:
-    """(per document: doc_id, key, n_words, sha of all words; per key with repeats: ``spans`` of (s, e) word positions)."""
+    """(per document: doc_id, key, n_words, sha of all words, ``whole``; (key, s, e) of the repeats).
+
+    Documents that are ``whole`` have a copy and lose all words; they need no intervals.
+    """
     base = stage(_anchored(docs, window), "substrings-anchors")
-    each = base.select(*KEY, F.explode("anchors").alias("x")).select(*KEY, "x.*")
+    copies = stage(_copies(base, window), "substrings-copies")
+    marked = base.join(maybe_broadcast(copies, BROADCAST_ROWS), "sha", "left")
+    whole = F.col("rows").isNotNull()
+    is_first = F.expr(" AND ".join(f"{c} = r{c}" for c in KEY))
+    each = marked.filter(~whole | is_first).select(*KEY, F.explode("anchors").alias("x")).select(*KEY, "x.*")
     grams = stage(each.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1"), "substrings-grams")
     parts = F.ceil(F.col("n") / group_rows).cast("int").alias("parts")
     picked = each.join(grams, "h").groupBy(*KEY).agg(F.collect_set(F.struct("h", "a", "b", parts)).alias("picks"))
-    found = stage(_subtrees(_contexts(docs, picked, window), window), "substrings-repeats")
+    found = stage(_subtrees(_contexts(docs, picked, copies, window), window), "substrings-repeats")
     still = found.filter("name IS NOT NULL")
     twice = stage(still.groupBy("name").agg(F.sum("n").alias("n")).filter("n > 1").select("name"), "substrings-open")
     settled = found.filter("name IS NULL").select(*KEY, "s", "e").union(
         still.filter("n = 1").join(twice, "name").select(*KEY, "s", "e")
     )
-    return base.drop("anchors"), settled.groupBy(*KEY).agg(F.collect_set(F.struct("s", "e")).alias("spans"))
+    return marked.select("doc_id", *KEY, "n_words", "sha", whole.alias("whole")), settled
+
+
+def _spans(repeats: DataFrame) -> DataFrame:
+    """Per key, ``spans``: its (s, e) word positions."""
+    return repeats.groupBy(*KEY).agg(F.collect_set(F.struct("s", "e")).alias("spans"))
 
 
 def kept_words(words: list[bytes], starts: np.ndarray, ends: np.ndarray) -> list[bytes]:
@@ -294,9 +326,11 @@ def _spans_of(batch: pa.RecordBatch, column: int) -> Iterator[tuple[np.ndarray,
 def digests(docs: DataFrame, window: int = WINDOW, group_rows: int = GROUP_ROWS) -> DataFrame:
     """doc_id, n_words, n_removed and kept_sha256 of every document.
 
-    Texts travel again only to documents that lose words; the others have their digest already.
+    Texts travel again only to documents that lose a part of their words; the others have their
+    digest already.
     """
-    base, spans = covered(docs, window, group_rows)
+    base, repeats = covered(docs, window, group_rows)
+    spans = _spans(repeats)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -313,8 +347,8 @@ def digests(docs: DataFrame, window: int = WINDOW, group_rows: int = GROUP_ROWS)
     return base.join(cut, KEY, "left").select(
         "doc_id",
         "n_words",
-        F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
-        F.coalesce("kept", "sha").alias("kept_sha256"),
+        F.when(F.col("whole"), F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
+        F.when(F.col("whole"), F.lit(NO_WORDS)).otherwise(F.coalesce("kept", "sha")).alias("kept_sha256"),
     )
 
 
@@ -323,7 +357,9 @@ def deduplicate(docs: DataFrame, window: int = WINDOW, group_rows: int = GROUP_R
 
     Texts that lose nothing stay as they are.
     """
-    _, spans = covered(docs, window, group_rows)
+    base, repeats = covered(docs, window, group_rows)
+    gone = base.filter("whole").select(*KEY, F.lit(0).alias("s"), F.col("n_words").cast("int").alias("e"))
+    spans = _spans(repeats.union(gone))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -48,3 +48,23 @@ def test_deduplicate_texts(spark):
     assert out.columns == df.columns
     assert {r["doc_id"]: r["text"] for r in out.collect()} == {1: "a b", 2: "c", 3: "left  as is", 4: None}
     assert substrings.deduplicate(df.limit(0)).count() == 0 and substrings.digests(df.limit(0)).count() == 0
+
+
+def test_copies_do_not_land_in_one_part(spark, monkeypatch):
+    r = random.Random(6)
+    p = " ".join(f"p{i}" for i in range(80))
+    rows = [(i, p if i % 2 else p.replace(" ", "\n")) for i in range(300)] + [(1000, "whole row " + p)] * 200
+    rows += [(2000 + i, " ".join(["t", str(i), p, str(r.random())])) for i in range(100)] + [(3000, p + " end"), (3001, "short")]
+    largest, real = [], substrings._subtrees
+
+    def watched(contexts, window):
+        largest.append(max(x["count"] for x in contexts.groupBy("h", "part").count().collect()))
+        return real(contexts, window)
+
+    monkeypatch.setattr(substrings, "_subtrees", watched)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, substrings.digests(df, 35, 16).collect()), key=repr)
+    assert got == brute(rows, 35)
+    assert max(largest) <= 4 * 16
+    kept = {(x["doc_id"], x["text"]) for x in substrings.deduplicate(df, 35, 16).collect()}
+    assert {t for d, t in kept if d <= 1000} == {""} and (3000, "end") in kept and (3001, "short") in kept
