@@ -2,7 +2,8 @@
 
 * Each page is read into containers and text blocks. A container is scored by the text of the
   paragraphs in it (its own children fully, grandchildren by half), links and boilerplate
-  not counted; the best one, or the article or main element around it, is the page's candidate.
+  not counted; the best one, raised to its parent while a sibling holds a good part of its text,
+  or the article or main element around it, is the page's candidate.
 * Pages vote, per host, for their candidate's generalised path: the tags from the root with
   their classes, digits generalised. Votes are counted in Spark with map-side combine.
 * Every page is extracted again with its host's winning path; a page without such a container
@@ -11,7 +12,10 @@
 Text is decoded after the markup is cut, white space in a block becomes one space, blocks are
 trimmed and joined by a blank line. Left out: navigation, page headers, footers, asides, forms,
 scripts, styles, hidden parts and elements whose class, id or role names them as such (ads,
-menus, notices, sharing, related links, reader comments).
+menus, notices, sharing, related links, reader comments). What a name says in part only
+(``has-sidebar``), and a form, is kept when it holds the page's article or main or most of its
+text; an element named so as a whole, when it holds main, or most of a page that is empty without it.
+Hidden parts never are.
 
 Defined cases: null html gives an empty text; a null url votes with the empty host; a page cut
 off in a tag loses that tag only; ties between paths go to the higher summed score, then the
@@ -49,6 +53,10 @@ NEGATIVE = frozenset(
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu".split())
 WHOLE = frozenset(["html", "body", "article", "main"])
+#: why an element is left out: never read again, named so as a whole, named so in part or a form
+HIDDEN, NAMED, PARTLY = 3, 2, 1
+#: a sibling with this share of the best container's text belongs to the candidate
+RICH = 0.2
 #: elements a start tag closes when one is open in the same container
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
@@ -65,8 +73,14 @@ class Page:
     def __init__(self, html: str) -> None:
         self.parent, self.path, self.tag, self.score = [-1], [""], ["#"], [0.0]
         self.blocks: list[tuple[int, str]] = []
-        #: open elements: (tag, container number, inside something skipped, inside a link)
-        self.open = [("#", 0, False, False)]
+        #: every block with its weight: (container, text, weight, left-out element or 0, article or main around it)
+        self.found: list[tuple[int, str, int, int, str]] = []
+        #: left-out elements: (the one around it or 0, why)
+        self.left = [(0, 0)]
+        #: left-out elements that hold an article or main of their own, and which
+        self.holders: dict[int, str] = {}
+        #: open elements: (tag, container number, left-out element around or 0, inside a link)
+        self.open = [("#", 0, 0, False)]
         self.text: list[str] = []
         self.linked = 0
         at = 0
@@ -90,28 +104,69 @@ class Page:
             else:
                 self._start(name, m[3] or m[7] or "")
         self._flush()
+        self._settle()
 
     def _add(self, raw: str) -> None:
-        _, _, skipped, link = self.open[-1]
-        if not skipped:
+        _, _, left, link = self.open[-1]
+        if self.left[left][1] != HIDDEN:
             self.text.append(raw)
             if link:
                 self.linked += len(raw)
 
     def _flush(self) -> None:
-        """End the current block: its text goes to the container it stands in."""
+        """End the current block: its text is noted with the container it stands in."""
         if not self.text:
             return
         text = " ".join(unescape("".join(self.text)).split())
         linked, self.text, self.linked = self.linked, [], 0
         if not text:
             return
-        box = self.open[-1][1]
-        self.blocks.append((box, text))
-        weight = max(0, len(text) - linked)
-        self.score[box] += weight
-        if box:
-            self.score[self.parent[box]] += weight / 2
+        _, box, left, _ = self.open[-1]
+        around = [t for t, _, _, _ in self.open if t in ("article", "main")]
+        self.found.append((box, text, max(0, len(text) - linked), left, "main" if "main" in around else "article" if around else ""))
+
+    def _settle(self) -> None:
+        """Decide which left-out elements are read after all, then give the blocks to their containers."""
+        n = len(self.left)
+        held, article, main = [0] * n, [0] * n, [0] * n
+        worst = [0] * n  # the strongest reason around, the element's own included
+        for i in range(1, n):
+            worst[i] = max(self.left[i][1], worst[self.left[i][0]])
+        plain = free = 0  # text outside NAMED elements; article text outside every left-out element
+        for _, _, weight, left, around in self.found:
+            plain += weight if worst[left] <= PARTLY else 0
+            free += weight if around and not left else 0
+            at = left
+            while at:
+                held[at] += weight
+                article[at] += weight if around else 0
+                main[at] += weight if around == "main" else 0
+                at = self.left[at][0]
+        total = sum(f[2] for f in self.found)
+        read = [True] + [False] * (n - 1)
+
+        def choose(last_resort: bool) -> None:
+            for i in range(1, n):
+                up, why = self.left[i]
+                if not read[up] or why == HIDDEN:
+                    continue
+                holds = inner_main[i] or (last_resort and 2 * held[i] > total)
+                if why == PARTLY:
+                    holds = holds or 2 * held[i] > plain or (inner[i] and article[i] and (not free or 2 * article[i] > total))
+                read[i] = bool(holds)
+
+        # An article or main around a left-out element does not make that element an article's holder.
+        inner = [i in self.holders for i in range(n)]
+        inner_main = [self.holders.get(i) == "main" and main[i] > 0 for i in range(n)]
+        choose(False)
+        if not any(read[f[3]] and f[2] for f in self.found):
+            choose(True)
+        for box, text, weight, left, _ in self.found:
+            if read[left]:
+                self.blocks.append((box, text))
+                self.score[box] += weight
+                if box:
+                    self.score[self.parent[box]] += weight / 2
 
     def _start(self, name: str, attributes: str) -> None:
         if name == "br":
@@ -122,8 +177,8 @@ class Page:
             self._close_implied({"p"} | CLOSES.get(name, set()))
         if name in VOID or attributes.endswith("/"):
             return
-        _, box, skipped, link = self.open[-1]
-        classes, bad = "", False
+        _, box, left, link = self.open[-1]
+        classes, bad, why = "", False, PARTLY
         if attributes:
             for key, a, b, c in ATTRIBUTE.findall(attributes):
                 key, value = key.lower(), (a or b or c).lower()
@@ -131,26 +186,37 @@ class Page:
                     if key == "class":
                         classes = ".".join(sorted(re.sub(r"\d+", "0", x) for x in value.split()))
                     bad = bad or not NEGATIVE.isdisjoint(WORDS.findall(value))
-                elif key == "role":
-                    bad = bad or value in ROLES
-                elif key == "style":
-                    bad = bad or "display:none" in value.replace(" ", "")
-                else:
-                    bad = bad or value != "false"
+                    why = max(why, NAMED if not NEGATIVE.isdisjoint(value.split()) else why)
+                elif key == "role" and value in ROLES:
+                    bad, why = True, max(why, PARTLY if value == "form" else NAMED)
+                elif key == "style" and "display:none" in value.replace(" ", ""):
+                    bad, why = True, HIDDEN
+                elif key in ("hidden", "aria-hidden") and value != "false":
+                    bad, why = True, HIDDEN
         in_article = any(t in ("article", "main") for t, _, _, _ in self.open)
         if name in WHOLE:
             bad = False
         elif name == "header" or (bad and name in PARAGRAPH and name[0] == "h"):
             bad = not in_article  # an article's own heading is part of it
         elif name in SKIP:
-            bad = True
+            bad, why = True, max(why, PARTLY if name == "form" else NAMED)
+        if name == "header":
+            why = max(why, NAMED)
+        if name in ("article", "main"):
+            at = left
+            while at:
+                self.holders[at] = "main" if "main" in (name, self.holders.get(at)) else name
+                at = self.left[at][0]
+        if bad:
+            self.left.append((left, max(why, HIDDEN if self.left[left][1] == HIDDEN else why)))
+            left = len(self.left) - 1
         if name in CONTAINER:
             self.parent.append(box)
             self.path.append(f"{self.path[box]}>{name}" + ("." + classes if classes else ""))
             self.tag.append(name)
             self.score.append(0.0)
             box = len(self.parent) - 1
-        self.open.append((name, box, skipped or bad, link or name == "a"))
+        self.open.append((name, box, left, link or name == "a"))
 
     def _close_implied(self, names: set[str]) -> None:
         for i in range(len(self.open) - 1, 0, -1):
@@ -173,10 +239,23 @@ class Page:
                 return
 
     def candidate(self) -> int:
-        """The best container, or the nearest article or main around it; 0 when there is no text."""
+        """The best container with its text-rich siblings, or the nearest article or main around it; 0 without text."""
         best = max(range(len(self.score)), key=lambda i: (self.score[i], -i))
         if self.score[best] <= 0:
             return 0
+        whole = [0] * len(self.parent)  # text in a container and all containers in it
+        for box, text in self.blocks:
+            whole[box] += len(text)
+        for i in range(len(whole) - 1, 0, -1):
+            whole[self.parent[i]] += whole[i]
+        rich: dict[int, list[int]] = defaultdict(list)
+        for i in range(1, len(whole)):
+            rich[self.parent[i]].append(i)
+        at = best
+        while self.parent[at] > 0 and self.tag[at] not in ("article", "main"):
+            if any(i != at and whole[i] >= RICH * whole[at] for i in rich[self.parent[at]]):
+                best = self.parent[at]
+            at = self.parent[at]
         up = best
         while up > 0 and self.tag[up] not in ("article", "main"):
             up = self.parent[up]

@@ -42,3 +42,21 @@ def test_host_vote_corrects_a_page(spark):
     assert out[9] == ("main", 4) and out[10] == ("b", 1) and out[11] == ("", 0) and out[12][0] == "no such path"
     assert out[0][0] == ("main text " * 20).strip()
     assert html.extract(df.limit(0)).count() == 0
+
+
+def test_names_that_hold_the_article_do_not_lose_it():
+    story = "<p>" + "story text " * 30 + "</p>"
+    want = ("story text " * 30).strip()
+    for around in ("div class='content has-sidebar'", "div class='no-sidebar'", "div class='layout-header-fixed'", "div id='login-guide'", "form id='aspnetForm'"):
+        for inner in (story, f"<article>{story}</article>"):
+            page = f"<html><body><{around}><nav><a>Home</a></nav>{inner}</{around.split()[0]}><div class='sidebar'><p>side</p></div></body></html>"
+            assert text(page) == want, page
+    nested = f"<form id='aspnetForm'><div class='page has-sidebar'>{story}<div class='ad-slot'>Buy</div></div><section class='comments'><p>{'long ' * 200}</p></section></form>"
+    assert text(nested) == want
+    assert text(f"<div hidden>{story}</div><div><p>seen</p></div>") == "seen"
+
+
+def test_candidate_gathers_text_rich_siblings():
+    page = "<body><div class='wrap'><div class='part-one'><p>{}</p></div><div class='part-two'><p>{}</p></div><div class='x'><p>tiny</p></div></div><div class='y'>z</div></body>"
+    got = text(page.format("a " * 350, "b " * 150))
+    assert got.split("\n\n")[:2] == [("a " * 350).strip(), ("b " * 150).strip()] and "z" not in got
