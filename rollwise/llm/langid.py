@@ -2,7 +2,8 @@
 
 Trained in numpy by backpropagation through time on a bounded sample: at most ``TRAIN_WINDOWS``
 windows of ``window`` bytes, equally many per language, taken from documents whose
-crc32(doc_id as text) mod 5 is not 0 and whose language is known. Every byte of every text is
+crc32(doc_id as text) mod 5 is not 0 and whose language is known. Documents are drawn by a 64-bit
+hash with a quota per language, and a window's place is drawn over the whole text. Every byte of every text is
 then read: texts are cut into windows, a forward and a backward network run over the windows of
 many documents at once, every position gets a probability per language, and a document's
 probabilities are the mean over the positions of its letters. The highest wins, ties to the
@@ -22,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 WINDOW = 64
@@ -30,8 +31,6 @@ HIDDEN = 8
 #: windows in the training sample, over all languages, and windows taken from one document at most
 TRAIN_WINDOWS = 2400
 PER_DOCUMENT = 2
-#: characters of a training document that its windows are taken from
-TRAIN_CHARS = 512
 STEPS = 180
 BATCH = 160
 RATE = 0.03
@@ -207,8 +206,9 @@ def _fold(doc_id: str = "doc_id"):
 def training_sample(docs: DataFrame, train_windows: int = TRAIN_WINDOWS) -> tuple[list[str], np.ndarray, np.ndarray]:
     """(languages, windows, labels): a bounded sample of the labelled documents that may be learned from.
 
-    Documents are chosen by a hash threshold per language, computed from the count of all its
-    rows, then at most twice the wanted number is collected.
+    Every language gives the documents with its smallest hashes, as many as wanted. A threshold
+    per language, from the count of all its rows, drops most others before they are ranked; it
+    lets enough pass that one with too few is next to impossible. Only the windows are collected.
     """
     rows = docs.filter((_fold() != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
@@ -216,27 +216,24 @@ def training_sample(docs: DataFrame, train_windows: int = TRAIN_WINDOWS) -> tupl
         return [], np.zeros((0, WINDOW), np.int16), np.zeros(0, np.int64)
     languages = sorted(counts)
     want = max(1, train_windows // PER_DOCUMENT // len(languages))
-    share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, 1.5 * want / n))])
-    draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 20)) / float(1 << 20)
-    taken = (
-        rows.withColumn("draw", draw)
-        .filter(F.col("draw") < share[F.col("lang")])
-        .select("lang", F.substring("text", 1, TRAIN_CHARS).alias("text"), "draw")
-        .orderBy("draw", "lang", "text")
-        .limit(2 * want * len(languages))
-        .collect()
+    share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, (1.5 * want + 32) / n))])
+    place = lambda seed: F.pmod(F.xxhash64("doc_id", "text", F.lit(seed)), F.greatest(F.length("text") - WINDOW + 1, F.lit(1))) + 1
+    drawn = (
+        rows.withColumn("text", F.col("text").cast("string"))
+        .withColumn("draw", F.xxhash64(F.col("doc_id").cast("string"), "text"))
+        .filter((F.col("draw") / float(1 << 64) + 0.5) < share[F.col("lang")])
+        .select("lang", "draw", F.array(*[F.substring("text", place(i), F.lit(WINDOW)) for i in range(PER_DOCUMENT)]).alias("cuts"))
     )
-    rng = np.random.default_rng(3)
-    windows, labels, used = [], [], dict.fromkeys(languages, 0)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "cuts"))
+    taken = drawn.withColumn("rank", rank).filter(F.col("rank") <= want).orderBy("draw", "lang", "cuts").collect()
+    windows, labels = [], []
     for r in taken:
-        raw = np.frombuffer(r["text"].encode("utf-8", "replace"), np.uint8)
-        for _ in range(PER_DOCUMENT if used[r["lang"]] < want else 0):
-            lo = int(rng.integers(max(1, len(raw) - WINDOW + 1)))
+        for cut in r["cuts"]:
+            raw = np.frombuffer(cut.encode("utf-8", "replace"), np.uint8)[:WINDOW]
             x = np.full(WINDOW, PAD, np.int16)
-            x[: len(raw[lo : lo + WINDOW])] = raw[lo : lo + WINDOW]
+            x[: len(raw)] = raw
             windows.append(x)
             labels.append(languages.index(r["lang"]))
-        used[r["lang"]] += 1
     return languages, np.array(windows, np.int16).reshape(-1, WINDOW), np.array(labels, np.int64)
 
 

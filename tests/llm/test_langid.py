@@ -62,3 +62,16 @@ def test_long_texts_are_pooled_whole():
             x = rows.reshape(-1, langid.WINDOW)
             p = model.probabilities(x.T).transpose(1, 0, 2)[langid.IS_LETTER[x]].astype(float).mean(axis=0)
             assert lang == p.argmax() and abs(p.max() - score) < 1e-4
+
+
+def test_every_language_has_its_quota_and_windows_lie_anywhere(spark):
+    # An id whose draw among 2^20 values is small: with equal ids a whole language used to draw the same.
+    ids = spark.range(1, 200_000).filter("crc32(cast(cast(id AS string) AS binary)) % 5 <> 0")
+    least = ids.orderBy(F.expr("pmod(xxhash64(cast(id AS string)), 1048576)")).first()["id"]
+    rows = [(least, f"aa{i} " * 40, "aa") for i in range(200)] + [(i, f"zz{i} " * 40, "zz") for i in range(1, 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    languages, windows, labels = langid.training_sample(df, 8)
+    assert languages == ["aa", "zz"] and np.bincount(labels).tolist() == [4, 4]
+    far = spark.createDataFrame([(i, "x" * 1000 + "y" * 9000, "aa") for i in range(50)], "doc_id long, text string, lang string")
+    _, windows, _ = langid.training_sample(far, 40)
+    assert (windows == ord("y")).mean() > 0.5
