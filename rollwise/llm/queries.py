@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollwise.llm import html, langid, merkle, mixing, pieces, quality, secrets, simhash, substrings, urls, vptree
+from rollwise.llm import html, langid, merkle, mixing, pieces, quality, secrets, simhash, substrings, urls, vptree, whitening
 from rollwise.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_document_fingerprints", merkle.oracle())
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.edited(read(spark, sf_dir, "documents"))
+
+
+@query("op13_embedding_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
