@@ -46,6 +46,7 @@ SCALE = 256
 BLOCK_ROWS = 2048
 NO_VARIANCE = 1e-13
 CONVERGED = 1e-15
+LOST = 1e-2
 SEED = 12
 
 
@@ -169,14 +170,19 @@ class Components:
         v = _fresh(right, 0)
         while v is not None:
             right = np.column_stack([right, v])
-            inner, image, length, square = fit.products(left, v)
+            # p minus its part in the earlier left vectors; again where little of it is left, as
+            # differences would then lose digits. The coefficients also give A'p and its length.
+            g = v
+            for _ in range(3):
+                inner, image, length, square = fit.products(left, g)
+                small[: left.shape[1], self.steps] += inner
+                g, image, length_left = g - left @ inner, image - images @ inner, max(length - inner @ inner, 0.0)
+                if length_left >= LOST * length:
+                    break
             self.trace = square / n
             if square == 0:
                 break
-            # p minus its part in the earlier left vectors; the coefficients also give A'p and its length
-            small[: left.shape[1], self.steps] = inner
-            g, image = v - left @ inner, image - images @ inner
-            alpha = np.sqrt(max(length - inner @ inner, 0.0))
+            alpha = np.sqrt(length_left)
             self.steps += 1
             tiny = 1e-14 * np.sqrt(square)
             if alpha > tiny:
