@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollwise.llm import html, langid, merkle, mixing, pieces, quality, secrets, simhash, substrings, urls, vptree, whitening
+from rollwise.llm import html, langid, merkle, mixing, pieces, quality, secrets, simhash, substrings, trie, urls, vptree, whitening
 from rollwise.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +102,8 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_embedding_whitening")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
+@query("op11_conversation_trie", trie.oracle())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.conversation_trie(read(spark, sf_dir, "conversations"))
