@@ -2,12 +2,15 @@
 
 Per document five counts are measured with SQL functions. Rates derived from them go into
 quantile sketches, one per (language, source) and rate: log-linear histograms whose bins are
-at most 1/32 of their value wide. Sketches are merged by adding the counts of equal bins, so
+at most 1/32 of their value wide. Only documents that pass the base rule (enough words, not
+mostly repeats) are sketched, so a source full of empty or repetitive documents does not set the
+measure for its sound ones. Sketches are merged by adding the counts of equal bins, so
 they aggregate map-side before the shuffle, a hot source is never gathered in one task, and a
-group with fewer than ``min_group`` documents uses the merged sketch of its language, or of the
-whole corpus. The quantiles give fences (median plus or minus ``reach`` times the spread
-between quartile and median, or times a least spread where that is larger), the fences are
-joined back and a document outside them is rejected.
+group with fewer than ``min_group`` such documents uses the merged sketch of its language, or of
+the whole corpus. The quantiles give fences: the median plus ``reach`` times the spread up to the
+upper quartile, and for word length, the one rate that can be too low, the median less ``reach``
+times the spread down to the lower quartile. A small least spread stands in where the quartiles
+fall together. The fences are joined back and a document outside them is rejected.
 
 Defined cases: a null text counts as empty (no words: ``base_failed``); null language or
 source form groups of their own; repeated rows are measured and judged one by one; an empty
@@ -26,14 +29,16 @@ WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PCT = 30
 MIN_GROUP = 200
-REACH = 4
+REACH = 8
 #: rate -> (numerator, denominator, scale, least spread): spreads and fences are on the scaled integers.
 RATES = {
-    "symbols": ("n_symbols", "n_words", 1000, 250),
-    "word_length": ("word_chars", "n_words", 100, 100),
-    "dup_lines": ("n_dup_lines", "n_lines", 1000, 100),
-    "repeats": ("n_repeat_words", "n_words", 1000, 75),
+    "symbols": ("n_symbols", "n_words", 1000, 12),
+    "word_length": ("word_chars", "n_words", 100, 15),
+    "dup_lines": ("n_dup_lines", "n_lines", 1000, 45),
+    "repeats": ("n_repeat_words", "n_words", 1000, 32),
 }
+#: rates with a lower fence too; the others are defects, bad only when high
+TWO_SIDED = ("word_length",)
 BROADCAST_ROWS = 100_000
 
 
@@ -103,16 +108,20 @@ def _bin(v: Column) -> Column:
     return F.call_function("shiftleft", F.call_function("shiftright", v, shift), shift)
 
 
+def _base_failed() -> Column:
+    return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words"))
+
+
 def sketches(measures: DataFrame) -> DataFrame:
-    """Mergeable sketches: (lang, source, rate, bin, n), one row per non-empty bin."""
-    long = measures.select(
+    """Mergeable sketches of the documents passing the base rule: (lang, source, rate, bin, n), one row per non-empty bin."""
+    long = measures.filter(~_base_failed()).select(
         "lang", "source", F.explode(F.array(*[F.struct(F.lit(r).alias("rate"), _rate(r).alias("v")) for r in RATES])).alias("x")
     )
     return long.groupBy("lang", "source", "x.rate", _bin(F.col("x.v")).alias("bin")).agg(F.count("*").alias("n"))
 
 
 def fences(cells: DataFrame, min_group: int = MIN_GROUP, reach: int = REACH) -> DataFrame:
-    """One row per (lang, source) with <rate>_low and <rate>_high.
+    """One row per (lang, source) that has sketched documents, with <rate>_high, and <rate>_low for two-sided rates.
 
     The sketches of a language, and of everything, are merged from the cells; a group takes
     the finest of the three that holds at least ``min_group`` documents (the whole if none).
@@ -150,7 +159,9 @@ def fences(cells: DataFrame, min_group: int = MIN_GROUP, reach: int = REACH) ->
     low = F.col("q.q50") - reach * F.greatest(F.col("q.q50") - F.col("q.q25"), spread[F.col("rate")])
     wide = []
     for r in RATES:
-        wide += [F.max(F.when(F.col("rate") == r, low)).alias(f"{r}_low"), F.max(F.when(F.col("rate") == r, high)).alias(f"{r}_high")]
+        wide.append(F.max(F.when(F.col("rate") == r, high)).alias(f"{r}_high"))
+        if r in TWO_SIDED:
+            wide.append(F.max(F.when(F.col("rate") == r, low)).alias(f"{r}_low"))
     return chosen.groupBy("lang", "source").agg(*wide)
 
 
@@ -160,11 +171,12 @@ def _verdict(measures: DataFrame, fence: DataFrame) -> DataFrame:
         same([(F.col(f"d.{c}"), F.col(f"f.{c}")) for c in ("lang", "source")]),
         "left",
     )
-    base_failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words"))
     inside = F.lit(True)
     for r in RATES:
-        inside = inside & _rate(r).between(F.col(f"{r}_low"), F.col(f"{r}_high"))
-    return joined.select("d.*", base_failed.alias("base_failed"), (~base_failed & inside).alias("kept"))
+        inside = inside & (_rate(r) <= F.col(f"{r}_high"))
+        if r in TWO_SIDED:
+            inside = inside & (_rate(r) >= F.col(f"{r}_low"))
+    return joined.select("d.*", _base_failed().alias("base_failed"), (~_base_failed() & inside).alias("kept"))
 
 
 def judge(docs: DataFrame, min_group: int = MIN_GROUP, reach: int = REACH) -> DataFrame:
@@ -177,16 +189,13 @@ def judge(docs: DataFrame, min_group: int = MIN_GROUP, reach: int = REACH) -> Da
 def quality_filter(docs: DataFrame, min_group: int = MIN_GROUP, reach: int = REACH) -> DataFrame:
     """The rows of ``docs`` that ``judge`` keeps, all columns unchanged.
 
-    The text is never shuffled: counts are measured once for the sketches and once more while
-    the fences are applied to the scanned rows.
+    The text is never shuffled: rows are written once with their counts, the fences made from the
+    narrow counts and applied to the written rows.
     """
-    rows = measured(packed(docs, F.col("lang"), F.col("source"), F.col("text").alias("_text")))
+    rows = stage(measured(packed(docs, F.col("lang"), F.col("source"), F.col("text").alias("_text"))), "quality-rows")
     cells = stage(sketches(rows.drop("_row")), "quality-sketches")
     fence = stage(fences(cells, min_group, reach), "quality-fences")
-    # A filter is not pushed below a row number, so each count is computed once and not again
-    # inside the filter's own copy of its definition.
-    rows = rows.withColumn("_at", F.monotonically_increasing_id())
-    return unpacked(_verdict(rows, fence).filter(F.col("kept") & (F.col("_at") >= 0)))
+    return unpacked(_verdict(rows, fence).filter("kept"))
 
 
 # DuckDB: the same counts, sketch bins and fences over the table ``{table}``.
@@ -200,12 +209,10 @@ def oracle(table: str = "documents", min_group: int = MIN_GROUP, reach: int = RE
   min(CASE WHEN upto * 100 >= total * 50 THEN bin END) AS q50, min(CASE WHEN upto * 100 >= total * 75 THEN bin END) AS q75
   FROM {name}_run GROUP BY {keys}rate)"""
     spread = " ".join(f"WHEN '{r}' THEN {v[3]}" for r, v in RATES.items())
-    longs = " UNION ALL ".join(f"SELECT lang, source, '{r}' AS rate, {rate[r]} AS v FROM measures" for r in RATES)
-    inside = " AND ".join(
-        f"{rate[r]} BETWEEN (SELECT min(lo) FROM fence x WHERE x.rate = '{r}' AND x.lang IS NOT DISTINCT FROM m.lang AND x.source IS NOT DISTINCT FROM m.source)"
-        f" AND (SELECT min(hi) FROM fence x WHERE x.rate = '{r}' AND x.lang IS NOT DISTINCT FROM m.lang AND x.source IS NOT DISTINCT FROM m.source)"
-        for r in RATES
-    )
+    failed = f"(n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PCT} * n_words)"
+    longs = " UNION ALL ".join(f"SELECT lang, source, '{r}' AS rate, {rate[r]} AS v FROM measures WHERE NOT {failed}" for r in RATES)
+    bound = lambda r, side: f"(SELECT min({side}) FROM fence x WHERE x.rate = '{r}' AND x.lang IS NOT DISTINCT FROM m.lang AND x.source IS NOT DISTINCT FROM m.source)"
+    inside = " AND ".join([f"{rate[r]} <= {bound(r, 'hi')}" for r in RATES] + [f"{rate[r]} >= {bound(r, 'lo')}" for r in TWO_SIDED])
     return f"""
 src AS (SELECT row_number() OVER () AS rid, * FROM {table}),
 ws AS (SELECT rid, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
@@ -230,4 +237,4 @@ picked AS (SELECT f.lang, f.source, f.rate,
 fence AS (SELECT lang, source, rate, q50 - {reach} * greatest(q50 - q25, CASE rate {spread} END) AS lo,
   q50 + {reach} * greatest(q75 - q50, CASE rate {spread} END) AS hi FROM picked),
 judged AS (SELECT *, NOT base_failed AND inside AS kept FROM (SELECT m.*,
-  (n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PCT} * n_words) AS base_failed, ({inside}) AS inside FROM measures m))"""
+  {failed} AS base_failed, coalesce({inside}, false) AS inside FROM measures m))"""

@@ -36,19 +36,24 @@ def verdicts(rows, min_group, reach):
     """rows: (lang, source, counts); (base_failed, kept) of each, straight from sorted bins."""
     rate = lambda c, r: 0 if not c[quality.RATES[r][1]] else c[quality.RATES[r][0]] * quality.RATES[r][2] // c[quality.RATES[r][1]]
     groups = defaultdict(list)
+    failed = lambda c: c["n_words"] < 20 or 100 * c["n_repeat_words"] > 30 * c["n_words"]
     for lang, source, c in rows:
         for key in (("f", lang, source), ("m", lang), ("w",)):
-            groups[key].append(c)
+            if not failed(c):
+                groups[key].append(c)
     out = []
     for lang, source, c in rows:
         level = next((groups[k] for k in (("f", lang, source), ("m", lang)) if len(groups[k]) >= min_group), groups[("w",)])
-        base = c["n_words"] < 20 or 100 * c["n_repeat_words"] > 30 * c["n_words"]
+        if failed(c):
+            out.append((True, False))
+            continue
         inside = True
         for r, (_, _, _, least) in quality.RATES.items():
             bins = sorted(bin_of(rate(x, r)) for x in level)
             q25, q50, q75 = (bins[-(-len(bins) * p // 100) - 1] for p in (25, 50, 75))
-            inside &= q50 - reach * max(q50 - q25, least) <= rate(c, r) <= q50 + reach * max(q75 - q50, least)
-        out.append((base, not base and inside))
+            inside &= rate(c, r) <= q50 + reach * max(q75 - q50, least)
+            inside &= r != "word_length" or rate(c, r) >= q50 - reach * max(q50 - q25, least)
+        out.append((False, inside))
     return out
 
 
@@ -106,3 +111,26 @@ def test_sketches_merge_by_adding(spark):
     key = ["lang", "source", "rate", "bin"]
     merged = {tuple(r[:4]): r[4] for r in parts.groupBy(*key).agg(quality.F.sum("n")).collect()}
     assert merged == {tuple(r[:4]): r[4] for r in cells(df).select(*key, "n").collect()}
+
+
+def test_a_repetitive_source_keeps_its_clean_documents(spark):
+    """300 repetitive and 60 clean documents of one source: the clean ones stay; so they do among empty and coded ones."""
+    r = random.Random(11)
+    clean = lambda: " ".join("".join(r.choices("abcdefgh", k=r.randint(3, 7))) for _ in range(150))
+    rows = [(i, "the same eight words again and over again " * 30, "en", "a") for i in range(300)]
+    rows += [(1000 + i, clean(), "en", "a") for i in range(60)]
+    rows += [(2000 + i, None, "en", "b") for i in range(300)] + [(3000 + i, clean(), "en", "b") for i in range(60)]
+    rows += [(4000 + i, "".join(f"line {j} of {i}\n" + "same line\n" * 9 for j in range(60)), "en", "c") for i in range(300)] + [(5000 + i, clean(), "en", "c") for i in range(60)]
+    out = {x["doc_id"]: x["kept"] for x in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert all(out[i] for i in out if 1000 <= i < 2000 or 3000 <= i < 4000 or i >= 5000)
+    assert not any(out[i] for i in out if i < 1000 or 2000 <= i < 3000)
+
+
+def test_quantiles_decide(spark):
+    """A rate that is usual in one source is too high in another: the fence moves with the sketch."""
+    r = random.Random(12)
+    words = lambda n, mark: " ".join(("#" if r.random() < mark else "") + "".join(r.choices("abcdefgh", k=5)) for _ in range(n))
+    rows = [(i, words(200, r.choice([0.0, 0.1, 0.2, 0.3])), "en", "code") for i in range(300)] + [(1000 + i, words(200, 0.0), "en", "prose") for i in range(300)]
+    rows += [(2000, words(200, 0.4), "en", "code"), (2001, words(200, 0.4), "en", "prose")]
+    out = {x["doc_id"]: x["kept"] for x in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert out[2000] and not out[2001] and all(out[i] for i in out if i < 2000)
