@@ -3,9 +3,9 @@
 Base spans (assignments, access identifiers, long hex runs) are always reported. Weak
 candidates (account identifiers, mixed-case random-looking runs, endpoints) are reported only
 when complementary parts co-occur in a scope. A scope is the union of overlapping intervals
-reaching ``scope_chars`` code points to either side of an identifier (strong or weak); parts
-are interval-joined to scopes by (document, position bin), each part meeting at most the one
-scope that contains it. Then, per scope:
+reaching ``scope_chars`` code points to either side of an identifier (strong or weak). Parts and
+scopes are interval-joined where they overlap, however long the part is: both are dealt to the
+position bins they cover, and a pair is kept in the first bin that both cover. Then, per scope:
 
 * a weak identifier is reported if the scope holds a secret (an assignment, hex run or weak one);
 * a weak secret is reported (the scope holds an identifier by its making);
@@ -16,7 +16,8 @@ row per match, keyed by document; windows run inside one document's matches.
 
 Defined cases: null text counts as empty; null doc_id is a key like any other; repeated rows
 get equal results (matches are found once per distinct (doc_id, text) and joined back); weak
-spans overlapping a base span are dropped; ties in start are ordered by kind as listed;
+spans overlapping a base span are dropped; a part reaching into several scopes counts in each and
+is reported once; ties in start are ordered by kind as listed;
 extra columns are ignored by ``scan`` and kept by ``redact``; empty tables give empty results.
 """
 
@@ -124,9 +125,10 @@ def linked(all_spans: DataFrame, scope_chars: int = SCOPE_CHARS) -> DataFrame:
         .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
         .select(*KEY, "lo", "hi", F.explode(F.expr(f"sequence(lo div {scope_chars}, hi div {scope_chars})")).alias("bin"))
     )
-    inside = parts.withColumn("bin", F.expr(f"s div {scope_chars}")).join(scopes, [*KEY, "bin"]).filter("s >= lo AND e <= hi")
+    dealt = parts.withColumn("bin", F.explode(F.expr(f"sequence(s div {scope_chars}, (e - 1) div {scope_chars})")))
+    met = dealt.join(scopes, [*KEY, "bin"]).filter(f"s < hi AND e > lo AND bin = greatest(s, lo) div {scope_chars}")
     secret = F.max(kind.isin("assign", "hex", "random")).over(Window.partitionBy(*KEY, "lo"))
-    return inside.withColumn("secret", secret).filter(~kind.isin(BASE) & F.col("secret")).select(*KEY, "kind", "s", "e")
+    return met.withColumn("secret", secret).filter(~kind.isin(BASE) & F.col("secret")).select(*KEY, "kind", "s", "e").distinct()
 
 
 def _listed(kinds: list[str]) -> Column:

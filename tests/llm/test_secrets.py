@@ -36,10 +36,10 @@ def weak(text, w=secrets.SCOPE_CHARS):
             scopes.append([lo, hi])
     out = []
     for lo, hi in scopes:
-        parts = [x for x in strong + ident + mixed + found["endpoint"] if lo <= x[1] and x[2] <= hi]
+        parts = [x for x in strong + ident + mixed + found["endpoint"] if x[1] < hi and lo < x[2]]
         if any(x[0] in ("assign", "hex", "random") for x in parts):
             out += [x for x in parts if x[0] in KINDS[3:]]
-    return out
+    return list(dict.fromkeys(out))
 
 
 def listed(xs):
@@ -59,6 +59,23 @@ BITS = [
 ]
 
 
+LONG = ["aB3" * n for n in (14, 86, 200, 700)] + ["0f" * 400, "token=" + "Ab0/" * 300, "https://h.example/" + "p/" * 400, "https://h.example/" + "q" * 600 + "?user=bob99&x=" + "z" * 600]
+
+
+def test_long_parts_count_beside_an_identifier(spark):
+    token = "aB3" * 234
+    rows = [(1, f"client_id=svc-42 {token}"), (2, f"{token} client_id=svc-42"), (3, f"client_id=svc-42 {'. ' * 140}{token}"), (4, token)]
+    out = {r["doc_id"]: r["spans"] for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out == {1: "ident:0:16,random:17:719", 2: "random:0:702,ident:703:719", 3: "", 4: ""}
+
+
+def test_scan_matches_brute_force_on_long_parts(spark):
+    r = random.Random(8)
+    rows = [(i, r.choice([" ", "\n", " . " * 40]).join(r.choices(LONG + BITS[:14] + ["word"] * 20, k=r.randint(1, 9)))) for i in range(200)]
+    got = secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(tuple(x)[:6] for x in got) == sorted(row(*x) for x in rows)
+
+
 def test_scan_matches_brute_force(spark):
     r = random.Random(3)
     rows = [(i, r.choice([" ", "", "\n"]).join(r.choices(BITS, k=r.randint(0, 14)))) for i in range(400)]
