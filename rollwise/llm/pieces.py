@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,8 +45,8 @@ from rollwise.llm.common import text_key
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 #: characters encoded together, and lattice nodes kept by a worker between batches
-BATCH_CHARS = 1 << 18
-KEEP_NODES = 3 << 18
+BATCH_CHARS = 1 << 17
+KEEP_NODES = 3 << 19
 # How this kind of model writes a space and a byte.
 SPACE = "▁"
 BYTE = re.compile(r"<0x([0-9A-F]{2})>")
@@ -124,6 +125,18 @@ def load(path: str = MODEL) -> Vocabulary:
     return Vocabulary([model.id_to_piece(i) for i in ids], {i for i in ids if model.is_control(i) or model.is_unknown(i) or model.is_unused(i)})
 
 
+class Numbers(dict):
+    """Numbers of chunks, in the order they are first asked for; ``new`` lists those not yet in the lattices."""
+
+    def __init__(self) -> None:
+        self.new: list[str] = []
+
+    def __missing__(self, chunk: str) -> int:
+        self[chunk] = number = len(self)
+        self.new.append(chunk)
+        return number
+
+
 class Lattices:
     """Lattices of chunks in flat arrays: nodes own runs of edges (target, unit, share of the node's mass)."""
 
@@ -139,7 +152,7 @@ class Lattices:
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = Numbers()
         self.nodes = self.edges = 0
 
     def _bytes(self, char: str) -> int:
@@ -169,10 +182,12 @@ class Lattices:
         rare = np.flatnonzero(~single)
         units = np.fromiter((self._bytes(text[i]) for i in rare.tolist()), np.int64, len(rare))
         found.append((rare, np.ones(len(rare), np.int64), units, np.full(len(rare), v.log_byte_weight)))
+        found.reverse()  # rising runs of nodes, longest pieces first; a character that is no piece has no edge of length one besides
         return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
-    def add(self, chunks: list[str]) -> None:
-        """Lattices of new chunks; ``known`` numbers them, ``start`` has their first nodes, ``ways`` their segmentations (2^60 at most)."""
+    def add(self) -> None:
+        """Lattices of the new chunks of ``known``; ``start`` has their first nodes, ``ways`` their segmentations (2^60 at most)."""
+        chunks, self.known.new = self.known.new, []
         if not chunks:
             return
         v, text = self.v, "".join(chunks)
@@ -181,7 +196,7 @@ class Lattices:
         stop = np.cumsum(sizes)
         end = np.repeat(stop, sizes)
         node, length, unit, weight = self._edges(text, code, end)
-        order = np.argsort(node * (v.longest + 1) + (v.longest - length))  # by node, longest first
+        order = np.argsort(node, kind="stable")  # by node, longest first as found
         node, length, unit, weight = (x[order] for x in (node, length, unit, weight))
         head = np.append(True, node[1:] != node[:-1])
         # Backward sums: nodes by their distance from the end of their chunk, all chunks at once.
@@ -200,11 +215,15 @@ class Lattices:
             mass[at] = np.logaddexp.reduceat(got, runs)
             ways[at] = np.minimum(np.add.reduceat(ways[target], runs), 2.0**60)
             share[edge] = got - mass[node[edge]]
-        # Into the flat arrays, a closing node without edges after each chunk.
+        # Running sums of each node's edges by themselves: a text's draws do not depend on its batch.
         first = np.flatnonzero(head)
         count = np.diff(np.append(first, len(node)))
-        run = np.cumsum(np.exp(share))
-        upto = run - np.repeat(np.append(0.0, run)[first], count)
+        upto = np.exp(share)
+        at, left = first, count
+        for _ in range(1, count.max()):
+            at, left = at[left > 1] + 1, left[left > 1] - 1
+            upto[at] += upto[at - 1]
+        # Into the flat arrays, a closing node without edges after each chunk.
         upto[np.append(first[1:], len(node)) - 1] = 1.0
         share[np.repeat(count, count) == 1] = 0.0
         chunk_of = np.repeat(np.arange(len(chunks)), sizes)
@@ -212,7 +231,6 @@ class Lattices:
         out[np.arange(len(code)) + chunk_of] = count
         to = self.nodes + node + length + chunk_of[node]
         starts = self.nodes + np.cumsum(sizes + 1) - sizes - 1
-        self.known.update(zip(chunks, range(len(self.known), len(self.known) + len(chunks)), strict=True))
         self.start, self.ways = _put(self.start, len(self.known) - len(chunks), starts), _put(self.ways, len(self.known) - len(chunks), ways[stop - sizes])
         self.first = _put(self.first, self.nodes + 1, self.edges + np.cumsum(out))
         self.to, self.unit = _put(self.to, self.edges, to), _put(self.unit, self.edges, unit)
@@ -348,13 +366,12 @@ class Encoder:
         lattices = self.lattices
         if lattices.nodes > KEEP_NODES:
             lattices.clear()
-        known, out = lattices.known, []
         cut = [CHUNK.findall(" " + t) if t else [] for t in texts]
-        lattices.add(list(dict.fromkeys(c for chunks in cut for c in chunks if c not in known)))
-        for chunks, seed in zip(cut, seeds, strict=True):
-            number = np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks))
-            out.append(Text(seed, lattices.start[number], lattices.ways[number]))
-        return out
+        size = np.cumsum([0, *map(len, cut)])
+        number = np.fromiter(map(lattices.known.__getitem__, chain.from_iterable(cut)), np.int64, size[-1])
+        lattices.add()
+        start, ways = lattices.start[number], lattices.ways[number]
+        return [Text(seed, start[a:b], ways[a:b]) for seed, a, b in zip(seeds, size[:-1].tolist(), size[1:].tolist(), strict=True)]
 
     def _draw(self, starts: list[np.ndarray], seeds: np.ndarray) -> list[tuple]:
         """(count, units, log_p) of ancestral draws for each run of chunks, all walked together."""
@@ -464,6 +481,27 @@ def decoded(table: np.ndarray, ids: np.ndarray) -> str:
     return b"".join(table[ids].tolist()).decode("utf-8", "replace")[1:]
 
 
+class Bytes:
+    """The bytes of all pieces in one buffer, for decoding many samples at once."""
+
+    def __init__(self, vocabulary_bytes: list[bytes]) -> None:
+        self.flat = np.frombuffer(b"".join(vocabulary_bytes), np.uint8)
+        self.size = np.fromiter(map(len, vocabulary_bytes), np.int64, len(vocabulary_bytes))
+        self.begin = np.cumsum(self.size) - self.size
+
+    def equal(self, ids: np.ndarray, cuts: np.ndarray, texts: list[str]) -> np.ndarray:
+        """Whether the ids from each cut to the next decode to each text, byte for byte, behind a space unless there are none."""
+        size = self.size[ids]
+        upto = np.concatenate(([0], np.cumsum(size)))
+        back = self.flat[np.repeat(self.begin[ids] - upto[:-1], size) + np.arange(upto[-1])]
+        coded = [b" " + t.encode() if t else b"" for t in texts]
+        want = np.frombuffer(b"".join(coded), np.uint8)
+        ends = np.cumsum([0, *map(len, coded)])
+        if len(back) == len(want) and (upto[cuts] == ends).all() and (back == want).all():
+            return np.ones(len(texts), bool)
+        return np.array([back[upto[a] : upto[b]].tobytes() == c for a, b, c in zip(cuts[:-1], cuts[1:], coded, strict=True)], bool)
+
+
 def byte_table(vocabulary_bytes: list[bytes]) -> np.ndarray:
     return np.array([*vocabulary_bytes, b""], dtype=object)[:-1]
 
@@ -478,7 +516,7 @@ def encode(docs: DataFrame, k: int = SAMPLES, model: str = MODEL) -> DataFrame:
     shared = spark.sparkContext.broadcast(load(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, table = Encoder(shared.value), byte_table(shared.value.bytes_of)
+        encoder, table = Encoder(shared.value), Bytes(shared.value.bytes_of)
         for b in batches:
             texts, seeds = b.column(1).to_pylist(), b.column(2).to_pylist()
             lo, size = 0, 0
@@ -489,7 +527,7 @@ def encode(docs: DataFrame, k: int = SAMPLES, model: str = MODEL) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), samples], names=["doc_id", "samples"])
                     lo, size = hi, 0
 
-    def encoded(encoder: Encoder, table: np.ndarray, texts: list, seeds: list) -> pa.Array:
+    def encoded(encoder: Encoder, table: Bytes, texts: list, seeds: list) -> pa.Array:
         some = [i for i, t in enumerate(texts) if t is not None]
         drawn = encoder.sample([texts[i] for i in some], [seeds[i] for i in some], k)
         per_text = np.zeros(len(texts), np.int64)
@@ -500,7 +538,7 @@ def encode(docs: DataFrame, k: int = SAMPLES, model: str = MODEL) -> DataFrame:
         log_p = [float(x.log_p.sum()) for x, _ in every]
         cuts = upto[ends]
         whose = np.repeat(np.arange(len(texts)), per_text).tolist()
-        back = [decoded(table, flat[a:b]) == texts[i] for i, a, b in zip(whose, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+        back = table.equal(flat, cuts, [texts[i] for i in whose])
         ids = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(flat.astype(np.int32)))
         fields = [ids, pa.array(log_p, pa.float64()), pa.array([log_inclusion(p, kappa) for p, (_, kappa) in zip(log_p, every, strict=True)], pa.float64()), pa.array(back, pa.bool_())]
         structs = pa.StructArray.from_arrays(fields, names=["ids", "log_p", "log_inclusion", "round_trip"])

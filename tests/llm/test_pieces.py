@@ -84,6 +84,37 @@ def test_independent_of_batching(vocabulary):
     assert whole == [draw(vocabulary, [t], [i], 3)[0] for i, t in enumerate(texts)]
 
 
+def test_bounds_do_not_depend_on_the_batch(vocabulary):
+    """Every node's edges, their bounds and shares are bit-equal alone and among 400 texts."""
+    r = random.Random(6)
+    letters = "abcdefghijklmnopqrstuvwxyzéß日"
+    texts = ["".join(r.choices(letters + " ", k=r.randint(1, 400))) for _ in range(400)]
+    chunks = list(dict.fromkeys(c for t in texts for c in pieces.CHUNK.findall(" " + t)))
+
+    def edges(lattices, chunk):
+        lo = int(lattices.start[lattices.known[chunk]])
+        first = lattices.first[lo : lo + len(chunk) + 1]
+        cut = slice(int(first[0]), int(first[-1]))
+        return [x[cut].tobytes() for x in (lattices.upto, lattices.log_p)] + [lattices.to[cut].astype(int).tolist()[0] - lo, (first - first[0]).tolist()]
+
+    whole = pieces.Lattices(vocabulary)
+    for c in chunks:
+        whole.known[c]
+    whole.add()
+    for c in chunks[::40]:
+        alone = pieces.Lattices(vocabulary)
+        alone.known[c]
+        alone.add()
+        assert edges(alone, c) == edges(whole, c)
+
+
+def test_large_batches_draw_alike(vocabulary):
+    r = random.Random(7)
+    texts = ["".join(r.choices("aeiourstlnm ", k=r.randint(200, 1500))) for _ in range(400)]
+    whole = draw(vocabulary, texts, list(range(400)), 2)
+    assert all(whole[i] == draw(vocabulary, [texts[i]], [i], 2)[0] for i in range(0, 400, 10))
+
+
 def test_round_trip_and_edges(spark, vocabulary):
     texts = ["Hello  world. ", "▁▁ raw", "tab\tnew\n\nline", "日本語 テキスト 😀", "a" * 3000, "long text " * 30_000, " lead", "", None, "\x00\x01"]
     rows = [(i, t, "x") for i, t in enumerate(texts)] + [(None, "null id", "x"), (0, texts[0], "x")]
