@@ -89,8 +89,11 @@ def summary(metrics: DataFrame) -> DataFrame:
 
 
 def length_filter_report(problems: DataFrame, n_tokens: Column, max_tokens: int) -> DataFrame:
-    """keep prompts with ``n_tokens <= max_tokens``; count kept and skipped per dataset in one pass."""
-    skipped = n_tokens > F.lit(max_tokens)
+    """keep prompts with ``n_tokens <= max_tokens``; count kept and skipped per dataset in one pass.
+
+    A prompt without a count (NULL) is not known to be too long: it is kept, and counted as such.
+    """
+    skipped = F.coalesce(n_tokens > F.lit(max_tokens), F.lit(False))
     return problems.groupBy("dataset").agg(
         F.count(F.when(~skipped, 1)).alias("kept"), F.count(F.when(skipped, 1)).alias("skipped")
     )

@@ -2,8 +2,10 @@
 
 Rows are grouped twice: first by block side (one block's fresh or replayed rows), to counts,
 sums, extremes and the group's reward mean and deviation, then by step. Both aggregate
-map-side before their shuffle, and no window or sort touches the rows. The running token
-count is the only window, over the per-step table.
+map-side before their shuffle, and no window or sort touches the rows. Deviations are merged
+from each group's count, mean and sum of squared distances from that mean, never from raw
+squares, so values far from zero lose no digits; a window over the groups gives the step's mean.
+The running token count is a window over the per-step table.
 """
 
 from __future__ import annotations
@@ -14,9 +16,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _std(n: Column, total: Column, squares: Column) -> Column:
-    """Sample standard deviation from a count, a sum and a sum of squares; NULL below two values."""
-    return F.when(n > 1, F.sqrt(F.greatest(squares - total * total / n, F.lit(0.0)) / (n - 1)))
+def _std(n: Column, squares: Column) -> Column:
+    """Sample standard deviation from a count and a sum of squared distances from the mean; NULL below two values."""
+    return F.when(n > 1, F.sqrt(squares / (n - 1)))
 
 
 def step_metrics(
@@ -52,8 +54,16 @@ def step_metrics(
     ]
     for i, r in enumerate(rewards):
         x = F.col(r).cast("double")
-        first += [F.count(x).alias(f"c{i}"), F.sum(x).alias(f"s{i}"), F.sum(x * x).alias(f"q{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+        first += [F.count(x).alias(f"c{i}"), F.avg(x).alias(f"s{i}"), (F.var_pop(x) * F.count(x)).alias(f"q{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
     g = batch.groupBy(*groups).agg(*first)
+    # Merge the groups of a step and side: mean of the step, then each group's distance from it.
+    side = Window.partitionBy("mode", "batch_step", "is_online")
+    merged = {}
+    for i in range(len(rewards)):
+        n, mean = F.col(f"c{i}"), F.coalesce(F.col(f"s{i}"), F.lit(0.0))
+        merged[f"m{i}"] = F.try_divide(F.sum(n * mean).over(side), F.sum(n).over(side))
+    g = g.withColumns(merged)
+    g = g.withColumns({f"q{i}": F.when(F.col(f"c{i}") > 0, F.col(f"q{i}") + F.col(f"c{i}") * F.pow(F.col(f"s{i}") - F.col(f"m{i}"), 2)) for i in range(len(rewards))})
 
     def on(name: str, online: int) -> Column:
         return F.when(F.col("is_online") == online, F.col(name))
@@ -63,12 +73,13 @@ def step_metrics(
     off = lambda c: F.when(has_off, c).otherwise(F.lit(0.0))
     aggs = []
     for i, r in enumerate(rewards):
-        n, s, q = ([F.sum(on(f"{x}{i}", o)) for o in (0, 1)] for x in ("c", "s", "q"))
+        n, q = ([F.sum(on(f"{x}{i}", o)) for o in (0, 1)] for x in ("c", "q"))
+        mean = [F.max(on(f"m{i}", o)) for o in (0, 1)]
         aggs += [
-            F.try_divide(s[1], n[1]).alias(f"rewards/{r}/online_mean"),
-            _std(n[1], s[1], q[1]).alias(f"rewards/{r}/online_std"),
-            off(F.try_divide(s[0], n[0])).alias(f"rewards/{r}/offline_mean"),
-            off(_std(n[0], s[0], q[0])).alias(f"rewards/{r}/offline_std"),
+            mean[1].alias(f"rewards/{r}/online_mean"),
+            _std(n[1], q[1]).alias(f"rewards/{r}/online_std"),
+            off(mean[0]).alias(f"rewards/{r}/offline_mean"),
+            off(_std(n[0], q[0])).alias(f"rewards/{r}/offline_std"),
             F.min(f"lo{i}").alias(f"rewards/{r}/min"),
             F.max(f"hi{i}").alias(f"rewards/{r}/max"),
         ]

@@ -2,51 +2,87 @@
 
 ``row_number() over (partition by key order by seq)`` sends every row of a key to one
 task, so a key holding a third of the log becomes a third of the job in one task. The
-helpers here cut the order into ranges of about equally many rows, count rows per key and
+helpers here cut the order into ranges of about ROWS_PER_RANGE rows, count rows per key and
 range (a map-side combined aggregate), turn the counts into offsets on that small table, and
 number rows only inside a range. The largest window partition is then one key's share of one range.
+
+The cuts are sampled splitters in two levels, for any orderable type: values whose hash falls
+into a thin class are sorted; some square root of the number of ranges of them are literals in
+the plan, and each range between two of those has its own splitters in a small written table.
+So ranges keep their size however long the table is, and every pass agrees on the cuts.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
+from math import isqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from rollwise.session import checkpoint_path
 
 ROWS_PER_RANGE = 100_000
-COARSE = 32  # ranges are found in two steps of at most COARSE edges each
-MAX_RANGES = COARSE * COARSE
+SAMPLES_PER_RANGE = 64
+#: a splitter of a string column needs no more of the string than this
+SPLITTER_CHARS = 64
 
 
-def range_edges(df: DataFrame, order_col: str, n_ranges: int | None = None) -> list:
-    """Ascending values that cut the rows into ``n_ranges`` ranges by count, wherever the values lie.
+@dataclass
+class Ranges:
+    """Splitters of an order: ``coarse`` values, and a table (_rw_c, _rw_fine) of the splitters between them (None: none)."""
 
-    One narrow pass over the order column; at most MAX_RANGES - 1 values reach the driver.
-    They are literals in the plan, so the count pass and the row pass always agree on them.
-    ``n_ranges`` defaults to one per ROWS_PER_RANGE rows.
-    """
-    if n_ranges is None:
-        n_ranges = -(-df.select(F.count(order_col)).first()[0] // ROWS_PER_RANGE)
-    n_ranges = min(max(n_ranges, 1), MAX_RANGES)
-    if n_ranges == 1:
-        return []
-    cuts = [i / n_ranges for i in range(1, n_ranges)]
-    found = df.select(F.percentile_approx(order_col, cuts, 20 * MAX_RANGES)).first()[0] or []
-    return sorted(set(found))
+    coarse: list
+    fine: DataFrame | None
 
+    def tag(self, df: DataFrame, order_col: str) -> DataFrame:
+        """Add ``_rw_range``, which grows with the value (NULL orders have the first)."""
+        kind = df.schema[order_col].dataType.simpleString()
 
-def range_number(order: Column, edges: list) -> Column:
-    """How many edges are at or below the value (0 for NULL): grows with the value."""
+        def upto(some: Column) -> Column:
+            return F.coalesce(F.size(F.filter(some, lambda e: e <= F.col(order_col))), F.lit(0)).cast("bigint")
 
-    def below(some: list) -> Column:
-        return F.size(F.filter(F.lit(some), lambda e: e <= order)) if some else F.lit(0)
+        if self.fine is None:
+            return df.withColumn("_rw_range", F.lit(0).cast("bigint"))
+        coarse = upto(F.lit(self.coarse).cast(f"array<{kind}>")) if self.coarse else F.lit(0).cast("bigint")
+        # A splitter is a number or at most SPLITTER_CHARS characters, and there are as many as ranges.
+        joined = df.withColumn("_rw_c", coarse).join(F.broadcast(self.fine), "_rw_c", "left")
+        return joined.withColumn("_rw_range", F.col("_rw_c") * (1 << 32) + F.greatest(upto(F.col("_rw_fine")), F.lit(0))).drop("_rw_c", "_rw_fine")
 
-    if len(edges) <= COARSE:
-        return below(edges)
-    coarse = below(edges[COARSE - 1 :: COARSE])
-    fine = F.slice(F.lit(edges), coarse * COARSE + 1, F.lit(COARSE - 1))
-    return coarse * COARSE + F.size(F.filter(fine, lambda e: e <= order))
+
+def ranges(df: DataFrame, order_col: str, n_ranges: int | None = None) -> Ranges:
+    """Splitters that cut the rows into about ``n_ranges`` ranges of about equally many rows.
+
+    ``n_ranges`` defaults to one per ROWS_PER_RANGE rows. Only the coarse splitters, some
+    square root of their number, reach the driver.
+    """
+    rows = df.select(F.count(order_col)).first()[0]
+    if n_ranges is None:
+        n_ranges = -(-rows // ROWS_PER_RANGE)
+    if n_ranges <= 1:
+        return Ranges([], None)
+    value = F.col(order_col)
+    if isinstance(df.schema[order_col].dataType, T.StringType):
+        value = F.left(value, F.lit(SPLITTER_CHARS))
+    n_coarse = isqrt(n_ranges - 1) + 1
+    n_fine = -(-n_ranges // n_coarse)
+    thin = max(1, rows // (SAMPLES_PER_RANGE * n_ranges))  # one value in so many is a sample
+    sample = df.filter(F.col(order_col).isNotNull()).select(order_col).filter(F.pmod(F.xxhash64(order_col), F.lit(thin)) == 0).select(value.alias("_rw_v"))
+    # One sample in n_fine is looked at for the coarse splitters.
+    top = [r["_rw_v"] for r in sample.filter(F.pmod(F.xxhash64(F.col("_rw_v"), F.lit(1)), F.lit(n_fine)) == 0).distinct().orderBy("_rw_v").collect()]
+    coarse = top[:: max(1, len(top) // n_coarse)][1:]
+    kind = df.schema[order_col].dataType.simpleString()
+    at = F.size(F.filter(F.lit(coarse).cast(f"array<{kind}>"), lambda e: e <= F.col("_rw_v"))).cast("bigint") if coarse else F.lit(0).cast("bigint")
+    per = sample.withColumn("_rw_c", at).groupBy("_rw_c").agg(F.array_sort(F.collect_set("_rw_v")).alias("_rw_all"))
+    step = F.greatest(F.expr(f"CAST(size(_rw_all) div {n_fine} AS INT)"), F.lit(1))
+    picked = F.filter("_rw_all", lambda v, i: (i > 0) & (i % step == 0))
+    path = checkpoint_path(df.sparkSession, f"splitters-{uuid.uuid4().hex}")
+    per.select("_rw_c", picked.alias("_rw_fine")).write.parquet(path)
+    fine = df.sparkSession.read.schema(f"_rw_c bigint, _rw_fine array<{kind}>").parquet(path)
+    return Ranges(coarse, fine)
 
 
 def _key_columns(df: DataFrame, keys: Sequence[str]) -> dict[str, Column]:
@@ -54,7 +90,10 @@ def _key_columns(df: DataFrame, keys: Sequence[str]) -> dict[str, Column]:
     types = dict(df.dtypes)
     out = {}
     for i, k in enumerate(keys):
-        out[f"_rw_k{i}"] = F.coalesce(F.col(k), F.lit("" if types[k] == "string" else 0).cast(types[k]))
+        blank = F.lit("").cast("string") if types[k] == "string" else F.lit(0).try_cast(types[k])
+        if types[k] in ("date", "timestamp", "timestamp_ntz"):
+            blank = F.lit("1970-01-01").cast(types[k])
+        out[f"_rw_k{i}"] = F.coalesce(F.col(k), blank)
         out[f"_rw_n{i}"] = F.col(k).isNull()
     return out
 
@@ -70,21 +109,17 @@ def rank_within_key(
 ) -> DataFrame:
     """Add ``out``: 0-based position of the row within ``keys`` ordered by ``order_col``.
 
-    ``order_col`` is unique within a key (an append sequence); NULL keys form a group of their
-    own and NULL orders come first. ``count_col`` optionally adds the key's total row count.
-    Tables of one range (ROWS_PER_RANGE rows at most) are numbered directly.
+    ``order_col`` is unique within a key (an append sequence) and of any orderable type; NULL
+    keys form a group of their own and NULL orders come first. ``count_col`` optionally adds
+    the key's total row count. One plan for every size.
     """
     keys = list(keys)
-    edges = range_edges(df, order_col, n_ranges)
-    if not edges:
-        whole = Window.partitionBy(*keys)
-        ranked = df.withColumn(out, (F.row_number().over(whole.orderBy(order_col)) - 1).cast("bigint"))
-        return ranked.withColumn(count_col, F.count(F.lit(1)).over(whole)) if count_col else ranked
+    cuts = ranges(df, order_col, n_ranges)
     named = _key_columns(df, keys)
     by = [*named, "_rw_range"]
-    tagged = df.withColumns({**named, "_rw_range": range_number(F.col(order_col), edges)})
+    tagged = cuts.tag(df.withColumns(named) if named else df, order_col)
     counts = tagged.groupBy(*by).agg(F.count(F.lit(1)).alias("_rw_n"))
-    # At most MAX_RANGES rows per key, and in all when there is no key.
+    # One narrow row per key and range that has rows.
     before = Window.partitionBy(*named).orderBy("_rw_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_rw_off", F.coalesce(F.sum("_rw_n").over(before), F.lit(0)))
     if count_col:
@@ -97,21 +132,19 @@ def rank_within_key(
 
 
 def first_by(df: DataFrame, order_col: str, n: int, *, newest: bool = False, n_ranges: int | None = None) -> DataFrame:
-    """The first ``n`` rows by ``order_col`` (the last ``n`` when ``newest``).
+    """The first ``n`` rows by ``order_col`` (the last ``n`` when ``newest``), of any orderable type.
 
     Narrow counts per range tell which ranges can hold them; only rows of those ranges reach
     the final top-N, so scan tasks do not each ship ``n`` whole rows.
     """
     order = F.col(order_col).desc() if newest else F.col(order_col).asc()
-    edges = range_edges(df, order_col, n_ranges)
-    if edges:
-        at = range_number(F.col(order_col), edges)
-        counts = df.groupBy(at.alias("_rw_range")).agg(F.count(F.lit(1)).alias("_rw_n"))
-        side = F.col("_rw_range").desc() if newest else F.col("_rw_range").asc()
-        before = Window.orderBy(side).rowsBetween(Window.unboundedPreceding, -1)  # at most MAX_RANGES rows
-        used = counts.withColumn("_rw_off", F.coalesce(F.sum("_rw_n").over(before), F.lit(0))).filter(F.col("_rw_off") < n)
-        df = df.withColumn("_rw_range", at).join(F.broadcast(used.select("_rw_range")), "_rw_range", "left_semi").drop("_rw_range")
-    return df.orderBy(order).limit(n)
+    tagged = ranges(df, order_col, n_ranges).tag(df, order_col)
+    counts = tagged.groupBy("_rw_range").agg(F.count(F.lit(1)).alias("_rw_n"))
+    side = F.col("_rw_range").desc() if newest else F.col("_rw_range").asc()
+    before = Window.orderBy(side).rowsBetween(Window.unboundedPreceding, -1)  # a narrow row per range
+    used = counts.withColumn("_rw_off", F.coalesce(F.sum("_rw_n").over(before), F.lit(0))).filter(F.col("_rw_off") < n)
+    kept = tagged.join(used.select("_rw_range"), "_rw_range", "left_semi").drop("_rw_range")
+    return kept.orderBy(order).limit(n)
 
 
 def global_positions(

@@ -82,10 +82,13 @@ def assistant_prefix(prompt: str = "prompt", completion: str = "completion") ->
 
 
 def length_filter(df: DataFrame, n_tokens: Column, max_length: int | None, *, inclusive: bool = False) -> DataFrame:
-    """keep rows whose token count is below ``max_length`` (``<=`` when inclusive); None keeps all."""
+    """keep rows whose token count is below ``max_length`` (``<=`` when inclusive); None keeps all.
+
+    A row without a count (NULL) is not known to be too long, and kept.
+    """
     if max_length is None:
         return df
-    return df.filter(n_tokens <= max_length if inclusive else n_tokens < max_length)
+    return df.filter(F.coalesce(n_tokens <= max_length if inclusive else n_tokens < max_length, F.lit(True)))
 
 
 def seeded_order_key(key: str, seed: int) -> Column:

@@ -44,6 +44,10 @@ class ReplayConfig:
         return self
 
 
+#: marks positions counted here, which have no gaps
+RANKED = "rollwise.ranked"
+
+
 def with_positions(
     log: DataFrame,
     *,
@@ -63,7 +67,8 @@ def with_positions(
     src = log.filter(F.col("mode").isin(*modes)) if modes else log
     if position:
         return src.withColumn("pos", F.col(position).cast("bigint"))
-    return rank_within_key(src, [key], seq, out="pos", n_ranges=n_ranges)
+    ranked = rank_within_key(src, [key], seq, out="pos", n_ranges=n_ranges)
+    return ranked.withMetadata("pos", {RANKED: True})
 
 
 def fifo_state(log: DataFrame, cache_size: int, *, key: str = "prompt_key", seq: str = "seq") -> DataFrame:
@@ -187,8 +192,9 @@ def choose(buffer: DataFrame, cfg: ReplayConfig, *, key: str = "prompt_key", sco
             order = [F.col(score).desc_nulls_last(), F.col("seq")]
         else:
             order = [F.col("seq").desc()]
-        # The literal bound lets the planner insert a partial WindowGroupLimit: each map task
-        # ships at most k rows per request instead of the whole buffer.
+        # The literal bound lets the planner insert a partial WindowGroupLimit below the exchange:
+        # each map task ships at most k rows per request instead of the whole buffer (unless the
+        # rows had to be counted first, see counted_gate).
         out = b.withColumn("_r", F.row_number().over(g.orderBy(*order))).filter(F.col("_r") <= cfg.num_replays)
         out = out.filter(F.col("_r") <= F.col("_k"))
         slot = F.col("_k") - F.col("_r") if cfg.strategy == "recent_k" else F.col("_r") - 1
@@ -204,8 +210,9 @@ def _max_variance(b: DataFrame, key: str, score: str) -> DataFrame:
     """R7 in closed form, evaluated once per request.
 
     Among scored rows sorted ascending, an optimal size-k subset is the i lowest plus the
-    k-i highest for some i in 0..k; compare ``k*sum(x^2) - sum(x)^2`` (exact for integer
-    scores), then the larger sum, then the smaller i. Rows with equal scores are taken
+    k-i highest for some i in 0..k; compare ``k*sum(y^2) - sum(y)^2`` (exact for integer
+    scores), y being the distance from the buffer's middle score so that scores far from zero
+    lose no digits, then the larger sum, then the smaller i. Rows with equal scores are taken
     earliest-first, which is the first index set in enumeration order. When fewer than k
     rows are scored, every scored row is kept and the rest is filled with the earliest
     unscored rows.
@@ -237,7 +244,8 @@ def _max_variance(b: DataFrame, key: str, score: str) -> DataFrame:
             lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + value(x))),
         )
 
-    per = per.withColumns({"_s1": running(lambda x: x), "_s2": running(lambda x: x * x)})
+    per = per.withColumn("_mid", F.coalesce(F.get("_xs", F.expr("_m div 2").cast("int")), F.lit(0.0)))
+    per = per.withColumns({"_s1": running(lambda x: x - F.col("_mid")), "_s2": running(lambda x: (x - F.col("_mid")) * (x - F.col("_mid")))})
 
     def cand(i):
         high = F.col("_m") - (kk - i)  # the k - i highest start here
@@ -292,7 +300,9 @@ def replay_rows(
     req = gate(buffer_requests(scored, cfg.max_cache, key=key), cfg.min_cache)
     base = ("rollout_id", "seq", "score")
     extra = tuple(c for c in carry if c not in base)
-    buf = counted_gate(buffer_asof(scored, req, cfg.max_cache, key=key, carry=base + extra), cfg.min_cache, key=key)
+    buf = buffer_asof(scored, req, cfg.max_cache, key=key, carry=base + extra)
+    if not scored.schema["pos"].metadata.get(RANKED):  # positions of the caller may have gaps
+        buf = counted_gate(buf, cfg.min_cache, key=key)
     return choose(buf, cfg, key=key).select(key, *GROUP, "replay_slot", *base, "buf_size", *extra)
 
 

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rollwise.operators.positions import first_by, global_positions, rank_within_key
 from rollwise.operators.prep import seeded_order_key
@@ -19,11 +18,8 @@ from rollwise.operators.prep import seeded_order_key
 def positions(df: DataFrame, key: str, *, shuffle: bool = True, seed: int = 42) -> DataFrame:
     """0-based position of every row in the (seeded-shuffled or key) order.
 
-    The unshuffled order ranks by the key's value in ranges of equal counts, so the key must be an
-    integral column there; the shuffled order works for any key type.
+    The unshuffled order ranks by the key's value in ranges of equal counts; the key may have any orderable type.
     """
-    if not shuffle and not isinstance(df.schema[key].dataType, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
-        raise ValueError(f"an unshuffled schedule needs an integral key; {key!r} is {df.schema[key].dataType.simpleString()}")
     if shuffle:
         return global_positions(df.withColumn("_o", seeded_order_key(key, seed)), "_o", key, out="pos").drop("_o")
     return rank_within_key(df, [], key, out="pos")

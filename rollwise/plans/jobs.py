@@ -90,7 +90,7 @@ def evaluate_outputs(
         results = results.withColumn("problem_id", F.monotonically_increasing_id())
     with_len = results.withColumn("_n_tokens", F.col(n_tokens) if n_tokens else word_count(render_chat(msgs, add_generation_prompt=True)))
     report = E.length_filter_report(with_len, F.col("_n_tokens"), max_tokens if max_tokens is not None else 1 << 62)
-    kept = with_len.filter(F.col("_n_tokens") <= max_tokens) if max_tokens is not None else with_len
+    kept = P.length_filter(with_len, F.col("_n_tokens"), max_tokens, inclusive=True)
     kept = kept.drop("_n_tokens").withColumn("outputs", F.transform("outputs", trim_ws))
     long = kept.select("problem_id", "dataset", "answer", F.posexplode_outer("outputs").alias("sample_idx", "output"))
     graded = with_accuracy(long, "output", "answer", "flag")

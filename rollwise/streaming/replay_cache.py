@@ -53,7 +53,8 @@ def _pick(buf: pd.DataFrame, cfg: ReplayConfig, step: int, block: int) -> list[i
 
 def _max_variance(buf: pd.DataFrame, k: int) -> list[int]:
     """Same rule as the batch closed form: i lowest + (k-i) highest of the scored rows,
-    best by (k*sum(x^2) - sum(x)^2, sum, -i); equal scores earliest first; unscored fill."""
+    best by (k*sum(y^2) - sum(y)^2, sum, -i) for y the distance from the middle score; equal
+    scores earliest first; unscored fill."""
     scored = [i for i in range(len(buf)) if not np.isnan(buf.score[i])]
     unscored = [i for i in range(len(buf)) if np.isnan(buf.score[i])]
     m = len(scored)
@@ -64,7 +65,7 @@ def _max_variance(buf: pd.DataFrame, k: int) -> list[int]:
         best = None
         for i in range(kk + 1):
             pick = xs[:i] + xs[m - (kk - i):]
-            s1, s2 = float(sum(pick)), float(sum(x * x for x in pick))
+            s1, s2 = float(sum(x - xs[m // 2] for x in pick)), float(sum((x - xs[m // 2]) ** 2 for x in pick))
             cand = (kk * s2 - s1 * s1, s1, -i, pick)
             if best is None or cand[:3] > best[:3]:
                 best = cand

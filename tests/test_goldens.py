@@ -4,8 +4,10 @@ from pyspark.sql import functions as F
 
 from rollwise.functions.grading import format_reward, with_accuracy
 from rollwise.functions.text import render_chat, trim_ws
+from rollwise.operators import evaluation as E
 from rollwise.operators import loss as L
 from rollwise.operators import metrics as M
+from rollwise.operators import prep as P
 from rollwise.operators import schedule as S
 from rollwise.operators import tokens as TK
 from rollwise.operators.benchmarks import marker_answer
@@ -154,11 +156,10 @@ def test_cluster_conf_sizes_partitions():
     assert conf["spark.sql.adaptive.enabled"] == "true"
 
 
-def test_unshuffled_schedule_needs_integral_key(spark):
-    df = spark.createDataFrame([("a",), ("b",)], "k string")
-    with pytest.raises(ValueError):
-        S.repeat_schedule(df, "k", batch_size=1, shuffle=False)
-    assert S.repeat_schedule(df, "k", batch_size=1, shuffle=True).count() == 2
+def test_unshuffled_schedule_orders_any_key(spark):
+    df = spark.createDataFrame([("b",), ("a",), ("c",), (None,)], "k string")
+    out = S.repeat_schedule(df, "k", batch_size=2, shuffle=False).orderBy("sched_pos").collect()
+    assert [r["k"] for r in out] == [None, "a", "b", "c"]
 
 
 def test_on_policy_loss_holds_the_kl_term(spark):
@@ -178,3 +179,22 @@ def test_tokens_seen_count_prompts_and_training_rows_only(spark):
     df = spark.createDataFrame(rows, "mode string, batch_step long, prompt_key long, batch_block int, is_online int, completion_len int, prompt_len int, terminated boolean, reward double")
     out = {(r["mode"], r["step"]): r["num_tokens"] for r in M.step_metrics(df.withColumn("r_x", F.col("reward")), ["r_x"], prompt_length="prompt_len").collect()}
     assert out == {("train", 0): 8.0, ("train", 1): 18.0, ("eval", 1): 18.0, ("train", 2): 22.0}
+
+
+def test_missing_counts_are_kept_and_reported(spark):
+    """A NULL token count is not known to be too long: kept by F1, counted as kept by F2."""
+    df = spark.createDataFrame([("d", 5), ("d", None), ("d", 50)], "dataset string, n int")
+    assert sorted(r.n or 0 for r in P.length_filter(df, F.col("n"), 10).collect()) == [0, 5]
+    assert sorted(r.n or 0 for r in P.length_filter(df, F.col("n"), 50, inclusive=True).collect()) == [0, 5, 50]
+    assert tuple(E.length_filter_report(df, F.col("n"), 10).first()) == ("d", 2, 1)
+
+
+def test_deviations_far_from_zero(spark):
+    """Rewards 1e8 + {0, 1, 2} in groups of any size: the step's deviation is that of the rows."""
+    rows = [("train", 0, p, 0, 1, 1e8 + x, 10, True) for p, xs in enumerate(([0.0], [1.0, 2.0], [0.0, 1.0, 2.0], [2.0])) for x in xs]
+    rows += [("train", 0, 9, 0, 0, None, 10, True)]
+    batch = spark.createDataFrame(rows, "mode string, batch_step long, prompt_key long, batch_block int, is_online int, reward double, completion_len int, terminated boolean")
+    got = {r.metric: r.value for r in M.to_long(M.step_metrics(batch, ["reward"])).collect()}
+    want = batch.filter("is_online = 1").agg(F.stddev_samp("reward"), F.avg("reward")).first()
+    assert abs(got["rewards/reward/online_std"] / want[0] - 1) < 1e-9 and abs(got["rewards/reward/online_mean"] - want[1]) < 1e-6
+    assert got["rewards/reward/offline_mean"] is None

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from rollwise.functions.rewards import plain_score
 from rollwise.operators import replay as R
-from rollwise.operators.positions import global_positions, rank_within_key
+from rollwise.operators.positions import first_by, global_positions, rank_within_key, ranges
+from rollwise.operators.prep import first_n
 from rollwise.plans.fixtures import REWARDS, roll
 from rollwise.session import checkpoint_path
 from rollwise.sources import io as IO
@@ -29,6 +30,31 @@ def test_rank_within_key_matches_row_number(spark):
     assert diff == 0 and ours.count() == ev.count()
 
 
+ORDERS = {"long": "h", "string": "concat('prefix-', hex(h))", "date": "date_add(DATE '1970-01-01', CAST(id AS INT))", "decimal": "CAST(h AS DECIMAL(25,3))", "double": "CAST(h AS DOUBLE)"}
+
+
+@pytest.mark.parametrize("kind", ORDERS)
+def test_ranks_of_any_orderable_type(spark, kind):
+    """A key with a third of the rows, NULL keys and every size of range: equal to one window per key, small tasks."""
+    base = spark.range(30_000).withColumn("h", F.xxhash64("id"))
+    base = base.withColumn("k", F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.col("id") % 100))
+    df = base.select("k", F.expr(ORDERS[kind]).alias("o"))
+    w = Window.partitionBy("k")
+    plain = df.select(F.col("k").alias("k2"), F.col("o").alias("o2"), (F.row_number().over(w.orderBy("o")) - 1).alias("p2"), F.count("*").over(w).alias("n2"))
+    for n_ranges in (1, 30):
+        ours = rank_within_key(df, ["k"], "o", out="pos", n_ranges=n_ranges, count_col="n")
+        both = ours.join(plain, F.col("k").eqNullSafe(F.col("k2")) & (F.col("o") == F.col("o2")))
+        assert both.count() == 30_000 and both.filter("pos <> p2 OR n <> n2").count() == 0
+    sizes = ranges(df, "o", 30).tag(df, "o").groupBy("_rw_range").count().agg(F.max("count"), F.count("*")).first()
+    assert sizes[0] < 3 * 30_000 / 30 and sizes[1] >= 20
+
+
+def test_first_rows_by_a_string_key_of_many_rows(spark):
+    df = spark.range(200_000).select(F.concat(F.lit("key-"), F.lpad(F.col("id").cast("string"), 9, "0")).alias("k"), "id")
+    assert sorted(r["id"] for r in first_n(df, "k", 5).collect()) == [0, 1, 2, 3, 4]
+    assert sorted(r["id"] for r in first_by(df, "k", 3, newest=True).collect()) == [199_997, 199_998, 199_999]
+
+
 def test_global_positions_match_global_order(spark):
     c = spark.read.parquet(f"{SF_MID}/customer.parquet").select("c_custkey")
     c = c.withColumn("h", F.md5(F.concat(F.lit("42:"), F.col("c_custkey").cast("string"))))

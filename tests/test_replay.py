@@ -274,3 +274,24 @@ def test_gate_counts_rows_where_positions_have_gaps(spark):
 def test_highest_k_zero_replays_nothing(spark):
     cfg = R.ReplayConfig(strategy="highest_k", num_replays=0, min_cache=4, max_cache=8)
     assert chosen(spark, make_log(spark, visits(1, 4, 4)), cfg) == []
+
+
+def test_max_variance_far_from_zero(spark):
+    """Adding 1e8 to every score changes no choice."""
+    scores = [3.0, 1.0, 4.0, 1.0, 5.0, 9.0, 2.0, 6.0, 5.0, 3.0]
+    picks = []
+    for shift in (0.0, 1e8):
+        rows = [(1, 0, i, shift + x, 0.0) for i, x in enumerate(scores)] + [(1, 1, 0, 0.0, 0.0)]
+        cfg = R.ReplayConfig(strategy="max_variance_k", num_replays=4, min_cache=10, max_cache=10)
+        pos = R.with_positions(make_log(spark, rows)).withColumn("score", F.col("r_accuracy"))
+        picks.append(sorted(r.rollout_id for r in R.replay_rows(pos, cfg).collect()))
+    assert picks[0] == picks[1] and len(picks[0]) == 4
+
+
+def test_top_k_prunes_before_the_shuffle(spark):
+    """The partial group limit of the strategy lies below its exchange."""
+    cfg = R.ReplayConfig(strategy="highest_k", num_replays=2, min_cache=4, max_cache=4)
+    pos = R.with_positions(make_log(spark, visits(1, 4, 4))).withColumn("score", plain_score(REWARDS))
+    plan = R.replay_rows(pos, cfg)._jdf.queryExecution().executedPlan().toString()
+    limit = [line for line in plan.splitlines() if "WindowGroupLimit" in line]
+    assert any("Partial" in x for x in limit) and plan.index("Final") < plan.index("Partial")
