@@ -1,14 +1,20 @@
 """Reward and grading column functions (G1-G4) as native regex and string expressions.
 
-Accuracy grading extracts the answer from both sides, normalises it and compares it
-numerically, else textually. The answer of a text is its rightmost closed ``\\boxed{}`` (braces
-of any depth, escaped ones aside), else what follows its last "answer is"; a gold text may also
-give it as its last ``$...$``, as its last number in a sentence, or as the whole text. What is
-covered: integers, decimals, thousands separators, simple fractions (``a/b``,
-``\\frac{a}{b}``), equations by their right-hand side, units after a number (words or
-``\\text{}``), ``\\text{}``/``\\mathrm{}`` wrappers, ``$``, sizing commands, degree and percent
-marks, and answers that are plain text. What is not: symbolic equality of expressions (no
-LaTeX solver). A gold answer that yields nothing grades as NULL (unknown), never 0.
+Accuracy grading extracts the answer from both sides, normalises it to a typed value and compares
+values of one type. The answer of a text is its rightmost closed ``\\boxed{}`` (braces of any
+depth, escaped ones aside), else what follows its last "answer is"; a gold text may also give it
+as its last ``$...$``, as the last number of a sentence in words, or as the whole text. Types:
+
+* a number: integers, decimals, scientific notation, thousands separators, fractions (``a/b``,
+  ``\\frac{a}{b}``, ``\\frac12``), multiples of a root or of pi (``2\\sqrt{3}/5``), an equation's
+  right-hand side, units after a number (words or ``\\text{}``), degree and percent marks;
+* a tuple or an interval (kept apart by their brackets): elements in order;
+* a set in braces, or a bare list (commas, semicolons, "or", "and"): elements in any order;
+* anything else is text, equal only to the same text: relations, several equations, expressions.
+
+Two types never compare equal, and elements compare as numbers where both are, else as text. What
+is not covered: symbolic equality of expressions (no LaTeX solver), brackets inside sequences. A
+gold answer that yields nothing grades as NULL (unknown), never 0.
 
 Each rule is written once and rendered both for Spark (Java regex) and for DuckDB (RE2),
 so the SQL oracle applies the same steps.
@@ -16,6 +22,8 @@ so the SQL oracle applies the same steps.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,26 +37,44 @@ ANCHOR = r"(?s)^.*[Aa]nswer is:?[ \t]*([^\n]+)"
 MATH = r"(?s)^.*\$([^$]+)\$"
 LAST_NUMBER = r"(?s)^(?:.*[^0-9.,-])?(-?[0-9][0-9,]*(?:\.[0-9]+)?)"
 
+# A plain text that is a sentence: words, digits, and nothing of a formula.
+SENTENCE = r"^[^\\\[\](){}<>=]*[A-Za-z]{2,}[^\\\[\](){}<>=]*$"
+
 # (pattern, replacement) steps; a replacement "#1#2" names capture groups, anything else is literal.
+_PLAIN = r"(?:[^{}+-]|\\sqrt\{[^{}]*\})+"
 NORMALISE = [
     (r"\{,\}", ","),  # a thousands separator kept from spacing
-    (r"([0-9])\s*\\(?:text|mathrm)\{\s*[A-Za-z][A-Za-z ]*\}", "#1"),  # a unit after a number
+    (r"\\left|\\right|\\[!,;:]|\\\(|\\\)|\$", ""),
+    (r"([0-9})])\s*(?:\\(?:text|mathrm)\{\s*(?:or|and)\s*\}|\s(?:or|and)\s)\s*([0-9\\({.-])", "#1,#2"),
+    (r"([0-9}])\s*\\(?:text|mathrm)\{\s*[A-Za-z][A-Za-z ]*\}(?:\^\{?[0-9]\}?)?\s*\.?\s*$", "#1"),  # a unit after a number
     (r"\\(?:text|mathrm|textbf)\{([^{}]*)\}", "#1"),
-    (r"\\[dt]?frac\{(-?[0-9.]+)\}\{(-?[0-9.]+)\}", "#1/#2"),
-    (r"\\left|\\right|\\!|\\,|\;|\\\(|\\\)|\$", ""),
+    (r"\\sqrt\s*([0-9])", "\\sqrt{#1}"),
+    (r"\\[dt]?frac\s*([0-9])\s*([0-9])", "#1/#2"),
+    (r"\\[dt]?frac\s*([0-9])\s*\{([^{}]+)\}", "#1/#2"),
+    (rf"\\[dt]?frac\{{(-?{_PLAIN})\}}\s*([0-9])", "#1/#2"),
+    (rf"\\[dt]?frac\{{(-?{_PLAIN})\}}\{{(-?[^{{}}+-]+)\}}", "#1/#2"),
+    (r"\\[dt]?frac\{([^{}]+)\}\{([^{}]+)\}", "(#1)/(#2)"),
     (r"\^\{?\\circ\}?|\\?%", ""),
     (r"\.(?:\s[\s\S]*)?$", ""),  # the end of the sentence and what comes after
     (r"([0-9])\s+[A-Za-z][A-Za-z ]*$", "#1"),  # a unit in words
+    (r"\\cdot|\\times", "*"),
     (r"\s+", ""),
     (r"^(-?[0-9]{1,3}),([0-9]{3})$", "#1#2"),  # thousands separators, up to three of them
     (r"^(-?[0-9]{1,3}),([0-9]{3})(\.[0-9]+)$", "#1#2#3"),
     (r"^(-?[0-9]{1,3}),([0-9]{3}),([0-9]{3})(\.[0-9]+)?$", "#1#2#3#4"),
     (r"^(-?[0-9]{1,3}),([0-9]{3}),([0-9]{3}),([0-9]{3})(\.[0-9]+)?$", "#1#2#3#4#5"),
 ]
-# An equation stands for its right-hand side (``x=5`` reads as 5).
-RHS = r"=([^=]+)$"
-NUMBER = r"^-?[0-9]+(\.[0-9]+)?$"
-FRACTION = r"^(-?[0-9]+(?:\.[0-9]+)?)/(-?[0-9]+(?:\.[0-9]+)?)$"
+# One equation stands for its right-hand side (``x=5`` reads as 5); a relation or several equations do not.
+RHS = r"^[^=<>!]*=([^=<>]+)$"
+_NUM = r"(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
+# sign, factor, root, pi, divisor
+TERM = rf"^([+-]?)({_NUM})?(?:\*?\\sqrt\{{({_NUM})\}})?(\*?\\pi)?(?:/(-?{_NUM}))?$"
+TERM_HAS = r"^[+-]?(?:[0-9.]|\\sqrt|\\pi)"
+# opening bracket, elements, closing bracket; or elements alone
+_INNER = r"(?:[^()\[\]{}]|\\sqrt\{[^{}]*\})*"
+SEQUENCE = rf"^(\\\{{|[(\[])({_INNER}[,;]{_INNER})(\\\}}|[)\]])$"
+LIST = rf"^{_INNER}[,;]{_INNER}$"
+ANY_ORDER = ("\\{\\}", ",")  # the kinds whose elements come in any order: sets and bare lists
 TOLERANCE = 1e-9
 
 
@@ -63,7 +89,7 @@ def format_reward(text: Column | str) -> Column:
 
 
 def _spark_repl(r: str) -> str:
-    return r.replace("#", "$")
+    return r.replace("\\", "\\\\").replace("#", "$")
 
 
 def normalise(c: Column) -> Column:
@@ -99,7 +125,7 @@ def extract_answer(text: Column, *, gold: bool = False) -> Column:
     other = F.when(text.rlike(ANCHOR), F.regexp_extract(text, ANCHOR, 1))
     if gold:
         bare = F.btrim(text)
-        sentence = bare.rlike(r"\s") & bare.rlike(r"[0-9]") & ~bare.rlike(r"^[^=]+=[^=]+$")
+        sentence = bare.rlike(r"\s") & bare.rlike(r"[0-9]") & bare.rlike(SENTENCE) & ~bare.rlike(r"[0-9]\s+(?:or|and)\s+[0-9]")
         other = other.when(text.rlike(MATH), F.regexp_extract(text, MATH, 1))
         other = other.when(sentence, F.regexp_extract(bare, LAST_NUMBER, 1)).when(bare != "", bare)
     raw = F.coalesce(F.when(F.contains(text, F.lit(BOX)), _boxed(text)), other)
@@ -109,37 +135,54 @@ def extract_answer(text: Column, *, gold: bool = False) -> Column:
 
 
 def answer_value(norm: Column) -> Column:
-    """Numeric value of a normalised answer: a number or a simple fraction, else NULL."""
-    frac = F.try_divide(
-        F.regexp_extract(norm, FRACTION, 1).try_cast("double"), F.regexp_extract(norm, FRACTION, 2).try_cast("double")
-    )
-    return F.when(norm.rlike(NUMBER), norm.try_cast("double")).when(norm.rlike(FRACTION), frac)
+    """Numeric value of a normalised answer or element: a number, a fraction, a multiple of a root or of pi, else NULL."""
+    part = lambda i: F.regexp_extract(norm, TERM, i)
+    number = lambda i: F.coalesce(F.when(part(i) != "", part(i)).try_cast("double"), F.lit(1.0))
+    top = F.when(part(1) == "-", -1.0).otherwise(1.0) * number(2) * F.sqrt(number(3)) * F.when(part(4) != "", F.lit(math.pi)).otherwise(1.0)
+    return F.when(norm.rlike(TERM) & norm.rlike(TERM_HAS), F.try_divide(top, number(5)))
 
 
-def grade_from_parts(p: Column, g: Column, pv: Column, gv: Column) -> Column:
-    """The grading rule over extracted answers and their values."""
-    close = F.abs(pv - gv) <= F.lit(TOLERANCE) * F.greatest(F.lit(1.0), F.abs(gv))
-    return (
-        F.when(g.isNull(), F.lit(None).cast("double"))
-        .when(p.isNull(), F.lit(0.0))
-        .when(pv.isNotNull() & gv.isNotNull(), F.when(close, 1.0).otherwise(0.0))
-        .otherwise(F.when(p == g, 1.0).otherwise(0.0))
-    )
+def answer_kind(norm: Column) -> Column:
+    """The brackets of a tuple, interval or set, a comma for a bare list, the empty string for one value or text."""
+    brackets = F.concat(F.regexp_extract(norm, SEQUENCE, 1), F.regexp_extract(norm, SEQUENCE, 3))
+    return F.when(norm.rlike(SEQUENCE), brackets).when(norm.rlike(LIST), F.lit(",")).otherwise(F.lit(""))
+
+
+def answer_elements(norm: Column, kind: Column) -> Column:
+    """(value, text) of each element, sorted where the kind has them in any order; one element for one value."""
+    inner = F.when(norm.rlike(SEQUENCE), F.regexp_extract(norm, SEQUENCE, 2)).otherwise(norm)
+    texts = F.when(kind == "", F.array(norm)).otherwise(F.split(inner, "[,;]", -1))
+    each = F.transform(texts, lambda t: F.struct(answer_value(t).alias("v"), t.alias("t")))
+    return F.when(kind.isin(*ANY_ORDER), F.array_sort(each)).otherwise(each)
+
+
+def grade_from_parts(p: Column, g: Column, p_kind: Column, g_kind: Column, p_el: Column, g_el: Column) -> Column:
+    """The grading rule over extracted answers, their kinds and their elements."""
+
+    def same(x: Column, y: Column) -> Column:
+        close = F.abs(x["v"] - y["v"]) <= F.lit(TOLERANCE) * F.greatest(F.lit(1.0), F.abs(y["v"]))
+        return F.when(x["v"].isNotNull() & y["v"].isNotNull(), close).otherwise(x["t"] == y["t"])
+
+    equal = (p_kind == g_kind) & (F.size(p_el) == F.size(g_el)) & F.forall(F.zip_with(p_el, g_el, same), lambda x: F.coalesce(x, F.lit(False)))
+    return F.when(g.isNull(), F.lit(None).cast("double")).when(p.isNull(), F.lit(0.0)).otherwise(F.when(equal, 1.0).otherwise(0.0))
 
 
 def with_accuracy(df: DataFrame, pred: str, gold: str, out: str = "reward", *, keep_parts: bool = False) -> DataFrame:
     """Add ``out`` = 1.0 / 0.0, or NULL when the gold answer cannot be read.
 
-    Extraction and values are projected as their own columns first, so each regex chain is
-    evaluated once per row (inlining them into one expression repeats them and overflows
+    Extraction, kinds and elements are projected as their own columns first, so each regex chain
+    is evaluated once per row (inlining them into one expression repeats them and overflows
     the generated code).
     """
     staged = df.withColumn("_p", extract_answer(F.col(pred))).withColumn("_g", extract_answer(F.col(gold), gold=True))
-    staged = staged.withColumn("_pv", answer_value(F.col("_p"))).withColumn("_gv", answer_value(F.col("_g")))
-    res = staged.withColumn(out, grade_from_parts(F.col("_p"), F.col("_g"), F.col("_pv"), F.col("_gv")))
+    staged = staged.withColumns({"_pk": answer_kind(F.col("_p")), "_gk": answer_kind(F.col("_g"))})
+    staged = staged.withColumns({"_pe": answer_elements(F.col("_p"), F.col("_pk")), "_ge": answer_elements(F.col("_g"), F.col("_gk"))})
+    res = staged.withColumn(out, grade_from_parts(*(F.col(c) for c in ("_p", "_g", "_pk", "_gk", "_pe", "_ge"))))
     if keep_parts:
-        return res.withColumnsRenamed({"_p": "pred_answer", "_g": "gold_answer", "_pv": "pred_value", "_gv": "gold_value"})
-    return res.drop("_p", "_g", "_pv", "_gv")
+        one = lambda k, e: F.when(F.col(k) == "", F.get(e, F.lit(0))["v"])
+        res = res.withColumns({"pred_value": one("_pk", "_pe"), "gold_value": one("_gk", "_ge")})
+        return res.withColumnsRenamed({"_p": "pred_answer", "_g": "gold_answer"}).drop("_pk", "_gk", "_pe", "_ge")
+    return res.drop("_p", "_g", "_pk", "_gk", "_pe", "_ge")
 
 
 # ----------------------------------------------------------------------------- DuckDB forms
@@ -151,7 +194,7 @@ def _q(s: str) -> str:
 
 def sql_normalise(expr: str) -> str:
     for pat, repl in NORMALISE:
-        expr = f"regexp_replace({expr}, {_q(pat)}, {_q(repl.replace('#', chr(92)))}, 'g')"
+        expr = f"regexp_replace({expr}, {_q(pat)}, {_q(repl.replace(chr(92), chr(92) * 2).replace('#', chr(92)))}, 'g')"
     return expr
 
 
@@ -168,7 +211,7 @@ def sql_extract(expr: str, *, gold: bool = False) -> str:
     if gold:
         more = (
             f" WHEN regexp_matches({expr}, {_q(MATH)}) THEN regexp_extract({expr}, {_q(MATH)}, 1)"
-            f" WHEN regexp_matches({bare}, '\\s') AND regexp_matches({bare}, '[0-9]') AND NOT regexp_matches({bare}, '^[^=]+=[^=]+$')"
+            f" WHEN regexp_matches({bare}, '\\s') AND regexp_matches({bare}, '[0-9]') AND regexp_matches({bare}, {_q(SENTENCE)}) AND NOT regexp_matches({bare}, '[0-9]\\s+(?:or|and)\\s+[0-9]')"
             f" THEN regexp_extract({bare}, {_q(LAST_NUMBER)}, 1) WHEN {bare} <> '' THEN {bare}"
         )
     raw = (
@@ -181,11 +224,30 @@ def sql_extract(expr: str, *, gold: bool = False) -> str:
 
 
 def sql_value(n: str) -> str:
-    return (
-        f"(CASE WHEN regexp_matches({n}, {_q(NUMBER)}) THEN TRY_CAST({n} AS DOUBLE)"
-        f" WHEN regexp_matches({n}, {_q(FRACTION)}) THEN TRY_CAST(regexp_extract({n}, {_q(FRACTION)}, 1) AS DOUBLE)"
-        f" / nullif(TRY_CAST(regexp_extract({n}, {_q(FRACTION)}, 2) AS DOUBLE), 0) END)"
-    )
+    part = lambda i: f"regexp_extract({n}, {_q(TERM)}, {i})"
+    number = lambda i: f"coalesce(TRY_CAST(nullif({part(i)}, '') AS DOUBLE), 1.0)"
+    top = f"(CASE {part(1)} WHEN '-' THEN -1.0 ELSE 1.0 END) * {number(2)} * sqrt({number(3)}) * (CASE WHEN {part(4)} <> '' THEN pi() ELSE 1.0 END)"
+    return f"(CASE WHEN regexp_matches({n}, {_q(TERM)}) AND regexp_matches({n}, {_q(TERM_HAS)}) THEN ({top}) / nullif({number(5)}, 0) END)"
+
+
+def sql_kind(n: str) -> str:
+    brackets = f"regexp_extract({n}, {_q(SEQUENCE)}, 1) || regexp_extract({n}, {_q(SEQUENCE)}, 3)"
+    return f"(CASE WHEN regexp_matches({n}, {_q(SEQUENCE)}) THEN {brackets} WHEN regexp_matches({n}, {_q(LIST)}) THEN ',' ELSE '' END)"
+
+
+def sql_elements(n: str, kind: str) -> str:
+    inner = f"CASE WHEN regexp_matches({n}, {_q(SEQUENCE)}) THEN regexp_extract({n}, {_q(SEQUENCE)}, 2) ELSE {n} END"
+    each = f"list_transform(CASE WHEN {kind} = '' THEN [{n}] ELSE string_split_regex({inner}, '[,;]') END, lambda t: {{'v': {sql_value('t')}, 't': t}})"
+    any_order = ", ".join(_q(k) for k in ANY_ORDER)
+    return f"(CASE WHEN {kind} IN ({any_order}) THEN list_sort({each}, 'ASC', 'NULLS FIRST') ELSE {each} END)"
+
+
+def sql_equal(pk: str, gk: str, pe: str, ge: str) -> str:
+    """Whether two answers of these kinds and elements are equal."""
+    x, y = f"{pe}[i]", f"{ge}[i]"
+    close = f"abs({x}.v - {y}.v) <= {TOLERANCE} * greatest(1.0, abs({y}.v))"
+    same = f"CASE WHEN {x}.v IS NOT NULL AND {y}.v IS NOT NULL THEN {close} ELSE {x}.t = {y}.t END"
+    return f"({pk} = {gk} AND len({pe}) = len({ge}) AND len(list_filter(range(1, len({ge}) + 1), lambda i: {same})) = len({ge}))"
 
 
 def sql_format_reward(expr: str) -> str:

@@ -20,12 +20,12 @@ def g1_format_reward(spark, sf):
 
 _ACC_SQL = f"""WITH {GRADE_SQL},
 ex AS (SELECT *, {GR.sql_extract('prediction')} AS p, {GR.sql_extract('gold', gold=True)} AS g FROM grade),
-vx AS (SELECT *, {GR.sql_value('p')} AS pv, {GR.sql_value('g')} AS gv FROM ex),
+kx AS (SELECT *, {GR.sql_kind('p')} AS pk, {GR.sql_kind('g')} AS gk FROM ex),
+vx AS (SELECT *, {GR.sql_elements('p', 'pk')} AS pe, {GR.sql_elements('g', 'gk')} AS ge FROM kx),
 graded AS (
-  SELECT *, CAST(CASE WHEN g IS NULL THEN NULL WHEN p IS NULL THEN 0.0
-                 WHEN pv IS NOT NULL AND gv IS NOT NULL THEN
-                      CASE WHEN abs(pv - gv) <= {GR.TOLERANCE} * greatest(1.0, abs(gv)) THEN 1.0 ELSE 0.0 END
-                 ELSE CASE WHEN p = g THEN 1.0 ELSE 0.0 END END AS DOUBLE) AS reward
+  SELECT *, CASE WHEN pk = '' THEN pe[1].v END AS pv, CASE WHEN gk = '' THEN ge[1].v END AS gv,
+         CAST(CASE WHEN g IS NULL THEN NULL WHEN p IS NULL THEN 0.0
+                   WHEN {GR.sql_equal('pk', 'gk', 'pe', 'ge')} THEN 1.0 ELSE 0.0 END AS DOUBLE) AS reward
   FROM vx)"""
 
 
