@@ -6,6 +6,7 @@ writer is a plain DataFrame write, so a lost executor only re-runs its own tasks
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,8 +32,17 @@ def read_raw_training(spark: SparkSession, path: str, fmt: str = "parquet") -> D
 
 
 def read_rollout_log(spark: SparkSession, path: str, reward_names=("accuracy", "format")) -> DataFrame:
-    """The append-only rollout log (S10's output) with its canonical schema, no inference."""
-    return spark.read.schema(schemas.rollouts(reward_names)).parquet(path)
+    """The append-only rollout log (S10's output) with its canonical schema, no inference.
+
+    Only committed batches are read: what a failed append left behind is not part of the log.
+    """
+    schema = schemas.rollouts(reward_names)
+    done = committed(spark, path)
+    if not done:
+        return spark.createDataFrame([], schema)
+    keyed = T.StructType([*schema.fields, T.StructField("batch_id", T.StringType())])
+    rows = spark.read.schema(keyed).parquet(f"{path.rstrip('/')}/{BATCHES}")
+    return rows.filter(F.col("batch_id").isin(done)).drop("batch_id")  # prunes the folders of other batches
 
 
 def read_prepared(spark: SparkSession, path: str) -> DataFrame:
@@ -100,20 +110,53 @@ def write_inferences(rows: DataFrame, path: str) -> None:
 
 
 def write_completions(table: DataFrame, path: str) -> None:
-    """``step, prompt, completion, <reward columns>`` appended, one folder per step."""
-    table.write.mode("append").partitionBy("step").parquet(path)
+    """``step, prompt, completion, <reward columns>``, one folder per step.
+
+    A step is written whole: writing it again (a retried job) replaces its folder and leaves
+    the other steps alone.
+    """
+    table.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("step").parquet(path)
 
 
 # The names a merged batch has for columns of the log.
 BATCH_NAMES = {"step": "batch_step", "block": "batch_block", "slot": "batch_slot"}
 
 
-def append_rollouts(rollouts: DataFrame, path: str, reward_names=("accuracy", "format")) -> None:
+# The log's folders: rows by batch, and one marker file per committed batch.
+BATCHES, COMMITS = "batches", "commits"
+
+
+def committed(spark: SparkSession, path: str) -> list[str]:
+    """Ids of the batches the log holds, one marker per append."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{COMMITS}")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(x.getPath().getName() for x in fs.listStatus(folder)) if fs.exists(folder) else []
+
+
+def _commit(spark: SparkSession, path: str, batch_id: str) -> None:
+    """Publish a batch: creating its marker is one atomic step, done after all its files are in place."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{COMMITS}/{batch_id}")
+    marker.getFileSystem(spark._jsc.hadoopConfiguration()).create(marker, True).close()
+
+
+def rows_id(rows: DataFrame) -> str:
+    """An id of a batch of log rows, the same for the same rows in any order."""
+    key = F.xxhash64("rollout_id", "prompt_key", "step", "seq").cast("decimal(38,0)")
+    n, total, lo, hi = rows.agg(F.count(F.lit(1)), F.sum(key), F.min("seq"), F.max("seq")).first()
+    return f"{lo}_{hi}_{n}_{int(total or 0) & (1 << 64) - 1:016x}"
+
+
+def append_rollouts(rollouts: DataFrame, path: str, reward_names=("accuracy", "format"), batch_id: str | None = None) -> str:
     """Append online rollouts to the log in its canonical schema (replayed rows are never pushed back).
 
     Takes log rows or rows of a merged batch. Columns the rows lack are written as NULL, but
     a row cannot do without its id, prompt, step and append number.
+
+    An append can be retried: its rows go to a folder of their own, named by ``batch_id`` (made
+    from the rows where none is given), and count only once the batch is committed. A batch that
+    is committed already is left as it is; one that failed midway is written anew. Returns the id.
     """
+    spark = rollouts.sparkSession
     if "is_online" in rollouts.columns:
         rollouts = rollouts.filter(F.col("is_online") == 1)
     have = {f.name: F.col(f.name) for f in rollouts.schema.fields}
@@ -125,4 +168,11 @@ def append_rollouts(rollouts: DataFrame, path: str, reward_names=("accuracy", "f
     if missing:
         raise ValueError(f"rollouts lack {missing}")
     columns = [have.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields]
-    rollouts.select(*columns).write.mode("append").parquet(path)
+    rows = rollouts.select(*columns)
+    batch_id = batch_id or rows_id(rows)
+    if not re.fullmatch(r"[A-Za-z0-9_-][A-Za-z0-9._-]*", batch_id):
+        raise ValueError(f"batch id {batch_id!r} is no file name")
+    if batch_id not in committed(spark, path):
+        rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BATCHES}/batch_id={batch_id}")
+        _commit(spark, path, batch_id)
+    return batch_id

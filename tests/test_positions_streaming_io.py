@@ -110,7 +110,8 @@ def test_sinks_round_trip(spark):
     comp = spark.createDataFrame([(0, "p", "c", 1.0), (1, "p", "d", None)], "step long, prompt string, completion string, r_accuracy double")
     IO.write_completions(comp, f"{base}/comp")
     IO.write_completions(comp, f"{base}/comp")
-    assert spark.read.parquet(f"{base}/comp").count() == 4
+    IO.write_completions(comp.filter("step = 1").withColumn("completion", F.lit("later")), f"{base}/comp")
+    assert sorted((r.step, r.completion) for r in spark.read.parquet(f"{base}/comp").collect()) == [(0, "c"), (1, "later")]
 
     rolls = spark.createDataFrame(
         [(1, 7, 3, 0, 0, 11, 1, 0.5), (2, 7, 3, 0, 1, 12, 0, 1.0)],
@@ -123,6 +124,27 @@ def test_sinks_round_trip(spark):
         IO.append_rollouts(rolls.drop("seq"), f"{base}/log")
 
 
+def test_appends_can_be_retried(spark):
+    """Twice the same rows, a job that dies midway, and its retry: the log holds every row once."""
+    log = checkpoint_path(spark, f"test-log-{uuid.uuid4().hex[:12]}")
+    rows = spark.createDataFrame([(i, f"p{i % 2}", 0, i) for i in range(40)], "rollout_id long, prompt_key string, step long, seq long").repartition(8)
+    ids = lambda: sorted(r.rollout_id for r in IO.read_rollout_log(spark, log).collect())
+    assert ids() == []
+    first = IO.append_rollouts(rows.filter("seq < 20"), log)
+    assert IO.append_rollouts(rows.filter("seq < 20").repartition(3), log) == first and ids() == list(range(20))
+    dies = rows.filter("seq >= 20").withColumn("seq", F.when(F.col("seq") == 33, F.raise_error(F.lit("lost")).cast("long")).otherwise(F.col("seq")))
+    with pytest.raises(Exception, match="lost"):
+        IO.append_rollouts(dies, log, batch_id="step-1")
+    assert ids() == list(range(20))
+    # files of a batch that was never committed are no part of the log either
+    rows.limit(3).write.parquet(f"{log}/{IO.BATCHES}/batch_id=step-2")
+    IO.append_rollouts(rows.filter("seq >= 20"), log, batch_id="step-1")
+    IO.append_rollouts(rows.filter("seq >= 20"), log, batch_id="step-1")
+    assert ids() == list(range(40)) and IO.committed(spark, log) == sorted([first, "step-1"])
+    with pytest.raises(ValueError):
+        IO.append_rollouts(rows, log, batch_id="../elsewhere")
+
+
 def test_hot_key_is_spread_over_tasks(spark):
     """One prompt holding a third of the log: its positions are computed in many tasks."""
     ev = spark.read.parquet(f"{SF_MID}/events.parquet").select("user_id", "event_id")
