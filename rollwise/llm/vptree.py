@@ -37,6 +37,9 @@ SHARD_ROWS = 4096
 QUERY_ROWS = 50_000
 LEAF_ROWS = 128
 FACTOR = 1.0
+#: found beside the k asked for, so that scores equal but for their last digits are ranked exactly
+SPARE = 4
+ROUNDING = 1e-12
 K = 20
 
 
@@ -89,12 +92,13 @@ class VantageTree:
                 rows = self.nodes[node][0]
                 got = queries[at] @ self.points[rows].T
                 self.visited += got.size
-                better = got.max(axis=1) > score[at, -1]
+                better = got.max(axis=1) >= score[at, -1]
                 at, got = at[better], got[better]
                 both = np.concatenate([score[at], got], axis=1)
                 who = np.concatenate([row[at], np.broadcast_to(rows, got.shape)], axis=1)
-                top = np.argpartition(-both, k - 1, axis=1)[:, :k]
-                top = np.take_along_axis(top, np.argsort(-np.take_along_axis(both, top, 1), axis=1, kind="stable"), 1)
+                # by score, ties to the smaller row
+                top = np.argsort(who, axis=1)
+                top = np.take_along_axis(top, np.argsort(-np.take_along_axis(both, top, 1), axis=1, kind="stable")[:, :k], 1)
                 score[at], row[at] = np.take_along_axis(both, top, 1), np.take_along_axis(who, top, 1)
                 return
             v, radius, near, far, near_bounds, far_bounds = self.nodes[node]
@@ -103,7 +107,7 @@ class VantageTree:
             inside = d <= radius
 
             def may_hold(bounds: tuple[float, float]) -> np.ndarray:
-                return np.minimum(dot + long[at] * bounds[0], long[at] * bounds[1]) >= score[at, -1]
+                return np.minimum(dot + long[at] * bounds[0], long[at] * bounds[1]) + ROUNDING * long[at] * np.sqrt(self.reach2) >= score[at, -1]
 
             visit(near, at[inside & may_hold(near_bounds)])
             visit(far, at[~inside & may_hold(far_bounds)])
@@ -122,10 +126,12 @@ def _shard_search(ids: np.ndarray, vectors: np.ndarray, k: int, factor: float, l
     order = np.lexsort((ids, where.ravel()))
     groups = np.split(ids[order], np.flatnonzero(np.diff(where.ravel()[order])) + 1)
     groups = [np.unique(g)[: k + 1] for g in groups]  # one id more, for the query's own
+    by_id = np.argsort([g[0] for g in groups], kind="stable")  # so that ties between rows go to the smaller id
+    points, groups = points[by_id], [groups[i] for i in by_id.tolist()]
     tree = VantageTree(points, longest=longest)
 
     def find(query_ids: np.ndarray, queries: np.ndarray):
-        rows, _ = tree.search(queries, min(k + 1, len(points)), factor)
+        rows, _ = tree.search(queries, min(k + 1 + SPARE, len(points)), factor)
         out = []
         for q, found in enumerate(rows):
             found = found[found >= 0]
@@ -142,6 +148,14 @@ def _shard_search(ids: np.ndarray, vectors: np.ndarray, k: int, factor: float, l
     return find
 
 
+def _identity(vectors: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each whole vector, which tells apart different vectors under one id."""
+    factors = np.random.default_rng(6).integers(1 << 63, size=vectors.shape[1], dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    bits = (vectors + 0.0).view(np.uint64)
+    bits = bits ^ (bits >> np.uint64(29))
+    return ((bits * factors) ^ ((bits * factors) >> np.uint64(31))).sum(axis=1, dtype=np.uint64).view(np.int64)
+
+
 def _usable(rows: DataFrame) -> DataFrame:
     """(vec_id, v, dim) of the rows that take part."""
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
@@ -200,13 +214,13 @@ def nearest(
                     held = []
                 if find:
                     q, cand, score = find(*part)
-                    sums = pa.array(part[1].sum(axis=1)[q])
+                    same = pa.array(_identity(part[1])[q])
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(part[0][q]), sums, pa.array(cand), pa.array(score)], names=["query_id", "same", "vec_id", "score"]
+                        [pa.array(part[0][q]), same, pa.array(cand), pa.array(score)], names=["query_id", "same", "vec_id", "score"]
                     )
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = index.union(asked).repartition(parts, "dim", "shard", "grp").sortWithinPartitions("dim", "shard", "grp", "kind")
-    found = dealt.mapInArrow(run, "query_id long, same double, vec_id long, score double").distinct()
+    found = dealt.mapInArrow(run, "query_id long, same long, vec_id long, score double").distinct()
     rank = F.row_number().over(Window.partitionBy("query_id", "same").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
