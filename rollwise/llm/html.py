@@ -12,12 +12,14 @@
 Text is decoded after the markup is cut, white space in a block becomes one space, blocks are
 trimmed and joined by a blank line. Left out: navigation, page headers, footers, asides, forms,
 scripts, styles, hidden parts and elements whose class, id or role names them as such (ads,
-menus, notices, sharing, related links, reader comments). What a name says in part only
+menus, notices, sharing, related links). What a name says in part only
 (``has-sidebar``), and a form, is kept when it holds the page's article or main or most of its
-text; an element named so as a whole, when it holds main, or most of a page that is empty without it.
-Hidden parts never are.
+text; so is a part of an article whose name may mean two things (``search-engines``) and whose
+text has few links. An element named so as a whole is kept when it holds main, or most of a page
+that is empty without it. Hidden parts and reader comments never are, however long.
 
-Defined cases: null html gives an empty text; a null url votes with the empty host; a page cut
+Defined cases: pages nested to any depth are read in time and memory in proportion (a path of
+over ``PATH_CHARS`` characters is hashed); null html gives an empty text; a null url votes with the empty host; a page cut
 off in a tag loses that tag only; ties between paths go to the higher summed score, then the
 smaller path; repeated rows vote again and are extracted alike; an empty table gives an empty
 result; extra columns are ignored.
@@ -26,8 +28,9 @@ result; extra columns are ignored.
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from hashlib import md5
 from html import unescape
 
 import pyarrow as pa
@@ -51,6 +54,15 @@ NEGATIVE = frozenset(
     "subscription signup share sharing social related recommended recommendations comment comments disqus respond widget toolbar "
     "pagination pager login search skip hidden".split()
 )
+#: of these, words that also name parts of an article (``search-engines``): text like an article's is read after all
+AMBIGUOUS = frozenset("search menu notice header footer banner modal overlay hidden skip login pager popup navigation masthead toolbar respond".split())
+#: reader comments: a name that starts or ends so, unless it only tells of them
+COMMENTS = frozenset("comment comments commentlist commentarea commentform commentsection disqus responses replies".split())
+TELLS = frozenset("no has with show hide open closed enabled disabled on off count link".split())
+#: an ambiguously named part of an article is read with so many characters, so much of them outside links
+LEAST_CHARS, UNLINKED = 60, 0.8
+#: longer paths are told apart by a hash of what they begin with
+PATH_CHARS = 400
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu".split())
 WHOLE = frozenset(["html", "body", "article", "main"])
 #: why an element is left out: never read again, named so as a whole, named so in part or a form
@@ -67,20 +79,30 @@ ATTRIBUTE = re.compile(r"\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(
 WORDS = re.compile(r"[a-z]+")
 
 
+def _of_comments(name: str) -> bool:
+    """Whether a class or id names a block of reader comments."""
+    words = WORDS.findall(name)
+    return bool(words) and not TELLS.intersection((words[0], words[-1])) and (words[0] in COMMENTS or words[-1] in COMMENTS)
+
+
 class Page:
     """Containers (parent, path, tag, score) and text blocks (container, text) of one page."""
 
     def __init__(self, html: str) -> None:
         self.parent, self.path, self.tag, self.score = [-1], [""], ["#"], [0.0]
         self.blocks: list[tuple[int, str]] = []
+        #: left-out elements with an ambiguous name inside an article
+        self.maybe: set[int] = set()
+        #: how many elements of each name are open
+        self.count: Counter = Counter()
         #: every block with its weight: (container, text, weight, left-out element or 0, article or main around it)
         self.found: list[tuple[int, str, int, int, str]] = []
         #: left-out elements: (the one around it or 0, why)
         self.left = [(0, 0)]
         #: left-out elements that hold an article or main of their own, and which
         self.holders: dict[int, str] = {}
-        #: open elements: (tag, container number, left-out element around or 0, inside a link)
-        self.open = [("#", 0, 0, False)]
+        #: open elements: (tag, container number, left-out element around or 0, inside a link, article or main around)
+        self.open = [("#", 0, 0, False, "")]
         self.text: list[str] = []
         self.linked = 0
         at = 0
@@ -107,7 +129,7 @@ class Page:
         self._settle()
 
     def _add(self, raw: str) -> None:
-        _, _, left, link = self.open[-1]
+        _, _, left, link, _ = self.open[-1]
         if self.left[left][1] != HIDDEN:
             self.text.append(raw)
             if link:
@@ -121,27 +143,27 @@ class Page:
         linked, self.text, self.linked = self.linked, [], 0
         if not text:
             return
-        _, box, left, _ = self.open[-1]
-        around = [t for t, _, _, _ in self.open if t in ("article", "main")]
-        self.found.append((box, text, max(0, len(text) - linked), left, "main" if "main" in around else "article" if around else ""))
+        _, box, left, _, around = self.open[-1]
+        self.found.append((box, text, max(0, len(text) - linked), left, around))
 
     def _settle(self) -> None:
         """Decide which left-out elements are read after all, then give the blocks to their containers."""
         n = len(self.left)
-        held, article, main = [0] * n, [0] * n, [0] * n
+        held, article, main, size = [0] * n, [0] * n, [0] * n, [0] * n
         worst = [0] * n  # the strongest reason around, the element's own included
         for i in range(1, n):
             worst[i] = max(self.left[i][1], worst[self.left[i][0]])
         plain = free = 0  # text outside NAMED elements; article text outside every left-out element
-        for _, _, weight, left, around in self.found:
+        for _, text, weight, left, around in self.found:
             plain += weight if worst[left] <= PARTLY else 0
             free += weight if around and not left else 0
-            at = left
-            while at:
-                held[at] += weight
-                article[at] += weight if around else 0
-                main[at] += weight if around == "main" else 0
-                at = self.left[at][0]
+            held[left] += weight
+            size[left] += len(text)
+            article[left] += weight if around else 0
+            main[left] += weight if around == "main" else 0
+        for i in range(n - 1, 0, -1):  # an element comes after the one around it
+            for sums in (held, size, article, main):
+                sums[self.left[i][0]] += sums[i]
         total = sum(f[2] for f in self.found)
         read = [True] + [False] * (n - 1)
 
@@ -153,6 +175,7 @@ class Page:
                 holds = inner_main[i] or (last_resort and 2 * held[i] > total)
                 if why == PARTLY:
                     holds = holds or 2 * held[i] > plain or (inner[i] and article[i] and (not free or 2 * article[i] > total))
+                    holds = holds or (i in self.maybe and held[i] >= max(LEAST_CHARS, UNLINKED * size[i]))
                 read[i] = bool(holds)
 
         # An article or main around a left-out element does not make that element an article's holder.
@@ -177,15 +200,17 @@ class Page:
             self._close_implied({"p"} | CLOSES.get(name, set()))
         if name in VOID or attributes.endswith("/"):
             return
-        _, box, left, link = self.open[-1]
-        classes, bad, why = "", False, PARTLY
+        _, box, left, link, around = self.open[-1]
+        classes, bad, why, maybe, comments = "", False, PARTLY, True, False
         if attributes:
             for key, a, b, c in ATTRIBUTE.findall(attributes):
                 key, value = key.lower(), (a or b or c).lower()
                 if key in ("class", "id"):
                     if key == "class":
                         classes = ".".join(sorted(re.sub(r"\d+", "0", x) for x in value.split()))
-                    bad = bad or not NEGATIVE.isdisjoint(WORDS.findall(value))
+                    found = NEGATIVE.intersection(WORDS.findall(value))
+                    bad, maybe = bad or bool(found), maybe and found <= AMBIGUOUS
+                    comments = comments or any(map(_of_comments, value.split()))
                     why = max(why, NAMED if not NEGATIVE.isdisjoint(value.split()) else why)
                 elif key == "role" and value in ROLES:
                     bad, why = True, max(why, PARTLY if value == "form" else NAMED)
@@ -193,8 +218,10 @@ class Page:
                     bad, why = True, HIDDEN
                 elif key in ("hidden", "aria-hidden") and value != "false":
                     bad, why = True, HIDDEN
-        in_article = any(t in ("article", "main") for t, _, _, _ in self.open)
-        if name in WHOLE:
+        in_article = bool(around)
+        if comments and name not in ("html", "body", "main"):
+            bad, why = True, HIDDEN  # never read, however long
+        elif name in WHOLE:
             bad = False
         elif name == "header" or (bad and name in PARAGRAPH and name[0] == "h"):
             bad = not in_article  # an article's own heading is part of it
@@ -204,25 +231,37 @@ class Page:
             why = max(why, NAMED)
         if name in ("article", "main"):
             at = left
-            while at:
-                self.holders[at] = "main" if "main" in (name, self.holders.get(at)) else name
+            while at and self.holders.get(at) not in ("main", name):
+                self.holders[at] = name
                 at = self.left[at][0]
+            around = "main" if "main" in (name, around) else name
         if bad:
             self.left.append((left, max(why, HIDDEN if self.left[left][1] == HIDDEN else why)))
             left = len(self.left) - 1
+            if in_article and maybe and why == PARTLY and name not in SKIP:
+                self.maybe.add(left)
         if name in CONTAINER:
             self.parent.append(box)
-            self.path.append(f"{self.path[box]}>{name}" + ("." + classes if classes else ""))
+            path = f"{self.path[box]}>{name}" + ("." + classes if classes else "")
+            self.path.append(path if len(path) <= PATH_CHARS else "#" + md5(path.encode("utf-8", "replace")).hexdigest())
             self.tag.append(name)
             self.score.append(0.0)
             box = len(self.parent) - 1
-        self.open.append((name, box, left, link or name == "a"))
+        self.open.append((name, box, left, link or name == "a", around))
+        self.count[name] += 1
+
+    def _cut(self, i: int) -> None:
+        """Close the open elements from the i-th on."""
+        self.count.subtract(x[0] for x in self.open[i:])
+        del self.open[i:]
 
     def _close_implied(self, names: set[str]) -> None:
+        if not any(self.count[x] for x in names):
+            return
         for i in range(len(self.open) - 1, 0, -1):
             tag = self.open[i][0]
             if tag in names:
-                del self.open[i:]
+                self._cut(i)
                 return
             if tag in CONTAINER or tag in ("ul", "ol", "dl", "table"):
                 return
@@ -230,10 +269,12 @@ class Page:
     def _end(self, name: str) -> None:
         if name in BLOCK:
             self._flush()
+        if not self.count[name]:
+            return
         for i in range(len(self.open) - 1, 0, -1):
             tag = self.open[i][0]
             if tag == name:
-                del self.open[i:]
+                self._cut(i)
                 return
             if name not in BLOCK and tag in BLOCK:
                 return

@@ -1,5 +1,9 @@
 """HTML extraction: exact texts of hand-written pages, and the host vote."""
 
+import random
+import time
+import tracemalloc
+
 from rollwise.llm import html
 from rollwise.llm.html import Page
 
@@ -60,3 +64,64 @@ def test_candidate_gathers_text_rich_siblings():
     page = "<body><div class='wrap'><div class='part-one'><p>{}</p></div><div class='part-two'><p>{}</p></div><div class='x'><p>tiny</p></div></div><div class='y'>z</div></body>"
     got = text(page.format("a " * 350, "b " * 150))
     assert got.split("\n\n")[:2] == [("a " * 350).strip(), ("b " * 150).strip()] and "z" not in got
+
+
+STORY = "<p>" + "This is the article's text, a sentence or two. " * 4 + "</p>"
+REPLY = "<p>a reader's comment here, long enough to count</p>"
+
+
+def test_reader_comments_never_come_back():
+    for page in (
+        f"<article>{STORY}<div class='comments-list'>{REPLY * 60}</div></article>",
+        f"<div class='content'>{STORY}</div><ol class='commentlist'><li>{REPLY * 40}</li></ol>",
+        f"<div><div class='content'>{STORY}</div><div id='responses'>{REPLY * 40}</div></div>",
+        f"<main>{STORY}</main><section id='post-comments'><article class='comment'>{REPLY * 30}</article></section>",
+    ):
+        assert "comment" not in text(page) and "article's text" in text(page)
+    for around in ("div class='has-comments content'", "div class='comments-open'", "section class='commentary'"):
+        assert "article's text" in text(f"<{around}>{STORY}</{around.split()[0]}>")
+
+
+def test_ambiguous_names_inside_an_article():
+    part = "<div class='{}'><p>Then search engines index the pages, one sentence after the other.</p></div>"
+    page = "<article>" + STORY + "{}" + STORY + "</article>"
+    assert "Then search" in text(page.format(part.format("search-engines"))) and "Then search" in text(page.format(part.format("notice-board")))
+    assert "Then search" not in text(page.format(part.format("ad-slot"))) and "Then search" not in text(page.format(part.format("related-posts")))
+    links = "<div class='menu-items'>" + "<a href='x'>a link to some other page</a> " * 9 + "</div>"
+    assert "a link" not in text(page.format(links))
+
+
+def test_deep_nesting_is_linear():
+    for deep in ("<div>" * 50_000 + STORY, "<div class='x1'>" * 50_000 + STORY, "<span>" * 50_000 + STORY * 50, "<div><p>x" * 25_000, "<article><div class='menu'>" * 20_000 + STORY):
+        began = time.process_time()
+        assert text(deep)
+        assert time.process_time() - began < 4
+    tracemalloc.start()
+    Page("<div class='some-name'>" * 50_000 + STORY)
+    assert tracemalloc.get_traced_memory()[1] < 100 << 20
+    tracemalloc.stop()
+
+
+def test_generated_pages_match_their_own_blocks(spark):
+    """Pages put together from known article blocks and boilerplate: the blocks, and nothing else, come back."""
+    r = random.Random(3)
+    words = lambda n: " ".join("".join(r.choices("abcdefghijklmno", k=r.randint(2, 9))) for _ in range(n))
+    junk = [
+        "<nav><ul><li><a href='/'>nav{0}</a></ul></nav>", "<div class='sidebar'><p>side{0}</p></div>", "<aside>aside{0}</aside>", "<footer>foot{0}</footer>",
+        "<div id='cookie-notice'>cookie{0}</div>", "<div class='ad'>ad{0}</div>", "<form><input>form{0}</form>", "<script>var x = '<p>script{0}</p>';</script>",
+        "<style>p{{}} /* style{0} */</style>", "<div class='comments'><p>comment{0} " + "long " * 30 + "</p></div>", "<!-- hidden{0} -->", "<div hidden>hid{0}</div>",
+    ]
+    rows, want = [], {}
+    for i in range(120):
+        blocks = [words(r.randint(8, 40)) for _ in range(r.randint(2, 8))]
+        shape = r.choice(["<p>{}</p>", "<p>{}", "<blockquote>{}</blockquote>", "<h2>{}</h2>", "<ul><li>{}</ul>", "<p><b>{}</b></p>", "<pre>\n{}\n</pre>"])
+        inside = [shape.format(b.replace(" ", r.choice([" ", "\n ", "&nbsp;", "&#32;"]), 3)) for b in blocks]
+        for _ in range(r.randint(0, 3)):
+            inside.insert(r.randint(0, len(inside)), r.choice(junk[:1] + junk[2:3] + junk[5:9] + junk[10:]).format(i))
+        around = [r.choice(junk).format(i) for _ in range(r.randint(0, 6))]
+        cut = r.randint(0, len(around))
+        tag = r.choice(["article", "main", "div class='post12'"])
+        rows.append((i, f"http://h{i % 5}.com/{i}", f"<html><body>{''.join(around[:cut])}<{tag}>{''.join(inside)}</{tag.split()[0]}>{''.join(around[cut:])}</body></html>"))
+        want[i] = "\n\n".join(blocks)
+    assert {i: text(page) for i, _, page in rows} == want
+    assert {x["page_id"]: x["text"] for x in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()} == want
