@@ -418,14 +418,40 @@ def cache_contents(state: DataFrame, columns: tuple[str, ...], *, key: str = "pr
     return state.groupBy(key).agg(items.alias("contents"))
 
 
+#: cache rows are compared by the digests of so many key ranges first
+DIGEST_RANGES = 4096
+
+
+def cache_digests(state: DataFrame, columns: tuple[str, ...], *, key: str = "prompt_key", seq: str = "seq") -> DataFrame:
+    """(range, n, d1, d2): order-free digests of a cache state by key range, merged by adding."""
+    row = [F.col(key), F.col(seq), *[F.col(c) for c in columns]]
+    digest = lambda seed: F.sum(F.xxhash64(F.lit(seed), *row).cast("decimal(38,0)"))
+    return state.groupBy(_digest_range(key).alias("range")).agg(F.count(F.lit(1)).alias("n"), digest(1).alias("d1"), digest(2).alias("d2"))
+
+
+def _digest_range(key: str) -> Column:
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(DIGEST_RANGES))
+
+
 def cache_divergence(a: DataFrame, b: DataFrame, columns: tuple[str, ...], *, key: str = "prompt_key", seq: str = "seq") -> DataFrame:
     """Prompts whose buffers differ between two cache states, with both contents (NULL where a side has none).
 
-    Contents are compared as arrays of rows, so NULL values and any characters count.
+    Key ranges whose digests agree are left out first (a map-side aggregate to DIGEST_RANGES rows
+    a side), so equal caches are compared without moving their contents; the rows of the other
+    ranges are compared as arrays, so NULL values and any characters count.
     """
-    left = cache_contents(a, columns, key=key, seq=seq).select(F.col(key).alias("_ka"), F.col("contents").alias("contents_a"))
-    right = cache_contents(b, columns, key=key, seq=seq).select(F.col(key).alias("_kb"), F.col("contents").alias("contents_b"))
-    both = left.join(right, F.col("_ka").eqNullSafe(F.col("_kb")), "full_outer")
-    return both.filter(~F.col("contents_a").eqNullSafe(F.col("contents_b"))).select(
+    da, db = (cache_digests(x, columns, key=key, seq=seq) for x in (a, b))
+    names = ["n", "d1", "d2"]
+    both = da.select("range", F.struct(*names).alias("da")).join(db.select("range", F.struct(*names).alias("db")), "range", "full_outer")
+    unlike = both.filter(~F.col("da").eqNullSafe(F.col("db"))).select(F.col("range").alias("_range"))
+
+    def contents(state: DataFrame, name: str, side: str) -> DataFrame:
+        # at most DIGEST_RANGES rows are broadcast
+        rows = state.withColumn("_range", _digest_range(key)).join(F.broadcast(unlike), "_range", "left_semi").drop("_range")
+        return cache_contents(rows, columns, key=key, seq=seq).select(F.col(key).alias(name), F.col("contents").alias(side))
+
+    left, right = contents(a, "_ka", "contents_a"), contents(b, "_kb", "contents_b")
+    pairs = left.join(right, F.col("_ka").eqNullSafe(F.col("_kb")), "full_outer")
+    return pairs.filter(~F.col("contents_a").eqNullSafe(F.col("contents_b"))).select(
         F.coalesce("_ka", "_kb").alias(key), "contents_a", "contents_b"
     )

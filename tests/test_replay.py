@@ -295,3 +295,20 @@ def test_top_k_prunes_before_the_shuffle(spark):
     plan = R.replay_rows(pos, cfg)._jdf.queryExecution().executedPlan().toString()
     limit = [line for line in plan.splitlines() if "WindowGroupLimit" in line]
     assert any("Partial" in x for x in limit) and plan.index("Final") < plan.index("Partial")
+
+
+def test_divergence_by_digests(spark, monkeypatch):
+    """Changed, missing, added and NULL-key rows are found; ranges that agree send no row on."""
+    rows = [(k if k else None, s, float(s % 3) if s % 5 else None, f"t{k}{s}") for k in range(60) for s in range(6)]
+    schema = "prompt_key long, seq long, score double, text string"
+    a = spark.createDataFrame(rows, schema)
+    changed = [(k, s, 9.0 if (k, s) == (7, 2) else x, "u" if (k is None and s == 1) else t) for k, s, x, t in rows if k != 11 and (k, s) != (13, 0)]
+    b = spark.createDataFrame(changed + [(99, 0, None, "new")], schema)
+    for n in (1, 8, 4096):
+        monkeypatch.setattr(R, "DIGEST_RANGES", n)
+        got = {r.prompt_key: r for r in R.cache_divergence(a, b, ("score", "text")).collect()}
+        assert set(got) == {None, 7, 11, 13, 99} and got[11].contents_b is None and got[99].contents_a is None
+        assert len(got[13].contents_a) == 6 and len(got[13].contents_b) == 5
+        assert R.cache_divergence(a, a.repartition(5), ("score", "text")).count() == 0
+    same = R.cache_digests(a, ("score", "text")).join(R.cache_digests(b, ("score", "text")), ["range", "n", "d1", "d2"]).count()
+    assert 40 < same < R.cache_digests(a, ("score", "text")).count()
