@@ -30,6 +30,8 @@ WINDOW = 64
 HIDDEN = 8
 #: windows in the training sample, over all languages, and windows taken from one document at most
 TRAIN_WINDOWS = 2400
+#: the most languages that are learned
+LANGUAGES = 200
 PER_DOCUMENT = 2
 STEPS = 180
 BATCH = 160
@@ -206,21 +208,26 @@ def _fold(doc_id: str = "doc_id"):
 def training_sample(docs: DataFrame, train_windows: int = TRAIN_WINDOWS) -> tuple[list[str], np.ndarray, np.ndarray]:
     """(languages, windows, labels): a bounded sample of the labelled documents that may be learned from.
 
-    Every language gives the documents with its smallest hashes, as many as wanted. A threshold
-    per language, from the count of all its rows, drops most others before they are ranked; it
-    lets enough pass that one with too few is next to impossible. Only the windows are collected.
+    The ``LANGUAGES`` most frequent languages (ties by name) are learned, with an equal share of
+    ``train_windows`` in all; rarer ones are not, so neither their names nor their rows are
+    collected. Every language gives the documents with its smallest hashes, as many as wanted. A
+    threshold per language, from the count of all its rows, drops most others before they are
+    ranked; it lets enough pass that one with too few is next to impossible. Only the windows are collected.
     """
     rows = docs.filter((_fold() != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    most = max(1, min(LANGUAGES, train_windows // PER_DOCUMENT))
+    frequent = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most)
+    counts = {r["lang"]: r["n"] for r in frequent.collect()}
     if not counts:
         return [], np.zeros((0, WINDOW), np.int16), np.zeros(0, np.int64)
     languages = sorted(counts)
-    want = max(1, train_windows // PER_DOCUMENT // len(languages))
+    want = train_windows // PER_DOCUMENT // len(languages)
     share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, (1.5 * want + 32) / n))])
     place = lambda seed: F.pmod(F.xxhash64("doc_id", "text", F.lit(seed)), F.greatest(F.length("text") - WINDOW + 1, F.lit(1))) + 1
     drawn = (
         rows.withColumn("text", F.col("text").cast("string"))
         .withColumn("draw", F.xxhash64(F.col("doc_id").cast("string"), "text"))
+        .filter(F.col("lang").isin(languages))
         .filter((F.col("draw") / float(1 << 64) + 0.5) < share[F.col("lang")])
         .select("lang", "draw", F.array(*[F.substring("text", place(i), F.lit(WINDOW)) for i in range(PER_DOCUMENT)]).alias("cuts"))
     )

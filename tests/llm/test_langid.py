@@ -75,3 +75,13 @@ def test_every_language_has_its_quota_and_windows_lie_anywhere(spark):
     far = spark.createDataFrame([(i, "x" * 1000 + "y" * 9000, "aa") for i in range(50)], "doc_id long, text string, lang string")
     _, windows, _ = langid.training_sample(far, 40)
     assert (windows == ord("y")).mean() > 0.5
+
+
+def test_sample_stays_bounded_with_many_languages(spark):
+    rows = spark.range(9000).selectExpr("id AS doc_id", "concat('text number ', id, ' of some length, long enough for a window of bytes and more') AS text", "concat('l', lpad(CAST(id % 3000 AS STRING), 4, '0')) AS lang")
+    often = spark.range(400).selectExpr("id + 100000 AS doc_id", "concat('often seen ', id) AS text", "'often' AS lang")
+    languages, windows, labels = langid.training_sample(rows.union(often))
+    assert len(windows) == len(labels) <= langid.TRAIN_WINDOWS and len(languages) == langid.LANGUAGES and "often" in languages
+    assert len(set(labels.tolist())) == len(languages)
+    few, windows, _ = langid.training_sample(rows.union(often), train_windows=20)
+    assert len(few) <= 20 and len(windows) <= 20
