@@ -101,5 +101,5 @@ def test_registered():
     import __spark_entry__
 
     names = __spark_entry__.queries()
-    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14))
     assert "corpus_pipeline" in sys.modules
