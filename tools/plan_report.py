@@ -48,12 +48,11 @@ def main() -> None:
         "cluster uses for large inputs). Nested-loop and cartesian joins and row-at-a-time Python",
         "UDFs never appear. Every single-partition exchange is bounded by construction: scalar",
         "subqueries (a row count, a maximum id), the md5-bucket offset table (at most 65,536 rows),",
-        "the range offset table (at most 1,024 rows), the running token count over the per-step",
+        "the range offset table (a row per range of some 100,000 rows), the running token count over the per-step",
         "table and final one-row counts. The only broadcasts are explicit ones of those offset tables.",
         "",
-        "Queries on the `roll` fixture derive the log from `events` each time they use it; at this size",
-        "the order is one range, so they number rows in one window (larger tables add the counts, the",
-        "offsets join and a window per range). Queries marked * run jobs while they are built (round",
+        "Queries on the `roll` fixture derive the log from `events` each time they use it, by the one",
+        "plan of every size: counts per range, the offsets join and a window per range. Queries marked * run jobs while they are built (round",
         "trips through files and streams); only the plan that reads the result back is shown for them.",
         "",
         head,
