@@ -11,6 +11,7 @@ from rollwise.plans.fixtures import REWARDS, ROLL_SQL, roll
 from rollwise.plans.q_replay import GRP, _replay_sql
 from rollwise.plans.registry import ORACLE_SQL, register
 from rollwise.streaming import replay_cache as RC
+from rollwise.streaming import replay_tables as RT
 from rollwise.streaming import runner
 
 CHUNKS = 5
@@ -66,18 +67,27 @@ register(
 SELECT 'p' || prompt_key AS prompt_key, batch_step, batch_block, replay_slot, rollout_id FROM chosen""",
 )(_replay_stream_query("st1sk", renumber=lambda log: log.withColumn("prompt_key", F.concat(F.lit("p"), F.col("prompt_key").cast("string")))))
 
+def _two_blocks(log):
+    return log.withColumn("step", F.floor(F.col("visit") / 2).cast("bigint")).withColumn("block", (F.col("visit") % 2).cast("int"))
+
+
 # Two blocks per step, whose rows may come in different triggers.
-register(
-    "st1_stream_two_blocks",
-    ORACLE_SQL["r5_two_blocks"],
-)(
-    _replay_stream_query(
-        "st1tb",
-        renumber=lambda log: log.withColumn("step", F.floor(F.col("visit") / 2).cast("bigint")).withColumn(
-            "block", (F.col("visit") % 2).cast("int")
-        ),
-    )
-)
+register("st1_stream_two_blocks", ORACLE_SQL["r5_two_blocks"])(_replay_stream_query("st1tb", renumber=_two_blocks))
+
+
+def _table_query(name: str, renumber=None):
+    cfg = ReplayConfig(strategy="highest_k", num_replays=8, min_cache=16, max_cache=16)
+
+    def q(spark, sf):
+        base, stream = _staged_roll(spark, sf, name, renumber=renumber)
+        return RT.run_replays(stream, cfg, f"{base}/replay")
+
+    return q
+
+
+# The same with the buffers in a table, for prompts with many rows in one trigger.
+register("st1_table_replay", ORACLE_SQL["st1_stream_replay"])(_table_query("st1t"))
+register("st1_table_two_blocks", ORACLE_SQL["r5_two_blocks"])(_table_query("st1ttb", renumber=_two_blocks))
 
 
 @register(
