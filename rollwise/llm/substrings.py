@@ -6,10 +6,12 @@ word sequence also starts anywhere else (same document included) is removed.
 * Copies first: texts with equal words (by their sha256) are counted map-side. Every window of a
   text that occurs twice or more is a repeat, so all such rows lose all their words at once;
   one representative goes on, as a place where other texts may find their windows.
-* Sampling of suffixes: each window names the position of its least 8-word gram (by hash,
-  leftmost on ties) as its anchor. Equal windows name equal grams at equal offsets, so windows
-  can only be equal inside the group of suffixes that share an anchor gram. About one position
-  in fourteen is an anchor; only those are shuffled, as hashes, and groups of one are dropped.
+* Sampling of suffixes: each window names its least 8-word gram (by hash), and as its anchor the
+  place of the window before it while that is still a least gram, else the rightmost one (robust
+  winnowing). Equal windows name equal grams, so windows can only be equal inside the group of
+  suffixes that share an anchor gram. About one position in fourteen is an anchor, and one in
+  twenty-eight where a text repeats few words over and over; only those are shuffled, as hashes,
+  and groups of one are dropped.
 * Prefix partitions: the gram is the first prefix. The surviving suffixes are sent, with the
   words of the windows they stand for (62 words at most at the default window), to the task
   that owns the gram. A gram with more than ``group_rows`` suffixes is too large for a
@@ -68,11 +70,15 @@ def _hashes(words: list[bytes]) -> np.ndarray:
     return np.array(out, dtype=np.uint64)
 
 
-def anchors(words: list[bytes], window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(gram hash, first window start, last window start) of each anchor, for all windows of a text."""
+def anchors(words: list[bytes], window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(gram hash, first window start, last window start, places) of each anchor, for all windows of a text.
+
+    ``places`` is 2 where the windows of an anchor hold their least gram more than once, so that two
+    of them may be equal, else 1.
+    """
     n_windows = len(words) - window + 1
     if n_windows < 1:
-        return np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32)
+        return np.zeros(0, np.int64), *[np.zeros(0, np.int32) for _ in range(3)]
     gram = min(GRAM, window)
     h = _hashes(words)
     value = np.zeros(len(words) - gram + 1, np.uint64)
@@ -85,15 +91,26 @@ def anchors(words: list[bytes], window: int = WINDOW) -> tuple[np.ndarray, np.nd
     span = window - gram + 1
     at = np.arange(len(value))
     low, width = value, 1
-    while width < span:  # least gram of each run of ``width`` grams, leftmost on ties
+    while width < span:  # least gram of each run of ``width`` grams, rightmost on ties
         step = min(width, span - width)
-        first = low[:-step] <= low[step:]
+        first = low[:-step] < low[step:]
         low = np.where(first, low[:-step], low[step:])
         at = np.where(first, at[:-step], at[step:])
         width += step
-    starts = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-    ends = np.append(starts[1:], len(at)) - 1
-    return value[at[starts]].view(np.int64), starts.astype(np.int32), ends.astype(np.int32)
+    # Neighbouring windows with equal least grams keep one anchor while it lies inside them.
+    starts = np.flatnonzero(np.append(True, low[1:] != low[:-1]))
+    ends = np.append(starts[1:], len(low)) - 1
+    more = []
+    for i in np.flatnonzero(at[starts] < ends).tolist():
+        place, end = int(at[starts[i]]) + 1, int(ends[i])
+        while place <= end:
+            more.append(place)
+            place = int(at[place]) + 1
+    if more:
+        starts = np.sort(np.append(starts, more))
+        ends = np.append(starts[1:], len(low)) - 1
+    places = 1 + (at[ends] != at[starts])
+    return low[starts].view(np.int64), starts.astype(np.int32), ends.astype(np.int32), places.astype(np.int32)
 
 
 def _keyed(docs: DataFrame, *first: Column) -> DataFrame:
@@ -110,7 +127,7 @@ def _digest(words: list[bytes]) -> str:
 
 def _anchored(docs: DataFrame, window: int) -> DataFrame:
     """One row per document: doc_id, key, n_words, digest of all its words, and its anchors."""
-    schema = f"doc_id long, {KEY_TYPE}, n_words long, sha string, anchors array<struct<h:bigint,a:int,b:int>>"
+    schema = f"doc_id long, {KEY_TYPE}, n_words long, sha string, anchors array<struct<h:bigint,a:int,b:int,places:int>>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -121,9 +138,9 @@ def _anchored(docs: DataFrame, window: int) -> DataFrame:
                 n.append(len(words))
                 sha.append(_digest(words))
             offsets = np.concatenate(([0], np.cumsum([len(f[0]) for f in found]))).astype(np.int32)
-            flat = [np.concatenate([f[i] for f in found]) if found else np.zeros(0) for i in range(3)]
+            flat = [np.concatenate([f[i] for f in found]) if found else np.zeros(0) for i in range(4)]
             structs = pa.StructArray.from_arrays(
-                [pa.array(flat[0], pa.int64()), pa.array(flat[1], pa.int32()), pa.array(flat[2], pa.int32())], names=["h", "a", "b"]
+                [pa.array(flat[0], pa.int64()), *[pa.array(x, pa.int32()) for x in flat[1:]]], names=["h", "a", "b", "places"]
             )
             lists = pa.ListArray.from_arrays(pa.array(offsets), structs)
             yield pa.RecordBatch.from_arrays(
@@ -290,7 +307,7 @@ def covered(docs: DataFrame, window: int = WINDOW, group_rows: int = GROUP_ROWS)
     whole = F.col("rows").isNotNull()
     is_first = F.expr(" AND ".join(f"{c} = r{c}" for c in KEY))
     each = marked.filter(~whole | is_first).select(*KEY, F.explode("anchors").alias("x")).select(*KEY, "x.*")
-    grams = stage(each.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1"), "substrings-grams")
+    grams = stage(each.groupBy("h").agg(F.count("*").alias("n"), F.sum("places").alias("places")).filter("places > 1").select("h", "n"), "substrings-grams")
     parts = F.ceil(F.col("n") / group_rows).cast("int").alias("parts")
     picked = each.join(grams, "h").groupBy(*KEY).agg(F.collect_set(F.struct("h", "a", "b", parts)).alias("picks"))
     found = stage(_subtrees(_contexts(docs, picked, copies, window), window), "substrings-repeats")

@@ -28,7 +28,7 @@ def corpus(seed, vocab_size):
         for _ in range(r.randint(0, 4)):
             words += r.choice(shared) if r.random() < 0.5 else r.choices(vocab, k=r.randint(0, 60))
         rows.append((i, r.choice([" ", "\n", "\t "]).join(words)))
-    rows += [(500, None), (501, ""), (None, rows[3][1]), (7, rows[7][1]), (7, "x y"), (502, " ".join(["a"] * 500)), (503, " ".join(["b", "c"] * 18))]
+    rows += [(500, None), (501, ""), (None, rows[3][1]), (7, rows[7][1]), (7, "x y"), (502, " ".join(["a"] * 500)), (503, " ".join(["b", "c"] * 18)), (504, " ".join(["z"] * 36)), (505, " ".join(["y", "x"] * 19))]
     return rows
 
 
@@ -68,3 +68,11 @@ def test_copies_do_not_land_in_one_part(spark, monkeypatch):
     assert max(largest) <= 4 * 16
     kept = {(x["doc_id"], x["text"]) for x in substrings.deduplicate(df, 35, 16).collect()}
     assert {t for d, t in kept if d <= 1000} == {""} and (3000, "end") in kept and (3001, "short") in kept
+
+
+def test_texts_of_few_words_have_few_anchors():
+    """The words sent for the anchors stay within a few times the text, whatever it repeats."""
+    for words in ([b"a"] * 10_000, [b"a", b"b"] * 5_000, [b"%d" % i for i in range(10_000)], [b"a"] * 5_000 + [b"%d" % i for i in range(5_000)]):
+        h, first, last, places = substrings.anchors(words)
+        assert first[0] == 0 and last[-1] == len(words) - 35 and (first[1:] == last[:-1] + 1).all()  # each window once
+        assert (last - first + 35).sum() < 5 * len(words) and len(h) < len(words) / 10
