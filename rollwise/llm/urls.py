@@ -5,13 +5,15 @@ the other. Each model is a variable-order Markov model over the characters of ho
 orders 0 to 3, interpolated by Witten-Bell smoothing, so that a context lends its weight to a
 shorter one as far as it has been seen with few or many followers. Characters are mapped to a
 fixed alphabet, so a model has at most 43^4 cells whatever the input (the proof of the size of
-what is collected and broadcast); the counts come from every labelled URL. A URL's score is the
-mean, over its characters and its end, of the difference of the two log-likelihoods. The
-threshold is calibrated on all labelled scores (histogram of fixed bins, best balanced accuracy).
+what is collected and broadcast). A URL's score is the mean, over its characters and its end, of
+the difference of the two log-likelihoods. Labelled URLs whose hash of host and path is divisible by
+five are held out: the counts come from all others, and the threshold is calibrated on the scores of
+all held out ones (histogram of fixed bins, best balanced accuracy). Equal URLs are on one side.
 
 Defined cases: a null URL, or one without ``://``, has an empty host and path, fits no rule and
 is judged by the score of the empty string; when no URL or only one verdict is labelled there is
-no ratio and the rest is allowed with score 0; repeated rows count and are judged one by one; an
+no ratio and the rest is allowed with score 0; where either side of the split lacks a verdict, all
+labelled URLs stand for that side; repeated rows count and are judged one by one; an
 empty table gives an empty result; rules of equal length cannot both fit unless they are equal
 (the first listed wins); extra columns are ignored by ``judge`` and kept by ``keep_allowed``.
 """
@@ -33,10 +35,14 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789/.-_%"
 ORDER = 3
 SYMBOLS = len(ALPHABET) + 2  # one for any other character, one for begin and end
 BIN = 0.01
-
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def held_out() -> Column:
+    """Whether a labelled row calibrates the threshold, and is not counted."""
+    return F.pmod(F.xxhash64("text"), F.lit(5)) == 0
+
+
 def parts(url: Column) -> tuple[Column, Column]:
     """(host, path) of a URL, both empty where there is no ``://``."""
     at = F.instr(url, "://")
@@ -115,11 +121,13 @@ def scores(texts: list[str], ratio: np.ndarray) -> np.ndarray:
 
 def _threshold(scored: DataFrame) -> float:
     """The score with the best balanced accuracy on labelled rows, in the middle of equally good ones."""
-    rows = (
-        scored.filter("allowed IS NOT NULL").groupBy(F.floor(F.col("score") / BIN).alias("bin")).agg(
-            F.count_if("allowed").alias("allow"), F.count_if(~F.col("allowed")).alias("block")
-        )
-    ).collect()  # at most the score range over BIN
+    by_bin = scored.filter("allowed IS NOT NULL").groupBy(F.floor(F.col("score") / BIN).alias("bin"), held_out().alias("held")).agg(
+        F.count_if("allowed").alias("allow"), F.count_if(~F.col("allowed")).alias("block")
+    )
+    rows = by_bin.collect()  # at most twice the score range over BIN
+    held = [r for r in rows if r["held"]]
+    if any(r["allow"] for r in held) and any(r["block"] for r in held):
+        rows = held
     total = sum(r["allow"] for r in rows), sum(r["block"] for r in rows)
     right = {}
     for edge in {r["bin"] + k for r in rows for k in (0, 1)}:
@@ -133,11 +141,18 @@ def _scored(rows: DataFrame) -> tuple[DataFrame, float | None]:
     """``rows`` (text, allowed, more) with a score, and the threshold; None where a verdict has no labelled row."""
     spark = rows.sparkSession
     cells = SYMBOLS ** (ORDER + 1)
-    table = _cells(rows.filter("allowed IS NOT NULL")).toArrow()  # at most two tables of 43^4 cells
-    counts = np.zeros(2 * cells)
-    counts[table.column("key").to_numpy()] = table.column("n").to_numpy()
+
+    def counted(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        table = _cells(labelled).toArrow()  # at most two tables of 43^4 cells
+        counts = np.zeros(2 * cells)
+        counts[table.column("key").to_numpy()] = table.column("n").to_numpy()
+        return counts[:cells], counts[cells:]
+
     shape = (SYMBOLS,) * (ORDER + 1)
-    blocked, allowed = counts[:cells], counts[cells:]
+    labelled = rows.filter("allowed IS NOT NULL")
+    blocked, allowed = counted(labelled.filter(~held_out()))
+    if not blocked.any() or not allowed.any():
+        blocked, allowed = counted(labelled)
     if not blocked.any() or not allowed.any():
         return rows.withColumn("score", F.lit(0.0)), None
     ratio = (log_probabilities(allowed.reshape(shape)) - log_probabilities(blocked.reshape(shape))).astype(np.float32).ravel()

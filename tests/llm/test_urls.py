@@ -77,3 +77,23 @@ def test_held_out_verdicts(spark):
     right = sum(truth[x["page_id"]] == x["verdict"] for x in out) / len(out)
     assert len(out) > 300 and right > 0.95, right
     assert all(math.isfinite(x["score"]) for x in out)
+
+
+def test_threshold_of_held_out_urls(spark):
+    """The threshold does as well as any other on the rows held out."""
+    r = random.Random(9)
+    rows = []
+    for _ in range(800):
+        good = r.random() < 0.5
+        text = "".join(r.choices("abcdefgh" if good else "defghijk", k=6))
+        rows.append((text, good))
+    scored, threshold = urls._scored(spark.createDataFrame(rows, "text string, allowed boolean"))
+    held = [(x["score"], x["allowed"]) for x in scored.filter(urls.held_out()).collect()]
+    n = sum(a for _, a in held), sum(not a for _, a in held)
+    assert 100 < len(held) < 220
+
+    def accuracy(t):
+        return sum(a for s, a in held if s >= t) / n[0] + sum(not a for s, a in held if s < t) / n[1]
+
+    edges = [math.floor(s / urls.BIN) * urls.BIN for s, _ in held]
+    assert accuracy(threshold) >= max(accuracy(e) for e in edges) - 0.05
