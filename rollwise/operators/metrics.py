@@ -1,11 +1,11 @@
 """Training metrics per step (A1-A8) as a long table ``(mode, step, metric, value)``.
 
-Rows are grouped twice: first by block side (one block's fresh or replayed rows), to counts,
-sums, extremes and the group's reward mean and deviation, then by step. Both aggregate
-map-side before their shuffle, and no window or sort touches the rows. Deviations are merged
-from each group's count, mean and sum of squared distances from that mean, never from raw
-squares, so values far from zero lose no digits; a window over the groups gives the step's mean.
-The running token count is a window over the per-step table.
+One aggregate with two grouping sets reads the rows: by block side (one block's fresh or replayed
+rows) for the group's reward mean and deviation, and by step and side for everything else. It
+combines map-side, so a step with any share of the rows leaves a task as a few rows, and no window,
+sort or join touches rows or groups. Deviations are Spark's mergeable count, mean and squared
+distances, never raw squares, so values far from zero lose no digits. The running token count is
+a window over the per-step table.
 """
 
 from __future__ import annotations
@@ -16,11 +16,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _std(n: Column, squares: Column) -> Column:
-    """Sample standard deviation from a count and a sum of squared distances from the mean; NULL below two values."""
-    return F.when(n > 1, F.sqrt(squares / (n - 1)))
-
-
 def step_metrics(
     batch: DataFrame,
     rewards: Sequence[str],
@@ -54,45 +49,40 @@ def step_metrics(
     ]
     for i, r in enumerate(rewards):
         x = F.col(r).cast("double")
-        first += [F.count(x).alias(f"c{i}"), F.avg(x).alias(f"s{i}"), (F.var_pop(x) * F.count(x)).alias(f"q{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
-    g = batch.groupBy(*groups).agg(*first)
-    # Merge the groups of a step and side: mean of the step, then each group's distance from it.
-    side = Window.partitionBy("mode", "batch_step", "is_online")
-    merged = {}
-    for i in range(len(rewards)):
-        n, mean = F.col(f"c{i}"), F.coalesce(F.col(f"s{i}"), F.lit(0.0))
-        merged[f"m{i}"] = F.try_divide(F.sum(n * mean).over(side), F.sum(n).over(side))
-    g = g.withColumns(merged)
-    g = g.withColumns({f"q{i}": F.when(F.col(f"c{i}") > 0, F.col(f"q{i}") + F.col(f"c{i}") * F.pow(F.col(f"s{i}") - F.col(f"m{i}"), 2)) for i in range(len(rewards))})
+        first += [F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+    sets = [[F.col(c) for c in groups], [F.col(c) for c in ("mode", "batch_step", "is_online")]]
+    g = batch.groupingSets(sets, *groups).agg(F.grouping_id().alias("_set"), *first)
+
+    # The rows of a step and side have _set > 0, those of its groups 0.
+    def side(name: str, online: int | None = None) -> Column:
+        return F.when((F.col("_set") > 0) & (F.lit(True) if online is None else F.col("is_online") == online), F.col(name))
 
     def on(name: str, online: int) -> Column:
-        return F.when(F.col("is_online") == online, F.col(name))
+        return F.when((F.col("_set") == 0) & (F.col("is_online") == online), F.col(name))
 
-    has_off = F.count(on("n", 0)) > 0
+    has_off = F.count(side("n", 0)) > 0
     # A4: offline metrics are 0 when the step replayed nothing
     off = lambda c: F.when(has_off, c).otherwise(F.lit(0.0))
     aggs = []
     for i, r in enumerate(rewards):
-        n, q = ([F.sum(on(f"{x}{i}", o)) for o in (0, 1)] for x in ("c", "q"))
-        mean = [F.max(on(f"m{i}", o)) for o in (0, 1)]
         aggs += [
-            mean[1].alias(f"rewards/{r}/online_mean"),
-            _std(n[1], q[1]).alias(f"rewards/{r}/online_std"),
-            off(mean[0]).alias(f"rewards/{r}/offline_mean"),
-            off(_std(n[0], q[0])).alias(f"rewards/{r}/offline_std"),
+            F.max(side(f"m{i}", 1)).alias(f"rewards/{r}/online_mean"),
+            F.max(side(f"s{i}", 1)).alias(f"rewards/{r}/online_std"),
+            off(F.max(side(f"m{i}", 0))).alias(f"rewards/{r}/offline_mean"),
+            off(F.max(side(f"s{i}", 0))).alias(f"rewards/{r}/offline_std"),
             F.min(f"lo{i}").alias(f"rewards/{r}/min"),
             F.max(f"hi{i}").alias(f"rewards/{r}/max"),
         ]
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("double")
     aggs += [
-        (F.sum("len_sum") / F.sum("n")).alias("completions/mean_length"),
+        (F.sum(side("len_sum")) / F.sum(side("n"))).alias("completions/mean_length"),
         F.min("len_min").cast("double").alias("completions/min_length"),
         F.max("len_max").cast("double").alias("completions/max_length"),
-        (F.lit(1.0) - F.sum("t_n") / F.sum("n")).alias("completions/clipped_ratio"),
-        zero(F.try_divide(F.sum("t_sum"), F.sum("t_n"))).alias("completions/mean_terminated_length"),
+        (F.lit(1.0) - F.sum(side("t_n")) / F.sum(side("n"))).alias("completions/clipped_ratio"),
+        zero(F.try_divide(F.sum(side("t_sum")), F.sum(side("t_n")))).alias("completions/mean_terminated_length"),
         zero(F.min("t_min")).alias("completions/min_terminated_length"),
         zero(F.max("t_max")).alias("completions/max_terminated_length"),
-        F.sum("tokens").cast("double").alias("_step_tokens"),
+        F.sum(side("tokens")).cast("double").alias("_step_tokens"),
         # A3: mean of group means / stds
         F.avg(on("gm", 1)).alias("reward/online"),
         F.avg(on("gs", 1)).alias("reward/online_std"),
