@@ -47,7 +47,9 @@ class Ranges:
 
         if self.fine is None:
             return df.withColumn("_rw_range", F.lit(0).cast("bigint"))
-        coarse = upto(F.lit(self.coarse).cast(f"array<{kind}>")) if self.coarse else F.lit(0).cast("bigint")
+        # Exploded, not named: the planner would carry the expression of a named column over to the splitters'
+        # side of the join as a filter, where the order column is not.
+        coarse = F.explode(F.array(upto(F.lit(self.coarse).cast(f"array<{kind}>")))) if self.coarse else F.lit(0).cast("bigint")
         # A splitter is a number or at most SPLITTER_CHARS characters, and there are as many as ranges.
         joined = df.withColumn("_rw_c", coarse).join(F.broadcast(self.fine), "_rw_c", "left")
         return joined.withColumn("_rw_range", F.col("_rw_c") * (1 << 32) + F.greatest(upto(F.col("_rw_fine")), F.lit(0))).drop("_rw_c", "_rw_fine")
@@ -85,7 +87,7 @@ def ranges(df: DataFrame, order_col: str, n_ranges: int | None = None) -> Ranges
     return Ranges(coarse, fine)
 
 
-def _key_columns(df: DataFrame, keys: Sequence[str]) -> dict[str, Column]:
+def key_columns(df: DataFrame, keys: Sequence[str]) -> dict[str, Column]:
     """Two columns without NULL per key (its value or a stand-in, and whether it is NULL): equality on them is null-safe."""
     types = dict(df.dtypes)
     out = {}
@@ -115,7 +117,7 @@ def rank_within_key(
     """
     keys = list(keys)
     cuts = ranges(df, order_col, n_ranges)
-    named = _key_columns(df, keys)
+    named = key_columns(df, keys)
     by = [*named, "_rw_range"]
     tagged = cuts.tag(df.withColumns(named) if named else df, order_col)
     counts = tagged.groupBy(*by).agg(F.count(F.lit(1)).alias("_rw_n"))

@@ -49,6 +49,17 @@ def test_ranks_of_any_orderable_type(spark, kind):
     assert sizes[0] < 3 * 30_000 / 30 and sizes[1] >= 20
 
 
+def test_ranks_by_an_order_of_few_values(spark):
+    """A table read from files whose order has few values: some ranges have no splitters of their own."""
+    turns = spark.read.parquet(f"{SF_MID}/conversations.parquet").select("conv_id", "turn")
+    w = Window.partitionBy("conv_id")
+    plain = turns.select(F.col("conv_id").alias("c2"), F.col("turn").alias("t2"), (F.row_number().over(w.orderBy("turn")) - 1).alias("p2"))
+    for n_ranges in (2, 4, 9):
+        ours = rank_within_key(turns, ["conv_id"], "turn", out="pos", n_ranges=n_ranges)
+        both = ours.join(plain, (F.col("conv_id") == F.col("c2")) & (F.col("turn") == F.col("t2")))
+        assert both.count() == turns.count() and both.filter("pos <> p2").count() == 0
+
+
 def test_first_rows_by_a_string_key_of_many_rows(spark):
     df = spark.range(200_000).select(F.concat(F.lit("key-"), F.lpad(F.col("id").cast("string"), 9, "0")).alias("k"), "id")
     assert sorted(r["id"] for r in first_n(df, "k", 5).collect()) == [0, 1, 2, 3, 4]
