@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollwise.operators.positions import first_by, global_positions
+from rollwise.operators.positions import first_by, global_positions, key_columns, ranges
 
 TRAINING_COLUMNS = ("prompt", "messages", "solution", "ground_truth")
+#: role and text bytes of a conversation that is kept as one record
+RECORD_BYTES = 64 << 20
 
 
 def _msg(role: str | Column, content: Column) -> Column:
@@ -58,6 +60,63 @@ def assemble_messages(turns: DataFrame, *, conv: str = "conv_id", order: str = "
     )
 
 
+def message_runs(
+    turns: DataFrame,
+    *,
+    max_bytes: int = RECORD_BYTES,
+    conv: str = "conv_id",
+    order: str = "turn",
+    role: str = "role",
+    text: str = "text",
+    n_ranges: int | None = None,
+) -> DataFrame:
+    """P6 for conversations of any length: a conversation's turns, in order, cut into runs of bounded size.
+
+    Returns ``conv, run, messages, turns, total_bytes``: a run begins where a multiple of
+    ``max_bytes`` is passed, so it holds at most that many bytes of role and text and one turn more.
+    Bytes are summed per conversation and range of turns (map-side combined), the sums turned into
+    offsets on that small table, and running sums taken inside a range, so no task holds a
+    whole conversation. Equal turn numbers go by role and text, NULL first; NULL roles and texts
+    have no bytes; NULL conversations are one.
+    """
+    named = key_columns(turns, [conv])
+    by = [*named, "_rw_range"]
+    size = F.coalesce(F.octet_length(role), F.lit(0)) + F.coalesce(F.octet_length(text), F.lit(0))
+    narrow = turns.select(conv, order, role, text, size.cast("bigint").alias("_size"))
+    tagged = ranges(narrow, order, n_ranges).tag(narrow.withColumns(named), order)
+    sums = tagged.groupBy(*by).agg(F.sum("_size").alias("_in"))
+    earlier = Window.partitionBy(*named).orderBy("_rw_range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumn("_off", F.coalesce(F.sum("_in").over(earlier), F.lit(0))).withColumn("total_bytes", F.sum("_in").over(Window.partitionBy(*named)))
+    local = Window.partitionBy(*by).orderBy(order, role, text).rowsBetween(Window.unboundedPreceding, -1)
+    placed = tagged.repartition(*by).join(sums.drop("_in"), by)
+    placed = placed.withColumn("run", F.floor((F.col("_off") + F.coalesce(F.sum("_size").over(local), F.lit(0))) / max_bytes))
+    items = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(role).alias("role"), F.col(text).alias("content"))))
+    per = placed.groupBy(conv, "run").agg(items.alias("_items"), F.max("total_bytes").alias("total_bytes"))
+    return per.select(
+        conv,
+        "run",
+        F.transform("_items", lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content"))).alias("messages"),
+        F.transform("_items", lambda x: x["o"]).alias("turns"),
+        "total_bytes",
+    )
+
+
+def bounded_messages(turns: DataFrame, *, max_bytes: int = RECORD_BYTES, conv: str = "conv_id", role: str = "role", **names) -> tuple[DataFrame, DataFrame]:
+    """P6 with a bound: (records as of :func:`assemble_messages`, overflow).
+
+    Conversations of more than ``max_bytes`` are no records but lie in the overflow as their runs; nothing is lost.
+    """
+    runs = message_runs(turns, max_bytes=max_bytes, conv=conv, role=role, **names)
+    last = F.array_max(F.filter(F.zip_with("turns", "messages", lambda t, m: F.when(m["role"] == "assistant", t)), lambda t: t.isNotNull()))
+    fits = F.col("total_bytes") <= max_bytes
+    # A conversation of just max_bytes may have turns without bytes behind its first run.
+    items = F.array_sort(F.collect_list(F.struct("run", "turns", "messages")))
+    records = runs.filter(fits).groupBy(conv).agg(items.alias("_r")).select(
+        conv, F.flatten(F.transform("_r", lambda x: x["messages"])).alias("messages"), F.flatten(F.transform("_r", lambda x: x["turns"])).alias("turns")
+    )
+    return records.withColumn("last_assistant", last), runs.filter(~fits)
+
+
 def split_at_last_assistant(conv: DataFrame) -> DataFrame:
     """Prompt = messages before the last assistant turn; solution = that turn's content.
 

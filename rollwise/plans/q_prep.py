@@ -39,6 +39,28 @@ def p6_message_assembly(spark, sf):
     )
 
 
+# A bound that most conversations of the table pass.
+_RUN_BYTES = 512
+_RUNS_SQL = f"""WITH sized AS (
+  SELECT *, coalesce(strlen(role), 0) + coalesce(strlen(text), 0) AS size FROM conversations),
+placed AS (
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST
+                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
+         sum(size) OVER (PARTITION BY conv_id) AS total
+  FROM sized)
+SELECT conv_id, CAST(start // {_RUN_BYTES} AS BIGINT) AS run, CAST(count(*) AS BIGINT) AS n_messages, CAST(max(total) AS BIGINT) AS total_bytes,
+       coalesce(string_agg(role || ':' || text, chr(10) ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST), '') AS rendered
+FROM placed GROUP BY conv_id, start // {_RUN_BYTES}"""
+
+
+@register("p6_message_runs", _RUNS_SQL)
+def p6_message_runs(spark, sf):
+    """Long conversations as runs of bounded size, the overflow beside the records."""
+    runs = P.message_runs(read_table(spark, sf, "conversations"), max_bytes=_RUN_BYTES, n_ranges=4)
+    lines = F.filter(F.transform("messages", lambda m: F.concat(m["role"], F.lit(":"), m["content"])), lambda x: x.isNotNull())
+    return runs.select("conv_id", "run", F.size("messages").cast("bigint").alias("n_messages"), "total_bytes", F.array_join(lines, "\n").alias("rendered"))
+
+
 _P4_SQL = f"""WITH {CT_SQL}
 SELECT conv_id,
        coalesce(string_agg({RENDER_TURN}, '' ORDER BY turn) FILTER (WHERE {IN_PROMPT}), '') ||

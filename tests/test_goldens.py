@@ -198,3 +198,29 @@ def test_deviations_far_from_zero(spark):
     want = batch.filter("is_online = 1").agg(F.stddev_samp("reward"), F.avg("reward")).first()
     assert abs(got["rewards/reward/online_std"] / want[0] - 1) < 1e-9 and abs(got["rewards/reward/online_mean"] - want[1]) < 1e-6
     assert got["rewards/reward/offline_mean"] is None
+
+
+def test_long_conversations_in_runs(spark):
+    """Records within the bound equal the plain assembly; longer ones lie in runs of bounded size, nothing lost."""
+    rows = [(c, t, ("user", "assistant")[t % 2], "x" * ((t * 37 + (c or 0) * 11) % 50)) for c in (1, 2, 3, None) for t in range(3 * (c or 4))]
+    rows += [(9, t, "user" if t % 3 else "assistant", f"turn {t} " + "y" * (t % 40)) for t in range(600)]
+    rows += [(5, 0, None, None), (5, None, "user", None), (6, 1, "user", "é" * 96), (6, 2, None, None), (7, 1, "user", "b"), (7, 1, "user", "a"), (7, 1, None, "c")]
+    df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    runs = P.message_runs(df, max_bytes=100, n_ranges=5).collect()
+    size = lambda m: len((m["role"] or "").encode()) + len((m["content"] or "").encode())
+    key = lambda r: tuple((x is not None, x) for x in r)
+    for c in {r[0] for r in rows}:
+        want = [r[1:] for r in sorted((r for r in rows if r[0] == c), key=key)]
+        mine = sorted((r for r in runs if r["conv_id"] == c), key=lambda r: r["run"])
+        got = [(t, m["role"], m["content"]) for r in mine for t, m in zip(r["turns"], r["messages"], strict=True)]
+        assert got == want
+        assert all(sum(map(size, r["messages"][:-1])) <= 100 for r in mine)
+        assert {r["total_bytes"] for r in mine} == {sum(size(m) for r in mine for m in r["messages"])}
+    records, overflow = P.bounded_messages(df, max_bytes=196, n_ranges=5)
+    plain = {r["conv_id"]: r for r in P.assemble_messages(df).collect()}
+    short = {r["conv_id"]: r for r in records.collect()}
+    assert 9 not in short and {5, 6, 7, 1} <= set(short)
+    for c, r in short.items():
+        assert (r["messages"], r["turns"], r["last_assistant"]) == (plain[c]["messages"], plain[c]["turns"], plain[c]["last_assistant"]) or c in (5, 7)
+    assert set(short) | {r["conv_id"] for r in overflow.collect()} == set(plain)
+    assert P.message_runs(df.limit(0)).count() == 0
