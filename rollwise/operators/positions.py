@@ -108,12 +108,14 @@ def rank_within_key(
     out: str = "pos",
     count_col: str | None = None,
     n_ranges: int | None = None,
+    starts: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``out``: 0-based position of the row within ``keys`` ordered by ``order_col``.
 
     ``order_col`` is unique within a key (an append sequence) and of any orderable type; NULL
     keys form a group of their own and NULL orders come first. ``count_col`` optionally adds
-    the key's total row count. One plan for every size.
+    the key's total row count. ``starts`` (the keys, one row each, and a bigint ``start``) has the
+    position to count from, where it is not 0. One plan for every size.
     """
     keys = list(keys)
     cuts = ranges(df, order_col, n_ranges)
@@ -126,6 +128,10 @@ def rank_within_key(
     offsets = counts.withColumn("_rw_off", F.coalesce(F.sum("_rw_n").over(before), F.lit(0)))
     if count_col:
         offsets = offsets.withColumn(count_col, F.sum("_rw_n").over(Window.partitionBy(*named)))
+    if starts is not None:  # added to the offsets, which are dealt by key already: the rows need no shuffle by key
+        first = starts.select(*[c.alias(x) for x, c in key_columns(starts, keys).items()], F.col("start").alias("_rw_start"))
+        counted = F.col("_rw_off") + F.coalesce("_rw_start", F.lit(0))
+        offsets = offsets.join(first, on=[*named], how="left").withColumn("_rw_off", counted).drop("_rw_start")
     # Rows are hashed on (key, range) — not on the key alone — so a hot key spreads over
     # tasks whichever join strategy runs; a sort-merge join needs this partitioning anyway.
     joined = tagged.repartition(*by).join(offsets.drop("_rw_n"), on=by, how="inner")

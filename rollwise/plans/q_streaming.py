@@ -17,8 +17,12 @@ from rollwise.streaming import runner
 CHUNKS = 5
 
 
+def _scored_roll(spark, sf, renumber=None):
+    return (renumber or (lambda x: x))(roll(spark, sf)).withColumn("score", plain_score(REWARDS)).withColumn("reward", weighted_reward(REWARDS))
+
+
 def _staged_roll(spark, sf, name, eval_every=None, renumber=None):
-    log = (renumber or (lambda x: x))(roll(spark, sf)).withColumn("score", plain_score(REWARDS)).withColumn("reward", weighted_reward(REWARDS))
+    log = _scored_roll(spark, sf, renumber)
     if eval_every:
         log = log.withColumn("mode", F.when(F.col("prompt_key") % eval_every == 0, "eval").otherwise("train"))
     base = runner.run_folder(spark, name)
@@ -79,8 +83,12 @@ def _table_query(name: str, renumber=None):
     cfg = ReplayConfig(strategy="highest_k", num_replays=8, min_cache=16, max_cache=16)
 
     def q(spark, sf):
-        base, stream = _staged_roll(spark, sf, name, renumber=renumber)
-        return RT.run_replays(stream, cfg, f"{base}/replay")
+        log, base = _scored_roll(spark, sf, renumber), runner.run_folder(spark, name)
+        # A trigger is one append, in however many files: files of an append come in no order, and a
+        # trigger costs several jobs whatever its size.
+        for glob in runner.appends_in_order(log, f"{base}/source", "seq", CHUNKS):
+            replays = RT.run_replays(runner.file_stream(spark, glob, log.schema, max_files=None), cfg, f"{base}/replay")
+        return replays
 
     return q
 

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,8 +74,9 @@ def states(spark: SparkSession, folder: str, key_type: T.DataType) -> DataFrame:
     done = _commits(spark, folder)
     since = max((n for n, full in done.items() if full), default=0)
     rows = _read(spark, folder, "state", [n for n in done if n >= since], _state_schema(key_type))
-    newest = rows.groupBy(KEY).agg(F.max("batch").alias("batch"))
-    return rows.join(newest, _same(rows, newest, "batch"), "left_semi").drop("batch")
+    # A prompt has at most 2 C rows in each trigger since the last full one.
+    newest = F.max("batch").over(Window.partitionBy(KEY))
+    return rows.withColumn("_newest", newest).filter(F.col("batch") == F.col("_newest")).drop("batch", "_newest")
 
 
 def read_replays(spark: SparkSession, folder: str, key_type: T.DataType) -> DataFrame:
@@ -92,19 +93,16 @@ def advance(before: DataFrame, rows: DataFrame, cfg: ReplayConfig, n_ranges: int
     heads = before.groupBy(F.col(KEY).alias("_key")).agg(
         F.max("next_pos").alias("h_next"), F.max("p0").alias("h_p0"), F.max("open_step").alias("h_step"), F.any_value("blocks").alias("h_blocks")
     )
-    ranked = rank_within_key(rows, [KEY], "seq", out="_new", n_ranges=n_ranges).join(heads, F.col(KEY).eqNullSafe(F.col("_key")), "left")
-    numbered = ranked.withColumn("pos", F.coalesce("h_next", F.lit(0)) + F.col("_new")).drop("_key", "_new", "h_next").persist()
+    starts = heads.select(F.col("_key").alias(KEY), F.col("h_next").alias("start"))
+    numbered = rank_within_key(rows, [KEY], "seq", out="pos", n_ranges=n_ranges, starts=starts).persist()
 
+    steps = numbered.groupBy(KEY, "step").agg(F.min("pos").alias("first"), F.max("pos").alias("last"), F.collect_set("block").alias("asked"))
     goes_on = F.col("step").eqNullSafe(F.col("h_step"))
-    steps = numbered.groupBy(KEY, "step").agg(
-        F.min("pos").alias("first"),
-        F.max("pos").alias("last"),
-        F.collect_set("block").alias("asked"),
-        F.max(F.when(goes_on, F.col("h_p0"))).alias("h_p0"),
-        F.max(F.when(goes_on, F.col("h_blocks"))).alias("answered"),
+    steps = steps.join(heads.drop("h_next"), F.col(KEY).eqNullSafe(F.col("_key")), "left").select(
+        KEY, "step", "first", "last", "asked",
+        F.coalesce(F.when(goes_on, F.col("h_p0")), "first").alias("p0"),
+        F.coalesce(F.when(goes_on, F.col("h_blocks")), F.array().cast("array<int>")).alias("answered"),
     )
-    answered = F.coalesce("answered", F.array().cast("array<int>"))
-    steps = steps.withColumn("p0", F.coalesce("h_p0", "first")).withColumn("answered", answered)
 
     combined = before.select(*ROW).unionByName(numbered.select(*ROW))
     requests = steps.select(
@@ -146,7 +144,9 @@ def replay_trigger(cfg: ReplayConfig, folder: str, *, score: str = "score", full
         key_type = rows.schema[KEY].dataType
         every = states(spark, folder, key_type)
         touched = rows.select(KEY).distinct()
-        numbered, replays, kept = advance(every.join(touched, _same(every, touched), "left_semi"), rows, cfg)
+        # read for the heads, the buffers and the next states
+        before = every.join(touched, _same(every, touched), "left_semi").persist()
+        numbered, replays, kept = advance(before, rows, cfg)
         last_full = max((n for n, full in done.items() if full), default=None)
         full = last_full is None or number - last_full >= full_every
         if full:
@@ -155,8 +155,8 @@ def replay_trigger(cfg: ReplayConfig, folder: str, *, score: str = "score", full
         kept.write.mode("overwrite").parquet(f"{folder}/state/batch={number}")
         fs, marker = _fs(spark, f"{folder}/commits/{number}-{'full' if full else 'part'}")
         fs.create(marker, True).close()
-        numbered.unpersist()
-        rows.unpersist()
+        for held in (numbered, before, rows):
+            held.unpersist()
         if full:
             for n in done:  # states older than this full one are read no more
                 fs.delete(_fs(spark, f"{folder}/state/batch={n}")[1], True)

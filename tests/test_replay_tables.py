@@ -1,10 +1,15 @@
 """Streaming replay with its state in a table: equal to the batch replay, also for a hot prompt, retries and failures."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
+from rollwise.operators import positions
 from rollwise.operators import replay as R
 from rollwise.operators.replay import ReplayConfig
+from rollwise.plans import q_streaming
+from rollwise.plans.fixtures import roll
 from rollwise.streaming import replay_tables as RT
 from rollwise.streaming import runner
 
@@ -99,3 +104,31 @@ def test_empty_stream(spark):
     log, folder = make_log(spark, 0), runner.run_folder(spark, "tables-empty")
     RT.replay_trigger(cfg, folder)(log, 0)
     assert listed(RT.read_replays(spark, folder, log.schema["prompt_key"].dataType)) == []
+
+
+def test_st1_table_replay_has_one_trigger_an_append(spark, tmp_path, monkeypatch):
+    """Appends of several files, each with rows of all prompts in no order: a trigger is a whole append, however many files it has."""
+    events = spark.range(4_000).select(
+        F.col("id").alias("event_id"), F.expr("timestamp_seconds(1700000000 + id)").alias("ts"), F.expr("id % 7").alias("user_id"),
+        F.expr("CASE id % 4 WHEN 0 THEN 'purchase' WHEN 1 THEN 'error' ELSE 'view' END").alias("event_type"),
+        F.expr("CAST(pmod(hash(id), 100) AS DOUBLE)").alias("value"), F.lit('{"k": 3}').alias("props"),
+    )
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    base = runner.run_folder(spark, "tables-appends")
+    monkeypatch.setattr(runner, "run_folder", lambda *_: base)
+    monkeypatch.setattr(positions, "ROWS_PER_RANGE", 200)  # a prompt's rows are dealt over many files
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    was = spark.conf.get(coalesce)
+    spark.conf.set(coalesce, "false")
+    try:
+        found = listed(q_streaming._table_query("st1t")(spark, str(tmp_path)))
+        log = roll(spark, str(tmp_path)).withColumn("score", q_streaming.plain_score(q_streaming.REWARDS))
+        wanted = batch(log, ReplayConfig(strategy="highest_k", num_replays=8, min_cache=16, max_cache=16))
+    finally:
+        spark.conf.set(coalesce, was)
+    local = base.removeprefix("file:")
+    files = [sum(f.endswith(".parquet") for f in os.listdir(f"{local}/source/{k:05d}")) for k in range(q_streaming.CHUNKS)]
+    assert min(files) > 1
+    assert len([f for f in os.listdir(f"{local}/replay/commits") if not f.startswith(".")]) == q_streaming.CHUNKS
+    assert len(found) > 3_000
+    assert found == wanted
