@@ -21,11 +21,8 @@ def _scored_roll(spark, sf, renumber=None):
     return (renumber or (lambda x: x))(roll(spark, sf)).withColumn("score", plain_score(REWARDS)).withColumn("reward", weighted_reward(REWARDS))
 
 
-def _staged_roll(spark, sf, name, eval_every=None, renumber=None):
-    log = _scored_roll(spark, sf, renumber)
-    if eval_every:
-        log = log.withColumn("mode", F.when(F.col("prompt_key") % eval_every == 0, "eval").otherwise("train"))
-    base = runner.run_folder(spark, name)
+def _staged_roll(spark, sf, name):
+    log, base = _scored_roll(spark, sf), runner.run_folder(spark, name)
     glob = runner.stage_in_order(log, f"{base}/source", "seq", CHUNKS)
     return base, runner.file_stream(spark, glob, log.schema)
 
@@ -34,9 +31,13 @@ def _replay_stream_query(name: str, eval_every=None, strategy: str = "highest_k"
     cfg = ReplayConfig(strategy=strategy, num_replays=8, min_cache=16, max_cache=16)
 
     def q(spark, sf):
-        base, stream = _staged_roll(spark, sf, name, eval_every, renumber)
-        out = RC.streaming_replays(stream, cfg)
-        runner.append_to_parquet(out, f"{base}/sink", f"{base}/checkpoint")
+        log, base = _scored_roll(spark, sf, renumber), runner.run_folder(spark, name)
+        if eval_every:
+            log = log.withColumn("mode", F.when(F.col("prompt_key") % eval_every == 0, "eval").otherwise("train"))
+        # A trigger is one append, in however many files: files of an append come in no order.
+        for glob in runner.appends_in_order(log, f"{base}/source", "seq", CHUNKS):
+            out = RC.streaming_replays(runner.file_stream(spark, glob, log.schema, max_files=None), cfg)
+            runner.append_to_parquet(out, f"{base}/sink", f"{base}/checkpoint")
         return spark.read.parquet(f"{base}/sink").select("prompt_key", "batch_step", "batch_block", "replay_slot", "rollout_id")
 
     return q
@@ -84,8 +85,7 @@ def _table_query(name: str, renumber=None):
 
     def q(spark, sf):
         log, base = _scored_roll(spark, sf, renumber), runner.run_folder(spark, name)
-        # A trigger is one append, in however many files: files of an append come in no order, and a
-        # trigger costs several jobs whatever its size.
+        # A trigger is one append here too; it costs several jobs whatever its size.
         for glob in runner.appends_in_order(log, f"{base}/source", "seq", CHUNKS):
             replays = RT.run_replays(runner.file_stream(spark, glob, log.schema, max_files=None), cfg, f"{base}/replay")
         return replays
