@@ -130,3 +130,7 @@ def test_a_checkpoint_keeps_its_buckets():
     assert not list(RC.replay_state_fn(ReplayConfig(), 8)((0,), iter([frame]), state))
     with pytest.raises(ValueError, match="8 buckets"):
         list(RC.replay_state_fn(ReplayConfig(), 16)((0,), iter([frame]), state))
+
+
+def test_random_picks_of_a_bucket(monkeypatch):
+    check_strategy("random_k", monkeypatch)
