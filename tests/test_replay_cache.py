@@ -134,3 +134,7 @@ def test_a_checkpoint_keeps_its_buckets():
 
 def test_random_picks_of_a_bucket(monkeypatch):
     check_strategy("random_k", monkeypatch)
+
+
+def test_max_variance_picks_of_a_bucket(monkeypatch):
+    check_strategy("max_variance_k", monkeypatch)
