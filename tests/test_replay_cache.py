@@ -6,6 +6,7 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from rollwise.functions.rewards import plain_score
 from rollwise.operators.replay import ReplayConfig
@@ -50,7 +51,7 @@ def brute_pick(cfg, buf, step, block):
     best = None
     for i in range(kk + 1):
         pick = scored[:i] + scored[m - (kk - i) :]
-        y = [x[2] - scored[m // 2][2] for x in pick] if m else []
+        y = [np.float64(x[2] - scored[m // 2][2]) for x in pick] if m else []  # summed plainly, term by term
         cand = (kk * sum(v * v for v in y) - sum(y) ** 2, sum(y), -i)
         if best is None or cand > best[0]:
             best = (cand, sorted(x[2] for x in pick))
@@ -138,3 +139,22 @@ def test_random_picks_of_a_bucket(monkeypatch):
 
 def test_max_variance_picks_of_a_bucket(monkeypatch):
     check_strategy("max_variance_k", monkeypatch)
+
+
+def test_string_tokens(monkeypatch):
+    check_strategy("highest_k", monkeypatch, string=True)
+
+
+@pytest.mark.parametrize("kind", ["concat('p', k)", "CAST(CAST(k AS STRING) AS BINARY)", "k + 9007199254740993"])
+def test_prompt_keys_of_any_type(spark, kind):
+    """Each keeps its type and value, also beside NULL and beyond what a double holds."""
+    cfg = ReplayConfig(strategy="all", min_cache=1, max_cache=2)
+    log = spark.range(30).selectExpr("id AS rollout_id", "id AS seq", "id DIV 5 AS step", "CAST(0 AS INT) AS block", "1.0D AS score", "'train' AS mode", "CASE WHEN id % 5 > 0 THEN id % 5 END AS k")
+    by_k = batch(log.withColumn("prompt_key", F.col("k")), cfg)
+    log, base = log.selectExpr("*", f"{kind} AS prompt_key").coalesce(1), runner.run_folder(spark, "cache-keys")
+    named = {r.k: r.prompt_key for r in log.select("k", "prompt_key").distinct().collect()}
+    log.write.parquet(f"{base}/source/0")
+    got = RC.streaming_replays(runner.file_stream(spark, f"{base}/source/*/*.parquet", log.schema), cfg)
+    assert got.schema["prompt_key"].dataType == log.schema["prompt_key"].dataType
+    runner.append_to_parquet(got, f"{base}/sink", f"{base}/checkpoint")
+    assert listed(spark.read.parquet(f"{base}/sink")) == sorted(((named[r[0]], *r[1:]) for r in by_k), key=str)
