@@ -158,3 +158,11 @@ def test_prompt_keys_of_any_type(spark, kind):
     assert got.schema["prompt_key"].dataType == log.schema["prompt_key"].dataType
     runner.append_to_parquet(got, f"{base}/sink", f"{base}/checkpoint")
     assert listed(spark.read.parquet(f"{base}/sink")) == sorted(((named[r[0]], *r[1:]) for r in by_k), key=str)
+
+
+def test_routed_appends_in_many_files(spark):
+    """Eval prompts share buckets and files with the others: they neither ask nor are cached."""
+    cfg = ReplayConfig(strategy="highest_k", num_replays=8, min_cache=16, max_cache=16)
+    got = q_streaming._replay_stream_query("routed", eval_every=5, renumber=lambda log: log.repartition(12))(spark, SF_SMALL)
+    log = roll(spark, SF_SMALL).withColumn("score", plain_score(REWARDS)).filter("prompt_key % 5 <> 0")
+    assert listed(got) == batch(log, cfg) != []
