@@ -166,3 +166,10 @@ def test_routed_appends_in_many_files(spark):
     got = q_streaming._replay_stream_query("routed", eval_every=5, renumber=lambda log: log.repartition(12))(spark, SF_SMALL)
     log = roll(spark, SF_SMALL).withColumn("score", plain_score(REWARDS)).filter("prompt_key % 5 <> 0")
     assert listed(got) == batch(log, cfg) != []
+
+
+def test_two_blocks_in_many_files(spark):
+    """Blocks of a step in several files and triggers read the same buffer."""
+    cfg = ReplayConfig(strategy="highest_k", num_replays=8, min_cache=16, max_cache=16)
+    got = q_streaming._replay_stream_query("blocks", renumber=lambda log: q_streaming._two_blocks(log).repartition(12))(spark, SF_SMALL)
+    assert listed(got) == batch(q_streaming._two_blocks(roll(spark, SF_SMALL).withColumn("score", plain_score(REWARDS))), cfg) != []
